@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A broadcast is only requested when the side is proven small at run time:
+``limit(max_rows + 1).count()`` stops as soon as the bound is crossed, so
+the check never scans more than ``max_rows + 1`` rows of the side's output.
+Beyond the bound the join is left to the planner (sort-merge join, with AQE
+skew splitting), so nothing unbounded is ever shipped to every executor.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
