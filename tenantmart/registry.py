@@ -41,3 +41,64 @@ for _name in MODELS:
 def oracle_sql() -> dict[str, str]:
     sql = oracle.all_sql()
     return {k: v for k, v in sql.items() if k in QUERIES}
+
+
+# --- cleansing operators over data derived from the driver tables ------------------------
+from .operators import cleanse as C  # noqa: E402
+
+RAW_NUMERIC_TYPES = {"qty_text": "bigint"}
+RAW_DATE_COLUMNS = ("date_code", "date_text")
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FixtureSource(spark, sf_dir)("raw_extract")
+
+
+@query("clean_null_tokens")
+def q_clean_null_tokens(spark, sf_dir):
+    return C.clean_null_tokens(_raw(spark, sf_dir).select("id", "label", "qty_text"))
+
+
+@query("clean_nonfinite")
+def q_clean_nonfinite(spark, sf_dir):
+    return C.clean_nonfinite(_raw(spark, sf_dir).select("id", "amount"))
+
+
+@query("clean_numeric_coerce")
+def q_clean_numeric_coerce(spark, sf_dir):
+    df = C.clean_null_tokens(_raw(spark, sf_dir).select("id", "qty_text"))
+    return C.coerce_numeric(df, RAW_NUMERIC_TYPES).withColumnRenamed("qty_text", "qty")
+
+
+@query("clean_dates_numeric")
+def q_clean_dates_numeric(spark, sf_dir):
+    return C.clean_dates(_raw(spark, sf_dir).select("id", "date_code"), ["date_code"])
+
+
+@query("clean_dates_text")
+def q_clean_dates_text(spark, sf_dir):
+    return C.clean_dates(_raw(spark, sf_dir).select("id", "date_text"), ["date_text"])
+
+
+def cleansed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = C.CleanseSpec(dedupe=True, date_columns=RAW_DATE_COLUMNS,
+                         numeric_types=RAW_NUMERIC_TYPES)
+    return C.cleanse(_raw(spark, sf_dir), spec)
+
+
+@query("clean_report")
+def q_clean_report(spark, sf_dir):
+    return C.cleansing_report(cleansed_raw(spark, sf_dir), RAW_DATE_COLUMNS)
+
+
+@query("dedupe_rows")
+def q_dedupe_rows(spark, sf_dir):
+    return C.dedupe_rows(MODELS["farm_labour"](FixtureSource(spark, sf_dir), FIXTURE_PARAMS))
+
+
+@query("drop_duplicate_columns")
+def q_drop_duplicate_columns(spark, sf_dir):
+    src = FixtureSource(spark, sf_dir)
+    acc, att = src("bdg_codes_analytiques"), src("bdg_attachements_codes")
+    wide = acc.join(att, acc["id_code_analytique"] == att["id_code_analytique"], "left")
+    return C.drop_duplicate_columns(wide)
