@@ -102,3 +102,83 @@ def q_drop_duplicate_columns(spark, sf_dir):
     acc, att = src("bdg_codes_analytiques"), src("bdg_attachements_codes")
     wide = acc.join(att, acc["id_code_analytique"] == att["id_code_analytique"], "left")
     return C.drop_duplicate_columns(wide)
+
+
+# --- warehouse schema operators: calendar, audits, conformance, hierarchy, star ------------
+from .operators import audit as A  # noqa: E402
+from .operators.calendar import calendar_for  # noqa: E402
+from .operators.hierarchy import attach_parent  # noqa: E402
+from .functions import exact_sum  # noqa: E402
+from . import schema as S  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def calendar_of(src) -> DataFrame:
+    """Calendar spanning every business date of the source tables."""
+    return calendar_for([(src("orders"), "o_orderdate"), (src("lineitem"), "l_shipdate"),
+                         (src("events"), "ts")])
+
+
+def warehouse_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    src = FixtureSource(spark, sf_dir)
+    out = {name: m(src, FIXTURE_PARAMS) for name, m in MODELS.items()}
+    out["dim_calendar"] = calendar_of(src)
+    return out
+
+
+@query("dim_calendar")
+def q_dim_calendar(spark, sf_dir):
+    return calendar_of(FixtureSource(spark, sf_dir))
+
+
+@query("audit_primary_keys")
+def q_audit_primary_keys(spark, sf_dir):
+    return A.audit_primary_keys(warehouse_tables(spark, sf_dir), S.key_constraints())
+
+
+@query("audit_foreign_keys")
+def q_audit_foreign_keys(spark, sf_dir):
+    return A.audit_foreign_keys(warehouse_tables(spark, sf_dir), S.foreign_keys())
+
+
+@query("audit_lengths")
+def q_audit_lengths(spark, sf_dir):
+    return A.audit_lengths(warehouse_tables(spark, sf_dir))
+
+
+@query("conform_schema")
+def q_conform_schema(spark, sf_dir):
+    fact = MODELS["fact_labour"](FixtureSource(spark, sf_dir), FIXTURE_PARAMS)
+    return A.conform(fact, S.TABLES["fact_labour"])
+
+
+@query("parent_account")
+def q_parent_account(spark, sf_dir):
+    """Budget account -> its P&L account -> the parent P&L account."""
+    src = FixtureSource(spark, sf_dir)
+    budget = MODELS["budget_accounts"](src, FIXTURE_PARAMS).select(
+        "id_code_budgetaire", "code_budgetaire", "compte_pl")
+    pl = MODELS["pl_accounts"](src, FIXTURE_PARAMS)
+    account = pl.select(F.col("id_bdg_comptes_pl").alias("compte_pl"),
+                        F.col("code").alias("compte_code"),
+                        F.col("niveau").alias("compte_niveau"), "id_compte_parent")
+    j = budget.join(account, on="compte_pl", how="left")
+    return attach_parent(j, pl, "id_compte_parent", "id_bdg_comptes_pl", ["code", "niveau"])
+
+
+@query("star_labour_cost")
+def q_star_labour_cost(spark, sf_dir):
+    """Dashboard star query: labour cost and hours per season, farm and
+    operation family (fact + two dimensions, partial aggregation)."""
+    src = FixtureSource(spark, sf_dir)
+    fact = MODELS["fact_labour"](src, FIXTURE_PARAMS)
+    ops = MODELS["dim_operation"](src, FIXTURE_PARAMS).select("id_operation",
+                                                              "famille_operation")
+    seasons = MODELS["dim_season"](src, FIXTURE_PARAMS).select(
+        F.col("id_campagne").alias("campagne"), "reference_campagne")
+    j = (fact.join(ops, on="id_operation", how="left")
+         .join(seasons, on="campagne", how="left"))
+    return j.groupBy("campagne", "reference_campagne", "ferme", "famille_operation").agg(
+        F.count(F.lit(1)).alias("lines"), exact_sum("cost_analytique").alias("cost"),
+        exact_sum("hj_direct").alias("hours_direct"),
+        exact_sum("hj_indirect").alias("hours_indirect"))
