@@ -182,3 +182,155 @@ def q_star_labour_cost(spark, sf_dir):
         F.count(F.lit(1)).alias("lines"), exact_sum("cost_analytique").alias("cost"),
         exact_sum("hj_direct").alias("hours_direct"),
         exact_sum("hj_indirect").alias("hours_indirect"))
+
+
+# --- load modes: write to a fresh warehouse under the shared checkpoint folder, read back ---
+from .operators import load as L  # noqa: E402
+from .operators import tenants as TN  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+
+def _fresh_warehouse(spark: SparkSession, purpose: str) -> L.Warehouse:
+    return L.Warehouse(spark, f"tm_{purpose}_{_uuid.uuid4().hex[:12]}")
+
+
+@query("load_full_replace")
+def q_load_full_replace(spark, sf_dir):
+    """An existing table with another schema is replaced by the weekly budget."""
+    src = FixtureSource(spark, sf_dir)
+    wh = _fresh_warehouse(spark, "replace")
+    wh.publish(src("bdg_versions").select("reference", "id_bdg_versions"), "budget_weekly")
+    L.load_full_replace(MODELS["budget_weekly"](src, FIXTURE_PARAMS), wh, "budget_weekly")
+    return wh.read("budget_weekly")
+
+
+@query("load_truncate_insert")
+def q_load_truncate_insert(spark, sf_dir):
+    """Declared sales table (created empty), filled by name-aligned insert."""
+    src = FixtureSource(spark, sf_dir)
+    wh = _fresh_warehouse(spark, "insert")
+    wh.create_empty(S.TABLES["sales_production"])
+    sales = MODELS["sales_production"](src, FIXTURE_PARAMS)
+    L.load_truncate_insert(sales.select(*reversed(sales.columns)), wh, "sales_production")
+    return wh.read("sales_production")
+
+
+@query("load_upsert")
+def q_load_upsert(spark, sf_dir):
+    """Target: the accounts already linked to a P&L account, with a stale unit
+    cost and a target-only tenant column; source: every account.  Linked
+    accounts are updated (tenant column kept), the others inserted."""
+    src = FixtureSource(spark, sf_dir)
+    wh = _fresh_warehouse(spark, "upsert")
+    accounts = MODELS["budget_accounts"](src, FIXTURE_PARAMS)
+    stale = (accounts.where(F.col("compte_pl").isNotNull())
+             .withColumn("cout_unitaire", F.lit(0.0))
+             .withColumn("id_client", F.lit(7).cast("int")))
+    wh.publish(stale, "budget_accounts")
+    L.load_upsert(accounts, wh, "budget_accounts", MODELS["budget_accounts"].keys)
+    return wh.read("budget_accounts")
+
+
+# --- tenants ---------------------------------------------------------------------------------
+CENTRAL_DB = "central"
+
+
+def found_tenant_schemas(src) -> DataFrame:
+    """Tenant schemas present in the data: one per company whose farms have
+    timesheets, plus a system schema that must never be registered."""
+    p = src("pointage").select("idfermes").distinct()
+    farms = src("fermes").select("idfermes", "id_societe")
+    comp = src("societe").select(F.col("id").alias("id_societe"), "rais_social")
+    names = (p.join(farms, on="idfermes").join(comp, on="id_societe")
+             .select(F.concat(F.lit("FARM_"), F.upper("rais_social")).alias("schema_name")))
+    system = p.sparkSession.createDataFrame([("INFORMATION_SCHEMA",)], "schema_name string")
+    return names.unionByName(system).distinct()
+
+
+def existing_registry(src) -> DataFrame:
+    """Registry before the sync: the companies of the first two regions."""
+    r = src("region").where(F.col("r_regionkey") < 2)
+    name = F.concat(F.lit("FARM_"), F.upper("r_name"))
+    return r.select(F.row_number().over(Window.orderBy("r_name")).cast("int").alias("id_client"),
+                    name.alias("client_name"), F.lit(CENTRAL_DB).alias("database_name"),
+                    name.alias("schema_name"), F.lit("Active").alias("status"),
+                    F.current_timestamp().alias("created_at"))
+
+
+from pyspark.sql import Window  # noqa: E402
+
+
+def synced_registry(src) -> DataFrame:
+    return TN.registry_sync(existing_registry(src), found_tenant_schemas(src), CENTRAL_DB)
+
+
+@query("registry_sync")
+def q_registry_sync(spark, sf_dir):
+    return synced_registry(FixtureSource(spark, sf_dir)).drop("created_at")
+
+
+@query("registry_dedupe")
+def q_registry_dedupe(spark, sf_dir):
+    """Registry rows from the farms seen in timesheets, id = company id (so
+    ids repeat); the smallest schema name wins per id."""
+    src = FixtureSource(spark, sf_dir)
+    farms = (src("pointage").select("idfermes").distinct()
+             .join(src("fermes"), on="idfermes"))
+    reg = farms.select(F.col("id_societe").alias("id_client"),
+                       F.concat(F.lit("FARM_"), F.col("nom")).alias("schema_name"),
+                       F.col("nom").alias("client_name"),
+                       F.lit(CENTRAL_DB).alias("database_name"))
+    return TN.registry_dedupe(reg)
+
+
+@query("tenant_select")
+def q_tenant_select(spark, sf_dir):
+    src = FixtureSource(spark, sf_dir)
+    return TN.select_tenants(synced_registry(src), found_tenant_schemas(src), "FARM_A%")
+
+
+@query("tenant_tag")
+def q_tenant_tag(spark, sf_dir):
+    return TN.tag_tenant(MODELS["fact_labour"](FixtureSource(spark, sf_dir), FIXTURE_PARAMS), 1)
+
+
+def _tenant_slices(spark, sf_dir):
+    """Each company's sales as its own tenant table: the sales model is
+    written once, partitioned by tenant, and every slice is a
+    partition-pruned read of it."""
+    src = FixtureSource(spark, sf_dir)
+    sales = MODELS["sales_production"](src, FIXTURE_PARAMS)
+    farms = src("fermes").select("idfermes", "id_societe")
+    tenant = F.coalesce(F.col("id_societe") + 1, F.lit(0)).cast("int")
+    staged = sales.join(farms, on="idfermes", how="left").withColumn("_t", tenant).drop(
+        "id_societe")
+    wh = _fresh_warehouse(spark, "tenants")
+    wh.publish(staged, "sales_production", partition_by=("_t",))
+    stage = wh.read("sales_production")
+    slices = {}
+    for t in range(0, 6):
+        s = stage.where(F.col("_t") == t).drop("_t")
+        if t == 3:
+            s = s.withColumn("id_client", F.lit(30).cast("int"))   # carries its own ids
+        if t == 4:
+            s = s.drop("description")                              # lacks a column
+        slices[t] = s
+    return slices
+
+
+def merged_sales(spark, sf_dir):
+    slices = _tenant_slices(spark, sf_dir)
+    central = _fresh_warehouse(spark, "central")
+    TN.merge_tenants(central, "sales_production", {t: slices[t] for t in (1, 2)})
+    TN.merge_tenants(central, "sales_production", slices)     # 1 and 2 are skipped
+    return central.read("sales_production")
+
+
+@query("tenant_merge_incremental")
+def q_tenant_merge_incremental(spark, sf_dir):
+    return merged_sales(spark, sf_dir)
+
+
+@query("tenant_view")
+def q_tenant_view(spark, sf_dir):
+    return TN.tenant_view(merged_sales(spark, sf_dir), 4)
