@@ -9,6 +9,7 @@ skew splitting), so nothing unbounded is ever shipped to every executor.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,11 @@ DEFAULT_MAX_ROWS = 1_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
+    """Broadcast ``df`` if it has at most ``max_rows`` rows.  The small side
+    is persisted (memory, then disk) so the check and the join compute it
+    once; a lost block is recomputed from its lineage."""
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(small)
+    small.unpersist()
     return df

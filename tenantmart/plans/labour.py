@@ -4,7 +4,9 @@
 timesheet-level attribute (farm name, operation id, season) is resolved once
 on the timesheet table, before the person x plot / person x centre fan-out,
 so the wide rows are never shuffled for a dimension lookup; all fan-out
-joins are on ``idpointage`` and share one hash partitioning.
+joins are on ``idpointage`` and share one hash partitioning.  A timesheet
+with both plots and centres counts its cost on both sides, as in the
+original model.
 """
 
 from __future__ import annotations
@@ -59,66 +61,62 @@ def _hours(link_cost: str, person_col: str):
 
 
 def fact_labour(src: Source, params: Params) -> DataFrame:
+    """Direct (plot) and indirect (cost-centre) rows in one pass.
+
+    Plot links and centre links are stacked into one link table, so the
+    timesheet side, the per-timesheet statistics (planted area of the
+    linked plots, number of linked centres) and the person fan-out are each
+    joined once, all on ``idpointage``.  The statistics are one partial
+    aggregation over the same shuffled links.
+    """
     ts = timesheets(src)
     persons = _persons(src)
 
-    # direct rows: timesheet x plot link x person
     plots = src("parcelleculturale").select(F.col("id").alias("id_parcelle"), "sup")
-    links = (src("pointage_parcelleculturale")
-             .select("idpointage", F.col("parccul_id").alias("id_parcelle"),
-                     F.col("cout").alias("link_cout"))
-             .join(plots, on="id_parcelle", how="left"))
-    area = (links.where(F.col("sup").isNotNull()).groupBy("idpointage")
-            .agg(exact_sum("sup").alias("area")))
-    direct = (ts.join(links, on="idpointage", how="inner")
-              .join(area, on="idpointage", how="left")
-              .join(persons, on="idpointage", how="left")
-              .select(
-                  "date", "id_parcelle", "id_personnel", "id_operation",
-                  safe_ratio(F.col("pers_cout") * F.col("sup"), F.col("area"))
-                  .alias("cost_analytique_direct"),
-                  *[_hours("link_cout", pc).alias(fc) for fc, pc in HOUR_BUCKETS],
-                  "cout_hscu", "hscu",
-                  typed_null("bigint").alias("id_centre_cout"),
-                  typed_null("double").alias("cost_analytique_indirect"),
-                  typed_null("double").alias("hj_indirect"),
-                  F.when(F.col("id_parcelle").isNotNull(), F.lit("Parcelle"))
-                  .otherwise(F.lit("Centre")).alias("type_affectation"),
-                  "campagne", "ferme", "oper_liste"))
-
-    # indirect rows: timesheet x cost-centre link x person
+    plot_links = (src("pointage_parcelleculturale")
+                  .select("idpointage", F.col("parccul_id").alias("id_parcelle"),
+                          F.col("cout").alias("link_cout"))
+                  .join(plots, on="id_parcelle", how="left")
+                  .select("idpointage", F.lit(True).alias("is_plot"), "id_parcelle",
+                          typed_null("bigint").alias("id_centre_cout"), "link_cout", "sup"))
+    centre_links = src("cc_pointage").select(
+        "idpointage", F.lit(False).alias("is_plot"), typed_null("bigint").alias("id_parcelle"),
+        F.col("idcentre_intermediaire").alias("id_centre_cout"), F.col("cout").alias("link_cout"),
+        typed_null("double").alias("sup"))
+    links = plot_links.unionByName(centre_links)
+    stats = links.groupBy("idpointage").agg(
+        exact_sum("sup").alias("area"),
+        F.count_if(~F.col("is_plot")).alias("n_centres"))
+    # kept for its row multiplicity only (no column is read); plot rows never match
     centres = src("centre_intermediaire").select(
         F.col("idcentre_intermediaire").alias("id_centre_cout"))
-    cc = src("cc_pointage").select("idpointage", F.col("idcentre_intermediaire").alias(
-        "id_centre_cout"), F.col("cout").alias("link_cout"))
-    n_centres = cc.groupBy("idpointage").agg(F.count(F.lit(1)).alias("n_centres"))
-    indirect = (ts.join(cc, on="idpointage", how="inner")
-                .join(n_centres, on="idpointage", how="left")
-                .join(persons, on="idpointage", how="left")
-                # kept for its row multiplicity only (no column is read)
-                .join(centres, on="id_centre_cout", how="left")
-                .select(
-                    "date", typed_null("bigint").alias("id_parcelle"), "id_personnel",
-                    "id_operation",
-                    typed_null("double").alias("cost_analytique_direct"),
-                    *[typed_null("double").alias(fc) for fc, _ in HOUR_BUCKETS],
-                    typed_null("double").alias("cout_hscu"), typed_null("double").alias("hscu"),
-                    "id_centre_cout",
-                    safe_ratio(F.col("pers_cout"), F.col("n_centres"))
-                    .alias("cost_analytique_indirect"),
-                    _hours("link_cout", "hj").alias("hj_indirect"),
-                    F.lit("Centre").alias("type_affectation"),
-                    "campagne", "ferme", "oper_liste"))
-
-    both = direct.unionByName(indirect)
-    return both.select(
+
+    rows = (ts.join(links, on="idpointage", how="inner")
+            .join(stats, on="idpointage", how="left")
+            .join(persons, on="idpointage", how="left")
+            .join(centres, on="id_centre_cout", how="left"))
+
+    plot = F.col("is_plot")
+
+    def on_plot(expr):
+        return F.when(plot, expr).otherwise(typed_null("double"))
+
+    hours = {fc: on_plot(_hours("link_cout", pc)) for fc, pc in HOUR_BUCKETS}
+    direct = on_plot(safe_ratio(F.col("pers_cout") * F.col("sup"), F.col("area")))
+    indirect = F.when(~plot, safe_ratio(F.col("pers_cout"), F.col("n_centres")))
+    return rows.select(
         F.col("date").alias("date_pointage"), "id_parcelle", "id_personnel", "id_operation",
-        "cost_analytique_direct", *[fc for fc, _ in HOUR_BUCKETS], "cout_hscu", "hscu",
-        "id_centre_cout", "cost_analytique_indirect", "hj_indirect", "type_affectation",
+        direct.alias("cost_analytique_direct"),
+        *[hours[fc].alias(fc) for fc, _ in HOUR_BUCKETS],
+        on_plot(F.col("cout_hscu")).alias("cout_hscu"), on_plot(F.col("hscu")).alias("hscu"),
+        "id_centre_cout", indirect.alias("cost_analytique_indirect"),
+        F.when(~plot, _hours("link_cout", "hj")).alias("hj_indirect"),
+        F.when(plot & F.col("id_parcelle").isNotNull(), F.lit("Parcelle"))
+        .otherwise(F.lit("Centre")).alias("type_affectation"),
         typed_null("boolean").alias("paie_generee"), "campagne",
         typed_null("string").alias("sbi"),
-        (F.coalesce("cost_analytique_direct", F.lit(0.0))
-         + F.coalesce("cost_analytique_indirect", F.lit(0.0))).alias("cost_analytique"),
+        (F.coalesce(direct, F.lit(0.0)) + F.coalesce(indirect, F.lit(0.0)))
+        .alias("cost_analytique"),
         F.lit(0.0).cast("double").alias("cost_paie"), "ferme", "oper_liste",
         F.col("id_personnel").alias("ouvrier"))
 

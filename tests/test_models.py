@@ -1,0 +1,124 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tenantmart.functions import week_start_date
+from tenantmart.operators.lookup import interval_lookup_by_day
+from tenantmart.plans import FIXTURE_PARAMS, MODELS
+
+
+def test_week_date_sunday_start(spark):
+    rows = [(2024, 1), (2024, 2), (2023, 1), (2022, 3), (2021, 1)]
+    df = spark.createDataFrame(rows, "y int, w int")
+    got = [r.d for r in df.select(week_start_date(F.col("y"), F.col("w")).alias("d")).collect()]
+    # Sunday on or before 1 January, plus (w - 1) weeks
+    want = []
+    for y, w in rows:
+        jan1 = dt.date(y, 1, 1)
+        back = (jan1.weekday() + 1) % 7
+        want.append(jan1 - dt.timedelta(days=back) + dt.timedelta(weeks=w - 1))
+    assert got == want
+
+
+def test_interval_lookup_matches_brute_force(spark):
+    seasons = spark.createDataFrame([
+        (10, dt.date(2024, 1, 1), dt.date(2024, 1, 10)),
+        (5, dt.date(2024, 1, 5), dt.date(2024, 1, 7)),
+        (7, dt.date(2024, 1, 10), dt.date(2024, 1, 10)),
+        (9, dt.date(2024, 2, 1), dt.date(2024, 1, 1)),      # inverted: never matches
+    ], "id int, s date, e date")
+    ts = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 6, 12), dt.datetime(2024, 1, 7),
+          dt.datetime(2024, 1, 7, 0, 0, 1), dt.datetime(2024, 1, 10),
+          dt.datetime(2024, 1, 10, 8), dt.datetime(2024, 3, 1), None]
+    facts = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i int, t timestamp_ntz")
+    got = {r.i: r.c for r in interval_lookup_by_day(facts, "t", seasons, "id", "s", "e", "c")
+           .collect()}
+    sea = [(r.id, dt.datetime.combine(r.s, dt.time()), dt.datetime.combine(r.e, dt.time()))
+           for r in seasons.collect()]
+    for i, t in enumerate(ts):
+        hits = [sid for sid, s, e in sea if t is not None and s <= t <= e]
+        assert got[i] == (min(hits) if hits else None), (i, t)
+
+
+def _tiny_source(spark):
+    ts = dt.datetime
+    t = {
+        "pointage": spark.createDataFrame(
+            [(1, ts(2024, 1, 3), "1-URGENT", 1, None, 100.0),
+             (2, ts(2024, 1, 4), "2-HIGH", 1, 2, 0.0),
+             (3, ts(2024, 1, 5), "9-NONE", 9, None, 50.0)],
+            "idpointage bigint, date timestamp_ntz, oper_liste string, idfermes bigint, "
+            "operef_id int, cout_totale double"),
+        "personnel_pointage": spark.createDataFrame(
+            [(1, 10, 8.0, 80.0, None, 1.0, 2.0, 3.0, 4.0, 0.1, 0.2),
+             (1, 11, 4.0, 40.0, 4, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+             (2, 10, 8.0, 60.0, 8, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)],
+            "idpointage bigint, pers_id bigint, hj double, cout double, seuil_horaire int, "
+            "hs_25 double, hs_50 double, hs_100 double, hs_nm double, cout_hscu double, "
+            "hscu double"),
+        "pointage_parcelleculturale": spark.createDataFrame(
+            [(1, 100, 30.0), (1, 101, 70.0), (2, 100, 10.0)],
+            "idpointage bigint, parccul_id bigint, cout double"),
+        "cc_pointage": spark.createDataFrame(
+            [(1, 5, 20.0), (1, 6, 30.0), (3, 5, 50.0)],
+            "idpointage bigint, idcentre_intermediaire bigint, cout double"),
+        "parcelleculturale": spark.createDataFrame(
+            [(100, 1.5), (101, 0.5)], "id bigint, sup double"),
+        "fermes": spark.createDataFrame([(1, "F1")], "idfermes int, nom string"),
+        "operation_ref": spark.createDataFrame(
+            [(1, "1-URGENT"), (2, "2-HIGH")], "operef_id int, operef_intitule string"),
+        "fermes_compagne": spark.createDataFrame(
+            [(7, dt.date(2024, 1, 1), dt.date(2024, 1, 4)),
+             (3, dt.date(2024, 1, 4), dt.date(2024, 12, 31))],
+            "id int, date_debut date, date_fin date"),
+        "centre_intermediaire": spark.createDataFrame([(5,), (6,)],
+                                                      "idcentre_intermediaire int"),
+    }
+    return t.__getitem__
+
+
+def test_fact_labour_allocation_by_hand(spark):
+    rows = MODELS["fact_labour"](_tiny_source(spark), FIXTURE_PARAMS).collect()
+    direct = [r for r in rows if r.type_affectation == "Parcelle"]
+    indirect = [r for r in rows if r.id_centre_cout is not None]
+    # timesheet 1: 2 plots x 2 persons, 2 centres x 2 persons; timesheet 2: 1 plot x 1
+    # person; timesheet 3: 1 centre, no person
+    assert len(direct) == 5 and len(indirect) == 5 and len(rows) == 10
+    # direct cost conserved per (timesheet, person): area 2.0 splits 80 as 60 / 20
+    by = {}
+    for r in direct:
+        by.setdefault((r.date_pointage, r.id_personnel), []).append(r.cost_analytique_direct)
+    assert sorted(by[(dt.datetime(2024, 1, 3), 10)]) == [20.0, 60.0]
+    assert sum(by[(dt.datetime(2024, 1, 3), 11)]) == 40.0
+    # indirect cost conserved: person cost split over the two centres
+    ind1 = [r.cost_analytique_indirect for r in indirect if r.id_personnel == 10]
+    assert ind1 == [40.0, 40.0]
+    # hours: link cost x hours / total / threshold (NULL threshold -> 8)
+    r = [x for x in direct if x.id_personnel == 10 and x.id_parcelle == 100
+         and x.date_pointage.day == 3][0]
+    assert r.hj_direct == 30.0 * 8.0 / 100.0 / 8
+    # zero timesheet total -> NULL hours; operation id: own id, else by label
+    r2 = [x for x in direct if x.date_pointage.day == 4][0]
+    assert r2.hj_direct is None and r2.id_operation == 2
+    assert r.id_operation == 1
+    # season: 2024-01-04 midnight lies in both seasons (last day of 7) -> smallest id
+    assert r2.campagne == 3 and r.campagne == 7
+    # centre row without person; unknown farm -> NULL name
+    r3 = [x for x in rows if x.date_pointage.day == 5][0]
+    assert r3.id_personnel is None and r3.ferme is None and r3.type_affectation == "Centre"
+    assert all(x.cost_analytique == (x.cost_analytique_direct or 0) +
+               (x.cost_analytique_indirect or 0) for x in rows)
+
+
+def test_left_joins_keep_rows_on_unique_keys(src):
+    staff = MODELS["dim_staff"](src, FIXTURE_PARAMS)
+    assert staff.count() == src("personnel").count()
+    ops = MODELS["dim_operation"](src, FIXTURE_PARAMS)
+    assert ops.count() == src("operation_ref").count()
+
+
+def test_dim_plot_fans_out_per_group(src):
+    plots = MODELS["dim_plot"](src, FIXTURE_PARAMS)
+    groups = src("parcellecultural_groupe_operationnel")
+    multi = groups.groupBy("parcellecultural").count().where("count > 1").count()
+    assert plots.count() == src("parcelleculturale").count() + multi

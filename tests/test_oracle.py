@@ -1,0 +1,48 @@
+"""Every registered query against its DuckDB oracle at sf0.001: same
+columns, same row count, same multiset of values (exact)."""
+import math
+
+import pytest
+
+import __spark_entry__ as E
+
+from conftest import SF_SMALL
+
+ORACLES = E.oracle_sql()
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float) and math.isnan(v):
+        return "nan"
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
+def _rows(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    got = _rows(df.columns, df.collect())
+    cur = duck.execute(ORACLES[name])
+    dcols = [d[0] for d in cur.description]
+    want = _rows(dcols, cur.fetchall())
+    assert sorted(df.columns) == sorted(dcols)
+    assert len(got) == len(want)
+    assert got == want
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.columns[0] == "date_pointage"
+    assert df.count() > 0
