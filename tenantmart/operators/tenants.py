@@ -26,6 +26,15 @@ SYSTEM_SCHEMAS = ("INFORMATION_SCHEMA", "ACCOUNT_USAGE")
 TENANT_COLUMN = "id_client"
 
 
+def catalog_schemas(spark, pattern: str | None = None, exclude=SYSTEM_SCHEMAS) -> DataFrame:
+    """Schemas (catalog databases) that exist, optionally matching a SQL LIKE
+    pattern -- the list of tenant schemas to register or merge."""
+    names = [(d.name,) for d in spark.catalog.listDatabases()]
+    df = spark.createDataFrame(names, "schema_name string")
+    df = df.where(~F.upper("schema_name").isin(*[e.upper() for e in exclude]))
+    return df.where(F.col("schema_name").like(pattern)) if pattern else df
+
+
 def registry_sync(registry: DataFrame, found_schemas: DataFrame, database_name: str,
                   exclude=SYSTEM_SCHEMAS) -> DataFrame:
     """Registry after registering every found schema not yet known for

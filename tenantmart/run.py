@@ -9,7 +9,6 @@ DataFrame (one row per model and tenant).
 from __future__ import annotations
 
 import datetime as dt
-import traceback
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +43,7 @@ def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params |
                          dt.datetime.now()))
         except Exception as e:  # noqa: BLE001 - isolation: report and continue
             rows.append((tenant, m.name, m.table, mode, "failed", None,
-                         f"{type(e).__name__}: {e}"[:1000] or traceback.format_exc()[-1000:],
-                         dt.datetime.now()))
+                         f"{type(e).__name__}: {e}"[:1000], dt.datetime.now()))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

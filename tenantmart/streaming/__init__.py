@@ -1,0 +1,7 @@
+"""Streaming entry points.  The original is batch only; the one streaming
+driver here runs the same incremental tenant merge as a ``foreachBatch``
+sink (no stateful operator, no watermark is involved)."""
+
+from .merge import start_tenant_merge_stream
+
+__all__ = ["start_tenant_merge_stream"]

@@ -1,0 +1,44 @@
+"""The incremental tenant merge driven by Structured Streaming.
+
+Tenant drops (one model table per tenant, each row carrying the tenant id
+in ``tenant_column``) arrive as parquet files in a folder; every micro-batch
+is merged with ``operators.tenants.merge_tenants`` -- tenants already in the
+central table are skipped, new ones appended, partitioned by tenant.  The
+stream's checkpoint lives in the shared checkpoint folder, so a restarted
+query resumes where it stopped; ``trigger(availableNow=True)`` runs it as an
+incremental batch job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.load import Warehouse
+from ..operators.tenants import merge_tenants
+from ..session import scratch_path
+
+
+def start_tenant_merge_stream(spark: SparkSession, drop_folder: str, schema, central: Warehouse,
+                              table: str, tenant_column: str = "_tenant",
+                              checkpoint: str | None = None, available_now: bool = True):
+    """Start (and return) the streaming query that merges tenant drops."""
+    stream = spark.readStream.schema(schema).parquet(drop_folder)
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        # a replayed batch is harmless: tenants already merged are skipped
+        batch = batch.persist()
+        try:
+            # tenant ids of this micro-batch: metadata, one value per tenant
+            ids = [r[0] for r in batch.select(tenant_column).distinct().collect()
+                   if r[0] is not None]
+            slices = {int(t): batch.where(F.col(tenant_column) == t).drop(tenant_column)
+                      for t in sorted(ids)}
+            merge_tenants(central, table, slices)
+        finally:
+            batch.unpersist()
+
+    writer = (stream.writeStream.foreachBatch(merge_batch)
+              .option("checkpointLocation", checkpoint or scratch_path(spark, "merge-stream")))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
