@@ -73,9 +73,13 @@ def registry_conflicts(registry: DataFrame) -> DataFrame:
     return registry.join(kept, on=[TENANT_COLUMN, "schema_name"], how="left_anti")
 
 
-def select_tenants(registry: DataFrame, found_schemas: DataFrame, pattern: str) -> DataFrame:
-    """Registered tenants whose schema exists and matches the SQL LIKE
-    ``pattern`` (``_`` is a one-character wildcard, as in SQL)."""
+def select_tenants(registry: DataFrame, found_schemas: DataFrame, pattern: str,
+                   database_name: str | None = None) -> DataFrame:
+    """Registered tenants (of ``database_name`` when given) whose schema
+    exists and matches the SQL LIKE ``pattern`` (``_`` is a one-character
+    wildcard, as in SQL)."""
+    if database_name is not None:
+        registry = registry.where(F.col("database_name") == database_name)
     existing = found_schemas.where(F.col("schema_name").like(pattern)).select("schema_name")
     return (registry_dedupe(registry).join(existing, on="schema_name", how="left_semi")
             .select("schema_name", TENANT_COLUMN))

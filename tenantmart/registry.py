@@ -233,6 +233,7 @@ def q_load_upsert(spark, sf_dir):
 
 # --- tenants ---------------------------------------------------------------------------------
 CENTRAL_DB = "central"
+ARCHIVE_DB = "archive"
 
 
 def found_tenant_schemas(src) -> DataFrame:
@@ -248,11 +249,14 @@ def found_tenant_schemas(src) -> DataFrame:
 
 
 def existing_registry(src) -> DataFrame:
-    """Registry before the sync: the companies of the first two regions."""
-    r = src("region").where(F.col("r_regionkey") < 2)
-    name = F.concat(F.lit("FARM_"), F.upper("r_name"))
-    return r.select(F.row_number().over(Window.orderBy("r_name")).cast("int").alias("id_client"),
-                    name.alias("client_name"), F.lit(CENTRAL_DB).alias("database_name"),
+    """Registry before the sync: every company already registered under an
+    archive database (ids by company name); the central database has none
+    yet, so its schemas are all new and their ids continue after these."""
+    c = src("societe")
+    name = F.concat(F.lit("FARM_"), F.upper("rais_social"))
+    return c.select(F.row_number().over(Window.orderBy("rais_social")).cast("int")
+                    .alias("id_client"),
+                    name.alias("client_name"), F.lit(ARCHIVE_DB).alias("database_name"),
                     name.alias("schema_name"), F.lit("Active").alias("status"),
                     F.current_timestamp().alias("created_at"))
 
@@ -286,7 +290,8 @@ def q_registry_dedupe(spark, sf_dir):
 @query("tenant_select")
 def q_tenant_select(spark, sf_dir):
     src = FixtureSource(spark, sf_dir)
-    return TN.select_tenants(synced_registry(src), found_tenant_schemas(src), "FARM_A%")
+    return TN.select_tenants(synced_registry(src), found_tenant_schemas(src), "FARM_A%",
+                             CENTRAL_DB)
 
 
 @query("tenant_tag")
