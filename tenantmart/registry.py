@@ -119,11 +119,38 @@ def calendar_of(src) -> DataFrame:
                          (src("events"), "ts")])
 
 
+from concurrent.futures import ThreadPoolExecutor  # noqa: E402
+
+_PUBLISHED: dict = {}
+
+
+def _fresh_warehouse(spark: SparkSession, purpose: str):
+    from .operators.load import Warehouse
+    import uuid
+    return Warehouse(spark, f"tm_{purpose}_{uuid.uuid4().hex[:12]}")
+
+
 def warehouse_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    src = FixtureSource(spark, sf_dir)
-    out = {name: m(src, FIXTURE_PARAMS) for name, m in MODELS.items()}
-    out["dim_calendar"] = calendar_of(src)
-    return out
+    """The 16 warehouse tables of the fixture tenant, as published tables.
+
+    Audits read what was loaded, not a re-computation: each model is built
+    and written once (a staged publish into a warehouse under the shared
+    checkpoint folder, which also cuts the lineage), and every audit branch
+    scans the written parquet.  The warehouse is built once per Spark
+    application and fixture folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    wh = _PUBLISHED.get(key)
+    if wh is None or not all(wh.exists(t) for t in S.TABLES):
+        src = FixtureSource(spark, sf_dir)
+        wh = _fresh_warehouse(spark, "audit")
+        plans = {name: m(src, FIXTURE_PARAMS) for name, m in MODELS.items()}
+        plans["dim_calendar"] = calendar_of(src)
+        # independent models are submitted concurrently (each is its own job)
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda kv: wh.publish(kv[1], kv[0]), plans.items()))
+        _PUBLISHED[key] = wh
+    return {t: wh.read(t) for t in S.TABLES}
 
 
 @query("dim_calendar")
@@ -187,11 +214,6 @@ def q_star_labour_cost(spark, sf_dir):
 # --- load modes: write to a fresh warehouse under the shared checkpoint folder, read back ---
 from .operators import load as L  # noqa: E402
 from .operators import tenants as TN  # noqa: E402
-import uuid as _uuid  # noqa: E402
-
-
-def _fresh_warehouse(spark: SparkSession, purpose: str) -> L.Warehouse:
-    return L.Warehouse(spark, f"tm_{purpose}_{_uuid.uuid4().hex[:12]}")
 
 
 @query("load_full_replace")
