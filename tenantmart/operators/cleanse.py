@@ -161,6 +161,14 @@ def clean_dates(df: DataFrame, columns, formats=TEXT_DATE_FORMATS) -> DataFrame:
                        for c in df.columns])
 
 
+def format_dates(df: DataFrame, columns, fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Dates as text, for an export that needs ``YYYY-MM-DD`` strings (C11);
+    inside the warehouse dates stay ``DateType``."""
+    cols = set(columns)
+    return df.select(*[F.date_format(F.col(c), fmt).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
 # C12 --------------------------------------------------------------------------------------
 def cleansing_report(df: DataFrame, date_columns=()) -> DataFrame:
     """One aggregation pass: per column the NULL count, the non-NULL count

@@ -116,6 +116,18 @@ class Warehouse:
         if not self.exists(table):
             self._create(self.name(table), self._version_path(table), like.schema)
 
+    def partition_values(self, table: str, column: str) -> list[int]:
+        """Integer values of a partition column, from the catalog's partition
+        list (``SHOW PARTITIONS``): no data file is opened, whatever the
+        table size."""
+        out = []
+        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {_q(self.name(table))}").collect():
+            for part in spec.split("/"):
+                k, _, v = part.partition("=")
+                if k == column and v != "__HIVE_DEFAULT_PARTITION__":
+                    out.append(int(v))
+        return sorted(set(out))
+
     def add_column_if_missing(self, table: str, column: str, dtype: str) -> bool:
         if column.lower() in [c.lower() for c in self.columns(table)]:
             return False
@@ -206,11 +218,27 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     return j.select(*out)
 
 
+def latest_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
+    """One row per key: the one with the largest ``order_col`` (ties broken
+    by the remaining columns, so the pick is deterministic).  A grouped
+    ``max`` of a struct: partial aggregation map-side, so a key repeated a
+    million times is collapsed before the shuffle.  NULL keys are kept as
+    they are (they never match in an upsert)."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys and c != order_col]
+    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    best = (df.where(nonnull).groupBy(*keys)
+            .agg(F.max(F.struct(order_col, *rest)).alias("_r"))
+            .select(*keys, "_r.*"))
+    return best.unionByName(df.where(~nonnull)).select(*df.columns)
+
+
 def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys,
-                on_empty: str = "keep") -> LoadResult:
-    """Keyed upsert.  Source keys must be unique (checked; a duplicate is an
-    error, never a silent pick); a failure raises and leaves the target as
-    it was -- never an overwrite with the delta."""
+                on_empty: str = "keep", dedupe_order: str | None = None) -> LoadResult:
+    """Keyed upsert.  Source keys must be unique: a duplicate is an error,
+    never a silent pick, unless ``dedupe_order`` names the column whose
+    largest value wins.  A failure raises and leaves the target as it was --
+    never an overwrite with the delta."""
     if not keys:
         raise LoadError(f"no key declared for {table}")
     if not wh.exists(table):
@@ -218,7 +246,9 @@ def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys,
     skipped = _empty_guard(df, wh, table, "upsert", on_empty)
     if skipped:
         return skipped
-    if not duplicate_keys(df, keys).isEmpty():
+    if dedupe_order is not None:
+        df = latest_per_key(df, keys, dedupe_order)
+    elif not duplicate_keys(df, keys).isEmpty():
         raise LoadError(f"source keys {list(keys)} are not unique for {table}")
     merged = upsert_frame(wh.read(table), df, keys)
     wh.publish(merged, table)

@@ -150,8 +150,7 @@ def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
     target = central.read(table)
     target_cols = target.columns
 
-    done_ids = sorted(r[0] for r in target.select(TENANT_COLUMN).distinct().collect()
-                      if r[0] is not None)   # partition values only: one per tenant
+    done_ids = central.partition_values(table, TENANT_COLUMN)
     todo = union if refresh else union.where(~F.col("_tenant").isin(done_ids))
     skipped = [] if refresh else [t for t in slices if t in done_ids]
     merged = [t for t in slices if refresh or t not in done_ids]
@@ -163,7 +162,13 @@ def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
         "_tenant")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in target_cols]), F.lit(salt_buckets))
     out = out.repartition(TENANT_COLUMN, salt).drop("_tenant")
-    (out.write.option("partitionOverwriteMode", "dynamic")
-     .insertInto(name, overwrite=refresh))
+    conf = central.spark.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key, "static")
+    conf.set(key, "dynamic")          # refresh replaces only the merged tenants' partitions
+    try:
+        out.write.insertInto(name, overwrite=refresh)
+    finally:
+        conf.set(key, before)
     central.spark.catalog.refreshTable(name)
     return MergeReport(table, merged, skipped)

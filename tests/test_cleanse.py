@@ -81,3 +81,8 @@ def test_cleanse_is_idempotent_after_first_pass(spark, src):
     once = C.cleanse(src("raw_extract"), spec)
     twice = C.cleanse(once, spec)
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_format_dates_for_export(spark):
+    df = spark.createDataFrame([(D(2024, 1, 5),)], "d date")
+    assert C.format_dates(df, ["d"]).first().d == "2024-01-05"

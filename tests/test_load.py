@@ -84,3 +84,19 @@ def test_add_column_if_missing(spark, wh):
     assert wh.add_column_if_missing("t", "id_client", "int") is True
     assert wh.add_column_if_missing("t", "ID_CLIENT", "int") is False
     assert wh.read("t").columns == ["k", "id_client"]
+
+
+def test_upsert_with_explicit_dedupe_order(spark, wh):
+    wh.publish(spark.createDataFrame([(1, "a", 0)], "k int, v string, ts int"), "t")
+    src = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 5), (2, "y", 5)],
+                                "k int, v string, ts int")
+    L.load_upsert(src, wh, "t", ["k"], dedupe_order="ts")
+    assert _rows(wh.read("t")) == [(1, "new", 2), (2, "y", 5)]
+
+
+def test_dry_run_creates_nothing_and_create_like(spark, wh):
+    rep = L.ensure_tables(wh, [TABLES["dim_staff"]], dry_run=True).collect()
+    assert rep[0].action == "created" and not wh.exists("dim_staff")
+    like = spark.createDataFrame([(1, "a")], "k int, v string")
+    wh.create_like("t2", like)
+    assert wh.read("t2").dtypes == like.dtypes and wh.read("t2").count() == 0

@@ -66,3 +66,15 @@ def test_merge_is_incremental(spark):
     r3 = T.merge_tenants(central, "t", {1: a, 2: b})
     assert r3.merged == [] and central.read("t").count() == 4
     assert T.tenant_view(central.read("t"), 2).count() == 1
+
+
+def test_merge_refresh_overwrites_only_that_tenant(spark):
+    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:10]}")
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(2, "y")], "k int, v string")
+    T.merge_tenants(central, "t", {1: a, 2: b})
+    assert central.partition_values("t", "id_client") == [1, 2]
+    a2 = spark.createDataFrame([(10, "x2"), (11, "x3")], "k int, v string")
+    T.merge_tenants(central, "t", {1: a2}, refresh=True)
+    rows = sorted((r.k, r.id_client) for r in central.read("t").collect())
+    assert rows == [(2, 2), (10, 1), (11, 1)]
