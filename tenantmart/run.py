@@ -17,7 +17,7 @@ from .operators.load import LoadError, Warehouse, load
 from .plans import MODELS, Model, Params, Source
 
 REPORT_SCHEMA = ("tenant string, model string, target string, mode string, status string, "
-                 "rows bigint, error string, finished_at timestamp")
+                 "rows bigint, dropped_duplicates bigint, error string, finished_at timestamp")
 
 
 def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params | None = None,
@@ -32,17 +32,21 @@ def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params |
     for m in chosen:
         try:
             df = m(src, params)
+            built = df
             if clean:
                 df = cleanse(df, CleanseSpec(dedupe=True, date_columns=m.date_cols))
             if mode == "full" and not create_or_replace and not wh.exists(m.table):
                 raise LoadError(f"table {wh.name(m.table)} does not exist; create it first")
             res = load(df, wh, m.table, mode=mode, keys=m.keys,
                        create_or_replace=create_or_replace, on_empty=on_empty)
-            n = wh.read(m.table).count() if count_rows else None
-            rows.append((tenant, m.name, m.table, res.mode, res.status, n, None,
+            n = dropped = None
+            if count_rows:     # two extra actions, only on request
+                n = wh.read(m.table).count()
+                dropped = built.count() - df.count() if clean else 0
+            rows.append((tenant, m.name, m.table, res.mode, res.status, n, dropped, None,
                          dt.datetime.now()))
         except Exception as e:  # noqa: BLE001 - isolation: report and continue
-            rows.append((tenant, m.name, m.table, mode, "failed", None,
+            rows.append((tenant, m.name, m.table, mode, "failed", None, None,
                          f"{type(e).__name__}: {e}"[:1000], dt.datetime.now()))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
@@ -59,7 +63,7 @@ def run_tenants(spark: SparkSession, tenants: dict, params: Params | None = None
             reports.append(run_models(spark, src, wh, params, tenant=name, **kw))
         except Exception as e:  # noqa: BLE001
             reports.append(spark.createDataFrame(
-                [(name, None, None, kw.get("mode", "full"), "failed", None,
+                [(name, None, None, kw.get("mode", "full"), "failed", None, None,
                   f"{type(e).__name__}: {e}"[:1000], dt.datetime.now())], REPORT_SCHEMA))
     out = reports[0]
     for r in reports[1:]:

@@ -13,6 +13,7 @@ def test_runner_isolates_failures_and_loads(spark, src):
         spark, src, wh, FIXTURE_PARAMS, models=["dim_staff", "dim_operation"],
         count_rows=True).collect()}
     assert rep["dim_staff"].status == "loaded" and rep["dim_staff"].rows == 10
+    assert rep["dim_staff"].dropped_duplicates == 0
     # truncate+insert into a table that was never created: reported, others unaffected
     assert rep["dim_operation"].status == "failed" and "does not exist" in rep["dim_operation"].error
     assert wh.read("dim_staff").where("prenom_personnel IS NULL").count() == 1   # 'n/a' token
