@@ -6,11 +6,22 @@ source) so its work grows with the scale factor.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from . import oracle
+from . import schema as S
+from .functions import exact_sum
+from .operators import audit as A
+from .operators import cleanse as C
+from .operators import load as L
+from .operators import tenants as TN
+from .operators.calendar import calendar_for
+from .operators.hierarchy import attach_parent
 from .plans import FIXTURE_PARAMS, MODELS
 from .sources.fixtures import FixtureSource
 
@@ -44,7 +55,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 # --- cleansing operators over data derived from the driver tables ------------------------
-from .operators import cleanse as C  # noqa: E402
 
 RAW_NUMERIC_TYPES = {"qty_text": "bigint"}
 RAW_DATE_COLUMNS = ("date_code", "date_text")
@@ -105,12 +115,6 @@ def q_drop_duplicate_columns(spark, sf_dir):
 
 
 # --- warehouse schema operators: calendar, audits, conformance, hierarchy, star ------------
-from .operators import audit as A  # noqa: E402
-from .operators.calendar import calendar_for  # noqa: E402
-from .operators.hierarchy import attach_parent  # noqa: E402
-from .functions import exact_sum  # noqa: E402
-from . import schema as S  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def calendar_of(src) -> DataFrame:
@@ -119,15 +123,12 @@ def calendar_of(src) -> DataFrame:
                          (src("events"), "ts")])
 
 
-from concurrent.futures import ThreadPoolExecutor  # noqa: E402
-
 _PUBLISHED: dict = {}
 
 
-def _fresh_warehouse(spark: SparkSession, purpose: str):
-    from .operators.load import Warehouse
-    import uuid
-    return Warehouse(spark, f"tm_{purpose}_{uuid.uuid4().hex[:12]}")
+def _fresh_warehouse(spark: SparkSession, purpose: str) -> L.Warehouse:
+    """A new, empty tenant schema under the shared checkpoint folder."""
+    return L.Warehouse(spark, f"tm_{purpose}_{uuid.uuid4().hex[:12]}")
 
 
 def warehouse_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -212,8 +213,6 @@ def q_star_labour_cost(spark, sf_dir):
 
 
 # --- load modes: write to a fresh warehouse under the shared checkpoint folder, read back ---
-from .operators import load as L  # noqa: E402
-from .operators import tenants as TN  # noqa: E402
 
 
 @query("load_full_replace")
@@ -283,9 +282,6 @@ def existing_registry(src) -> DataFrame:
                     F.current_timestamp().alias("created_at"))
 
 
-from pyspark.sql import Window  # noqa: E402
-
-
 def synced_registry(src) -> DataFrame:
     return TN.registry_sync(existing_registry(src), found_tenant_schemas(src), CENTRAL_DB)
 
