@@ -40,7 +40,7 @@ def _model_query(name: str) -> Query:
     model = MODELS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return model(FixtureSource(spark, sf_dir), FIXTURE_PARAMS)
+        return model(FixtureSource.shared(spark, sf_dir), FIXTURE_PARAMS)
     run.__name__ = f"model_{name}"
     return run
 
@@ -61,7 +61,7 @@ RAW_DATE_COLUMNS = ("date_code", "date_text")
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FixtureSource(spark, sf_dir)("raw_extract")
+    return FixtureSource.shared(spark, sf_dir)("raw_extract")
 
 
 @query("clean_null_tokens")
@@ -103,12 +103,12 @@ def q_clean_report(spark, sf_dir):
 
 @query("dedupe_rows")
 def q_dedupe_rows(spark, sf_dir):
-    return C.dedupe_rows(MODELS["farm_labour"](FixtureSource(spark, sf_dir), FIXTURE_PARAMS))
+    return C.dedupe_rows(MODELS["farm_labour"](FixtureSource.shared(spark, sf_dir), FIXTURE_PARAMS))
 
 
 @query("drop_duplicate_columns")
 def q_drop_duplicate_columns(spark, sf_dir):
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     acc, att = src("bdg_codes_analytiques"), src("bdg_attachements_codes")
     wide = acc.join(att, acc["id_code_analytique"] == att["id_code_analytique"], "left")
     return C.drop_duplicate_columns(wide)
@@ -143,7 +143,7 @@ def warehouse_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     wh = _PUBLISHED.get(key)
     if wh is None or not all(wh.exists(t) for t in S.TABLES):
-        src = FixtureSource(spark, sf_dir)
+        src = FixtureSource.shared(spark, sf_dir)
         wh = _fresh_warehouse(spark, "audit")
         plans = {name: m(src, FIXTURE_PARAMS) for name, m in MODELS.items()}
         plans["dim_calendar"] = calendar_of(src)
@@ -156,7 +156,7 @@ def warehouse_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query("dim_calendar")
 def q_dim_calendar(spark, sf_dir):
-    return calendar_of(FixtureSource(spark, sf_dir))
+    return calendar_of(FixtureSource.shared(spark, sf_dir))
 
 
 @query("audit_primary_keys")
@@ -176,14 +176,14 @@ def q_audit_lengths(spark, sf_dir):
 
 @query("conform_schema")
 def q_conform_schema(spark, sf_dir):
-    fact = MODELS["fact_labour"](FixtureSource(spark, sf_dir), FIXTURE_PARAMS)
+    fact = MODELS["fact_labour"](FixtureSource.shared(spark, sf_dir), FIXTURE_PARAMS)
     return A.conform(fact, S.TABLES["fact_labour"])
 
 
 @query("parent_account")
 def q_parent_account(spark, sf_dir):
     """Budget account -> its P&L account -> the parent P&L account."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     budget = MODELS["budget_accounts"](src, FIXTURE_PARAMS).select(
         "id_code_budgetaire", "code_budgetaire", "compte_pl")
     pl = MODELS["pl_accounts"](src, FIXTURE_PARAMS)
@@ -198,7 +198,7 @@ def q_parent_account(spark, sf_dir):
 def q_star_labour_cost(spark, sf_dir):
     """Dashboard star query: labour cost and hours per season, farm and
     operation family (fact + two dimensions, partial aggregation)."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     fact = MODELS["fact_labour"](src, FIXTURE_PARAMS)
     ops = MODELS["dim_operation"](src, FIXTURE_PARAMS).select("id_operation",
                                                               "famille_operation")
@@ -218,7 +218,7 @@ def q_star_labour_cost(spark, sf_dir):
 @query("load_full_replace")
 def q_load_full_replace(spark, sf_dir):
     """An existing table with another schema is replaced by the weekly budget."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     wh = _fresh_warehouse(spark, "replace")
     wh.publish(src("bdg_versions").select("reference", "id_bdg_versions"), "budget_weekly")
     L.load_full_replace(MODELS["budget_weekly"](src, FIXTURE_PARAMS), wh, "budget_weekly")
@@ -228,7 +228,7 @@ def q_load_full_replace(spark, sf_dir):
 @query("load_truncate_insert")
 def q_load_truncate_insert(spark, sf_dir):
     """Declared sales table (created empty), filled by name-aligned insert."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     wh = _fresh_warehouse(spark, "insert")
     wh.create_empty(S.TABLES["sales_production"])
     sales = MODELS["sales_production"](src, FIXTURE_PARAMS)
@@ -241,7 +241,7 @@ def q_load_upsert(spark, sf_dir):
     """Target: the accounts already linked to a P&L account, with a stale unit
     cost and a target-only tenant column; source: every account.  Linked
     accounts are updated (tenant column kept), the others inserted."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     wh = _fresh_warehouse(spark, "upsert")
     accounts = MODELS["budget_accounts"](src, FIXTURE_PARAMS)
     stale = (accounts.where(F.col("compte_pl").isNotNull())
@@ -288,14 +288,14 @@ def synced_registry(src) -> DataFrame:
 
 @query("registry_sync")
 def q_registry_sync(spark, sf_dir):
-    return synced_registry(FixtureSource(spark, sf_dir)).drop("created_at")
+    return synced_registry(FixtureSource.shared(spark, sf_dir)).drop("created_at")
 
 
 @query("registry_dedupe")
 def q_registry_dedupe(spark, sf_dir):
     """Registry rows from the farms seen in timesheets, id = company id (so
     ids repeat); the smallest schema name wins per id."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     farms = (src("pointage").select("idfermes").distinct()
              .join(src("fermes"), on="idfermes"))
     reg = farms.select(F.col("id_societe").alias("id_client"),
@@ -307,21 +307,21 @@ def q_registry_dedupe(spark, sf_dir):
 
 @query("tenant_select")
 def q_tenant_select(spark, sf_dir):
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     return TN.select_tenants(synced_registry(src), found_tenant_schemas(src), "FARM_A%",
                              CENTRAL_DB)
 
 
 @query("tenant_tag")
 def q_tenant_tag(spark, sf_dir):
-    return TN.tag_tenant(MODELS["fact_labour"](FixtureSource(spark, sf_dir), FIXTURE_PARAMS), 1)
+    return TN.tag_tenant(MODELS["fact_labour"](FixtureSource.shared(spark, sf_dir), FIXTURE_PARAMS), 1)
 
 
 def _tenant_slices(spark, sf_dir):
     """Each company's sales as its own tenant table: the sales model is
     written once, partitioned by tenant, and every slice is a
     partition-pruned read of it."""
-    src = FixtureSource(spark, sf_dir)
+    src = FixtureSource.shared(spark, sf_dir)
     sales = MODELS["sales_production"](src, FIXTURE_PARAMS)
     farms = src("fermes").select("idfermes", "id_societe")
     tenant = F.coalesce(F.col("id_societe") + 1, F.lit(0)).cast("int")
