@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_sum, safe_ratio, typed_null
 from ..operators.lookup import interval_lookup_by_day, unique_lookup
+from ..operators.skew import fanout_left_join
 from .base import Params, Source
 
 FACT_LABOUR_COLUMNS = (
@@ -91,10 +92,10 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
     centres = src("centre_intermediaire").select(
         F.col("idcentre_intermediaire").alias("id_centre_cout"))
 
-    rows = (ts.join(links, on="idpointage", how="inner")
-            .join(stats, on="idpointage", how="left")
-            .join(persons, on="idpointage", how="left")
-            .join(centres, on="id_centre_cout", how="left"))
+    rows = fanout_left_join(ts.join(links, on="idpointage", how="inner")
+                            .join(stats, on="idpointage", how="left"),
+                            persons, "idpointage")
+    rows = rows.join(centres, on="id_centre_cout", how="left")
 
     plot = F.col("is_plot")
 
@@ -141,7 +142,6 @@ def farm_labour(src: Source, params: Params) -> DataFrame:
          .join(farms, on="idfermes", how="left")
          .join(area, on="idfermes", how="left"))
     staff_cat = staff.join(cat, on="_cat", how="left").drop("_cat")
-    lines = (t.join(pp, on="idpointage", how="left")
-             .join(staff_cat, on="pers_id", how="left"))
+    lines = fanout_left_join(t, pp, "idpointage").join(staff_cat, on="pers_id", how="left")
     return lines.select("ferme", "date", "famille", "oper_liste",
                         F.col("pers_id").alias("ouvrier"), "hj", "categorie", "sup_ferme")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import concat_null_as_empty, exact_sum, typed_null, week_start_date
+from ..operators.skew import fanout_left_join
 from .base import Params, Source, date_window
 
 # Account-chart labels the models select on or emit.
@@ -58,8 +59,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "kg_estime", "qte_caisse", "idunite_operation")
     station = src("bon_recp_station").select(F.col("exp_recp_caisse").alias("id_recp"),
                                              F.col("idvariete").alias("variete"), "pu")
-    local = (v.join(rc, on="idvente", how="inner")
-             .join(rcp, on="id_recp", how="left")
+    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp")
              .join(plots, on="idparcelle", how="left")
              .join(station, on=["id_recp", "variete"], how="left")
              .join(units, on="idunite_operation", how="left")
@@ -82,8 +82,8 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         F.col("idrdt_rapport_qualite").alias("id_rq"), "idparcelle", "pm", "qte_receptionne",
         "poid_recp", "idunite_operation")
     vh = _sales_header(src).drop("type")
-    export = (rq.join(vh, rq["rq_idvente"] == vh["idvente"], how="left")
-              .join(rqp, on="id_rq", how="left")
+    export = (fanout_left_join(rq.join(vh, rq["rq_idvente"] == vh["idvente"], how="left"),
+                               rqp, "id_rq")
               .join(units, on="idunite_operation", how="left")
               .join(plots.drop("variete"), on="idparcelle", how="left")
               .join(_yield_accounts(src, MARKET_EXPORT), on="idproduit_rendement", how="left")
@@ -183,7 +183,7 @@ def _cost_labour(src: Source, params: Params) -> DataFrame:
          .join(fam, on="oper_famille", how="left")
          .join(grp, on="operef_gr", how="left")
          .join(farms, on="idfermes", how="left"))
-    j = (t.join(links, on="idpointage", how="left")
+    j = (fanout_left_join(t, links, "idpointage")
          .join(pcs, (F.col("parccul_id") == F.col("_pc_id"))
                & (F.col("date") >= F.col("_pc_planned")), how="left"))
     return j.select(

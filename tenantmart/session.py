@@ -11,11 +11,18 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings chosen for the large-cluster target; local runs override the
-# partition count.  Broadcasts are never forced on data-dependent sides:
-# Catalyst's size estimate (autoBroadcastJoinThreshold) decides at planning
-# time and AQE re-decides from real shuffle sizes, falling back to a
-# sort-merge join beyond the threshold.
+# Settings chosen for the large-cluster target (~100 TB, ~1000 executors);
+# local runs override the partition count.
+#
+# * Shuffle width: the widest shuffle is the labour fact's fan-out (a few TB
+#   at that scale); 16384 map-side buckets keep a reducer near the 128 MB
+#   advisory size, and AQE coalesces the small shuffles down.
+# * Broadcasts are never forced on data-dependent sides: the planner's size
+#   estimate decides (the parquet byte count is scaled by 4 to account for
+#   compression, so a compressed 8 MB side is seen as 32 MB), AQE re-decides
+#   from real shuffle sizes, and a sort-merge join is used beyond.
+# * Skewed join partitions are split by AQE; every aggregation is partial
+#   before its shuffle.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,6 +31,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
+    "spark.sql.shuffle.partitions": "16384",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

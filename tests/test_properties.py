@@ -79,3 +79,17 @@ def test_interval_lookup_matches_brute_force(spark, seasons, facts):
         hits = [sid for sid, a, b in seasons
                 if dt.datetime.combine(a, dt.time()) <= t <= dt.datetime.combine(b, dt.time())]
         assert got[i] == (min(hits) if hits else None)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 9)),
+                max_size=15),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 9)),
+                max_size=25))
+def test_fanout_left_join_equals_left_join(spark, header, lines):
+    from tenantmart.operators.skew import fanout_left_join
+    h = spark.createDataFrame(header, "k int, a int")
+    ln = spark.createDataFrame(lines, "k int, b int")
+    got = sorted(map(repr, (tuple(r) for r in fanout_left_join(h, ln, "k").collect())))
+    want = sorted(map(repr, (tuple(r) for r in h.join(ln, "k", "left").collect())))
+    assert got == want
