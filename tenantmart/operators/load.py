@@ -196,14 +196,21 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 def upsert_frame(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """The merged table: full outer join on the keys.  A source row that
     matches takes all its columns (NULLs included) and keeps the
-    target-only columns; unmatched rows of either side are kept as they are."""
+    target-only columns; unmatched rows of either side are kept as they are.
+
+    Rows with a NULL key part can never match, so they bypass the join and
+    are appended directly: they would otherwise all hash to one shuffle
+    partition of a full outer join, which AQE cannot split."""
     keys = list(keys)
     tcols, scols = target.columns, source.columns
     extra = [c for c in scols if c not in tcols]
     if extra:
         raise LoadError(f"source columns missing in target: {extra}")
-    t = target.select(*[F.col(c).alias(f"t__{c}") for c in tcols], F.lit(True).alias("t__hit"))
-    s = source.select(*[F.col(c).alias(f"s__{c}") for c in scols], F.lit(True).alias("s__hit"))
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    t = target.where(keyed).select(*[F.col(c).alias(f"t__{c}") for c in tcols],
+                                   F.lit(True).alias("t__hit"))
+    s = source.where(keyed).select(*[F.col(c).alias(f"s__{c}") for c in scols],
+                                   F.lit(True).alias("s__hit"))
     cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in keys])
     j = t.join(s, cond, "full_outer")
     from_source = F.col("s__hit").isNotNull()
@@ -215,7 +222,12 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys) -> DataFrame:
                        .otherwise(F.col(f"t__{c}")).alias(c))
         else:
             out.append(F.col(f"t__{c}").alias(c))
-    return j.select(*out)
+    unkeyed_source = source.where(~keyed).select(*[
+        (F.col(f.name).cast(f.dataType) if f.name in scols
+         else F.lit(None).cast(f.dataType)).alias(f.name) for f in target.schema.fields])
+    return (j.select(*out)
+            .unionByName(target.where(~keyed).select(*tcols))
+            .unionByName(unkeyed_source))
 
 
 def latest_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
