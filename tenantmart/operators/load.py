@@ -83,7 +83,7 @@ class Warehouse:
         name = self.name(table)
         if not self.exists(table):
             self._create(name, path, df.schema, partition_by)
-        elif replace_schema:
+        elif replace_schema or self._schema_changed(table, df):
             self.spark.sql(f"DROP TABLE {_q(name)}")
             self._create(name, path, df.schema, partition_by)
         else:
@@ -93,6 +93,11 @@ class Warehouse:
             self.spark.catalog.refreshTable(name)
         return path
 
+    def _schema_changed(self, table: str, df: DataFrame) -> bool:
+        current = [(f.name.lower(), f.dataType.simpleString()) for f in self.read(table).schema]
+        new = [(f.name.lower(), f.dataType.simpleString()) for f in df.schema]
+        return current != new
+
     def _create(self, name, path, schema, partition_by=(), repair: bool = True):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" \

@@ -172,3 +172,50 @@ def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
         conf.set(key, before)
     central.spark.catalog.refreshTable(name)
     return MergeReport(table, merged, skipped)
+
+
+# -- whole-schema steps -------------------------------------------------------------------------
+def tag_tables(wh: Warehouse, id_client: int, tables, only_if_missing: bool = False) -> dict:
+    """Tag every listed table of a tenant schema with its id (a staged
+    rewrite per table).  ``only_if_missing`` keeps tables that already carry
+    the column (the constant-default variant).  Missing tables are reported,
+    not fatal.  Returns ``{table: 'tagged' | 'kept' | 'missing'}``."""
+    out = {}
+    for t in tables:
+        if not wh.exists(t):
+            out[t] = "missing"
+            continue
+        df = wh.read(t)
+        has = TENANT_COLUMN in [c.lower() for c in df.columns]
+        if has and only_if_missing:
+            out[t] = "kept"
+            continue
+        wh.publish(tag_tenant(df, id_client), t)
+        out[t] = "tagged"
+    return out
+
+
+def tag_tables_from_registry(wh: Warehouse, registry: DataFrame, database_name: str, tables,
+                             only_if_missing: bool = True) -> dict:
+    """Look the tenant id up in the registry (unknown tenant -> KeyError),
+    then tag its tables."""
+    return tag_tables(wh, tenant_id_of(registry, database_name), tables, only_if_missing)
+
+
+def merge_schemas(central: Warehouse, tenants: dict, tables) -> list[tuple]:
+    """Central merge of several tables: for each table, the tenants that have
+    it are merged (``merge_tenants``); a tenant lacking the table is a
+    reported skip, never an abort.  ``tenants``: id -> tenant ``Warehouse``.
+    Returns ``(table, tenant, status)`` rows."""
+    report = []
+    for t in tables:
+        slices = {}
+        for tid, wh in tenants.items():
+            if wh.exists(t):
+                slices[tid] = wh.read(t)
+            else:
+                report.append((t, tid, "missing"))
+        res = merge_tenants(central, t, slices)
+        report += [(t, tid, "merged") for tid in res.merged]
+        report += [(t, tid, "skipped") for tid in res.skipped]
+    return report

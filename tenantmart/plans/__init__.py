@@ -44,9 +44,15 @@ _MODELS: list[Model] = [
 MODELS: dict[str, Model] = {m.name: m for m in _MODELS}
 
 
+def merge_tables() -> list[str]:
+    """Tables appended into the central store: the staging models and the
+    calendar (tenant tagging covers every model)."""
+    return [m.table for m in MODELS.values() if m.merge] + ["dim_calendar"]
+
+
 def register(model: Model) -> Model:
     MODELS[model.name] = model
     return model
 
 
-__all__ = ["FIXTURE_PARAMS", "MODELS", "Model", "Params", "Source", "register"]
+__all__ = ["FIXTURE_PARAMS", "MODELS", "Model", "Params", "Source", "merge_tables", "register"]

@@ -78,3 +78,29 @@ def test_merge_refresh_overwrites_only_that_tenant(spark):
     T.merge_tenants(central, "t", {1: a2}, refresh=True)
     rows = sorted((r.k, r.id_client) for r in central.read("t").collect())
     assert rows == [(2, 2), (10, 1), (11, 1)]
+
+
+def test_tag_tables_and_merge_schemas(spark):
+    from tenantmart.plans import merge_tables
+    assert len(merge_tables()) == 9 and "dim_calendar" in merge_tables()
+    t1 = Warehouse(spark, f"t1_{uuid.uuid4().hex[:8]}")
+    t2 = Warehouse(spark, f"t2_{uuid.uuid4().hex[:8]}")
+    t1.publish(spark.createDataFrame([(1, "a")], "k int, v string"), "x")
+    t2.publish(spark.createDataFrame([(2, "b")], "k int, v string"), "x")
+    t2.publish(spark.createDataFrame([(3,)], "k int"), "y")
+    assert T.tag_tables(t1, 1, ["x", "y"]) == {"x": "tagged", "y": "missing"}
+    assert T.tag_tables(t1, 5, ["x"], only_if_missing=True) == {"x": "kept"}
+    assert t1.read("x").first().id_client == 1
+    reg = _registry(spark)
+    try:
+        T.tag_tables_from_registry(t2, reg, "unknown_db", ["x"])
+        raise AssertionError("expected KeyError")
+    except KeyError:
+        pass
+    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:8]}")
+    rep = T.merge_schemas(central, {1: t1, 2: t2}, ["x", "y"])
+    assert sorted(rep) == [("x", 1, "merged"), ("x", 2, "merged"), ("y", 1, "missing"),
+                           ("y", 2, "merged")]
+    assert sorted((r.k, r.id_client) for r in central.read("x").collect()) == [(1, 1), (2, 2)]
+    again = T.merge_schemas(central, {1: t1, 2: t2}, ["x"])
+    assert sorted(again) == [("x", 1, "skipped"), ("x", 2, "skipped")]
