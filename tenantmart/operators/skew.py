@@ -21,9 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
-    """``header LEFT JOIN lines USING (on)`` with both hot-key directions
-    splittable.  Columns: ``on``, then the header's, then the lines'."""
+def fanout_parts(header: DataFrame, lines: DataFrame, on) -> tuple[DataFrame, DataFrame]:
+    """The two parts of ``header LEFT JOIN lines``: the matched rows (inner
+    join) and the headers without lines, padded with NULL line columns.
+    A caller that joins more tables on the same key applies those joins to
+    each part before the union, so the union's loss of partitioning does not
+    force another shuffle."""
     keys = [on] if isinstance(on, str) else list(on)
     matched = header.join(lines, on=keys, how="inner")
     line_keys = lines.select(*keys).distinct()
@@ -31,4 +34,11 @@ def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
     extra = [f for f in lines.schema.fields if f.name not in keys]
     padded = orphans.select(*orphans.columns,
                             *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return matched, padded
+
+
+def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
+    """``header LEFT JOIN lines USING (on)`` with both hot-key directions
+    splittable.  Columns: ``on``, then the header's, then the lines'."""
+    matched, padded = fanout_parts(header, lines, on)
     return matched.unionByName(padded)

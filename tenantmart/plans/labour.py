@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_sum, safe_ratio, typed_null
 from ..operators.lookup import interval_lookup_by_day, unique_lookup
-from ..operators.skew import fanout_left_join
+from ..operators.skew import fanout_left_join, fanout_parts
 from .base import Params, Source
 
 FACT_LABOUR_COLUMNS = (
@@ -68,7 +68,10 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
     timesheet side, the per-timesheet statistics (planted area of the
     linked plots, number of linked centres) and the person fan-out are each
     joined once, all on ``idpointage``.  The statistics are one partial
-    aggregation over the same shuffled links.
+    aggregation over the same shuffled links.  Persons are attached to the
+    timesheets first (skew-safe outer join at timesheet level), then the
+    links: ``(T JOIN L) LEFT JOIN P`` and ``(T LEFT JOIN P) JOIN L`` give the
+    same rows when both joins are on the timesheet key.
     """
     ts = timesheets(src)
     persons = _persons(src)
@@ -92,10 +95,16 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
     centres = src("centre_intermediaire").select(
         F.col("idcentre_intermediaire").alias("id_centre_cout"))
 
-    rows = fanout_left_join(ts.join(links, on="idpointage", how="inner")
-                            .join(stats, on="idpointage", how="left"),
-                            persons, "idpointage")
-    rows = rows.join(centres, on="id_centre_cout", how="left")
+    # timesheet x person (a timesheet without persons keeps one NULL person),
+    # then x link: the same rows as links -> persons, but the outer part of
+    # the person join stays at timesheet level and every join is splittable
+    def with_links(d: DataFrame) -> DataFrame:
+        return (d.join(links, on="idpointage", how="inner")
+                .join(stats, on="idpointage", how="left"))
+
+    matched, no_person = fanout_parts(ts, persons, "idpointage")
+    rows = (with_links(matched).unionByName(with_links(no_person))
+            .join(centres, on="id_centre_cout", how="left"))
 
     plot = F.col("is_plot")
 
