@@ -10,6 +10,7 @@ shuffle).  No UDF, no collect.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +36,8 @@ DATE_NAME_HINTS = ("date", "embauche", "sortie", "debut", "fin")
 # Text date layouts tried in order (Spark datetime patterns).
 TEXT_DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd")
 
+LAST_DATE = _dt.date(9999, 12, 31)
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
 
@@ -126,15 +129,18 @@ def date_from_number(c: Column) -> Column:
     """Numeric date decided per row by magnitude: > 1e15 nanoseconds,
     > 1e12 milliseconds, > 1e9 seconds since the epoch; 19000000..21001231
     a ``YYYYMMDD`` integer; any other positive value nanoseconds; zero or
-    negative NULL.  Calendar arithmetic only, no time zone involved."""
+    negative NULL, and NULL past 9999-12-31.  Calendar arithmetic only, no
+    time zone involved."""
     v = F.floor(c).cast("bigint")
-    return (F.when(v.isNull() | (v <= 0), F.lit(None).cast("date"))
+    d = (F.when(v.isNull() | (v <= 0), F.lit(None).cast("date"))
             .when(v > 10 ** 15, F.date_from_unix_date(_days(v, 86_400 * 10 ** 9)))
             .when(v > 10 ** 12, F.date_from_unix_date(_days(v, 86_400_000)))
             .when(v > 10 ** 9, F.date_from_unix_date(_days(v, 86_400)))
             .when((v >= 19_000_000) & (v <= 21_001_231),
                   F.try_to_date(v.cast("string"), "yyyyMMdd"))
             .otherwise(F.date_from_unix_date(_days(v, 86_400 * 10 ** 9))))
+    # a calendar date past 9999-12-31 fits no warehouse DATE column
+    return F.when(d <= F.lit(LAST_DATE), d)
 
 
 # C10 --------------------------------------------------------------------------------------

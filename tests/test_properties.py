@@ -11,6 +11,7 @@ from tenantmart.operators.cleanse import date_from_number
 from tenantmart.operators.lookup import interval_lookup_by_day
 
 EPOCH = dt.date(1970, 1, 1)
+LAST_DAY = (dt.date(9999, 12, 31) - EPOCH).days
 SETTINGS = settings(max_examples=8, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -22,9 +23,11 @@ def number_to_date(v):
     if v > 10 ** 15:
         return EPOCH + dt.timedelta(days=v // (86_400 * 10 ** 9))
     if v > 10 ** 12:
-        return EPOCH + dt.timedelta(days=v // 86_400_000)
+        days = v // 86_400_000
+        return EPOCH + dt.timedelta(days=days) if days <= LAST_DAY else None
     if v > 10 ** 9:
-        return EPOCH + dt.timedelta(days=v // 86_400)
+        days = v // 86_400
+        return EPOCH + dt.timedelta(days=days) if days <= LAST_DAY else None
     if 19_000_000 <= v <= 21_001_231:
         try:
             return dt.date(v // 10000, v // 100 % 100, v % 100)
@@ -37,7 +40,9 @@ values = st.one_of(
     st.integers(-10, 10 ** 9 + 10),
     st.integers(19_000_000, 21_001_231),
     st.integers(10 ** 9, 4 * 10 ** 9),
+    st.integers(10 ** 11, 10 ** 12),
     st.integers(10 ** 12, 4 * 10 ** 12),
+    st.integers(10 ** 14, 10 ** 15),
     st.integers(10 ** 15, 4 * 10 ** 18),
 )
 
