@@ -122,3 +122,14 @@ def test_dim_plot_fans_out_per_group(src):
     groups = src("parcellecultural_groupe_operationnel")
     multi = groups.groupBy("parcellecultural").count().where("count > 1").count()
     assert plots.count() == src("parcelleculturale").count() + multi
+
+
+def test_cut_off_window_is_applied_and_pushed(src):
+    params = FIXTURE_PARAMS.with_(sales_since=dt.date(1999, 1, 1), until=dt.date(2000, 1, 1))
+    sales = MODELS["sales_production"](src, params)
+    bounds = sales.agg(F.min("date_recolte").alias("lo"), F.max("date_recolte").alias("hi")).first()
+    assert bounds.lo >= dt.datetime(1999, 1, 1) and bounds.hi < dt.datetime(2000, 1, 1)
+    costs = MODELS["direct_costs"](src, params.with_(labour_cost_since=dt.date(1999, 1, 1)))
+    labour = costs.where(F.col("charge_niv1") == "Main d'oeuvre")
+    assert labour.where(F.col("date") >= dt.datetime(2000, 1, 1)).count() == 0
+    assert labour.count() > 0

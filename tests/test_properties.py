@@ -98,3 +98,28 @@ def test_fanout_left_join_equals_left_join(spark, header, lines):
     got = sorted(map(repr, (tuple(r) for r in fanout_left_join(h, ln, "k").collect())))
     want = sorted(map(repr, (tuple(r) for r in h.join(ln, "k", "left").collect())))
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from(["a", "b", None]),
+                          st.integers(0, 3)), max_size=10),
+       st.dictionaries(st.integers(0, 8), st.sampled_from(["x", "y", None]), max_size=8),
+       st.lists(st.sampled_from(["n", None]), max_size=3))
+def test_upsert_frame_matches_definition(spark, target, source_keyed, source_null_keys):
+    """Every matched target row takes the source values and keeps its
+    target-only column; other rows of both sides are kept; NULL keys never
+    match."""
+    from tenantmart.operators.load import upsert_frame
+    t = spark.createDataFrame(target, "k int, v string, c int")
+    src_rows = list(source_keyed.items()) + [(None, v) for v in source_null_keys]
+    s = spark.createDataFrame(src_rows, "k int, v string")
+    got = sorted(map(repr, (tuple(r) for r in upsert_frame(t, s, ["k"]).collect())))
+    want = []
+    for k, v, c in target:
+        if k is not None and k in source_keyed:
+            want.append((k, source_keyed[k], c))
+        else:
+            want.append((k, v, c))
+    tkeys = {k for k, _, _ in target if k is not None}
+    want += [(k, v, None) for k, v in src_rows if k is None or k not in tkeys]
+    assert got == sorted(map(repr, want))
