@@ -87,13 +87,14 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
         "idpointage", F.lit(False).alias("is_plot"), typed_null("bigint").alias("id_parcelle"),
         F.col("idcentre_intermediaire").alias("id_centre_cout"), F.col("cout").alias("link_cout"),
         typed_null("double").alias("sup"))
-    links = plot_links.unionByName(centre_links)
-    stats = links.groupBy("idpointage").agg(
+    stats = plot_links.unionByName(centre_links).groupBy("idpointage").agg(
         exact_sum("sup").alias("area"),
         F.count_if(~F.col("is_plot")).alias("n_centres"))
-    # kept for its row multiplicity only (no column is read); plot rows never match
+    # the cost-centre dimension is joined for its row multiplicity only (no
+    # column is read), on the link table, before any fan-out
     centres = src("centre_intermediaire").select(
         F.col("idcentre_intermediaire").alias("id_centre_cout"))
+    links = plot_links.unionByName(centre_links.join(centres, on="id_centre_cout", how="left"))
 
     # timesheet x person (a timesheet without persons keeps one NULL person),
     # then x link: the same rows as links -> persons, but the outer part of
@@ -103,8 +104,7 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
                 .join(stats, on="idpointage", how="left"))
 
     matched, no_person = fanout_parts(ts, persons, "idpointage")
-    rows = (with_links(matched).unionByName(with_links(no_person))
-            .join(centres, on="id_centre_cout", how="left"))
+    rows = with_links(matched).unionByName(with_links(no_person))
 
     plot = F.col("is_plot")
 
