@@ -133,3 +133,21 @@ def test_cut_off_window_is_applied_and_pushed(src):
     labour = costs.where(F.col("charge_niv1") == "Main d'oeuvre")
     assert labour.where(F.col("date") >= dt.datetime(2000, 1, 1)).count() == 0
     assert labour.count() > 0
+
+
+def test_conform_reports_cast_losses_and_checks_columns(spark):
+    import pytest
+    from tenantmart.operators.audit import SchemaMismatch, conform, conform_losses
+    from tenantmart.schema import TABLES
+    t = TABLES["dim_operation"]
+    df = spark.createDataFrame([("7", "OP", "FAM"), ("x", "OP2", None)],
+                               "id_operation string, reference_operation string, "
+                               "famille_operation string")
+    out = conform(df, t)
+    assert out.dtypes[0] == ("id_operation", "bigint")
+    assert [r.id_operation for r in out.collect()] == [7, None]
+    lost = {r.column_name: r.lost_values for r in conform_losses(df, t).collect()}
+    assert lost == {"id_operation": 1, "reference_operation": 0, "famille_operation": 0}
+    with pytest.raises(SchemaMismatch):
+        conform(df.drop("famille_operation"), t)
+    assert conform(df.drop("famille_operation"), t, strict=False).columns == t.names
