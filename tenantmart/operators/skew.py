@@ -6,39 +6,48 @@ third of all lines, a plain left outer join cannot be split by AQE: only the
 preserved (header) side of an outer join may be split, and that side holds
 one row for the hot key, so one task would produce a third of the output.
 
-The same result is produced as ``lines INNER JOIN header`` -- an inner join,
-whose skewed partitions AQE splits on either side -- plus the headers that
-have no line at all (an anti join against the *distinct* line keys, which a
-partial aggregation collapses before the shuffle), padded with NULLs.  The
-identity ``A LEFT JOIN B = (A JOIN B) UNION ALL (A ANTI JOIN B)`` holds for
-any multiplicity and for NULL keys (they never match, so they land in the
-anti-join part).
+The same result is produced as an *inner* join -- whose skewed partitions
+AQE splits on either side -- of the header with the lines completed by one
+all-NULL placeholder line per header key that has none (found at key level:
+distinct header keys anti-joined with the distinct line keys, both collapsed
+by partial aggregation), plus the header rows with a NULL key, which never
+match.  This equals ``header LEFT JOIN lines`` for any multiplicity.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fanout_parts(header: DataFrame, lines: DataFrame, on) -> tuple[DataFrame, DataFrame]:
-    """The two parts of ``header LEFT JOIN lines``: the matched rows (inner
-    join) and the headers without lines, padded with NULL line columns.
-    A caller that joins more tables on the same key applies those joins to
-    each part before the union, so the union's loss of partitioning does not
-    force another shuffle."""
+def lines_with_placeholders(header: DataFrame, lines: DataFrame, on) -> DataFrame:
+    """``lines`` plus one all-NULL line for every (non-NULL) header key that
+    has no line.  ``header INNER JOIN`` this equals ``header LEFT JOIN
+    lines`` for every header row with a non-NULL key.  The placeholders are
+    computed at key level (distinct keys, anti join), so the wide rows are
+    never read twice and the caller's inner join shuffles ``lines`` once."""
     keys = [on] if isinstance(on, str) else list(on)
-    matched = header.join(lines, on=keys, how="inner")
-    line_keys = lines.select(*keys).distinct()
-    orphans = header.join(line_keys, on=keys, how="left_anti")
+    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    have = lines.select(*keys).distinct()
+    missing = (header.select(*keys).where(nonnull).distinct()
+               .join(have, on=keys, how="left_anti"))
     extra = [f for f in lines.schema.fields if f.name not in keys]
-    padded = orphans.select(*orphans.columns,
-                            *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return matched, padded
+    padded = missing.select(*keys, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return lines.unionByName(padded)
 
 
 def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
     """``header LEFT JOIN lines USING (on)`` with both hot-key directions
-    splittable.  Columns: ``on``, then the header's, then the lines'."""
-    matched, padded = fanout_parts(header, lines, on)
-    return matched.unionByName(padded)
+    splittable: an inner join with the placeholder-completed lines, plus the
+    header rows whose key is NULL (they never match).  Columns: ``on``, then
+    the header's, then the lines'."""
+    keys = [on] if isinstance(on, str) else list(on)
+    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    joined = header.join(lines_with_placeholders(header, lines, keys), on=keys, how="inner")
+    extra = [f for f in lines.schema.fields if f.name not in keys]
+    null_keys = header.where(~nonnull)
+    null_keys = null_keys.select(*keys, *[c for c in header.columns if c not in keys],
+                                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return joined.unionByName(null_keys)

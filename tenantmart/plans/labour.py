@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_sum, safe_ratio, typed_null
 from ..operators.lookup import interval_lookup_by_day, unique_lookup
-from ..operators.skew import fanout_left_join, fanout_parts
+from ..operators.skew import fanout_left_join, lines_with_placeholders
 from .base import Params, Source
 
 FACT_LABOUR_COLUMNS = (
@@ -103,8 +103,9 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
         return (d.join(links, on="idpointage", how="inner")
                 .join(stats, on="idpointage", how="left"))
 
-    matched, no_person = fanout_parts(ts, persons, "idpointage")
-    rows = with_links(matched).unionByName(with_links(no_person))
+    # (NULL timesheet keys never meet a link, so the inner form is exact here)
+    rows = with_links(ts.join(lines_with_placeholders(ts, persons, "idpointage"),
+                              on="idpointage", how="inner"))
 
     plot = F.col("is_plot")
 
