@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from . import schema as S
-from .functions import exact_sum
 from .operators import audit as A
 from .operators import cleanse as C
 from .operators import load as L
@@ -23,6 +22,7 @@ from .operators import tenants as TN
 from .operators.calendar import calendar_for
 from .operators.hierarchy import attach_parent
 from .plans import FIXTURE_PARAMS, MODELS
+from .plans.star import labour_cost_star
 from .sources.fixtures import FixtureSource
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,22 +197,11 @@ def q_parent_account(spark, sf_dir):
 @query("star_labour_cost")
 def q_star_labour_cost(spark, sf_dir):
     """Dashboard star query: labour cost and hours per season, farm and
-    operation family (fact + two dimensions, partial aggregation)."""
+    operation family (fact + two dimensions)."""
     src = FixtureSource.shared(spark, sf_dir)
-    fact = MODELS["fact_labour"](src, FIXTURE_PARAMS)
-    ops = MODELS["dim_operation"](src, FIXTURE_PARAMS).select("id_operation",
-                                                              "famille_operation")
-    seasons = MODELS["dim_season"](src, FIXTURE_PARAMS).select(
-        F.col("id_campagne").alias("campagne"), "reference_campagne")
-    j = (fact.join(ops, on="id_operation", how="left")
-         .join(seasons, on="campagne", how="left"))
-    return j.groupBy("campagne", "reference_campagne", "ferme", "famille_operation").agg(
-        F.count(F.lit(1)).alias("lines"), exact_sum("cost_analytique").alias("cost"),
-        exact_sum("hj_direct").alias("hours_direct"),
-        exact_sum("hj_indirect").alias("hours_indirect"))
-
-
-# --- load modes: write to a fresh warehouse under the shared checkpoint folder, read back ---
+    return labour_cost_star(MODELS["fact_labour"](src, FIXTURE_PARAMS),
+                            MODELS["dim_operation"](src, FIXTURE_PARAMS),
+                            MODELS["dim_season"](src, FIXTURE_PARAMS))
 
 
 @query("load_full_replace")
