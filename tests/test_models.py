@@ -151,3 +151,12 @@ def test_conform_reports_cast_losses_and_checks_columns(spark):
     with pytest.raises(SchemaMismatch):
         conform(df.drop("famille_operation"), t)
     assert conform(df.drop("famille_operation"), t, strict=False).columns == t.names
+
+
+def test_parent_chain_bounded_depth(spark):
+    from tenantmart.operators.hierarchy import attach_parent
+    nodes = spark.createDataFrame([(1, "root", None), (2, "mid", 1), (3, "leaf", 2)],
+                                  "id int, code string, parent int")
+    out = attach_parent(nodes, nodes, "parent", "id", ["code", "parent"], depth=2)
+    got = {r.id: (r.parent_code, r.parent_2_code) for r in out.collect()}
+    assert got == {1: (None, None), 2: ("root", None), 3: ("mid", "root")}
