@@ -100,3 +100,16 @@ def test_dry_run_creates_nothing_and_create_like(spark, wh):
     like = spark.createDataFrame([(1, "a")], "k int, v string")
     wh.create_like("t2", like)
     assert wh.read("t2").dtypes == like.dtypes and wh.read("t2").count() == 0
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, wh):
+    tgt = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")],
+                                "k int, id_client int, v string")
+    wh.publish(tgt.select("k", "v", "id_client"), "p", partition_by=("id_client",))
+    before = {r.k for r in wh.read("p").where("id_client = 2").select("k").collect()}
+    src = spark.createDataFrame([(1, 1, "A"), (3, 1, "new")], "k int, id_client int, v string")
+    L.load_upsert(src, wh, "p", ["id_client", "k"])
+    rows = sorted((r.id_client, r.k, r.v) for r in wh.read("p").collect())
+    assert rows == [(1, 1, "A"), (1, 2, "c"), (1, 3, "new"), (2, 1, "b")]
+    assert {r.k for r in wh.read("p").where("id_client = 2").collect()} == before
+    assert wh.partition_columns("p") == ["id_client"]
