@@ -2,6 +2,8 @@
 
 Dimension sides are small tables; join strategy is left to the planner's
 size-checked broadcast (``autoBroadcastJoinThreshold``, AQE at run time).
+One-to-many attachments (account -> attachments, budget account -> P&L
+links, plot -> operational groups) use the skew-safe fan-out join.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import fanout_left_join
 from .base import Params, Source
 
 # Plot status labels of the plot dimension.
@@ -26,7 +29,7 @@ def analytic_accounts(src: Source, params: Params) -> DataFrame:
     the join column appears once."""
     acc = src("bdg_codes_analytiques")
     att = src("bdg_attachements_codes")
-    return acc.join(att, on="id_code_analytique", how="left").select(*ANALYTIC_ACCOUNT_COLUMNS)
+    return fanout_left_join(acc, att, "id_code_analytique").select(*ANALYTIC_ACCOUNT_COLUMNS)
 
 
 def budget_accounts(src: Source, params: Params) -> DataFrame:
@@ -35,8 +38,8 @@ def budget_accounts(src: Source, params: Params) -> DataFrame:
     cb = src("bdg_codes_budgetaires")
     link = src("bdg_comptes_pl_details").select("id_code_budgetaire", "id_compte_pl")
     pl = src("bdg_comptes_pl").select(F.col("id_bdg_comptes_pl"))
-    j = (cb.join(link, on="id_code_budgetaire", how="left")
-         .join(pl, link["id_compte_pl"] == pl["id_bdg_comptes_pl"], how="left"))
+    j = (fanout_left_join(cb, link, "id_code_budgetaire")
+         .join(pl, F.col("id_compte_pl") == pl["id_bdg_comptes_pl"], how="left"))
     return j.select("id_code_budgetaire", "classe_", "rubrique_1", "rubrique_2", "rubrique_3",
                     "rubrique_4", "rubrique_5", "code_budgetaire", "unite", "cout_unitaire",
                     F.col("id_bdg_comptes_pl").alias("compte_pl"))
@@ -96,9 +99,8 @@ def dim_plot(src: Source, params: Params) -> DataFrame:
          .join(company, on="id_societe", how="left")
          .join(variety, pc["variete"] == variety["variete_id"], how="left")
          .join(crop, on="culture_id", how="left")
-         .join(stock, on="idporte_greffe", how="left")
-         .join(plot_group, on="id", how="left")
-         .join(group, on="groupecultural", how="left"))
+         .join(stock, on="idporte_greffe", how="left"))
+    j = fanout_left_join(j, plot_group, "id").join(group, on="groupecultural", how="left")
     return j.select(
         F.col("id").alias("id_parcelle"), F.col("ref").alias("parcelleculturale"),
         F.col("reference").alias("reference_parcelle_2"),
