@@ -151,8 +151,8 @@ def _cost_overheads(src: Source, params: Params) -> DataFrame:
     spread = src("parcelleculturale_depence").select("id_depence", "id_parcelle", "cout")
     j = (d.join(assigned, on="idaffectation", how="left_semi")
          .join(prod, on="id_produit", how="left")
-         .join(cat, on="id_categorie_depense", how="left")
-         .join(spread, on="id_depence", how="left"))
+         .join(cat, on="id_categorie_depense", how="left"))
+    j = fanout_left_join(j, spread, "id_depence")      # expense -> its plot spread lines
     return j.select(
         F.col("date_depense").cast("timestamp_ntz").alias("date"),
         F.lit(LEVEL_OVERHEADS).alias("charge_niv1"), F.col("categ_depense").alias("charge_niv2"),
