@@ -2,6 +2,10 @@
 
 Dimension sides are small tables; join strategy is left to the planner's
 size-checked broadcast (``autoBroadcastJoinThreshold``, AQE at run time).
+The one-to-many attachments here (account -> attachments, budget account ->
+P&L links, plot -> operational groups) are bounded by the chart of accounts
+and the plot register, so they stay plain left joins; the fact-scale
+fan-outs use ``operators.skew.fanout_left_join``.
 """
 
 from __future__ import annotations
