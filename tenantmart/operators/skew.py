@@ -22,30 +22,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lines_with_placeholders(header: DataFrame, lines: DataFrame, on) -> DataFrame:
+def lines_with_placeholders(header: DataFrame, lines: DataFrame, on,
+                            header_keys: DataFrame | None = None) -> DataFrame:
     """``lines`` plus one all-NULL line for every (non-NULL) header key that
     has no line.  ``header INNER JOIN`` this equals ``header LEFT JOIN
     lines`` for every header row with a non-NULL key.  The placeholders are
     computed at key level (distinct keys, anti join), so the wide rows are
-    never read twice and the caller's inner join shuffles ``lines`` once."""
+    never read twice and the caller's inner join shuffles ``lines`` once.
+    ``header_keys`` may name a cheaper frame with the same key set (e.g. the
+    base table a header was left-joined from)."""
     keys = [on] if isinstance(on, str) else list(on)
     nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     have = lines.select(*keys).distinct()
-    missing = (header.select(*keys).where(nonnull).distinct()
+    missing = ((header if header_keys is None else header_keys)
+               .select(*keys).where(nonnull).distinct()
                .join(have, on=keys, how="left_anti"))
     extra = [f for f in lines.schema.fields if f.name not in keys]
     padded = missing.select(*keys, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
     return lines.unionByName(padded)
 
 
-def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
+def fanout_left_join(header: DataFrame, lines: DataFrame, on,
+                     header_keys: DataFrame | None = None) -> DataFrame:
     """``header LEFT JOIN lines USING (on)`` with both hot-key directions
     splittable: an inner join with the placeholder-completed lines, plus the
     header rows whose key is NULL (they never match).  Columns: ``on``, then
     the header's, then the lines'."""
     keys = [on] if isinstance(on, str) else list(on)
     nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    joined = header.join(lines_with_placeholders(header, lines, keys), on=keys, how="inner")
+    joined = header.join(lines_with_placeholders(header, lines, keys, header_keys),
+                         on=keys, how="inner")
     extra = [f for f in lines.schema.fields if f.name not in keys]
     null_keys = header.where(~nonnull)
     null_keys = null_keys.select(*keys, *[c for c in header.columns if c not in keys],

@@ -104,7 +104,9 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
                 .join(stats, on="idpointage", how="left"))
 
     # (NULL timesheet keys never meet a link, so the inner form is exact here)
-    rows = with_links(ts.join(lines_with_placeholders(ts, persons, "idpointage"),
+    # (timesheet keys: those of the base table, which the enriched side only left-joins onto)
+    keys = src("pointage").select("idpointage")
+    rows = with_links(ts.join(lines_with_placeholders(ts, persons, "idpointage", keys),
                               on="idpointage", how="inner"))
 
     plot = F.col("is_plot")
@@ -152,6 +154,7 @@ def farm_labour(src: Source, params: Params) -> DataFrame:
          .join(farms, on="idfermes", how="left")
          .join(area, on="idfermes", how="left"))
     staff_cat = staff.join(cat, on="_cat", how="left").drop("_cat")
-    lines = fanout_left_join(t, pp, "idpointage").join(staff_cat, on="pers_id", how="left")
+    lines = (fanout_left_join(t, pp, "idpointage", header_keys=p)
+             .join(staff_cat, on="pers_id", how="left"))
     return lines.select("ferme", "date", "famille", "oper_liste",
                         F.col("pers_id").alias("ouvrier"), "hj", "categorie", "sup_ferme")

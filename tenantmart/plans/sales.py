@@ -152,7 +152,10 @@ def _cost_overheads(src: Source, params: Params) -> DataFrame:
     j = (d.join(assigned, on="idaffectation", how="left_semi")
          .join(prod, on="id_produit", how="left")
          .join(cat, on="id_categorie_depense", how="left"))
-    j = fanout_left_join(j, spread, "id_depence")      # expense -> its plot spread lines
+    # expense -> its plot spread lines; the expense keys are those of the
+    # semi-joined expenses (the later joins are left joins)
+    j = fanout_left_join(j, spread, "id_depence",
+                         header_keys=d.join(assigned, on="idaffectation", how="left_semi"))
     return j.select(
         F.col("date_depense").cast("timestamp_ntz").alias("date"),
         F.lit(LEVEL_OVERHEADS).alias("charge_niv1"), F.col("categ_depense").alias("charge_niv2"),
@@ -183,7 +186,7 @@ def _cost_labour(src: Source, params: Params) -> DataFrame:
          .join(fam, on="oper_famille", how="left")
          .join(grp, on="operef_gr", how="left")
          .join(farms, on="idfermes", how="left"))
-    j = (fanout_left_join(t, links, "idpointage")
+    j = (fanout_left_join(t, links, "idpointage", header_keys=p)
          .join(pcs, (F.col("parccul_id") == F.col("_pc_id"))
                & (F.col("date") >= F.col("_pc_planned")), how="left"))
     return j.select(
