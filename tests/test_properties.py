@@ -123,3 +123,20 @@ def test_upsert_frame_matches_definition(spark, target, source_keyed, source_nul
     tkeys = {k for k, _, _ in target if k is not None}
     want += [(k, v, None) for k, v in src_rows if k is None or k not in tkeys]
     assert got == sorted(map(repr, want))
+
+
+token_text = st.one_of(st.none(), st.sampled_from(
+    ["n/a", "N/A", "nA", "NaN", "nAn", "None", "NONE", "nOnE", "null", "", " ", "   ", "    ",
+     "inf", "iNf", "-inf", "<NA>", "NaTT", "natt", "ok", " na", "Nancy"]),
+    st.text(alphabet=st.characters(max_codepoint=127), max_size=4))
+
+
+@SETTINGS
+@given(st.lists(token_text, min_size=1, max_size=40))
+def test_null_tokens_match_definition(spark, cells):
+    from tenantmart.operators.cleanse import NULL_TOKENS, NULL_TOKENS_ANY_CASE, clean_null_tokens
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, s string")
+    got = {r.i: r.s for r in clean_null_tokens(df, ["s"]).collect()}
+    for i, c in enumerate(cells):
+        gone = c is not None and (c in NULL_TOKENS or c.lower() in NULL_TOKENS_ANY_CASE)
+        assert got[i] == (None if gone else c), (i, c)
