@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
+_PERSISTED: list = []
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
@@ -22,6 +23,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     once; a lost block is recomputed from its lineage."""
     small = df.persist(StorageLevel.MEMORY_AND_DISK)
     if small.limit(max_rows + 1).count() <= max_rows:
+        _PERSISTED.append(small)
         return F.broadcast(small)
     small.unpersist()
     return df
+
+
+def release_small_sides() -> int:
+    """Unpersist the sides kept by ``checked_broadcast`` (call once the jobs
+    that use them have run; a later use simply recomputes them)."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators.cleanse import CleanseSpec, cleanse
 from .operators.load import LoadError, Warehouse, load
+from .operators.sizing import release_small_sides
 from .plans import MODELS, Model, Params, Source
 
 REPORT_SCHEMA = ("tenant string, model string, target string, mode string, status string, "
@@ -48,6 +49,7 @@ def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params |
         except Exception as e:  # noqa: BLE001 - isolation: report and continue
             rows.append((tenant, m.name, m.table, mode, "failed", None, None,
                          f"{type(e).__name__}: {e}"[:1000], dt.datetime.now()))
+    release_small_sides()      # the loads have run; free the cached lookup sides
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
