@@ -59,7 +59,9 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "kg_estime", "qte_caisse", "idunite_operation")
     station = src("bon_recp_station").select(F.col("exp_recp_caisse").alias("id_recp"),
                                              F.col("idvariete").alias("variete"), "pu")
-    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp")
+    receipts = rc.join(v.select("idvente"), on="idvente", how="left_semi")  # header key set
+    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp",
+                              header_keys=receipts)
              .join(plots, on="idparcelle", how="left")
              .join(station, on=["id_recp", "variete"], how="left")
              .join(units, on="idunite_operation", how="left")
@@ -83,7 +85,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "poid_recp", "idunite_operation")
     vh = _sales_header(src).drop("type")
     export = (fanout_left_join(rq.join(vh, rq["rq_idvente"] == vh["idvente"], how="left"),
-                               rqp, "id_rq")
+                               rqp, "id_rq", header_keys=rq)
               .join(units, on="idunite_operation", how="left")
               .join(plots.drop("variete"), on="idparcelle", how="left")
               .join(_yield_accounts(src, MARKET_EXPORT), on="idproduit_rendement", how="left")
