@@ -5,6 +5,7 @@
   column) never make a reference ambiguous.
 * ``materialise`` cuts lineage with a table on the shared folder named by
   ``spark.checkpoint.dir``: a lost executor costs a re-read, not a re-run.
+* ``map_arrow`` runs a function over Arrow batches of bounded size.
 * ``bounded`` proves the size of a frame before it is broadcast or read by
   the driver, and fails loudly beyond the bound.
 """
@@ -49,6 +50,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in a batch for Python; long texts are bounded by bytes besides.
+BATCH_ROWS = "500"
+BATCH_BYTES = "16m"
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with small batches, unless the session names other sizes.
+
+    Spark's default of 10,000 rows is made for numbers; of whole texts, it would
+    hold several copies of some hundred MB in each executor.
+    """
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def bounded(df: DataFrame, most: int, what: str) -> list:
     """Rows of a frame whose size a parameter bounds."""
     rows = df.limit(most + 1).collect()

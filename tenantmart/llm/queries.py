@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, simhash
+from . import bpe, chat, exact_dedup, html_text, mixing, quality, rules, sharding, simhash, token_files
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,13 +25,39 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.file_digests(spark, token_files.write_ids(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv_id, text = chat.PROBE
+    probe = spark.range(2).select(
+        F.lit(conv_id).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.chat_digests(spark, chat.write_chats(rows, BYTE_BPE), BYTE_BPE)
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digests(spark, sharding.write_shards(table(spark, sf_dir, "documents")))
+
+
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).drop("drawn")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_exact_dedup, op5_simhash, op10_mixing)}
-ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_quality, op3_exact_dedup, op4_token_files, op5_simhash, op6_html, op7_chat, op8_sharding, op9_rules, op10_mixing)}
+ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL}

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, position, positional, take
+from .common import map_arrow, materialise, position, positional, take
 from .components import stars
 
 SEED = 42
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, text: str, out: str, words: int = 3) -> DataFr
             found = [fingerprint(t.as_py(), words) for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), pa.array(found, pa.int64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 class BkTree:
