@@ -1,32 +1,39 @@
 """Load modes into a warehouse of catalog tables on shared storage.
 
-Every write is staged: the new content goes to a fresh, version-stamped
-directory; only when it is completely written is the catalog table pointed
-at it (``CREATE TABLE ... LOCATION`` or ``ALTER TABLE ... SET LOCATION``).
-A job that dies mid-write leaves the previous version in place and
-readable, and a retried task only rewrites files of the new version.  This
-also makes read-modify-write loads (upsert) possible: Spark cannot
-overwrite the path it is reading from.
+Every load evaluates its source once, into files of a fresh version folder;
+row counts, cast losses and over-long texts are observed during that write,
+and key checks read the written files.  Only when everything is written and
+checked is the catalog pointed at the new version (table and partitions), so
+a job that dies before that leaves the previous version in place.  A lost
+executor only rewrites files of the new version.
 
 Modes: full replace (new schema), truncate + insert (target schema kept,
 columns aligned by name), keyed upsert (full outer join on the keys:
 matched rows take every source column, NULLs included, and keep
-target-only columns; NULL keys never match).  An empty source is skipped
+target-only columns; NULL keys never match) and, for tables whose key is not
+unique at their grain, replacement of all rows of the source's keys.  A
+partitioned table stays partitioned in every mode.  An empty source is skipped
 (target kept) or published as an empty table, by choice.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import Table
 from ..session import ensure_checkpoint_dir
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Touched partition values that are listed in a scan's filter; beyond, the whole table is rewritten.
+MAX_TOUCHED = 1_000
+
 
 class LoadError(RuntimeError):
     pass
@@ -38,12 +45,27 @@ class LoadResult:
     mode: str
     status: str          # loaded | skipped_empty
     rows: int | None = None
+    losses: dict = field(default_factory=dict)   # column -> values lost to a cast or over-long
 
 
 def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _partition_values(folder: str) -> dict[str, str | None]:
+    out = {}
+    for part in folder.split("/"):
+        k, _, v = part.partition("=")
+        out[unquote(k)] = None if v == NULL_PARTITION else unquote(v)
+    return out
+
+
+def _partition_spec(folder: str) -> str:
+    def literal(v):
+        return "null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "PARTITION (" + ", ".join(f"`{k}`={literal(v)}" for k, v in _partition_values(folder).items()) + ")"
+
+
 class Warehouse:
     """One tenant schema (a catalog database) whose tables live under
     ``root`` on storage every executor sees."""
@@ -72,34 +94,92 @@ class Warehouse:
         return f"{self.root}/{table}/v{uuid.uuid4().hex}"
 
     # -- publication -------------------------------------------------------------------------
-    def publish(self, df: DataFrame, table: str, replace_schema: bool = False,
-                partition_by=()) -> str:
-        """Write ``df`` to a new version directory, then point the table at it."""
+    def write_version(self, df: DataFrame, table: str, partition_by=()) -> str:
+        """Write ``df`` to a new version folder, which no table points at yet."""
         path = self._version_path(table)
         w = df.write.mode("errorifexists").format("parquet")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(path)
+        return path
+
+    def publish(self, df: DataFrame, table: str, replace_schema: bool = False,
+                partition_by=None) -> str:
+        """Write ``df`` to a new version folder, then point the table at it.
+
+        Without ``partition_by`` an existing table keeps its partition columns.
+        """
+        if partition_by is None:
+            partition_by = [c for c in self.partition_columns(table) if c in df.columns] \
+                if self.exists(table) else []
+        path = self.write_version(df, table, partition_by)
+        self.point_at(table, path, df.schema, list(partition_by), replace_schema)
+        return path
+
+    def point_at(self, table: str, path: str, schema, partition_by=(), replace_schema: bool = False):
+        """Make a completely written version folder the content of ``table``."""
         name = self.name(table)
         if not self.exists(table):
-            self._create(name, path, df.schema, partition_by)
-        elif replace_schema or self._schema_changed(table, df):
-            self.spark.sql(f"DROP TABLE {_q(name)}")
-            self._create(name, path, df.schema, partition_by)
-        else:
-            self.spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{path}'")
-            if partition_by:
-                self.spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
-            self.spark.catalog.refreshTable(name)
-        return path
+            self._create(name, path, schema, partition_by)
+            return
+        changed = self._schema_changed(table, schema) or list(partition_by) != self.partition_columns(table)
+        # ALTER TABLE ... SET LOCATION would turn varchar(n) columns into plain strings
+        lengths = {} if replace_schema else self.text_lengths(table)
+        if replace_schema or changed or lengths:
+            self.spark.sql(f"DROP TABLE {_q(name)}")      # external: files stay
+            self._create(name, path, schema, partition_by, lengths=lengths)
+            return
+        if partition_by:
+            # the catalog's partitions hold locations of their own
+            self.drop_partitions(table, self.partitions(table))
+        self.spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{path}'")
+        if partition_by:
+            self.spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
+        self.spark.catalog.refreshTable(name)
+
+    # -- partitions (catalog metadata; no data file is opened) ---------------------------------
+    def partitions(self, table: str) -> list[str]:
+        """Partition folders of a table as ``a=1/b=x``."""
+        return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(self.name(table))}").collect()]
+
+    def drop_partitions(self, table: str, folders) -> None:
+        folders = list(folders)
+        for at in range(0, len(folders), 500):
+            specs = ", ".join(_partition_spec(f) for f in folders[at:at + 500])
+            self.spark.sql(f"ALTER TABLE {_q(self.name(table))} DROP IF EXISTS {specs}")
+
+    def swap_partitions(self, table: str, path: str, partition_by, drop=()) -> None:
+        """Point the partitions found under ``path`` at it, after dropping
+        those of ``drop`` that it does not hold; all others stay."""
+        new = self._folders_of(path, table, partition_by)
+        here = set(self.partitions(table))
+        self.drop_partitions(table, [f for f in drop if f not in new])
+        name = _q(self.name(table))
+        for f in new:
+            spec, at = _partition_spec(f), f"{path}/{f}"
+            if f in here:
+                self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{at}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{at}'")
+        self.spark.catalog.refreshTable(self.name(table))
+
+    def _folders_of(self, path: str, table: str, partition_by) -> list[str]:
+        """Partition folders of a version that no table points at, listed through a passing table."""
+        probe = f"{table}__listing_{uuid.uuid4().hex[:8]}"
+        schema = self.spark.read.schema(self.read(table).schema).parquet(path).schema
+        self._create(self.name(probe), path, schema, partition_by)
+        try:
+            return self.partitions(probe)
+        finally:
+            self.spark.sql(f"DROP TABLE {_q(self.name(probe))}")
 
-    def _schema_changed(self, table: str, df: DataFrame) -> bool:
-        current = [(f.name.lower(), f.dataType.simpleString()) for f in self.read(table).schema]
-        new = [(f.name.lower(), f.dataType.simpleString()) for f in df.schema]
-        return current != new
+    def _schema_changed(self, table: str, schema) -> bool:
+        current = {(f.name.lower(), f.dataType.simpleString()) for f in self.read(table).schema}
+        return current != {(f.name.lower(), f.dataType.simpleString()) for f in schema}
 
-    def _create(self, name, path, schema, partition_by=(), repair: bool = True):
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    def _create(self, name, path, schema, partition_by=(), repair: bool = True, lengths=None):
+        kinds = {c: f"varchar({n})" for c, n in (lengths or {}).items()}
+        cols = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in schema.fields)
         part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" \
             if partition_by else ""
         self.spark.sql(f"CREATE TABLE {_q(name)} ({cols}) USING parquet{part} LOCATION '{path}'")
@@ -121,20 +201,19 @@ class Warehouse:
         if not self.exists(table):
             self._create(self.name(table), self._version_path(table), like.schema)
 
+    def text_lengths(self, table: str) -> dict[str, int]:
+        """Declared ``varchar(n)`` lengths of a table's columns."""
+        rows = self.spark.sql(f"DESCRIBE TABLE {_q(self.name(table))}").collect()
+        found = {r["col_name"]: re.fullmatch(r"varchar\((\d+)\)", r["data_type"] or "") for r in rows}
+        return {c: int(m[1]) for c, m in found.items() if m}
+
     def partition_columns(self, table: str) -> list[str]:
         return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
 
     def partition_values(self, table: str, column: str) -> list[int]:
-        """Integer values of a partition column, from the catalog's partition
-        list (``SHOW PARTITIONS``): no data file is opened, whatever the
-        table size."""
-        out = []
-        for (spec,) in self.spark.sql(f"SHOW PARTITIONS {_q(self.name(table))}").collect():
-            for part in spec.split("/"):
-                k, _, v = part.partition("=")
-                if k == column and v != "__HIVE_DEFAULT_PARTITION__":
-                    out.append(int(v))
-        return sorted(set(out))
+        """Integer values of a partition column, from the catalog."""
+        values = (_partition_values(f).get(column) for f in self.partitions(table))
+        return sorted({int(v) for v in values if v is not None})
 
     def add_column_if_missing(self, table: str, column: str, dtype: str) -> bool:
         if column.lower() in [c.lower() for c in self.columns(table)]:
@@ -148,7 +227,8 @@ def align_by_name(df: DataFrame, target_schema, allow_missing: bool = False,
                   allow_extra: bool = False) -> DataFrame:
     """Select the target's columns by name (case-insensitive), cast to the
     target types; missing or extra source columns are an error unless
-    allowed (missing ones then become typed NULLs)."""
+    allowed (missing ones then become typed NULLs).  A value that does not
+    fit its type becomes NULL; ``loss_counts`` tells how many."""
     src = {c.lower(): c for c in df.columns}
     tgt = [f.name.lower() for f in target_schema.fields]
     missing = [f.name for f in target_schema.fields if f.name.lower() not in src]
@@ -161,37 +241,102 @@ def align_by_name(df: DataFrame, target_schema, allow_missing: bool = False,
         for f in target_schema.fields])
 
 
-# -- modes ------------------------------------------------------------------------------------
-def _empty_guard(df: DataFrame, wh: Warehouse, table: str, mode: str, on_empty: str):
-    if on_empty not in ("keep", "truncate"):
-        raise ValueError("on_empty must be 'keep' or 'truncate'")
-    if on_empty == "keep" and df.isEmpty():
+def loss_counts(df: DataFrame, target_schema, lengths: dict[str, int]) -> dict:
+    """Aggregates by name of a target column: source values that its type
+    turns into NULL, plus texts over its declared length."""
+    src = {c.lower(): c for c in df.columns}
+    out = {}
+    for f in target_schema.fields:
+        if f.name.lower() not in src:
+            continue
+        c = F.col(src[f.name.lower()])
+        lost = c.isNotNull() & c.try_cast(f.dataType).isNull()
+        if f.name in lengths:
+            lost = lost | (F.length(c.try_cast("string")) > lengths[f.name])
+        out[f.name] = F.count_if(lost)
+    return out
+
+
+@dataclass
+class Staged:
+    """A source after its one evaluation: the files, and what was observed."""
+    path: str
+    rows: int
+    losses: dict
+    schema: object
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
+
+
+def stage(df: DataFrame, wh: Warehouse, table: str, target_schema=None, partition_by=(),
+          missing: str = "error") -> Staged:
+    """Write the source, aligned to ``target_schema`` if given, and count in
+    passing.  Target columns that the source lacks are an ``error``, left out
+    (``drop``) or ``null``."""
+    seen = Observation()
+    counts = {} if target_schema is None else loss_counts(df, target_schema, wh.text_lengths(table))
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(f"lost {n}") for n, c in counts.items()])
+    if target_schema is not None:
+        watched = align_by_name(watched, target_schema, missing != "error")
+        if missing == "drop":
+            own = {c.lower() for c in df.columns}
+            watched = watched.select(*[c for c in watched.columns if c.lower() in own])
+    path = wh.write_version(watched, table, partition_by)
+    got = seen.get
+    losses = {n: got[f"lost {n}"] for n in counts if got.get(f"lost {n}")}
+    return Staged(path, int(got.get("rows") or 0), losses, watched.schema)
+
+
+def _check(staged: Staged, wh: Warehouse, table: str, mode: str, on_empty: str, on_loss: str):
+    """Result of a load that stops here, if it does."""
+    if staged.rows == 0 and on_empty == "keep":
         return LoadResult(table, mode, "skipped_empty", 0)
+    if staged.losses and on_loss == "raise":
+        raise LoadError(f"{wh.name(table)}: values do not fit the declared columns: {staged.losses}")
     return None
 
 
+def _options(on_empty: str, on_loss: str = "raise") -> None:
+    if on_empty not in ("keep", "truncate"):
+        raise ValueError("on_empty must be 'keep' or 'truncate'")
+    if on_loss not in ("raise", "report"):
+        raise ValueError("on_loss must be 'raise' or 'report'")
+
+
+# -- modes ------------------------------------------------------------------------------------
 def load_full_replace(df: DataFrame, wh: Warehouse, table: str,
                       on_empty: str = "keep") -> LoadResult:
     """Replace rows and schema of ``table`` (created if absent)."""
-    skipped = _empty_guard(df, wh, table, "replace", on_empty)
-    if skipped:
-        return skipped
-    wh.publish(df, table, replace_schema=True)
-    return LoadResult(table, "replace", "loaded")
+    _options(on_empty)
+    parts = [c for c in wh.partition_columns(table) if c in df.columns] if wh.exists(table) else []
+    staged = stage(df, wh, table, partition_by=parts)
+    stop = _check(staged, wh, table, "replace", on_empty, "raise")
+    if stop:
+        return stop
+    wh.point_at(table, staged.path, df.schema, parts, replace_schema=True)
+    return LoadResult(table, "replace", "loaded", staged.rows)
 
 
-def load_truncate_insert(df: DataFrame, wh: Warehouse, table: str,
-                         on_empty: str = "keep") -> LoadResult:
-    """Replace the rows of an existing table, keeping its schema; columns are
-    matched by name.  A missing target is an error."""
+def _existing(wh: Warehouse, table: str) -> None:
     if not wh.exists(table):
         raise LoadError(f"table {wh.name(table)} does not exist; create it first")
-    skipped = _empty_guard(df, wh, table, "truncate_insert", on_empty)
-    if skipped:
-        return skipped
-    aligned = align_by_name(df, wh.read(table).schema)
-    wh.publish(aligned, table)
-    return LoadResult(table, "truncate_insert", "loaded")
+
+
+def load_truncate_insert(df: DataFrame, wh: Warehouse, table: str, on_empty: str = "keep",
+                         on_loss: str = "raise") -> LoadResult:
+    """Replace the rows of an existing table, keeping its schema; columns are
+    matched by name.  A missing target is an error, and so (unless
+    ``on_loss='report'``) is a value that does not fit its column."""
+    _options(on_empty, on_loss)
+    _existing(wh, table)
+    schema, parts = wh.read(table).schema, wh.partition_columns(table)
+    staged = stage(df, wh, table, schema, parts)
+    stop = _check(staged, wh, table, "truncate_insert", on_empty, on_loss)
+    if stop:
+        return stop
+    wh.point_at(table, staged.path, schema, parts)
+    return LoadResult(table, "truncate_insert", "loaded", staged.rows, staged.losses)
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -253,68 +398,87 @@ def latest_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
     return best.unionByName(df.where(~nonnull)).select(*df.columns)
 
 
-def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys,
-                on_empty: str = "keep", dedupe_order: str | None = None) -> LoadResult:
+def replace_keys_frame(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """Target rows whose key the source does not hold, plus all source rows
+    (missing columns NULL).  NULL key parts equal each other here, so loading
+    a source twice is the same as loading it once."""
+    held = source.select(*[F.col(k).alias(f"s__{k}") for k in keys]).distinct()
+    cond = reduce(lambda a, b: a & b, [target[k].eqNullSafe(held[f"s__{k}"]) for k in keys])
+    return target.join(held, cond, "left_anti").unionByName(
+        align_by_name(source, target.schema, allow_missing=True))
+
+
+def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge) -> LoadResult:
+    """Stage the source, let ``prepare`` check or reduce it, and publish what
+    ``merge`` makes of target and source: whole, or (partition columns among
+    the keys) the touched partitions only."""
+    _options(on_empty, on_loss)
+    if not keys:
+        raise LoadError(f"no key declared for {table}")
+    _existing(wh, table)
+    target = wh.read(table)
+    extra = [c for c in df.columns if c.lower() not in [t.lower() for t in target.columns]]
+    if extra:
+        raise LoadError(f"source columns missing in target: {extra}")
+    staged = stage(df, wh, table, target.schema, missing="drop")
+    stop = _check(staged, wh, table, mode, on_empty, on_loss)
+    if stop:
+        return stop
+    source = prepare(staged.read(wh.spark))
+    parts = wh.partition_columns(table)
+    touched = None
+    if parts and set(parts) <= set(keys):
+        touched = source.select(*parts).distinct().limit(MAX_TOUCHED + 1).collect()
+    if touched and len(touched) <= MAX_TOUCHED:
+        # literal values, so the scan is pruned to these partitions
+        hit = reduce(lambda a, b: a | b, [
+            reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(r[p])) for p in parts]) for r in touched]) \
+            if len(parts) > 1 or any(r[parts[0]] is None for r in touched) else F.col(parts[0]).isin([r[0] for r in touched])
+        merged = merge(target.where(hit), source, keys).select(*target.columns)
+        wh.swap_partitions(table, wh.write_version(merged, table, parts), parts)
+    else:
+        wh.publish(merge(target, source, keys).select(*target.columns), table)
+    return LoadResult(table, mode, "loaded", staged.rows, staged.losses)
+
+
+def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str = "keep",
+                dedupe_order: str | None = None, on_loss: str = "raise") -> LoadResult:
     """Keyed upsert.  Source keys must be unique: a duplicate is an error,
     never a silent pick, unless ``dedupe_order`` names the column whose
     largest value wins.  A failure raises and leaves the target as it was --
     never an overwrite with the delta.  On a table partitioned by key
-    columns only the touched partitions are rewritten."""
-    if not keys:
-        raise LoadError(f"no key declared for {table}")
-    if not wh.exists(table):
-        raise LoadError(f"table {wh.name(table)} does not exist; create it first")
-    skipped = _empty_guard(df, wh, table, "upsert", on_empty)
-    if skipped:
-        return skipped
-    if dedupe_order is not None:
-        df = latest_per_key(df, keys, dedupe_order)
-    elif not duplicate_keys(df, keys).isEmpty():
-        raise LoadError(f"source keys {list(keys)} are not unique for {table}")
-    pcols = wh.partition_columns(table)
-    if pcols and set(pcols) <= set(keys):
-        _upsert_touched_partitions(df, wh, table, keys, pcols)
-        return LoadResult(table, "upsert", "loaded")
-    merged = upsert_frame(wh.read(table), df, keys)
-    wh.publish(merged, table)
-    return LoadResult(table, "upsert", "loaded")
-
-
-def _upsert_touched_partitions(df: DataFrame, wh: Warehouse, table: str, keys, pcols) -> None:
-    """Upsert into a partitioned table whose partition columns are part of
-    the key: only the partitions the source touches are read (semi join on
-    the distinct partition values, pruned at the scan) and rewritten
-    (dynamic partition overwrite); every other partition stays as it is --
-    a delta for one tenant or one month never rewrites the whole table.
-    The merged partitions are staged first, so the overwrite never reads the
-    files it replaces."""
-    spark = wh.spark
-    target = wh.read(table)
-    touched = df.select(*pcols).distinct()
-    merged = upsert_frame(target.join(touched, on=pcols, how="left_semi"), df, keys)
-    stage = wh._version_path(f"{table}__stage")
-    merged.write.mode("errorifexists").parquet(stage)
-    staged = spark.read.parquet(stage).select(*target.columns)
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        staged.write.insertInto(wh.name(table), overwrite=True)
-    finally:
-        spark.conf.set(key, before)
-    spark.catalog.refreshTable(wh.name(table))
+    columns only the touched partitions are read and written."""
+    def prepare(source):
+        if dedupe_order is not None:
+            return latest_per_key(source, keys, dedupe_order)
+        if not duplicate_keys(source, keys).isEmpty():
+            raise LoadError(f"source keys {list(keys)} are not unique for {table}")
+        return source
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare, upsert_frame)
+
+
+def load_replace_keys(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str = "keep",
+                      on_loss: str = "raise") -> LoadResult:
+    """Incremental load of a table whose declared key is not unique at its
+    grain: all rows of the source's keys are replaced by the source's rows."""
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, replace_keys_frame)
 
 
 def load(df: DataFrame, wh: Warehouse, table: str, mode: str = "full", keys=(),
-         create_or_replace: bool = False, on_empty: str = "keep") -> LoadResult:
+         create_or_replace: bool = False, on_empty: str = "keep", unique: bool = True,
+         dedupe_order: str | None = None, on_loss: str = "raise") -> LoadResult:
     """Dispatch like the original loader: ``full`` = replace when
-    ``create_or_replace`` else truncate+insert; ``incremental`` = upsert."""
+    ``create_or_replace`` else truncate+insert; ``incremental`` = upsert, or
+    replacement by key where the key is not ``unique`` and no ``dedupe_order``
+    picks one row."""
     if mode == "full":
         if create_or_replace:
             return load_full_replace(df, wh, table, on_empty)
-        return load_truncate_insert(df, wh, table, on_empty)
+        return load_truncate_insert(df, wh, table, on_empty, on_loss)
     if mode == "incremental":
-        return load_upsert(df, wh, table, keys, on_empty)
+        if unique or dedupe_order is not None:
+            return load_upsert(df, wh, table, keys, on_empty, dedupe_order, on_loss)
+        return load_replace_keys(df, wh, table, keys, on_empty, on_loss)
     raise ValueError(f"unknown mode {mode!r}")
 
 

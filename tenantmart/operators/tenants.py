@@ -3,10 +3,16 @@
 The registry holds one row per tenant schema -- metadata, bounded by the
 number of tenants -- so the id assignment may use a single-partition
 window.  Tenant *data* never goes through such a window: the merge is one
-plan over all tenants (by-name union, anti-join on the tenants already
-merged, append into a table partitioned by ``id_client``), written with a
-salted repartition so a tenant holding a third of the rows is spread over
-several tasks and files.
+plan over the tenants not merged yet (by-name union), written to a folder of
+its own and then added to the central table as partitions.
+
+The central table is partitioned by (``source_tenant``, ``id_client``): the
+tenant a row came from, and the id it carries.  Usually they agree, but a
+source may bring ids of its own, even another tenant's.  The catalog's list of
+``source_tenant`` partitions is the ledger of what is merged: a slice becomes
+visible and recorded in one step, a run that dies before it has changed
+nothing, and a refresh drops exactly what the same source brought before.
+``merged_rows`` reads the table without the ledger column.
 """
 
 from __future__ import annotations
@@ -17,13 +23,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .load import Warehouse
+from .load import LoadError, Warehouse, stage
 
 REGISTRY_SCHEMA = ("id_client int, client_name string, database_name string, "
                    "schema_name string, status string, created_at timestamp")
 # Schemas never registered as tenants.
 SYSTEM_SCHEMAS = ("INFORMATION_SCHEMA", "ACCOUNT_USAGE")
 TENANT_COLUMN = "id_client"
+SOURCE_COLUMN = "source_tenant"
 
 
 def catalog_schemas(spark, pattern: str | None = None, exclude=SYSTEM_SCHEMAS) -> DataFrame:
@@ -118,62 +125,58 @@ class MergeReport:
     skipped: list
 
 
+def merged_tenants(central: Warehouse, table: str) -> list[int]:
+    """Source tenants already merged into a central table (catalog metadata)."""
+    return central.partition_values(table, SOURCE_COLUMN) if central.exists(table) else []
+
+
+def merged_rows(central: Warehouse, table: str) -> DataFrame:
+    """The central table as its users see it."""
+    return central.read(table).drop(SOURCE_COLUMN)
+
+
 def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
-                  salt_buckets: int = 8, refresh: bool = False) -> MergeReport:
-    """Append every tenant's ``table`` into the central ``table``,
-    partitioned by ``id_client``.
-
-    Tenants whose id is already present are skipped (or, with ``refresh``,
-    their partitions are overwritten).  Sources are unioned by name; a
-    column one tenant lacks is NULL for it; a source that already carries
-    ``id_client`` keeps its values.  A column new to the central table is
-    added to it first.
+                  refresh: bool = False) -> MergeReport:
+    """Append every tenant's ``table`` into the central ``table``.
+
+    Tenants merged before are skipped and their plans left out altogether
+    (or, with ``refresh``, what they brought before is replaced).  Sources are
+    unioned by name; a column one tenant lacks is NULL for it; a source that
+    already carries ``id_client`` keeps its values.  A column new to the
+    central table is added to it first.  The write is rebalanced, so a tenant
+    holding a third of the rows is spread over tasks and files.
     """
-    if not slices:
-        return MergeReport(table, [], [])
-    tagged = []
-    for tid, df in slices.items():
-        t = tag_tenant_default(df, tid).withColumn("_tenant", F.lit(tid).cast("int"))
-        tagged.append(t)
+    done = set(merged_tenants(central, table))
+    merged = [t for t in slices if refresh or t not in done]
+    skipped = [t for t in slices if t not in merged]
+    if not merged:
+        return MergeReport(table, merged, skipped)
+    parts = (SOURCE_COLUMN, TENANT_COLUMN)
+    tagged = [tag_tenant_default(slices[t], t).withColumn(SOURCE_COLUMN, F.lit(t).cast("int")) for t in merged]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    name = central.name(table)
-
     if not central.exists(table):
-        first = union.drop("_tenant")
-        cols = [c for c in first.columns if c != TENANT_COLUMN] + [TENANT_COLUMN]
-        central._create(name, central._version_path(table), first.select(*cols).schema,
-                        (TENANT_COLUMN,), repair=False)
-    target_cols = central.columns(table)
+        cols = [c for c in union.columns if c not in parts] + list(parts)
+        central._create(central.name(table), central._version_path(table), union.select(*cols).schema,
+                        parts, repair=False)
     for f in union.schema.fields:
-        if f.name not in target_cols and f.name != "_tenant":
-            central.add_column_if_missing(table, f.name, f.dataType.simpleString())
+        central.add_column_if_missing(table, f.name, f.dataType.simpleString())
     target = central.read(table)
-    target_cols = target.columns
-
-    done_ids = central.partition_values(table, TENANT_COLUMN)
-    todo = union if refresh else union.where(~F.col("_tenant").isin(done_ids))
-    skipped = [] if refresh else [t for t in slices if t in done_ids]
-    merged = [t for t in slices if refresh or t not in done_ids]
-    if not merged:
-        return MergeReport(table, merged, skipped)
-    out = todo.select(*[
-        (F.col(c).cast(target.schema[c].dataType) if c in todo.columns
-         else F.lit(None).cast(target.schema[c].dataType)).alias(c) for c in target_cols],
-        "_tenant")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in target_cols]), F.lit(salt_buckets))
-    out = out.repartition(TENANT_COLUMN, salt).drop("_tenant")
-    conf = central.spark.conf
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key, "static")
-    conf.set(key, "dynamic")          # refresh replaces only the merged tenants' partitions
-    try:
-        out.write.insertInto(name, overwrite=refresh)
-    finally:
-        conf.set(key, before)
-    central.spark.catalog.refreshTable(name)
+    staged = stage(union.hint("rebalance", *parts), central, table, target.schema, parts, missing="null")
+    if staged.losses:
+        raise LoadError(f"{central.name(table)}: values do not fit the central columns: {staged.losses}")
+    brought = [f for f in central.partitions(table) if refresh and _source_of(f) in merged]
+    central.swap_partitions(table, staged.path, parts, drop=brought)
     return MergeReport(table, merged, skipped)
 
 
+def _source_of(folder: str) -> int | None:
+    for part in folder.split("/"):
+        k, _, v = part.partition("=")
+        if k == SOURCE_COLUMN:
+            return int(v)
+    return None
+
+
 # -- whole-schema steps -------------------------------------------------------------------------
 def tag_tables(wh: Warehouse, id_client: int, tables, only_if_missing: bool = False) -> dict:
     """Tag every listed table of a tenant schema with its id (a staged
@@ -202,7 +205,7 @@ def tag_tables_from_registry(wh: Warehouse, registry: DataFrame, database_name:
     return tag_tables(wh, tenant_id_of(registry, database_name), tables, only_if_missing)
 
 
-def merge_schemas(central: Warehouse, tenants: dict, tables) -> list[tuple]:
+def merge_schemas(central: Warehouse, tenants: dict, tables, refresh: bool = False) -> list[tuple]:
     """Central merge of several tables: for each table, the tenants that have
     it are merged (``merge_tenants``); a tenant lacking the table is a
     reported skip, never an abort.  ``tenants``: id -> tenant ``Warehouse``.
@@ -215,7 +218,7 @@ def merge_schemas(central: Warehouse, tenants: dict, tables) -> list[tuple]:
                 slices[tid] = wh.read(t)
             else:
                 report.append((t, tid, "missing"))
-        res = merge_tenants(central, t, slices)
-        report += [(t, tid, "merged") for tid in res.merged]
+        res = merge_tenants(central, t, slices, refresh=refresh)
+        report += [(t, tid, "refreshed" if refresh else "merged") for tid in res.merged]
         report += [(t, tid, "skipped") for tid in res.skipped]
     return report

@@ -6,7 +6,7 @@ how the session is configured and where durable intermediate data lives.
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,18 +63,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; a folder of our own is
-    set only when the setting is absent (local tests).
+    A folder of our own is set only in ``local`` mode, where driver and
+    executors are one process; a cluster without the setting is an error,
+    because executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback or os.path.join(
-        os.environ.get("TMPDIR", "/tmp"), "tenantmart-checkpoints")
+    target = spark.conf.get("spark.checkpoint.dir", None)
+    if not target:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        target = fallback or tempfile.mkdtemp(prefix="tenantmart-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 

@@ -113,3 +113,92 @@ def test_upsert_rewrites_only_touched_partitions(spark, wh):
     assert rows == [(1, 1, "A"), (1, 2, "c"), (1, 3, "new"), (2, 1, "b")]
     assert {r.k for r in wh.read("p").where("id_client = 2").collect()} == before
     assert wh.partition_columns("p") == ["id_client"]
+
+
+def _partitioned(spark, wh):
+    wh.publish(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", None)], "k int, v string, p string"),
+               "p", partition_by=("p",))
+
+
+def test_every_mode_keeps_a_partitioned_table_whole(spark, wh):
+    """Partition column outside the key: the whole table is rewritten, every partition with it."""
+    _partitioned(spark, wh)
+    L.load_upsert(spark.createDataFrame([(1, "A", "y"), (4, "d", "it's/50%")], "k int, v string, p string"), wh, "p", ["k"])
+    assert _rows(wh.read("p").select("k", "v", "p")) == _rows(spark.createDataFrame(
+        [(1, "A", "y"), (2, "b", "y"), (3, "c", None), (4, "d", "it's/50%")], "k int, v string, p string"))
+    L.load_truncate_insert(spark.createDataFrame([("q", 9, "n")], "p string, k int, v string"), wh, "p")
+    assert _rows(wh.read("p").select("k", "v", "p")) == [(9, "n", "q")] and wh.partition_columns("p") == ["p"]
+    L.load_full_replace(spark.createDataFrame([("q", 8, 1.0), ("r", 9, 2.0)], "p string, k int, w double"), wh, "p")
+    assert _rows(wh.read("p").select("k", "w", "p")) == [(8, 1.0, "q"), (9, 2.0, "r")] and wh.partition_columns("p") == ["p"]
+    L.load_truncate_insert(spark.createDataFrame([], "p string, k int, w double"), wh, "p", on_empty="truncate")
+    assert wh.read("p").count() == 0
+
+
+def test_upsert_scans_only_touched_partitions(spark, wh):
+    wh.publish(spark.range(20).selectExpr("id AS k", "id * 10 AS v", "cast(id % 20 as int) AS p"), "t", partition_by=("p",))
+    seen = []
+    keep = L.upsert_frame
+
+    def spy(target, source, keys):
+        seen.append(target._jdf.queryExecution().executedPlan().toString())
+        return keep(target, source, keys)
+    L.upsert_frame = spy
+    try:
+        L._load_keyed(spark.createDataFrame([(3, -1, 3), (99, -2, 3)], "k long, v long, p int"), wh, "t", ["k", "p"], "keep", "raise", "upsert", lambda s: s, spy)
+    finally:
+        L.upsert_frame = keep
+    assert "PartitionFilters: [isnotnull(p" in seen[0] or "PartitionFilters: [(p" in seen[0]
+    assert wh.read("t").count() == 21 and wh.read("t").where("v < 0").count() == 2
+
+
+def test_null_partition_is_touched_too(spark, wh):
+    _partitioned(spark, wh)
+    L.load_replace_keys(spark.createDataFrame([(3, "C", None), (3, "CC", None)], "k int, v string, p string"), wh, "p", ["k", "p"])
+    assert _rows(wh.read("p").select("k", "v")) == [(1, "a"), (2, "b"), (3, "C"), (3, "CC")]
+
+
+def test_lost_values_raise_or_are_reported(spark, wh):
+    wh.publish(spark.createDataFrame([(1,)], "k int"), "t")
+    bad = spark.createDataFrame([("abc",), ("2",), (None,)], "k string")
+    with pytest.raises(L.LoadError, match="'k': 1"):
+        L.load_truncate_insert(bad, wh, "t")
+    assert _rows(wh.read("t")) == [(1,)]
+    res = L.load_truncate_insert(bad, wh, "t", on_loss="report")
+    assert res.losses == {"k": 1} and res.rows == 3
+    assert _rows(wh.read("t")) == [(None,), (None,), (2,)]
+
+
+def test_over_long_text_raises(spark, wh):
+    path = wh._version_path("v")
+    spark.sql(f"CREATE TABLE {wh.name('v')} (a varchar(3)) USING parquet LOCATION '{path}'")
+    with pytest.raises(L.LoadError):
+        L.load_truncate_insert(spark.createDataFrame([("1234567",)], "a string"), wh, "v")
+    assert L.load_truncate_insert(spark.createDataFrame([("123",)], "a string"), wh, "v").rows == 1
+    with pytest.raises(L.LoadError):
+        L.load_upsert(spark.createDataFrame([("1234567",)], "a string"), wh, "v", ["a"])
+    L.load_upsert(spark.createDataFrame([("abc",)], "a string"), wh, "v", ["a"])
+    assert wh.text_lengths("v") == {"a": 3} and _rows(wh.read("v")) == [("123",), ("abc",)]
+
+
+@pytest.mark.parametrize("mode", ["replace", "truncate", "upsert", "keys"])
+def test_source_is_evaluated_once(spark, wh, mode):
+    wh.publish(spark.createDataFrame([(1, 1)], "k long, v long"), "t")
+    acc = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            acc.add(len(b))
+            yield b
+    src = spark.range(50).selectExpr("id AS k", "id AS v").mapInPandas(count, "k long, v long")
+    {"replace": lambda: L.load_full_replace(src, wh, "t"), "truncate": lambda: L.load_truncate_insert(src, wh, "t"),
+     "upsert": lambda: L.load_upsert(src, wh, "t", ["k"]), "keys": lambda: L.load_replace_keys(src, wh, "t", ["k"])}[mode]()
+    assert acc.value == 50 and wh.read("t").count() == 50
+
+
+def test_replace_keys_twice_is_once(spark, wh):
+    wh.publish(spark.createDataFrame([(1, "old"), (2, "keep"), (None, "old")], "k int, v string"), "t")
+    src = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "n")], "k int, v string")
+    for _ in range(2):
+        L.load_replace_keys(src, wh, "t", ["k"])
+        assert _rows(wh.read("t")) == _rows(spark.createDataFrame(
+            [(1, "a"), (1, "a"), (1, "b"), (None, "n"), (2, "keep")], "k int, v string"))

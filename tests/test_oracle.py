@@ -5,10 +5,11 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from tenantmart import registry
 
 from conftest import SF_SMALL
 
-ORACLES = E.oracle_sql()
+ORACLES = registry.oracle_sql()
 
 
 def _norm(v):
@@ -27,7 +28,8 @@ def _rows(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLES)
+    assert set(registry.QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

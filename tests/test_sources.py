@@ -1,12 +1,8 @@
 import uuid
 
-from pyspark.sql import functions as F
-
 from tenantmart.operators.load import Warehouse
 from tenantmart.operators.tenants import catalog_schemas
-from tenantmart.session import scratch_path
 from tenantmart.sources import JdbcPartitioning, JdbcSource, ParquetSource
-from tenantmart.streaming import start_tenant_merge_stream
 
 from conftest import SF_SMALL
 
@@ -30,21 +26,3 @@ def test_catalog_schema_listing(spark):
     Warehouse(spark, name)
     got = [r.schema_name for r in catalog_schemas(spark, "ten\\_%").collect()]
     assert name in got
-
-
-def test_streaming_merge_of_tenant_drops(spark):
-    drops = scratch_path(spark, "drops")
-    rows = [(1, "a", 1), (2, "b", 1), (3, "c", 2)]
-    df = spark.createDataFrame(rows, "k int, v string, _tenant int")
-    df.write.parquet(drops)
-    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:8]}")
-    q = start_tenant_merge_stream(spark, drops, df.schema, central, "t")
-    q.awaitTermination(120)
-    out = central.read("t")
-    assert sorted((r.k, r.id_client) for r in out.collect()) == [(1, 1), (2, 1), (3, 2)]
-    # the same drop again: both tenants are already merged, nothing is appended
-    df.write.mode("append").parquet(drops)
-    q2 = start_tenant_merge_stream(spark, drops, df.schema, central, "t")
-    q2.awaitTermination(120)
-    assert central.read("t").count() == 3
-    assert out.where(F.col("id_client") == 2).count() == 1

@@ -1,6 +1,7 @@
 import datetime as dt
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tenantmart.operators import tenants as T
@@ -60,7 +61,7 @@ def test_merge_is_incremental(spark):
     assert r1.merged == [1]
     r2 = T.merge_tenants(central, "t", {1: a, 2: b, 3: c})
     assert r2.skipped == [1] and r2.merged == [2, 3]
-    rows = sorted((tuple(r) for r in central.read("t").collect()),
+    rows = sorted((tuple(r) for r in T.merged_rows(central, "t").collect()),
                   key=lambda r: tuple((x is not None, x if x is not None else "") for x in r))
     assert rows == [(1, "x", 1), (2, "y", 1), (3, None, 2), (4, "z", 40)]
     r3 = T.merge_tenants(central, "t", {1: a, 2: b})
@@ -68,6 +69,52 @@ def test_merge_is_incremental(spark):
     assert T.tenant_view(central.read("t"), 2).count() == 1
 
 
+def test_merge_ledger_is_by_source(spark):
+    """A source with ids of its own is merged once, also when they are
+    another tenant's; a refresh replaces what the same source brought."""
+    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:10]}")
+    own = spark.createDataFrame([(1, 77)], "k int, id_client int")
+    clash = spark.createDataFrame([(2, 2), (3, None)], "k int, id_client int")    # tenant 1 writes id 2
+    two = spark.createDataFrame([(4,)], "k int")
+    for _ in range(2):
+        T.merge_tenants(central, "t", {5: own})
+        T.merge_tenants(central, "t", {1: clash})
+        T.merge_tenants(central, "t", {1: clash, 2: two, 5: own})
+    rows = sorted(tuple(r) for r in T.merged_rows(central, "t").fillna(-1).collect())
+    assert rows == [(1, 77), (2, 2), (3, -1), (4, 2)]
+    assert T.merged_tenants(central, "t") == [1, 2, 5]
+    T.merge_tenants(central, "t", {1: spark.createDataFrame([(9, 4)], "k int, id_client int")}, refresh=True)
+    rows = sorted(tuple(r) for r in T.merged_rows(central, "t").collect())
+    assert rows == [(1, 77), (4, 2), (9, 4)]
+
+
+def test_merge_raises_on_lost_values(spark):
+    from tenantmart.operators.load import LoadError
+    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:10]}")
+    T.merge_tenants(central, "t", {1: spark.createDataFrame([(1,)], "k int")})
+    with pytest.raises(LoadError):
+        T.merge_tenants(central, "t", {2: spark.createDataFrame([("abc",)], "k string")})
+    assert T.merged_rows(central, "t").count() == 1 and T.merged_tenants(central, "t") == [1]
+
+
+def test_refresh_through_merge_schemas(spark):
+    t1, central = (Warehouse(spark, f"{n}_{uuid.uuid4().hex[:8]}") for n in "tc")
+    t1.publish(spark.createDataFrame([(1,), (2,)], "k int"), "x")
+    T.merge_schemas(central, {1: t1}, ["x"])
+    t1.publish(spark.createDataFrame([(3,)], "k int"), "x")
+    assert T.merge_schemas(central, {1: t1}, ["x"]) == [("x", 1, "skipped")]
+    assert T.merge_schemas(central, {1: t1}, ["x"], refresh=True) == [("x", 1, "refreshed")]
+    assert [r.k for r in T.merged_rows(central, "x").collect()] == [3]
+
+
+def test_tag_tables_keeps_partitioning(spark):
+    wh = Warehouse(spark, f"t_{uuid.uuid4().hex[:8]}")
+    wh.publish(spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string"), "x", partition_by=("p",))
+    T.tag_tables(wh, 6, ["x"])
+    assert wh.partition_columns("x") == ["p"]
+    assert sorted((r.k, r.p, r.id_client) for r in wh.read("x").collect()) == [(1, "a", 6), (2, "b", 6)]
+
+
 def test_merge_refresh_overwrites_only_that_tenant(spark):
     central = Warehouse(spark, f"c_{uuid.uuid4().hex[:10]}")
     a = spark.createDataFrame([(1, "x")], "k int, v string")
@@ -76,7 +123,7 @@ def test_merge_refresh_overwrites_only_that_tenant(spark):
     assert central.partition_values("t", "id_client") == [1, 2]
     a2 = spark.createDataFrame([(10, "x2"), (11, "x3")], "k int, v string")
     T.merge_tenants(central, "t", {1: a2}, refresh=True)
-    rows = sorted((r.k, r.id_client) for r in central.read("t").collect())
+    rows = sorted((r.k, r.id_client) for r in T.merged_rows(central, "t").collect())
     assert rows == [(2, 2), (10, 1), (11, 1)]
 
 
@@ -101,6 +148,6 @@ def test_tag_tables_and_merge_schemas(spark):
     rep = T.merge_schemas(central, {1: t1, 2: t2}, ["x", "y"])
     assert sorted(rep) == [("x", 1, "merged"), ("x", 2, "merged"), ("y", 1, "missing"),
                            ("y", 2, "merged")]
-    assert sorted((r.k, r.id_client) for r in central.read("x").collect()) == [(1, 1), (2, 2)]
+    assert sorted((r.k, r.id_client) for r in T.merged_rows(central, "x").collect()) == [(1, 1), (2, 2)]
     again = T.merge_schemas(central, {1: t1, 2: t2}, ["x"])
     assert sorted(again) == [("x", 1, "skipped"), ("x", 2, "skipped")]
