@@ -31,16 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import take
+from .common import map_arrow, take
 
 #: Fixed value: the word pattern of the tokenizer file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The same for lower-case ASCII texts, without Unicode classes.
 ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+"
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 400_000
+WORDS_KEPT = 300_000
+PAIRS_KEPT = 300_000
 #: Ids in one output batch.
-BATCH_IDS = 400_000
+BATCH_IDS = 200_000
 FINAL = 0xE000      # private-use block for a word's last byte
 
 
@@ -249,14 +249,16 @@ def id_lists(lists: list[list[int]], kind: str):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
-           by_library: bool = False, end_id: int | None = None) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", by_library: bool = False,
+           end_id: int | None = None, decoded: str | None = None) -> DataFrame:
     """``df`` (its columns but the text) with an ``array<int>`` column of token ids.
 
-    ``end_id`` is appended to every row's ids when given.
+    ``end_id`` is appended to every row's ids when given.  ``decoded`` names a
+    column for the text that the ids decode to, for a round trip in one pass.
     """
     keep = [f for f in df.schema.fields if f.name != text]
-    schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    more = [T.StructField(decoded, T.StringType())] if decoded else []
+    schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType())), *more])
     tail = [] if end_id is None else [end_id]
 
     def run(batches):
@@ -271,12 +273,11 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
                 lists.append(own.encode(texts[i].as_py()) + tail)
                 n += len(lists[-1])
                 if n >= BATCH_IDS or i + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(c.slice(done, len(lists)) for c in rest), id_lists(lists, "int32")],
-                        names=[*(f.name for f in keep), ids])
+                    back = [pa.array(list(map(own.decode, lists)), pa.string())] if decoded else []
+                    yield pa.RecordBatch.from_arrays([*(c.slice(done, len(lists)) for c in rest), id_lists(lists, "int32"), *back], names=schema.names)
                     done, lists, n = i + 1, [], 0
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -288,16 +289,15 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
         own = codec(path, True)
         for batch in batches:
-            values = batch.column(ids)
-            texts = [own.decode(v.values.to_pylist()) if v.is_valid else "" for v in values]
+            texts = [own.decode(v.values.to_pylist()) if v.is_valid else "" for v in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256, from encoded and then decoded texts."""
-    both = decode(encode(take(docs, "doc_id", "text"), path), path)
+    both = encode(take(docs, "doc_id", "text"), path, decoded="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

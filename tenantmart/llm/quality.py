@@ -7,14 +7,16 @@ kept as a logarithm.  Adding Gumbel noise to the log weights and taking the
 ``k`` largest draws ``k`` documents without replacement with probabilities in
 proportion to the weights.
 
+* At most ``LABELS`` labelled documents are used; ``FITTED`` of them fit the
+  target model.  The raw model counts every document.
 * n-grams: tokens (runs of word characters, runs of other marks) and pairs of
   neighbouring tokens; a token that repeats the one before it counts as a
   repeat mark.  Hashed with CRC-32 into ``BUCKETS`` counters.
 * Counts: every partition sums its own counters, then one row for each
   (model, bucket) is left; at most ``2 * BUCKETS`` numbers reach the driver.
 * ``k``: given, as a share of the rows, or (the default) calibrated: the
-  number of rows at or above the threshold at which, over at most
-  ``LABELS`` labelled documents that the model was not fitted on, lost good
+  number of rows at or above the threshold at which, over those labelled
+  documents that the model was not fitted on, lost good
   documents (each counted ``LOSS`` times) and kept bad ones cost least.
 * The noise depends on seed, doc_id and text alone, so reruns agree.
 
@@ -34,11 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded, materialise, position, positional, take, unit_interval
+from .common import bounded, map_arrow, materialise, position, positional, take, unit_interval
 
 BUCKETS = 1 << 16
-#: Bound of the labelled sample that sets the threshold (chosen by hash of the id).
-LABELS = 20_000
+#: Bound of the labelled documents that are used (chosen by hash of the id).
+LABELS = 50_000
 #: Cost of losing a good document, in kept bad ones.
 LOSS = 20.0
 #: Pseudo-count of every bucket.
@@ -83,16 +85,30 @@ def ngram_counts(docs: DataFrame, text: str, target: str) -> DataFrame:
         import pyarrow as pa
 
         features, counts = Features(), np.zeros((2, BUCKETS), dtype=np.int64)
+        waiting: tuple[list, list] = ([], [])
+
+        def add():
+            for c, w in zip(counts, waiting):
+                if w:
+                    c += np.bincount(np.concatenate(w), minlength=BUCKETS)
+                    w.clear()
+
+        n = 0
         for batch in batches:
             for t, good in zip(batch.column(0), batch.column(1)):
-                own = np.bincount(features(t.as_py()), minlength=BUCKETS)
-                counts[0] += own
+                own = features(t.as_py())
+                waiting[0].append(own)
                 if good.as_py():
-                    counts[1] += own
+                    waiting[1].append(own)
+                n += len(own)
+                if n > BUCKETS * 4:
+                    add()
+                    n = 0
+        add()
         seen = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[0][seen]), pa.array(counts[1][seen])], names=["bucket", "raw", "target"])
 
-    part = docs.select(text, target).mapInArrow(run, "bucket long, raw long, target long")
+    part = map_arrow(docs.select(text, target), run, "bucket long, raw long, target long")
     return part.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
@@ -123,7 +139,7 @@ def with_log_weight(docs: DataFrame, ratios: np.ndarray, text: str, out: str) ->
             weights = [float(own[features(t.as_py())].sum()) for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights, pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def gumbel(*cols: Column) -> Column:
@@ -177,10 +193,16 @@ def scored(docs: DataFrame, labels: DataFrame, share: float | None = None) -> tu
     own, text = position(docs, "doc_id"), position(docs, "text")
     rows = positional(docs)
     marks = take(labels, "doc_id", "quality").where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    marked = rows.join(marks, rows[own] == marks["doc_id"], "left")
-    fitted = unit_interval(F.lit(SEED + 1), F.col("doc_id")) < FITTED
-    target = (F.coalesce(F.col("quality"), F.lit(0)) == 1) & fitted
-    ratios = log_ratios(ngram_counts(marked.withColumn("good", target), text, "good"))
+    known = marks.where("quality is not null").withColumn("fitted", unit_interval(F.lit(SEED + 1), F.col("doc_id")) < FITTED)
+    n = known.count()
+    sample = known.where(unit_interval(F.lit(SEED), F.col("doc_id")) < min(1.0, 0.9 * LABELS / max(n, 1)))
+    # At most LABELS ids: small enough to broadcast, so no text is shuffled.
+    if sample.count() > LABELS:
+        raise ValueError(f"more than {LABELS} labels drawn")
+    sample = F.broadcast(sample.select(F.col("doc_id").alias("labelled"), "quality", "fitted"))
+    good = F.coalesce((F.col("quality") == 1) & F.col("fitted"), F.lit(False))
+    marked = rows.join(sample, rows[own] == F.col("labelled"), "left").withColumn("good", good)
+    ratios = log_ratios(ngram_counts(marked, text, "good"))
     noise = gumbel(F.col(own), F.col(text))
     if ratios is None:
         return rows.withColumn("log_weight", F.lit(0.0)).withColumn("key", noise), -math.inf
@@ -188,14 +210,11 @@ def scored(docs: DataFrame, labels: DataFrame, share: float | None = None) -> tu
     if share is not None:
         keys = materialise(out.select("key"), "quality-keys")
         return out, top_k_threshold(keys, "key", round(share * keys.count()))
-    known = marks.where(F.col("quality").isNotNull() & ~fitted)
-    n = known.count()
-    sample = known.where(unit_interval(F.lit(SEED), F.col("doc_id")) < min(1.0, 0.9 * LABELS / max(n, 1)))
-    # Only the sample's texts are scored for the threshold; the semi-join runs before Python.
-    few = rows.join(sample, rows[own] == sample["doc_id"]).select(rows[own].alias("own"), rows[text].alias("text"), "quality")
+    # Only the sample's texts are scored for the threshold; the join runs before Python.
+    few = rows.join(sample, rows[own] == F.col("labelled")).where(~F.col("fitted")).select(rows[own].alias("own"), rows[text].alias("text"), "quality")
     few = with_log_weight(few, ratios, "text", "log_weight")
-    keys = few.select((F.col("log_weight") + gumbel(F.col("own"), F.col("text"))).alias("key"), (F.col("quality") == 1).alias("good"))
-    found = [(r["key"], r["good"]) for r in bounded(keys, 4 * LABELS, "labelled rows")]
+    keys = few.groupBy("own").agg(F.min(F.col("log_weight") + gumbel(F.col("own"), F.col("text"))).alias("key"), (F.max("quality") == 1).alias("good"))
+    found = [(r["key"], r["good"]) for r in bounded(keys, LABELS, "labelled documents")]
     return out, calibrated_threshold(found)
 
 
