@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _c(c) -> Column:
@@ -40,19 +39,6 @@ def concat_null_as_empty(*cols) -> Column:
     return F.concat_ws("", *[_c(c) for c in cols])
 
 
-def exact_sum(c, scale: int = 6) -> Column:
-    """Sum of a double through a fixed-point decimal, returned as double.
-
-    A double sum depends on the order in which partitions meet; summing
-    through ``decimal(38, scale)`` gives the same answer for every
-    partitioning, and the same answer as any other engine doing the same.
-    Each value is rounded to ``scale`` decimals first.  A non-finite value
-    (NaN, infinity) has no decimal form and is left out of the sum instead of
-    failing the job; the cleansing step turns such values into NULL anyway.
-    """
-    return F.sum(_c(c).try_cast(T.DecimalType(38, scale))).cast("double")
-
-
 def week_start_date(year, week, week_start: str = "sunday") -> Column:
     """Date of week ``week`` of ``year``: the first day of the week holding
     1 January, plus ``week - 1`` weeks (T-SQL ``DATEFIRST 7`` when

@@ -2,4 +2,4 @@
 warehouse loads), ``tenants`` (registry, tagging, central merge), ``audit``
 (keys, foreign keys, lengths, conformance), ``calendar``, ``hierarchy``,
 ``lookup`` (interval and label lookups), ``skew`` (skew-safe fan-out
-joins), ``sizing`` (size-checked broadcast)."""
+joins)."""

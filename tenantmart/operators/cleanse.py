@@ -33,8 +33,11 @@ NULL_TOKENS_ANY_CASE = ("nan", "nat", "none", "null", "na", "n/a")
 # Name fragments that mark a column as a date by name.
 DATE_NAME_HINTS = ("date", "embauche", "sortie", "debut", "fin")
 
-# Text date layouts tried in order (Spark datetime patterns).
-TEXT_DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd")
+# Text date layouts tried in order (Spark datetime patterns): ISO with any part
+# of a time and an offset, slashes, compact, and month or day first.
+TEXT_DATE_FORMATS = ("yyyy-MM-dd[['T'][ ]HH:mm[:ss[.SSSSSSSSS]]][XXX]", "yyyy/MM/dd[ HH:mm[:ss]]",
+                     "yyyyMMdd")
+MONTH_FIRST, DAY_FIRST = "MM/dd/yyyy[ HH:mm[:ss]]", "dd/MM/yyyy[ HH:mm[:ss]]"
 
 LAST_DATE = _dt.date(9999, 12, 31)
 
@@ -144,12 +147,18 @@ def date_from_number(c: Column) -> Column:
 
 
 # C10 --------------------------------------------------------------------------------------
-def date_from_text(c: Column, formats=TEXT_DATE_FORMATS) -> Column:
-    """First layout that parses the whole text wins; else NULL."""
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(c, F.lit(f))) for f in formats])
-
-
-def to_date_column(df: DataFrame, name: str, formats=TEXT_DATE_FORMATS) -> Column:
+def date_from_text(c: Column, formats=TEXT_DATE_FORMATS, day_first: bool = False) -> Column:
+    """First layout that parses the whole text wins; else NULL.  The date is
+    the one written, whatever the offset.  ``day_first`` reads ``01/02/2023``
+    as 1 February."""
+    tries = (*formats, DAY_FIRST if day_first else MONTH_FIRST)
+    plain = F.regexp_replace(c, r"(Z|[+-]\d{2}:?\d{2})$", "")
+    has_time = c.rlike(r"\d:\d\d")
+    text = F.when(has_time, plain).otherwise(c)
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in tries])
+
+
+def to_date_column(df: DataFrame, name: str, formats=TEXT_DATE_FORMATS, day_first: bool = False) -> Column:
     dt = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dt, T.DateType):
@@ -158,12 +167,12 @@ def to_date_column(df: DataFrame, name: str, formats=TEXT_DATE_FORMATS) -> Colum
         return F.to_date(c)
     if isinstance(dt, NUMERIC_TYPES):
         return date_from_number(c)
-    return date_from_text(null_token_expr(c), formats)
+    return date_from_text(null_token_expr(c), formats, day_first)
 
 
-def clean_dates(df: DataFrame, columns, formats=TEXT_DATE_FORMATS) -> DataFrame:
+def clean_dates(df: DataFrame, columns, formats=TEXT_DATE_FORMATS, day_first: bool = False) -> DataFrame:
     cols = set(columns)
-    return df.select(*[to_date_column(df, c, formats).alias(c) if c in cols else F.col(c)
+    return df.select(*[to_date_column(df, c, formats, day_first).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
 
 

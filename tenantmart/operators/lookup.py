@@ -11,49 +11,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import checked_broadcast
-
 
 def day_index(ranges: DataFrame, id_col: str, start_col: str, end_col: str) -> DataFrame:
-    """One row per calendar day covered by at least one ``[start, end]`` range.
+    """One row per calendar day touched by at least one ``[start, end]`` range.
 
-    ``full_id``: smallest id of the ranges holding the whole day
-    (``start <= day < end``); ``last_id``: smallest id of the ranges that end
-    on that day, which hold only its midnight (``BETWEEN`` against a date
-    bound compares with midnight of the last day).  Size: at most one row per
-    day of the calendar span, independent of the fact table.
+    ``full_id``: smallest id of the ranges that hold the whole day;
+    ``parts``: the ranges that begin or end within the day, as (id, start,
+    end) with the smallest id for equal bounds.  The day only finds the
+    candidates; the bounds are compared as timestamps.
     """
     r = (ranges
-         .select(F.col(id_col).alias("_id"), F.col(start_col).cast("date").alias("_s"),
-                 F.col(end_col).cast("date").alias("_e"))
-         .where(F.col("_s").isNotNull() & F.col("_e").isNotNull() & F.col("_id").isNotNull()
-                & (F.col("_s") <= F.col("_e"))))
-    days = r.select("_id", "_e", F.explode(F.sequence("_s", "_e")).alias("day"))
+         .select(F.col(id_col).alias("_id"), F.col(start_col).cast("timestamp_ntz").alias("_s"),
+                 F.col(end_col).cast("timestamp_ntz").alias("_e"))
+         .where(F.col("_id").isNotNull() & (F.col("_s") <= F.col("_e")))
+         .groupBy("_s", "_e").agg(F.min("_id").alias("_id")))
+    days = r.select("_id", "_s", "_e", F.explode(F.sequence(F.to_date("_s"), F.to_date("_e"))).alias("day"))
+    whole = ((F.col("_s") <= F.col("day").cast("timestamp_ntz"))
+             & (F.col("_e") >= F.date_add("day", 1).cast("timestamp_ntz")))
+    part = F.struct(F.col("_id").alias("id"), F.col("_s").alias("start"), F.col("_e").alias("end"))
     return (days.groupBy("day")
-            .agg(F.min(F.when(F.col("day") < F.col("_e"), F.col("_id"))).alias("full_id"),
-                 F.min(F.when(F.col("day") == F.col("_e"), F.col("_id"))).alias("last_id")))
+            .agg(F.min(F.when(whole, F.col("_id"))).alias("full_id"),
+                 F.collect_list(F.when(~whole, part)).alias("parts")))
 
 
 def interval_lookup_by_day(facts: DataFrame, ts_col: str, ranges: DataFrame, id_col: str,
                            start_col: str, end_col: str, out_col: str) -> DataFrame:
     """Add ``out_col`` = smallest ``id_col`` of the ranges with
-    ``start <= ts <= end`` (timestamps against date bounds), NULL if none.
+    ``start <= ts <= end``, NULL if none.
 
     Left equi-join of the facts on ``to_date(ts)`` with ``day_index``; the
-    fact keeps its rows and partitioning key.  The index has one row per
-    calendar day, so it is broadcast once its row count is checked.
+    fact keeps its rows.  The index has one row per calendar day; the planner
+    broadcasts it when its size allows, and AQE may split a hot day otherwise.
     """
-    idx = checked_broadcast(day_index(ranges, id_col, start_col, end_col))
-    ts = F.col(ts_col)
-    day = F.to_date(ts)
-    joined = facts.withColumn("_day", day).join(
-        idx.withColumnRenamed("day", "_day"), on="_day", how="left")
-    at_midnight = ts == F.col("_day").cast("timestamp_ntz")
-    pick = F.least(F.col("full_id"), F.when(at_midnight, F.col("last_id")))
-    return joined.withColumn(out_col, pick).drop("_day", "full_id", "last_id")
+    ts = F.col(ts_col).cast("timestamp_ntz")
+    idx = day_index(ranges, id_col, start_col, end_col).withColumnRenamed("day", "_day")
+    joined = facts.withColumn("_day", F.to_date(F.col(ts_col))).join(idx, on="_day", how="left")
+    hit = F.filter("parts", lambda p: (p["start"] <= ts) & (ts <= p["end"]))
+    pick = F.least(F.col("full_id"), F.array_min(F.transform(hit, lambda p: p["id"])))
+    return joined.withColumn(out_col, pick).drop("_day", "full_id", "parts")
 
 
 def unique_lookup(table: DataFrame, key_col: str, value_col: str, key_alias: str,

@@ -1,4 +1,4 @@
-"""Skew-safe forms of the header -> lines outer join.
+"""Skew-safe forms of the header -> lines joins.
 
 ``header LEFT JOIN lines`` (a timesheet and its person lines, a receipt and
 its plot lines) is the fan-out of every fact model.  When one header owns a
@@ -6,12 +6,16 @@ third of all lines, a plain left outer join cannot be split by AQE: only the
 preserved (header) side of an outer join may be split, and that side holds
 one row for the hot key, so one task would produce a third of the output.
 
-The same result is produced as an *inner* join -- whose skewed partitions
-AQE splits on either side -- of the header with the lines completed by one
-all-NULL placeholder line per header key that has none (found at key level:
-distinct header keys anti-joined with the distinct line keys, both collapsed
-by partial aggregation), plus the header rows with a NULL key, which never
-match.  This equals ``header LEFT JOIN lines`` for any multiplicity.
+``fanout_left_join`` gives the same rows in two branches: an *inner* join --
+whose skewed partitions AQE splits on either side -- and the headers without
+lines (anti join with the distinct line keys, collapsed before the shuffle;
+it keeps NULL keys, which never match).  Both branches shuffle the header
+alike, so its exchange is reused.
+
+``own_exchange_join`` keeps a chain of joins on one key splittable.  AQE does
+not split a join whose partitioning the next join takes over; a second key
+column, a hash of the first with a tag of its own, gives each join its own
+exchange.
 """
 
 from __future__ import annotations
@@ -22,38 +26,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lines_with_placeholders(header: DataFrame, lines: DataFrame, on,
-                            header_keys: DataFrame | None = None) -> DataFrame:
-    """``lines`` plus one all-NULL line for every (non-NULL) header key that
-    has no line.  ``header INNER JOIN`` this equals ``header LEFT JOIN
-    lines`` for every header row with a non-NULL key.  The placeholders are
-    computed at key level (distinct keys, anti join), so the wide rows are
-    never read twice and the caller's inner join shuffles ``lines`` once.
-    ``header_keys`` may name a cheaper frame with the same key set (e.g. the
-    base table a header was left-joined from)."""
-    keys = [on] if isinstance(on, str) else list(on)
-    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    have = lines.select(*keys).distinct()
-    missing = ((header if header_keys is None else header_keys)
-               .select(*keys).where(nonnull).distinct()
-               .join(have, on=keys, how="left_anti"))
-    extra = [f for f in lines.schema.fields if f.name not in keys]
-    padded = missing.select(*keys, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return lines.unionByName(padded)
+def own_exchange_join(left: DataFrame, right: DataFrame, on: str, tag: int) -> DataFrame:
+    """``left INNER JOIN right USING (on)`` with exchanges of its own."""
+    extra = F.xxhash64(F.lit(tag), F.col(on))
+    return left.withColumn("_exchange", extra).join(
+        right.withColumn("_exchange", extra), on=[on, "_exchange"], how="inner").drop("_exchange")
+
+
+def lines_with_placeholders(header_keys: DataFrame, lines: DataFrame, on: str) -> DataFrame:
+    """``lines`` plus one all-NULL line for every (non-NULL) key of
+    ``header_keys`` that has none.  ``header INNER JOIN`` this equals ``header
+    LEFT JOIN lines`` for header rows with a key.  Only keys are read twice, so
+    it is the cheaper form where the header is itself the result of joins."""
+    have = lines.select(on).distinct()
+    missing = header_keys.select(on).where(F.col(on).isNotNull()).distinct().join(have, on=on, how="left_anti")
+    extra = [f for f in lines.schema.fields if f.name != on]
+    return lines.unionByName(missing.select(on, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
 
 
-def fanout_left_join(header: DataFrame, lines: DataFrame, on,
-                     header_keys: DataFrame | None = None) -> DataFrame:
+def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
     """``header LEFT JOIN lines USING (on)`` with both hot-key directions
-    splittable: an inner join with the placeholder-completed lines, plus the
-    header rows whose key is NULL (they never match).  Columns: ``on``, then
-    the header's, then the lines'."""
+    splittable.  Columns: ``on``, then the header's, then the lines'."""
     keys = [on] if isinstance(on, str) else list(on)
-    nonnull = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    joined = header.join(lines_with_placeholders(header, lines, keys, header_keys),
-                         on=keys, how="inner")
+    joined = header.join(lines, on=keys, how="inner")
+    cond = reduce(lambda a, b: a & b, [header[k] == F.col(f"_has_{k}") for k in keys])
+    have = lines.select(*[F.col(k).alias(f"_has_{k}") for k in keys]).distinct()
     extra = [f for f in lines.schema.fields if f.name not in keys]
-    null_keys = header.where(~nonnull)
-    null_keys = null_keys.select(*keys, *[c for c in header.columns if c not in keys],
-                                 *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return joined.unionByName(null_keys)
+    alone = header.join(have, cond, "left_anti").select(
+        *keys, *[c for c in header.columns if c not in keys],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return joined.unionByName(alone)

@@ -8,7 +8,7 @@ plan; nothing runs until a sink or an action asks for rows.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -66,14 +66,13 @@ class Model:
     build: Callable[[Source, Params], DataFrame]
     keys: tuple[str, ...] = ()
     date_cols: tuple[str, ...] = ()
-    target: str = ""
     merge: bool = False          # appended into the central tenant merge
     grain: str = ""
-    tags: tuple[str, ...] = field(default_factory=tuple)
+    unique: bool = True          # one row per key; else incremental loads replace all rows of a key
 
     def __call__(self, src: Source, params: Params | None = None) -> DataFrame:
         return self.build(src, params or Params())
 
     @property
     def table(self) -> str:
-        return self.target or self.name
+        return self.name

@@ -3,8 +3,7 @@
 ``fact_labour`` grain: timesheet x person x (plot or cost centre).  Every
 timesheet-level attribute (farm name, operation id, season) is resolved once
 on the timesheet table, before the person x plot / person x centre fan-out,
-so the wide rows are never shuffled for a dimension lookup; all fan-out
-joins are on ``idpointage`` and share one hash partitioning.  A timesheet
+so the wide rows are never shuffled for a dimension lookup.  A timesheet
 with both plots and centres counts its cost on both sides, as in the
 original model.
 """
@@ -14,19 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, safe_ratio, typed_null
+from ..functions import safe_ratio, typed_null
 from ..operators.lookup import interval_lookup_by_day, unique_lookup
-from ..operators.skew import fanout_left_join, lines_with_placeholders
+from ..operators.skew import fanout_left_join, lines_with_placeholders, own_exchange_join
 from .base import Params, Source
 
-FACT_LABOUR_COLUMNS = (
-    "date_pointage", "id_parcelle", "id_personnel", "id_operation", "cost_analytique_direct",
-    "hj_direct", "hj_hs25", "hj_hs50", "hj_hs100", "hj_hsnm", "cout_hscu", "hscu",
-    "id_centre_cout", "cost_analytique_indirect", "hj_indirect", "type_affectation",
-    "paie_generee", "campagne", "sbi", "cost_analytique", "cost_paie", "ferme", "oper_liste",
-    "ouvrier",
-)
-
 # Overtime buckets: fact column <- person-timesheet column.
 HOUR_BUCKETS = (("hj_direct", "hj"), ("hj_hs25", "hs_25"), ("hj_hs50", "hs_50"),
                 ("hj_hs100", "hs_100"), ("hj_hsnm", "hs_nm"))
@@ -64,18 +55,13 @@ def _hours(link_cost: str, person_col: str):
 def fact_labour(src: Source, params: Params) -> DataFrame:
     """Direct (plot) and indirect (cost-centre) rows in one pass.
 
-    Plot links and centre links are stacked into one link table, so the
-    timesheet side, the per-timesheet statistics (planted area of the
-    linked plots, number of linked centres) and the person fan-out are each
-    joined once, all on ``idpointage``.  The statistics are one partial
-    aggregation over the same shuffled links.  Persons are attached to the
-    timesheets first (skew-safe outer join at timesheet level), then the
-    links: ``(T JOIN L) LEFT JOIN P`` and ``(T LEFT JOIN P) JOIN L`` give the
-    same rows when both joins are on the timesheet key.
+    Plot links and centre links are stacked into one link table; its
+    per-timesheet statistics (planted area of the linked plots, number of
+    linked centres) are one partial aggregation and are attached to the
+    timesheets, where both sides have one row per key.  Then come the two
+    fan-outs, persons and links, each with exchanges of its own, so AQE can
+    split a timesheet that holds a third of the persons or of the links.
     """
-    ts = timesheets(src)
-    persons = _persons(src)
-
     plots = src("parcelleculturale").select(F.col("id").alias("id_parcelle"), "sup")
     plot_links = (src("pointage_parcelleculturale")
                   .select("idpointage", F.col("parccul_id").alias("id_parcelle"),
@@ -88,7 +74,7 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
         F.col("idcentre_intermediaire").alias("id_centre_cout"), F.col("cout").alias("link_cout"),
         typed_null("double").alias("sup"))
     stats = plot_links.unionByName(centre_links).groupBy("idpointage").agg(
-        exact_sum("sup").alias("area"),
+        F.sum("sup").alias("area"),
         F.count_if(~F.col("is_plot")).alias("n_centres"))
     # the cost-centre dimension is joined for its row multiplicity only (no
     # column is read), on the link table, before any fan-out
@@ -96,18 +82,12 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
         F.col("idcentre_intermediaire").alias("id_centre_cout"))
     links = plot_links.unionByName(centre_links.join(centres, on="id_centre_cout", how="left"))
 
-    # timesheet x person (a timesheet without persons keeps one NULL person),
-    # then x link: the same rows as links -> persons, but the outer part of
-    # the person join stays at timesheet level and every join is splittable
-    def with_links(d: DataFrame) -> DataFrame:
-        return (d.join(links, on="idpointage", how="inner")
-                .join(stats, on="idpointage", how="left"))
-
-    # (NULL timesheet keys never meet a link, so the inner form is exact here)
-    # (timesheet keys: those of the base table, which the enriched side only left-joins onto)
-    keys = src("pointage").select("idpointage")
-    rows = with_links(ts.join(lines_with_placeholders(ts, persons, "idpointage", keys),
-                              on="idpointage", how="inner"))
+    # a timesheet without links gives no row, so statistics may join inner;
+    # NULL timesheet keys never meet a link; a timesheet without persons keeps
+    # one NULL person (found at key level, from the base table)
+    sheets = timesheets(src).join(stats, on="idpointage", how="inner")
+    persons = lines_with_placeholders(src("pointage"), _persons(src), "idpointage")
+    rows = own_exchange_join(own_exchange_join(sheets, persons, "idpointage", 1), links, "idpointage", 2)
 
     plot = F.col("is_plot")
 
@@ -147,14 +127,14 @@ def farm_labour(src: Source, params: Params) -> DataFrame:
     staff = src("personnel").select(F.col("id").alias("pers_id"), F.col("categorie").alias("_cat"))
     cat = src("categorie_personnel").select(F.col("id").alias("_cat"), "categorie")
     area = (src("parcelleculturale").where(F.col("variete") != params.excluded_variety)
-            .groupBy("idfermes").agg(exact_sum("sup").alias("sup_ferme")))
+            .groupBy("idfermes").agg(F.sum("sup").alias("sup_ferme")))
     # the per-timesheet attributes first, then the person fan-out
     t = (p.join(ops, on="oper_liste", how="left")
          .join(fam, on="oper_famille", how="left")
          .join(farms, on="idfermes", how="left")
          .join(area, on="idfermes", how="left"))
     staff_cat = staff.join(cat, on="_cat", how="left").drop("_cat")
-    lines = (fanout_left_join(t, pp, "idpointage", header_keys=p)
+    lines = (fanout_left_join(t, pp, "idpointage")
              .join(staff_cat, on="pers_id", how="left"))
     return lines.select("ferme", "date", "famille", "oper_liste",
                         F.col("pers_id").alias("ouvrier"), "hj", "categorie", "sup_ferme")

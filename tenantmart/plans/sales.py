@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import concat_null_as_empty, exact_sum, typed_null, week_start_date
+from ..functions import concat_null_as_empty, typed_null, week_start_date
 from ..operators.skew import fanout_left_join
 from .base import Params, Source, date_window
 
@@ -18,12 +18,6 @@ LEVEL_OVERHEADS = "Frais généraux"
 LEVEL_LABOUR = "Main d'oeuvre"
 LEVEL_INPUTS = "Intrants"
 
-SALES_COLUMNS = (
-    "idfermes", "idvente", "reference_vente", "date_vente", "total", "client", "description",
-    "date_recolte", "prix", "pfq", "idparcelle", "idproduit_rendement", "code_analytique",
-    "id_code_analytique", "poids_moyen", "quantite", "poids_kg", "unite", "chiffre_affaire")
-
-
 def _yield_accounts(src: Source, market: str) -> DataFrame:
     """Analytic accounts of the yield products of one market (the ON-clause
     literals are applied to the right side before the left join)."""
@@ -59,9 +53,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "kg_estime", "qte_caisse", "idunite_operation")
     station = src("bon_recp_station").select(F.col("exp_recp_caisse").alias("id_recp"),
                                              F.col("idvariete").alias("variete"), "pu")
-    receipts = rc.join(v.select("idvente"), on="idvente", how="left_semi")  # header key set
-    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp",
-                              header_keys=receipts)
+    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp")
              .join(plots, on="idparcelle", how="left")
              .join(station, on=["id_recp", "variete"], how="left")
              .join(units, on="idunite_operation", how="left")
@@ -85,7 +77,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "poid_recp", "idunite_operation")
     vh = _sales_header(src).drop("type")
     export = (fanout_left_join(rq.join(vh, rq["rq_idvente"] == vh["idvente"], how="left"),
-                               rqp, "id_rq", header_keys=rq)
+                               rqp, "id_rq")
               .join(units, on="idunite_operation", how="left")
               .join(plots.drop("variete"), on="idparcelle", how="left")
               .join(_yield_accounts(src, MARKET_EXPORT), on="idproduit_rendement", how="left")
@@ -134,11 +126,6 @@ def budget_weekly(src: Source, params: Params) -> DataFrame:
         week_start_date(F.col("annee"), F.col("semaine"), params.week_start).alias("dateweek"))
 
 
-COST_COLUMNS = ("date", "charge_niv1", "charge_niv2", "charge_niv3", "charge_article", "ferme",
-                "culture", "variete", "idparcelleculturale", "parcelle_culturale", "cout",
-                "quantite", "cout_unitaire", "compte_analytique")
-
-
 def _cost_overheads(src: Source, params: Params) -> DataFrame:
     """Expense lines spread on plots; de-duplicated as in the original.  The
     assignment table only filters (semi-join): its columns are never read and
@@ -154,10 +141,7 @@ def _cost_overheads(src: Source, params: Params) -> DataFrame:
     j = (d.join(assigned, on="idaffectation", how="left_semi")
          .join(prod, on="id_produit", how="left")
          .join(cat, on="id_categorie_depense", how="left"))
-    # expense -> its plot spread lines; the expense keys are those of the
-    # semi-joined expenses (the later joins are left joins)
-    j = fanout_left_join(j, spread, "id_depence",
-                         header_keys=d.join(assigned, on="idaffectation", how="left_semi"))
+    j = fanout_left_join(j, spread, "id_depence")      # expense -> its plot spread lines
     return j.select(
         F.col("date_depense").cast("timestamp_ntz").alias("date"),
         F.lit(LEVEL_OVERHEADS).alias("charge_niv1"), F.col("categ_depense").alias("charge_niv2"),
@@ -188,7 +172,7 @@ def _cost_labour(src: Source, params: Params) -> DataFrame:
          .join(fam, on="oper_famille", how="left")
          .join(grp, on="operef_gr", how="left")
          .join(farms, on="idfermes", how="left"))
-    j = (fanout_left_join(t, links, "idpointage", header_keys=p)
+    j = (fanout_left_join(t, links, "idpointage")
          .join(pcs, (F.col("parccul_id") == F.col("_pc_id"))
                & (F.col("date") >= F.col("_pc_planned")), how="left"))
     return j.select(
@@ -201,8 +185,7 @@ def _cost_labour(src: Source, params: Params) -> DataFrame:
 
 def _cost_inputs(src: Source, params: Params) -> DataFrame:
     """Stock issues to plots, summed per (date, product, movement, plot,
-    product labels).  Sums go through fixed-point decimals, so they do not
-    depend on partitioning; ``cout_unitaire`` is a sum, as in the original."""
+    product labels).  ``cout_unitaire`` is a sum, as in the original."""
     ms = src("mouvement_stock").where(date_window(F.col("date"), params.stock_since, params.until))
     ms = ms.select(F.col("idmouvement_stock").alias("mouvement_stock"), "date", "cmup",
                    "iddepots", "produit")
@@ -219,8 +202,8 @@ def _cost_inputs(src: Source, params: Params) -> DataFrame:
                & (F.col("date") >= F.col("_pc_planned")), how="left"))
     g = j.groupBy("date", "produit", "mouvement_stock", "parcelleculturale", "categorie",
                   "sous_categorie", "designation").agg(
-        exact_sum(F.col("qantite") * F.col("cmup")).alias("cout"),
-        exact_sum("qantite").alias("quantite"), exact_sum("cmup").alias("cout_unitaire"))
+        F.sum(F.col("qantite") * F.col("cmup")).alias("cout"),
+        F.sum("qantite").alias("quantite"), F.sum("cmup").alias("cout_unitaire"))
     return g.select(
         F.col("date").cast("timestamp_ntz").alias("date"), F.lit(LEVEL_INPUTS).alias("charge_niv1"),
         F.col("categorie").alias("charge_niv2"), F.col("sous_categorie").alias("charge_niv3"),

@@ -1,55 +1,57 @@
 """Batch runs: every model of a tenant, and every tenant.
 
 The loop is over *models and tenants* (a fixed, short list of names) on the
-driver; each model is still one distributed plan from source to sink.  A
-failing model is reported and the others continue; the report is a small
-DataFrame (one row per model and tenant).
+driver; each model is still one distributed plan from source to sink,
+evaluated once: row counts are observed while it is written.  A failing model
+is reported and the others continue; the report is a small DataFrame (one row
+per model and tenant).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .operators.cleanse import CleanseSpec, cleanse
 from .operators.load import LoadError, Warehouse, load
-from .operators.sizing import release_small_sides
-from .plans import MODELS, Model, Params, Source
+from .plans import CALENDAR, MODELS, Model, Params, Source
 
 REPORT_SCHEMA = ("tenant string, model string, target string, mode string, status string, "
-                 "rows bigint, dropped_duplicates bigint, error string, finished_at timestamp")
+                 "rows bigint, dropped_duplicates bigint, lost_values bigint, error string, "
+                 "finished_at timestamp")
 
 
 def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params | None = None,
                models=None, mode: str = "full", create_or_replace: bool = False,
-               on_empty: str = "keep", clean: bool = True, count_rows: bool = False,
-               tenant: str = "") -> DataFrame:
-    """Build, clean and load each model; one report row per model."""
+               on_empty: str = "keep", clean: bool = True, on_loss: str = "raise",
+               dedupe_order: dict[str, str] | None = None, tenant: str = "") -> DataFrame:
+    """Build, clean and load each model (default: all and the calendar); one
+    report row per model.  ``dedupe_order`` names, by model, the column whose
+    largest value wins among source rows of one key."""
     params = params or Params()
-    chosen: list[Model] = [MODELS[m] if isinstance(m, str) else m
-                           for m in (models or list(MODELS))]
+    known = {**MODELS, CALENDAR.name: CALENDAR}
+    chosen: list[Model] = [known[m] if isinstance(m, str) else m for m in (models or list(known))]
     rows = []
     for m in chosen:
         try:
+            if not (mode == "full" and create_or_replace) and not wh.exists(m.table):
+                raise LoadError(f"table {wh.name(m.table)} does not exist; create it first")
+            built = Observation()
             df = m(src, params)
-            built = df
             if clean:
-                df = cleanse(df, CleanseSpec(dedupe=True, date_columns=m.date_cols))
-            if mode == "full" and not create_or_replace and not wh.exists(m.table):
-                raise LoadError(f"table {wh.name(m.table)} does not exist; create it first")
-            res = load(df, wh, m.table, mode=mode, keys=m.keys,
-                       create_or_replace=create_or_replace, on_empty=on_empty)
-            n = dropped = None
-            if count_rows:     # two extra actions, only on request
-                n = wh.read(m.table).count()
-                dropped = built.count() - df.count() if clean else 0
-            rows.append((tenant, m.name, m.table, res.mode, res.status, n, dropped, None,
-                         dt.datetime.now()))
+                df = cleanse(df.observe(built, F.count(F.lit(1)).alias("rows")),
+                             CleanseSpec(dedupe=True, date_columns=m.date_cols))
+            res = load(df, wh, m.table, mode=mode, keys=m.keys, create_or_replace=create_or_replace,
+                       on_empty=on_empty, unique=m.unique, on_loss=on_loss,
+                       dedupe_order=(dedupe_order or {}).get(m.name))
+            dropped = (built.get.get("rows") or 0) - res.rows if clean else 0
+            rows.append((tenant, m.name, m.table, res.mode, res.status, res.rows, dropped,
+                         sum(res.losses.values()), None, dt.datetime.now()))
         except Exception as e:  # noqa: BLE001 - isolation: report and continue
-            rows.append((tenant, m.name, m.table, mode, "failed", None, None,
+            rows.append((tenant, m.name, m.table, mode, "failed", None, None, None,
                          f"{type(e).__name__}: {e}"[:1000], dt.datetime.now()))
-    release_small_sides()      # the loads have run; free the cached lookup sides
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
@@ -65,7 +67,7 @@ def run_tenants(spark: SparkSession, tenants: dict, params: Params | None = None
             reports.append(run_models(spark, src, wh, params, tenant=name, **kw))
         except Exception as e:  # noqa: BLE001
             reports.append(spark.createDataFrame(
-                [(name, None, None, kw.get("mode", "full"), "failed", None, None,
+                [(name, None, None, kw.get("mode", "full"), "failed", None, None, None,
                   f"{type(e).__name__}: {e}"[:1000], dt.datetime.now())], REPORT_SCHEMA))
     out = reports[0]
     for r in reports[1:]:

@@ -40,6 +40,19 @@ def test_interval_lookup_matches_brute_force(spark):
         assert got[i] == (min(hits) if hits else None), (i, t)
 
 
+def test_interval_lookup_compares_times_of_day(spark):
+    t = dt.datetime
+    seasons = spark.createDataFrame([
+        (4, t(2024, 1, 1, 8), t(2024, 12, 31, 23, 59, 59)), (9, t(2024, 6, 1, 0), t(2024, 6, 1, 12)),
+        (2, t(2024, 6, 1, 11, 30), t(2024, 6, 2, 3)), (2, t(2025, 1, 1), t(2025, 1, 1))],
+        "id int, s timestamp_ntz, e timestamp_ntz")
+    times = [t(2024, 1, 1, 5), t(2024, 1, 1, 8), t(2024, 12, 31, 15), t(2024, 12, 31, 23, 59, 59, 1), t(2024, 6, 1, 11), t(2024, 6, 1, 12),
+             t(2024, 6, 2, 3), t(2024, 6, 2, 3, 0, 1), t(2025, 1, 1), t(2025, 1, 1, 0, 0, 1)]
+    facts = spark.createDataFrame(list(enumerate(times)), "i int, t timestamp_ntz")
+    got = {r.i: r.c for r in interval_lookup_by_day(facts, "t", seasons, "id", "s", "e", "c").collect()}
+    assert [got[i] for i in range(len(times))] == [None, 4, 4, None, 4, 2, 2, 4, 2, None]
+
+
 def _tiny_source(spark):
     ts = dt.datetime
     t = {

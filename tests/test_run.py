@@ -10,8 +10,7 @@ def test_runner_isolates_failures_and_loads(spark, src):
     wh = Warehouse(spark, f"r_{uuid.uuid4().hex[:8]}")
     ensure_tables(wh, [TABLES["dim_staff"]])
     rep = {r.model: r for r in run_models(
-        spark, src, wh, FIXTURE_PARAMS, models=["dim_staff", "dim_operation"],
-        count_rows=True).collect()}
+        spark, src, wh, FIXTURE_PARAMS, models=["dim_staff", "dim_operation"]).collect()}
     assert rep["dim_staff"].status == "loaded" and rep["dim_staff"].rows == 10
     assert rep["dim_staff"].dropped_duplicates == 0
     # truncate+insert into a table that was never created: reported, others unaffected
@@ -28,3 +27,28 @@ def test_runner_over_tenants_with_replace_and_upsert(spark, src):
     up = run_models(spark, src, a, FIXTURE_PARAMS, models=["pl_accounts"], mode="incremental")
     assert up.first().status == "loaded"
     assert a.read("pl_accounts").count() == src("bdg_comptes_pl").count()
+
+
+def test_incremental_run_of_all_models_twice_is_once(spark, src):
+    from tenantmart.plans import CALENDAR, MODELS
+    wh = Warehouse(spark, f"i_{uuid.uuid4().hex[:8]}")
+    first = {r.model: r for r in run_models(spark, src, wh, FIXTURE_PARAMS, create_or_replace=True).collect()}
+    assert set(first) == {*MODELS, CALENDAR.name} and {r.status for r in first.values()} == {"loaded"}
+    before = {m: wh.read(m).count() for m in first}
+    again = {r.model: r for r in run_models(spark, src, wh, FIXTURE_PARAMS, mode="incremental").collect()}
+    assert {m: (r.status, r.error) for m, r in again.items()} == dict.fromkeys(first, ("loaded", None))
+    assert {m: wh.read(m).count() for m in first} == before
+    assert all(first[m].rows == again[m].rows == before[m] for m in first)
+    assert first["farm_labour"].dropped_duplicates == again["farm_labour"].dropped_duplicates
+    assert wh.read("dim_calendar").count() > 0
+
+
+def test_dedupe_order_reaches_the_upsert(spark):
+    from tenantmart.plans import Model
+    wh = Warehouse(spark, f"d_{uuid.uuid4().hex[:8]}")
+    rows = spark.createDataFrame([(1, "old", 1), (1, "new", 2)], "k int, v string, ts int")
+    wh.publish(rows.limit(0), "m")
+    m = Model("m", lambda s, p: rows, keys=("k",))
+    assert run_models(spark, None, wh, models=[m], mode="incremental").first().status == "failed"
+    assert run_models(spark, None, wh, models=[m], mode="incremental", dedupe_order={"m": "ts"}).first().status == "loaded"
+    assert [r.v for r in wh.read("m").collect()] == ["new"]
