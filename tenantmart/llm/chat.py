@@ -185,13 +185,13 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), joined AS (
-  SELECT *, role || chr(1) || text AS both FROM rows
+  SELECT *, role || chr(1) || text AS whole FROM rows
 ), counted AS (
   SELECT *, 19 + length(role) + length(text)
-    + length(both) - length(replace(both, '\', ''))
-    + (length(both) - length(replace(both, '<turn>', ''))) // 6
-    + (length(both) - length(replace(both, '<body>', ''))) // 6
-    + (length(both) - length(replace(both, '</turn>', ''))) // 7 AS chars
+    + length(whole) - length(replace(whole, '\', ''))
+    + (length(whole) - length(replace(whole, '<turn>', ''))) // 6
+    + (length(whole) - length(replace(whole, '<body>', ''))) // 6
+    + (length(whole) - length(replace(whole, '</turn>', ''))) // 7 AS chars
   FROM joined
 )
 SELECT conv_id, count(*) AS n_turns,
