@@ -41,6 +41,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("audio button canvas datalist head iframe math noembed noframes noscript object option script select style svg template textarea title video".split())
+AROUND_P = BLOCKS - {"p"}
 #: A start tag of the key closes an open element of the value, up to the nearest of its scope.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -67,6 +68,7 @@ class Dom(HTMLParser):
         self.pieces: list[tuple[int, int, str, bool]] = []    # node, block number, text, in a link
         self.fields: Counter = Counter()
         self.open: list[tuple[str, int]] = [("#page", 0)]     # tag, node that its text belongs to
+        self.opened: Counter = Counter()                      # how many of each tag are open
         self.block = 0
         self.hidden = self.links = 0
         self.feed(html)
@@ -76,6 +78,7 @@ class Dom(HTMLParser):
 
     def _pop(self) -> None:
         tag, _ = self.open.pop()
+        self.opened[tag] -= 1
         if tag in BLOCKS:
             self.block += 1
         self.hidden -= tag in HIDDEN
@@ -83,6 +86,8 @@ class Dom(HTMLParser):
 
     def _close(self, wanted, scope=()) -> None:
         """Close the innermost open element of ``wanted`` that no element of ``scope`` hides."""
+        if not any(self.opened[t] for t in wanted):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             tag = self.open[i][0]
             if tag in wanted:
@@ -96,7 +101,7 @@ class Dom(HTMLParser):
         node = self.open[-1][1]
         if tag == "br" or tag == "hr":
             if tag == "hr":
-                self._close({"p"}, BLOCKS - {"p"})
+                self._close({"p"}, AROUND_P)
                 self.block += 1
             elif not self.hidden:
                 self.pieces.append((node, self.block, " ", self.links > 0))
@@ -105,8 +110,8 @@ class Dom(HTMLParser):
         if tag in VOID:
             return
         if tag in BLOCKS and tag not in ("html", "body"):
-            self._close({"p"}, BLOCKS - {"p"})
-        if tag in ("html", "body") and any(t == tag for t, _ in self.open):
+            self._close({"p"}, AROUND_P)
+        if tag in ("html", "body") and self.opened[tag]:
             return
         if tag == "body" or tag in BLOCKS - {"html"}:
             self._close({"head"})
@@ -123,6 +128,7 @@ class Dom(HTMLParser):
         if tag in BLOCKS:
             self.block += 1
         self.open.append((tag, node))
+        self.opened[tag] += 1
         self.hidden += tag in HIDDEN
         self.links += tag == "a"
 
@@ -309,6 +315,11 @@ class Layouts:
         rng = self.rng
         tags, words = ROLES[role]
         tag = rng.choice(tags)
+
+        def title(n: int) -> str:
+            h = rng.choice(["h2", "h2", "h3", "h3", "h4", "h5", "strong", "p"])
+            return f"<{h}>{self.text('B', n)}</{h}>"
+
         semantic = tag in ("nav", "header", "footer", "aside", "form", "ins")
         mark = self.mark(words, 0.5 if semantic else 1.0 if role != "menu" else 0.8)
         n = rng.randint(1, 7)
@@ -317,18 +328,18 @@ class Layouts:
             if tag == "ul":
                 inner = inner.removeprefix("<ul>").removesuffix("</ul>") if inner.startswith("<ul>") else f"<li>{inner}</li>"
         elif role == "head":
-            inner = rng.choice([f"<h1>{self.link('B')}</h1>", f"<div>{self.text('B', 3)}</div>", f"<p>{self.text('B', 6)}</p>", ""]) + (self.aside("menu") if rng.random() < 0.5 else self.text("B", 2))
+            inner = rng.choice([f"<h1>{self.link('B')}</h1>", title(2), f"<div>{self.text('B', 3)}</div>", f"<p>{self.text('B', 6)}</p>", ""]) + (self.aside("menu") if rng.random() < 0.5 else self.text("B", 2))
         elif role == "foot":
             inner = rng.choice(["&copy; ", ""]) + self.text("B", rng.randint(2, 14)) + rng.choice(["", self.listing("B", n, 1.0), f"<p>{self.text('B', 9)}</p>"])
         elif role == "form":
             inner = f"<label>{self.text('B', 2)}</label><input name=q><button>{self.text('B', 1)}</button>" + rng.choice(["", f"<p>{self.text('B', 8)}</p>"])
             tag = "form" if not mark else tag
         elif role == "comments":
-            inner = f"<h3>{self.text('B', 2)}</h3>" + "".join(
+            inner = title(2) + "".join(
                 rng.choice([f"<div{self.mark('comment reply author body')}><p>{self.text('B', rng.randint(2, 40))}</p></div>", f"<li><p>{self.text('B', rng.randint(2, 30))}</p></li>",
                             f"<p>{self.text('B', rng.randint(3, 30))}</p>", f"<article{self.mark('comment comment', 1.0)}><p>{self.text('B', 12)}</p></article>"]) for _ in range(n))
         elif role == "side":
-            inner = f"<h3>{self.text('B', 2)}</h3>" + rng.choice([self.listing("B", n, 0.9), f"<p>{self.text('B', rng.randint(5, 40))}</p>", self.listing("B", n, 0.9) + f"<div>{self.text('B', 12)}</div>"])
+            inner = title(2) + rng.choice([self.listing("B", n, 0.9), f"<p>{self.text('B', rng.randint(5, 40))}</p>", self.listing("B", n, 0.9) + f"<div>{self.text('B', 12)}</div>"])
         else:
             inner = rng.choice([self.text("B", rng.randint(2, 25)), f"<p>{self.text('B', rng.randint(3, 25))}</p>", f"<div><span>{self.text('B', 6)}</span> {self.link('B')}</div>"])
         if tag == "p":    # a paragraph holds no blocks
