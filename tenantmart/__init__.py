@@ -2,9 +2,9 @@
 
 Subpackages: ``sources`` (where tenant tables come from), ``plans`` (the
 models as lazy DataFrame plans), ``operators`` (cleansing, loads, tenants,
-audits, lookups, skew-safe joins), ``functions`` (column helpers),
-``streaming`` (incremental merge as a stream).  ``registry`` holds the
-queries registered for the driver, ``oracle`` their DuckDB formulations.
+audits, lookups, skew-safe joins), ``functions`` (column helpers).
+``registry`` holds the queries registered for the driver, ``oracle`` their
+DuckDB formulations.
 """
 
 __version__ = "0.1.0"

@@ -6,11 +6,12 @@ third of all lines, a plain left outer join cannot be split by AQE: only the
 preserved (header) side of an outer join may be split, and that side holds
 one row for the hot key, so one task would produce a third of the output.
 
-``fanout_left_join`` gives the same rows in two branches: an *inner* join --
-whose skewed partitions AQE splits on either side -- and the headers without
-lines (anti join with the distinct line keys, collapsed before the shuffle;
-it keeps NULL keys, which never match).  Both branches shuffle the header
-alike, so its exchange is reused.
+``fanout_left_join`` gives the same rows by an *inner* join -- whose skewed
+partitions AQE splits on either side -- of the header with the lines and one
+all-NULL line for every header key that has none.  Those keys are found at key
+level (distinct header keys anti-joined with the distinct line keys, both
+collapsed before the shuffle), from a frame as cheap as the header's base
+table, so the header with all its joins is evaluated once.
 
 ``own_exchange_join`` keeps a chain of joins on one key splittable.  AQE does
 not split a join whose partitioning the next join takes over; a second key
@@ -20,8 +21,6 @@ exchange.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,25 +33,20 @@ def own_exchange_join(left: DataFrame, right: DataFrame, on: str, tag: int) -> D
 
 
 def lines_with_placeholders(header_keys: DataFrame, lines: DataFrame, on: str) -> DataFrame:
-    """``lines`` plus one all-NULL line for every (non-NULL) key of
-    ``header_keys`` that has none.  ``header INNER JOIN`` this equals ``header
-    LEFT JOIN lines`` for header rows with a key.  Only keys are read twice, so
-    it is the cheaper form where the header is itself the result of joins."""
-    have = lines.select(on).distinct()
-    missing = header_keys.select(on).where(F.col(on).isNotNull()).distinct().join(have, on=on, how="left_anti")
+    """``lines`` with a key, plus one all-NULL line for every key of
+    ``header_keys`` that has none (the NULL key among them)."""
+    keyed = lines.where(F.col(on).isNotNull())
+    have = keyed.select(F.col(on).alias("_has")).distinct()
+    missing = header_keys.select(on).distinct().join(have, F.col(on) == F.col("_has"), "left_anti")
     extra = [f for f in lines.schema.fields if f.name != on]
-    return lines.unionByName(missing.select(on, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
+    return keyed.unionByName(missing.select(on, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
 
 
-def fanout_left_join(header: DataFrame, lines: DataFrame, on) -> DataFrame:
+def fanout_left_join(header: DataFrame, lines: DataFrame, on: str, header_keys: DataFrame | None = None) -> DataFrame:
     """``header LEFT JOIN lines USING (on)`` with both hot-key directions
-    splittable.  Columns: ``on``, then the header's, then the lines'."""
-    keys = [on] if isinstance(on, str) else list(on)
-    joined = header.join(lines, on=keys, how="inner")
-    cond = reduce(lambda a, b: a & b, [header[k] == F.col(f"_has_{k}") for k in keys])
-    have = lines.select(*[F.col(k).alias(f"_has_{k}") for k in keys]).distinct()
-    extra = [f for f in lines.schema.fields if f.name not in keys]
-    alone = header.join(have, cond, "left_anti").select(
-        *keys, *[c for c in header.columns if c not in keys],
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return joined.unionByName(alone)
+    splittable.  ``header_keys`` may name a cheaper frame whose ``on`` column
+    has all of the header's keys (and perhaps more).  Columns: ``on``, then the
+    header's, then the lines'."""
+    full = lines_with_placeholders(header if header_keys is None else header_keys, lines, on).withColumnRenamed(on, "_line_key")
+    joined = header.join(full, F.col(on).eqNullSafe(F.col("_line_key")), "inner").drop("_line_key")
+    return joined.select(on, *[c for c in joined.columns if c != on])

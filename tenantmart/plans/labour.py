@@ -134,7 +134,7 @@ def farm_labour(src: Source, params: Params) -> DataFrame:
          .join(farms, on="idfermes", how="left")
          .join(area, on="idfermes", how="left"))
     staff_cat = staff.join(cat, on="_cat", how="left").drop("_cat")
-    lines = (fanout_left_join(t, pp, "idpointage")
+    lines = (fanout_left_join(t, pp, "idpointage", p)
              .join(staff_cat, on="pers_id", how="left"))
     return lines.select("ferme", "date", "famille", "oper_liste",
                         F.col("pers_id").alias("ouvrier"), "hj", "categorie", "sup_ferme")

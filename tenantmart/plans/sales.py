@@ -53,7 +53,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "kg_estime", "qte_caisse", "idunite_operation")
     station = src("bon_recp_station").select(F.col("exp_recp_caisse").alias("id_recp"),
                                              F.col("idvariete").alias("variete"), "pu")
-    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp")
+    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp", rc)
              .join(plots, on="idparcelle", how="left")
              .join(station, on=["id_recp", "variete"], how="left")
              .join(units, on="idunite_operation", how="left")
@@ -77,7 +77,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "poid_recp", "idunite_operation")
     vh = _sales_header(src).drop("type")
     export = (fanout_left_join(rq.join(vh, rq["rq_idvente"] == vh["idvente"], how="left"),
-                               rqp, "id_rq")
+                               rqp, "id_rq", rq)
               .join(units, on="idunite_operation", how="left")
               .join(plots.drop("variete"), on="idparcelle", how="left")
               .join(_yield_accounts(src, MARKET_EXPORT), on="idproduit_rendement", how="left")
@@ -141,7 +141,7 @@ def _cost_overheads(src: Source, params: Params) -> DataFrame:
     j = (d.join(assigned, on="idaffectation", how="left_semi")
          .join(prod, on="id_produit", how="left")
          .join(cat, on="id_categorie_depense", how="left"))
-    j = fanout_left_join(j, spread, "id_depence")      # expense -> its plot spread lines
+    j = fanout_left_join(j, spread, "id_depence", d)      # expense -> its plot spread lines
     return j.select(
         F.col("date_depense").cast("timestamp_ntz").alias("date"),
         F.lit(LEVEL_OVERHEADS).alias("charge_niv1"), F.col("categ_depense").alias("charge_niv2"),
@@ -172,7 +172,7 @@ def _cost_labour(src: Source, params: Params) -> DataFrame:
          .join(fam, on="oper_famille", how="left")
          .join(grp, on="operef_gr", how="left")
          .join(farms, on="idfermes", how="left"))
-    j = (fanout_left_join(t, links, "idpointage")
+    j = (fanout_left_join(t, links, "idpointage", p)
          .join(pcs, (F.col("parccul_id") == F.col("_pc_id"))
                & (F.col("date") >= F.col("_pc_planned")), how="left"))
     return j.select(
