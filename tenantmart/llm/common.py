@@ -76,6 +76,13 @@ def bounded(df: DataFrame, most: int, what: str) -> list:
     return rows
 
 
+def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A written table as a join's small side: broadcast if it has at most
+    ``most`` rows, otherwise left to the planner (whose joins of two written
+    tables can split a hot key)."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def unit_interval(*cols: Column) -> Column:
     """A uniform number in (0, 1) that depends on the columns' values alone."""
     h = F.shiftrightunsigned(F.xxhash64(*cols), 11)

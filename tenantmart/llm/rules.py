@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, materialise, take
+from .common import SPACE, WORD, materialise, small_side, take
 
 MARKS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -145,7 +145,7 @@ def _cholesky(rows: DataFrame) -> DataFrame:
 
 def _distance(rows: DataFrame, moments: DataFrame) -> DataFrame:
     """``rows`` with the squared Mahalanobis distance ``d2`` to their group's estimate."""
-    est = moments.withColumnRenamed("group", "g")
+    est = small_side(moments.withColumnRenamed("group", "g"))
     out = rows.join(est, F.col("group") == F.col("g"))
     for i in range(len(NAMES)):
         rest = F.col(NAMES[i]) - F.col(f"m{i}")
@@ -162,13 +162,13 @@ def distances(rows: DataFrame) -> DataFrame:
     """``rows`` (group and the transformed statistics, written) with ``d2`` from the robust estimate."""
     centres = materialise(rows.groupBy("group").agg(
         *[F.percentile_approx(n, 0.5, ACCURACY).alias(f"c{i}") for i, n in enumerate(NAMES)]), "mcd-centres")
-    centred = rows.join(centres.withColumnRenamed("group", "cg"), F.col("group") == F.col("cg")).drop("cg")
+    centred = rows.join(small_side(centres.withColumnRenamed("group", "cg")), F.col("group") == F.col("cg")).drop("cg")
     # The first distances are from the medians, in units of the floors.
     d2 = sum((((F.col(n) - F.col(f"c{i}")) / FLOORS[n]) ** 2 for i, n in enumerate(NAMES)), F.lit(0.0))
     near = centred.withColumn("d2", d2)
     for _ in range(STEPS):
         border = materialise(near.groupBy("group").agg(F.percentile_approx("d2", SUBSET, ACCURACY).alias("border")), "mcd-border")
-        chosen = near.join(border.withColumnRenamed("group", "bg"), F.col("group") == F.col("bg"))
+        chosen = near.join(small_side(border.withColumnRenamed("group", "bg")), F.col("group") == F.col("bg"))
         near = _distance(centred, _moments(chosen, F.col("d2") <= F.col("border")))
     # The nearest row of a group is always within the cut-off or the group has no spread to judge by.
     last = _moments(near, (F.col("d2") <= CUTOFF))
