@@ -5,9 +5,8 @@
   again by weight until no target is above.
 * *Blocks*: a source's documents stand in a seeded random order and are cut into
   blocks of ``BLOCK`` words.  A target takes whole passes over the source, then
-  the documents of the next pass as long as they fit, and one more document:
-  the one whose size comes closest to the gap.  That fixes the source's block
-  quota.
+  the documents of the next pass as long as they fit, and a few more that fill
+  the gap.  That fixes the source's block quota.
 * *Tree*: the vector of quotas is split in two again and again.  Each split
   draws, without replacement, how many blocks of each source go left
   (multivariate hypergeometric), so the leaves, one for each output shard, hold
@@ -36,7 +35,11 @@ TOTAL = 1.5
 MOST = 2.0
 BLOCK = 50_000
 SHARDS = 64
+#: Words that one task of a shard's writers gets.
+PART = 2_000_000
 SEED = 10
+#: Documents that fill a source's gap before the one that comes nearest.
+FILLS = 2
 MAX_SOURCES = 100_000
 
 
@@ -96,33 +99,37 @@ def mixed(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float =
     names = list(target)
     # Whole passes, and the words of the last, partial one; a cap that is met exactly is whole passes.
     passes = {s: int(target[s] / sizes[s] + 1e-9) if sizes[s] else 0 for s in names}
-    goal = spark.createDataFrame(
-        [(s, sizes[s], target[s], passes[s], max(0.0, target[s] - passes[s] * sizes[s])) for s in names],
-        "name string, source_size long, target double, passes int, rest double")
+    # Block quotas: the blocks of the whole passes and those of the partial one.
+    per_pass = {s: (sizes[s] - 1) // block + 1 if sizes[s] else 1 for s in names}
+    partial = {s: min(int((target[s] - passes[s] * sizes[s]) // block) + 1, per_pass[s]) for s in names}
+    quotas = [per_pass[s] * passes[s] + partial[s] for s in names]
+    ends = np.cumsum(split_quotas(quotas, shards, seed), axis=0).T if names else np.zeros((0, shards))
+    # One row for each source with a number for each shard: MAX_SOURCES * SHARDS longs at most.
+    goal = F.broadcast(spark.createDataFrame(
+        [(s, sizes[s], target[s], passes[s], max(0.0, target[s] - passes[s] * sizes[s]), per_pass[s], partial[s], [int(x) for x in e])
+         for s, e in zip(names, ends)],
+        "name string, source_size long, target double, passes int, rest double, per_pass long, partial long, ends array<long>"))
     ordered = rows.withColumn("turn", F.xxhash64(F.lit(seed), "source", "doc_id", "mark"))
     placed = materialise(places(ordered, "turn", "source", "size", ("doc_id", "mark")), "mix-order")
     placed = placed.join(goal, placed["source"].eqNullSafe(goal["name"])).withColumn("fits", F.col("start") + F.col("size") <= F.col("rest"))
     # The documents that fit stand before those that don't; the gap left is that of the first that doesn't.
     rest = placed.where(~F.col("fits"))
-    gaps = materialise(rest.groupBy("source").agg(F.min_by(F.col("rest") - F.col("start"), "place").alias("gap")), "mix-gaps")
-    gaps = gaps.withColumnRenamed("source", "gap_of")
-    near = rest.join(gaps, rest["source"].eqNullSafe(gaps["gap_of"])).where(F.abs(F.col("size") - F.col("gap")) < F.col("gap"))
-    extra = materialise(near.groupBy("source").agg(
-        F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), F.col("place"))).alias("best")).select(F.col("source").alias("extra_of"), F.col("best.place").alias("extra")),
-        "mix-extra")
+    chosen = materialise(rest.groupBy("source").agg(
+        F.min_by(F.col("rest") - F.col("start"), "place").alias("gap"), F.array().cast("array<long>").alias("more")), "mix-gaps")
+    for turn in range(FILLS + 1):
+        # FILLS times the largest document that fits the gap, then the one whose size is nearest to it.
+        state = F.broadcast(chosen.withColumnRenamed("source", "gap_of"))
+        off = F.abs(F.col("size") - F.col("gap"))
+        open_rows = rest.join(state, rest["source"].eqNullSafe(state["gap_of"])).where(
+            ~F.array_contains("more", F.col("place")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap") if turn < FILLS else off < F.col("gap")))
+        best = open_rows.groupBy("source").agg(F.min(F.struct(off.alias("off"), "place", "size")).alias("best")).withColumnRenamed("source", "best_of")
+        chosen = materialise(chosen.join(best, chosen["source"].eqNullSafe(best["best_of"]), "left").select(
+            "source", F.when(F.col("best").isNull(), F.col("gap")).otherwise(F.col("gap") - F.col("best.size")).alias("gap"),
+            F.when(F.col("best").isNull(), F.col("more")).otherwise(F.array_append("more", F.col("best.place"))).alias("more")), "mix-gaps")
+    extra = F.broadcast(chosen.select(F.col("source").alias("extra_of"), "more"))
     placed = placed.join(extra, placed["source"].eqNullSafe(extra["extra_of"]), "left")
-    # Block quotas: the blocks of the whole passes and those of the partial one.
-    per_pass = {s: (sizes[s] - 1) // block + 1 if sizes[s] else 1 for s in names}
-    partial = {s: min(int((target[s] - passes[s] * sizes[s]) // block) + 1, per_pass[s]) for s in names}
-    quotas = [per_pass[s] * passes[s] + partial[s] for s in names]
-    leaves = split_quotas(quotas, shards, seed)
-    ends = np.cumsum(leaves, axis=0).T if names else np.zeros((0, shards))
-    runs = spark.createDataFrame(
-        [(s, per_pass[s], partial[s], [int(x) for x in e]) for s, e in zip(names, ends)],
-        "run_of string, per_pass long, partial long, ends array<long>")
-    placed = placed.join(runs, placed["source"].eqNullSafe(runs["run_of"]))
     number = F.least(F.floor(F.col("start") / block), F.col("per_pass") - 1)
-    takes_last = F.col("fits") | (F.col("place") == F.coalesce(F.col("extra"), F.lit(-1)))
+    takes_last = F.col("fits") | F.coalesce(F.array_contains("more", F.col("place")), F.lit(False))
     copies = F.col("passes") + F.when(takes_last, 1).otherwise(0)
 
     def shard_of(copy: Column) -> Column:
@@ -148,11 +155,12 @@ def mix_plan(docs: DataFrame, **options) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("drawn")).alias("taken"), "drawn")
 
 
-def mix(docs: DataFrame, shard_column: str | None = None, **options) -> DataFrame:
+def mix(docs: DataFrame, shard_column: str | None = None, shards: int = SHARDS, total: float = TOTAL, **options) -> DataFrame:
     """The mix itself: ``docs``' columns, a row for each copy, shards together and each in random order."""
     own = position(docs, "doc_id")
     rows = positional(docs).withColumn("mark", F.xxhash64(*positional(docs).columns))
-    plan = mixed(_light(docs), **options)
+    light = _light(docs)
+    plan = mixed(light, shards=shards, total=total, **options)
     # Identical rows share a mark: their copies are added up and their text is taken once.
     plan = materialise(plan.groupBy("mark", F.col("doc_id").alias("i")).agg(
         F.flatten(F.collect_list("drawn")).alias("drawn"), F.count(F.lit(1)).alias("same"), F.min("turn").alias("turn")).where(F.size("drawn") > 0), "mix-plan")
@@ -160,7 +168,10 @@ def mix(docs: DataFrame, shard_column: str | None = None, **options) -> DataFram
     both = both.where("same = 1").unionByName(both.where("same > 1").dropDuplicates(["mark", "i"]))
     copies = both.select("*", F.posexplode("drawn").alias("copy", "shard"))
     copies = copies.withColumn("order", F.xxhash64("turn", "copy", "mark"))
-    copies = copies.repartition("shard", F.pmod("order", F.lit(8))).sortWithinPartitions("shard", "order")
+    # A shard is dealt to as many tasks as hold PART words each, then every task orders its own.
+    words = int(light.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] * total)
+    parts = words // (shards * PART) + 1
+    copies = copies.repartition(shards * parts, "shard", F.pmod("order", F.lit(parts))).sortWithinPartitions("shard", "order")
     names = [*docs.columns]
     picked = [*[f"_c{i}" for i in range(len(names))]]
     if shard_column:

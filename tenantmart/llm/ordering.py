@@ -20,31 +20,23 @@ def hash_range(h: Column, bits: int = BITS) -> Column:
     return F.shiftrightunsigned(h, 64 - bits).cast("int")
 
 
-def places(df: DataFrame, order: str, group: str | None = None, weight: str | None = None, ties: tuple = ()) -> DataFrame:
-    """``df`` with ``place`` (rows of its group before it) and, if asked, ``start`` (their weight).
+def places(df: DataFrame, order: str, group: str, weight: str, ties: tuple = ()) -> DataFrame:
+    """``df`` with ``place`` (rows of its group before it) and ``start`` (their weight).
 
-    ``order`` is a long column with a hash; rows with equal hashes follow ``ties``.
-    ``df`` should be a written table of light rows, as it is read twice.
+    ``order`` is a long column with a hash; rows with equal hashes follow
+    ``ties``; a null group is a group.  ``df`` should be a written table of light
+    rows, as it is read twice.
     """
-    lead = [F.col(group)] if group else []
-    keyed = df.withColumn("_range", hash_range(F.col(order)))
-    sums = keyed.groupBy(*lead, "_range").agg(F.count(F.lit(1)).alias("_n"), (F.sum(weight) if weight else F.lit(0).cast("long")).alias("_w"))
-    before = W.partitionBy(*lead or [F.lit(0)]).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
+    keyed = df.withColumn("_range", hash_range(F.col(order)))
+    sums = keyed.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_w"))
+    before = W.partitionBy(group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     starts = materialise(
-        sums.select(*lead, "_range", F.coalesce(F.sum("_n").over(before), zero).alias("_n"), F.coalesce(F.sum("_w").over(before), zero).alias("_w")),
+        sums.select(F.col(group).alias("_g"), F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), zero).alias("_n"),
+                    F.coalesce(F.sum("_w").over(before), zero).alias("_w")),
         "range-starts")
-    if group:
-        starts = starts.withColumnRenamed("_range", "_r").withColumnRenamed(group, "_g")
-        joined = keyed.join(starts, keyed[group].eqNullSafe(starts["_g"]) & (keyed["_range"] == starts["_r"]))
-    else:
-        starts = starts.withColumnRenamed("_range", "_r")
-        joined = keyed.join(starts, keyed["_range"] == starts["_r"])
-    own = W.partitionBy(*lead, "_range").orderBy(order, *ties)
-    out = joined.withColumn("place", F.col("_n") + F.row_number().over(own) - 1)
-    extra = ["place"]
-    if weight:
-        inner = own.rowsBetween(W.unboundedPreceding, -1)
-        out = out.withColumn("start", F.col("_w") + F.coalesce(F.sum(weight).over(inner), zero))
-        extra.append("start")
-    return out.select(*df.columns, *extra)
+    joined = keyed.join(starts, keyed[group].eqNullSafe(starts["_g"]) & (keyed["_range"] == starts["_r"]))
+    own = W.partitionBy(group, "_range").orderBy(order, *ties)
+    inner = own.rowsBetween(W.unboundedPreceding, -1)
+    return joined.select(*df.columns, (F.col("_n") + F.row_number().over(own) - 1).alias("place"),
+                         (F.col("_w") + F.coalesce(F.sum(weight).over(inner), zero)).alias("start"))
