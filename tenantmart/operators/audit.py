@@ -37,27 +37,6 @@ def key_audit(df: DataFrame, table: str, kind: str, keys) -> DataFrame:
              "duplicate_keys", "null_key_rows")
 
 
-def foreign_key_audit(child: DataFrame, child_table: str, child_col: str, parent: DataFrame,
-                      parent_table: str, parent_col: str) -> DataFrame:
-    """Non-NULL child rows whose key has no parent row (orphans).  Child keys
-    are counted first (one row per key), parents de-duplicated, then a left
-    join marks the keys that found a parent."""
-    keys = (child.where(F.col(child_col).isNotNull())
-            .groupBy(F.col(child_col).alias("_k")).agg(F.count(F.lit(1)).alias("n")))
-    parents = (parent.select(F.col(parent_col).alias("_k")).where(F.col("_k").isNotNull())
-               .distinct().withColumn("_found", F.lit(True)))
-    marked = keys.join(parents, on="_k", how="left")
-    orphan = F.col("_found").isNull()
-    return marked.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("checked_rows"),
-        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
-        F.count_if(orphan).alias("orphan_keys"),
-    ).select(
-        F.lit(child_table).alias("child_table"), F.lit(child_col).alias("child_column"),
-        F.lit(parent_table).alias("parent_table"), F.lit(parent_col).alias("parent_column"),
-        "checked_rows", "orphan_rows", "orphan_keys")
-
-
 def length_audit(df: DataFrame, table: Table) -> DataFrame | None:
     """Longest text per ``varchar(n)`` column and the count of longer values."""
     cols = [c for c in table.columns if c.length is not None and c.name in df.columns]
@@ -116,8 +95,40 @@ def audit_primary_keys(tables: dict[str, DataFrame], constraints) -> DataFrame:
 
 
 def audit_foreign_keys(tables: dict[str, DataFrame], fks) -> DataFrame:
-    return union_all(foreign_key_audit(tables[c], c, cc, tables[p], p, pc)
-                     for c, cc, p, pc in fks if c in tables and p in tables)
+    """Per foreign key: non-NULL child rows and those without a parent row.
+
+    One scan of each child table, whatever its number of foreign keys, and one
+    of each referenced column.  Child keys are counted first (one row per key),
+    parents de-duplicated, then a left join marks the keys that found a parent.
+    Keys are compared as text, so integer widths may differ.
+    """
+    fks = [f for f in fks if f[0] in tables and f[2] in tables]
+    if not fks:
+        raise ValueError("no foreign key between the given tables")
+    parent_no = {p: i for i, p in enumerate(dict.fromkeys((p, pc) for _, _, p, pc in fks))}
+    children: dict[str, list] = {}
+    for i, (c, cc, p, pc) in enumerate(fks):
+        children.setdefault(c, []).append(F.struct(
+            F.lit(i).alias("fk"), F.lit(parent_no[p, pc]).alias("parent"),
+            F.col(cc).cast("string").alias("k")))
+    keys = union_all(tables[c].select(F.explode(F.array(*cols)).alias("e")).select("e.*")
+                     for c, cols in children.items())
+    keys = keys.where("k IS NOT NULL").groupBy("fk", "parent", "k").agg(F.count(F.lit(1)).alias("n"))
+    parents = union_all(tables[p].select(F.lit(i).alias("parent"), F.col(pc).cast("string").alias("k"))
+                        for (p, pc), i in parent_no.items())
+    parents = parents.where("k IS NOT NULL").distinct().withColumn("found", F.lit(True))
+    orphan = F.col("found").isNull()
+    marked = keys.join(parents, on=["parent", "k"], how="left").groupBy("fk").agg(
+        F.sum("n").alias("checked"), F.sum(F.when(orphan, F.col("n"))).alias("orphans"),
+        F.count_if(orphan).alias("keys"))
+    spark = next(iter(tables.values())).sparkSession
+    spec = spark.createDataFrame(
+        [(i, *f) for i, f in enumerate(fks)],
+        "fk int, child_table string, child_column string, parent_table string, parent_column string")
+    return spec.join(marked, on="fk", how="left").select(
+        "child_table", "child_column", "parent_table", "parent_column",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in (
+            ("checked_rows", "checked"), ("orphan_rows", "orphans"), ("orphan_keys", "keys"))])
 
 
 def audit_lengths(tables: dict[str, DataFrame]) -> DataFrame:
