@@ -9,7 +9,8 @@ and documents whose fingerprints are connected by links form a component.
   ``radius`` bits agree in one field at least, so each fingerprint goes to one
   shard for each field, and linked ones meet in one of them.  A shard with more
   than ``SHARD`` members is cut again by the fields of the bits left, up to
-  ``LEVELS`` times; no link is lost on the way.
+  ``LEVELS`` times, and what is still larger by pairs of parts; no link is lost
+  on the way.
 * *Trees*: each shard's members form a BK-tree, whose children are keyed by
   their Hamming distance to the parent.  A search follows only the edges whose
   key is within ``radius`` of the distance at hand.  What a shard reports is
@@ -155,6 +156,15 @@ def _cut(rows: DataFrame, bits: int, parts: int) -> DataFrame:
     return rows.select("fp", F.explode(F.array(*options)).alias("o")).select("fp", "o.*")
 
 
+def _blocks(over: DataFrame, shard: int) -> DataFrame:
+    """Shards that no bits cut further (near copies without end), as pairs of
+    parts: each part meets every other one in a shard of two parts at most."""
+    parts = F.ceil(F.col("count") / shard).cast("int")
+    own = F.pmod(F.xxhash64("fp"), parts).cast("int")
+    return over.select("fp", "shard", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other")).select(
+        "fp", F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("shard"))
+
+
 def links(fps: DataFrame, radius: int = 3, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
     """(a, b): stars that connect all fingerprints (column fp, each once) within ``radius`` bits."""
     parts = radius + 1
@@ -162,15 +172,14 @@ def links(fps: DataFrame, radius: int = 3, shard: int = SHARD, levels: int = LEV
     ready = []
     for level in range(1, levels + 1):
         rows = materialise(rows, f"shards-{level}")
-        if level == levels:
-            ready.append(rows)
+        sizes = rows.groupBy("shard").count()
+        full = materialise(sizes.where(F.col("count") > shard), "shards-full")
+        ready.append(rows.join(full, "shard", "left_anti"))
+        if full.isEmpty():
             break
-        sizes = rows.groupBy("shard").count().where("count > 1")
-        full = materialise(sizes.where(F.col("count") > shard).select("shard"), "shards-full")
-        single = rows.join(full, "shard", "left_anti")
-        ready.append(single)
         over = rows.join(full, "shard")
-        if full.isEmpty():
+        if level == levels:
+            ready.append(_blocks(over, shard))
             break
         # The widths of fields may differ by one bit, so each width of what is left is cut by itself.
         widths = sorted({64 - w for _, w in _fields(64, parts)}) if level == 1 else sorted(
