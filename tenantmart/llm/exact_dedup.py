@@ -10,11 +10,11 @@ run of white space became one space; null counts as empty.
    doubles when a bucket as deep as the directory itself must split.  It is
    computed from the key counts of at most ``2 ** MAX_DEPTH`` prefixes, so its
    size is bounded whatever the input.
-3. *Index files*: owner tasks each take a range of buckets.  In a bucket, rows
-   of one key form a chain, and grouping the chain by the normalised text
-   itself compares the bytes: equal keys of different texts stay apart.  Copies
-   are summed before the shuffle, so a text that a third of all rows share
-   arrives as one row from each task.
+3. *Index files*: rows of one key form a chain, and grouping the chain by the
+   normalised text itself compares the bytes: equal keys of different texts
+   stay apart.  Copies are summed before the shuffle, so a text that a third of
+   all rows share arrives as one row from each task.  Each owner task then
+   writes its buckets, a key range each, in key order, without the texts.
 4. Every entry is joined with the chain element of its key and digest.  Both
    sides are tables on shared files, so a hot key's rows can be split over
    tasks.
@@ -93,8 +93,9 @@ def _index(entries: DataFrame, texts: DataFrame, capacity: int) -> DataFrame:
     return materialise(
         texts.join(directory, slot(F.col("key")) == F.col("slot"))
         .groupBy("bucket", "key", "norm")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
-        .select("bucket", "key", F.unhex(F.sha2("norm", 256)).alias("digest"), "n", "first"),
+        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))    # the minimum passes over nulls
+        .select("bucket", "key", F.unhex(F.sha2("norm", 256)).alias("digest"), "n", "first")
+        .repartition("bucket").sortWithinPartitions("bucket", "key"),    # a bucket lies in one file, in key order
         "exact-index")
 
 
@@ -109,18 +110,16 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     entries = materialise(
         rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", F.unhex(F.sha2("norm", 256)).alias("digest")),
         "exact-entries")
-    smallest = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"))
-    index = _index(entries, rows.select("key", "norm", smallest.alias("first")), capacity)
+    index = _index(entries, rows, capacity)
     found = entries.join(index.select("key", "digest", "n", "first"), ["key", "digest"])
-    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    first = F.col("doc_id").eqNullSafe(F.col("first"))
     # Rows that share the smallest id: one of them stays.
-    ties = (entries.where(F.col("doc_id").isNotNull()).groupBy("key", "digest", "doc_id").agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("row1"))
-            .unionByName(entries.where(F.col("doc_id").isNull()).groupBy("key", "digest").agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("row1")).withColumn("doc_id", F.lit(None).cast(entries.schema["doc_id"].dataType)))
+    ties = (entries.groupBy("key", "digest", "doc_id").agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("row1"))
             .where("same > 1").select(F.col("key").alias("k"), F.col("digest").alias("d"), F.col("doc_id").alias("i"), "row1"))
     out = found.join(ties, (F.col("key") == F.col("k")) & (F.col("digest") == F.col("d")) & first & F.col("doc_id").eqNullSafe(F.col("i")), "left")
     return out.select(
         "doc_id",
-        F.col("first.doc_id").alias("keep_id"),
+        F.col("first").alias("keep_id"),
         F.col("n").alias("group_size"),
         (first & (F.col("row1").isNull() | (F.col("row1") == F.col("row")))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
@@ -130,18 +129,16 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``docs`` with one row for each different text (that of the smallest doc_id), all columns kept."""
     own, text = position(docs, "doc_id"), position(docs, "text")
     rows = positional(docs)
-    keyed = rows.withColumn("norm", normalised(F.col(text))).withColumn("key", F.xxhash64("norm"))
-    entries = materialise(
-        keyed.select("key", F.unhex(F.sha2("norm", 256)).alias("digest"), F.struct(F.col(own).isNull().alias("none"), F.col(own).alias("doc_id")).alias("id")),
-        "exact-entries")
-    index = _index(entries, keyed.select("key", "norm", F.struct(F.col(own).isNull().alias("none"), F.col(own).alias("doc_id")).alias("first")), capacity)
+    keyed = _keyed(rows.withColumns({"doc_id": F.col(own), "text": F.col(text)}))
+    entries = materialise(keyed.select("key", F.unhex(F.sha2("norm", 256)).alias("digest"), "doc_id"), "exact-entries")
+    index = _index(entries, keyed.select("key", "norm", "doc_id"), capacity)
     # How many rows have the smallest id of their text; over 1 only for repeated rows.
-    same = entries.join(index, ["key", "digest"]).where(F.col("id") == F.col("first")).groupBy("key", "digest").agg(
-        F.count(F.lit(1)).alias("same"), F.first("first").alias("first"))
+    same = entries.join(index, ["key", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("key", "digest").agg(
+        F.count(F.lit(1)).alias("same"), F.min("first").alias("i"))
     # Whole rows are joined by key and id, which spreads the rows of a hot text.
-    wanted = materialise(same.select(F.col("key").alias("k"), F.col("digest").alias("d"), F.col("first.doc_id").alias("i"), "same"), "exact-kept")
-    full = keyed.drop("norm").withColumn("digest", F.unhex(F.sha2(normalised(F.col(text)), 256)))
-    stay = full.join(wanted, F.col(own).eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")) & (F.col("digest") == F.col("d")))
+    wanted = materialise(same.select(F.col("key").alias("k"), F.col("digest").alias("d"), "i", "same"), "exact-kept")
+    full = keyed.withColumn("digest", F.unhex(F.sha2("norm", 256))).drop("norm")
+    stay = full.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")) & (F.col("digest") == F.col("d")))
     once = stay.where("same = 1").select(*rows.columns)
     repeated = stay.where("same > 1").dropDuplicates(["k", "d"]).select(*rows.columns)
     return once.unionByName(repeated).toDF(*docs.columns)
