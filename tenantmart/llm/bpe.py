@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from itertools import chain
+from array import array
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +35,12 @@ from .common import map_arrow, take
 
 #: Fixed value: the word pattern of the tokenizer file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same for lower-case ASCII texts, without Unicode classes.
-ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+"
-WORDS_KEPT = 300_000
+SPACE_AT = re.compile(r"[\x20\x09-\x0D]")
+WORDS_KEPT = 100_000
+CHUNKS_KEPT = 600_000
 PAIRS_KEPT = 300_000
-#: Ids in one output batch.
-BATCH_IDS = 200_000
+#: Characters that are encoded at once.
+PIECE = 6_000_000
 FINAL = 0xE000      # private-use block for a word's last byte
 
 
@@ -115,10 +115,13 @@ class PrefixBpe:
             self.known[key] = known
         return known
 
-    def encode(self, word: str) -> tuple[int, ...]:
-        raw = word.encode()
-        inner = self.inner
-        symbols = "".join([inner[b] for b in raw[:-1]]) + self.last[raw[-1]]
+    def encode(self, word: str) -> list[int]:
+        if word.isascii() and word.isprintable():    # then every byte stands for itself
+            symbols = word[:-1] + self.last[ord(word[-1])]
+        else:
+            raw = word.encode()
+            inner = self.inner
+            symbols = "".join([inner[b] for b in raw[:-1]]) + self.last[raw[-1]]
         n = len(symbols)
         last: list = [None] * n
         size = [0] * n
@@ -140,10 +143,7 @@ class PrefixBpe:
         while at >= 0:
             out.append(last[at])
             at -= size[at]
-        return tuple(reversed(out))
-
-    def encode_many(self, words) -> dict[str, tuple[int, ...]]:
-        return {w: self.encode(w) for w in words}
+        return out[::-1]
 
 
 class LibraryBpe:
@@ -153,9 +153,34 @@ class LibraryBpe:
         self.model = tokenizer.model
         self.symbol = byte_symbols()
 
-    def encode_many(self, words) -> dict[str, tuple[int, ...]]:
-        tokenize, symbol = self.model.tokenize, self.symbol
-        return {w: tuple([t.id for t in tokenize("".join([symbol[b] for b in w.encode()]))]) for w in words}
+    def encode(self, word: str) -> list[int]:
+        if not (word.isascii() and word.isprintable()):
+            symbol = self.symbol
+            word = "".join([symbol[b] for b in word.encode()])
+        return [t.id for t in self.model.tokenize(word)]
+
+
+class Remembered(dict):
+    """A dictionary that computes what it lacks, looking into the generation before it first."""
+
+    def __init__(self, compute, old: dict):
+        super().__init__()
+        self.compute, self.old = compute, old
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+    def renewed(self, most: int):
+        """Itself, or once it holds half of ``most`` entries, a new generation that
+        keeps only this one behind it."""
+        if 2 * len(self) < most:
+            return self
+        self.old = {}
+        return Remembered(self.compute, self)
 
 
 class TextCodec:
@@ -173,7 +198,6 @@ class TextCodec:
         if split != WORD_PATTERN:
             raise ValueError(f"unknown word pattern {split}")
         self.pattern = regex.compile(split)
-        self.ascii_pattern = re.compile(ASCII_PATTERN)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.tokens = {i: t for t, i in {**model["vocab"], **self.special}.items()}
@@ -182,51 +206,154 @@ class TextCodec:
         else:
             merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
             self.words = PrefixBpe(model["vocab"], merges, model["end_of_word_suffix"])
-        self.cache: dict[str, tuple] = {}
         self.assigned: dict[str, bool] = {}
+        self.token_column = None
+        # ids are kept packed, four bytes each
+        self.word = Remembered(self._word, {})
+        self.chunk = Remembered(self._chunk, {})
+
+    def _word(self, word: str) -> bytes:
+        return array("i", self.words.encode(word)).tobytes()
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        """Ids of a normalised text without ASCII white space."""
+        text = chunk.decode()
+        if text.isalpha():
+            return self._word(text)
+        if text[-1] in ".," and text[:-1].isalpha():
+            return self.chunk[chunk[:-1]] + self.word[text[-1]]
+        return b"".join([self.word[w] for w in self.pattern.findall(text)])
+
+    def _known(self, text: str) -> bool:
+        """Whether Python's Unicode tables have all characters of a text."""
+        for c in set(text):
+            known = self.assigned.get(c)
+            if known is None:
+                known = self.assigned[c] = unicodedata.category(c) != "Cn"
+            if not known:
+                return False
+        return True
+
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text as 32-bit numbers."""
+        if not text:
+            return b""
+        self.word = self.word.renewed(WORDS_KEPT)
+        self.chunk = self.chunk.renewed(CHUNKS_KEPT)
+        if not any(s in text for s in self.special):
+            return self._packed(text)
+        out, at = [], 0
+        for m in self.special_pattern.finditer(text):
+            out += [self._packed(text[at:m.start()]), array("i", [self.special[m[0]]]).tobytes()]
+            at = m.end()
+        return b"".join([*out, self._packed(text[at:])])
 
-    def _pretokens(self, text: str) -> list[str]:
+    def _packed(self, text: str) -> bytes:
         if not text.isascii():
-            # Characters that Python's Unicode tables lack may have classes in
-            # the library's newer tables; only such texts are cut by the library.
-            for c in set(text):
-                known = self.assigned.get(c)
-                if known is None:
-                    known = self.assigned[c] = unicodedata.category(c) != "Cn"
-                if not known:
-                    lib = self.library
-                    back = {s: b for b, s in enumerate(byte_symbols())}
-                    plain = lib.normalizer.normalize_str(text)
-                    return [bytes(back[c] for c in w).decode() for w, _ in lib.pre_tokenizer.pre_tokenize_str(plain)]
-            return self.pattern.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-        return self.ascii_pattern.findall(text.lower())
+            if not self._known(text):
+                # The library's newer tables may class the character; it cuts such texts itself.
+                back = {s: b for b, s in enumerate(byte_symbols())}
+                plain = self.library.normalizer.normalize_str(text)
+                words = [bytes([back[c] for c in w]).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+                return b"".join([self.word[w] for w in words])
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        # No word crosses white space, so chunks between ASCII white space are encoded by themselves.
+        return b"".join(map(self.chunk.__getitem__, text.lower().encode().split()))
 
     def encode(self, text: str | None) -> list[int]:
+        return array("i", self.packed(text)).tolist()
+
+    def _plain(self, text: str | None) -> str | None:
+        """The normalised text, or None where a text needs the way of ``packed``."""
         if not text:
-            return []
-        if not self.special_pattern.search(text):
-            return self._encode(text)
-        out, at = [], 0
-        for m in self.special_pattern.finditer(text):
-            out += self._encode(text[at:m.start()])
-            out.append(self.special[m[0]])
-            at = m.end()
-        return out + self._encode(text[at:])
-
-    def _encode(self, text: str) -> list[int]:
-        words = self._pretokens(text)
-        cache = self.cache
-        new = set(words).difference(cache)
-        if new:
-            if len(cache) + len(new) > WORDS_KEPT:
-                cache.clear()
-                new = set(words)
-            cache.update(self.words.encode_many(list(new)))
-        return list(chain.from_iterable(map(cache.__getitem__, words)))
+            return ""
+        if any(s in text for s in self.special):
+            return None
+        if text.isascii():
+            return text.lower()
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower() if self._known(text) else None
+
+    def encode_many(self, texts: list):
+        """Ids of all texts in one array, and each text's number of ids.
+
+        Chunks are numbered by Arrow, looked up once each, and their ids are
+        laid out by index arithmetic.
+        """
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        self.word = self.word.renewed(WORDS_KEPT)
+        self.chunk = self.chunk.renewed(CHUNKS_KEPT)
+        column = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = pc.dictionary_encode(column.flatten())
+        keys = coded.dictionary.cast(pa.binary()).to_pylist()
+        packed = [self.chunk[k] if k else b"" for k in keys]
+        lengths = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
+        known = np.frombuffer(b"".join(packed), dtype="<i4")
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        count = lengths[which] if len(lengths) else np.zeros(0, dtype=np.int64)
+        ends = np.concatenate(([0], np.cumsum(count)))
+        first = (np.cumsum(lengths) - lengths)[which] if len(lengths) else count
+        place = np.arange(ends[-1], dtype=np.int32)
+        place += np.repeat((first - ends[:-1]).astype(np.int32), count)
+        ids = known[place]
+        offsets = np.asarray(column.offsets)
+        return ids, ends[offsets[1:]] - ends[offsets[:-1]]
+
+    def batches(self, texts):
+        """(ids, numbers of ids) for consecutive texts, some PIECE characters at a time."""
+        import numpy as np
+
+        waiting, size = [], 0
+        for text in texts:
+            plain = self._plain(text)
+            if plain is not None and len(plain) <= PIECE:
+                waiting.append(plain)
+                size += len(plain)
+                if size >= PIECE:
+                    yield self.encode_many(waiting)
+                    waiting, size = [], 0
+                continue
+            if waiting:
+                yield self.encode_many(waiting)
+                waiting, size = [], 0
+            if plain is None:
+                ids = np.frombuffer(self.packed(text), dtype="<i4")
+            else:
+                ids = np.concatenate([self.encode_many([part])[0] for part in pieces(plain)])
+            yield ids, np.array([len(ids)])
+        if waiting:
+            yield self.encode_many(waiting)
 
     def decode(self, ids) -> str:
-        get = self.tokens.get
-        return " ".join([t for t in map(get, ids) if t is not None])
+        return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+
+    def decode_many(self, column):
+        """Texts of an Arrow column of id lists; ids that the vocabulary lacks are left out."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if self.token_column is None:
+            self.token_column = pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], pa.string())
+        ids = column.flatten()
+        if len(ids) and (pc.min(ids).as_py() < 0 or pc.max(ids).as_py() >= len(self.token_column) or column.null_count):
+            return pa.array([self.decode(x or ()) for x in column.to_pylist()], pa.string())
+        tokens = self.token_column.take(ids)
+        if tokens.null_count:
+            return pa.array([self.decode(x) for x in column.to_pylist()], pa.string())
+        offsets = pc.subtract(column.offsets, column.offsets[0])
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, tokens), " ")
+
+
+def pieces(text: str):
+    """A text cut at white space after some PIECE characters each."""
+    at = 0
+    while at < len(text):
+        cut = SPACE_AT.search(text, at + PIECE)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
 
 
 _codecs: dict = {}
@@ -239,14 +366,19 @@ def codec(path: str, by_library: bool = False) -> TextCodec:
     return _codecs[path, by_library]
 
 
-def id_lists(lists: list[list[int]], kind: str):
-    import numpy as np
+def gathered(batches):
+    """Arrow batches put together until they hold PIECE bytes: more chunks then share a lookup."""
     import pyarrow as pa
 
-    offsets = np.zeros(len(lists) + 1, dtype=np.int32)
-    np.cumsum([len(x) for x in lists], out=offsets[1:])
-    flat = np.fromiter(chain.from_iterable(lists), dtype=kind, count=int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.nbytes
+        if size >= PIECE:
+            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+            waiting, size = [], 0
+    if waiting:
+        yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", by_library: bool = False,
@@ -259,23 +391,25 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", by_li
     keep = [f for f in df.schema.fields if f.name != text]
     more = [T.StructField(decoded, T.StringType())] if decoded else []
     schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType())), *more])
-    tail = [] if end_id is None else [end_id]
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         own = codec(path, by_library)
-        for batch in batches:
-            texts = batch.column(text)
+        for batch in gathered(batches):
+            texts = (t.as_py() for t in batch.column(text))
             rest = [batch.column(f.name) for f in keep]
-            done, lists, n = 0, [], 0
-            for i in range(batch.num_rows):
-                lists.append(own.encode(texts[i].as_py()) + tail)
-                n += len(lists[-1])
-                if n >= BATCH_IDS or i + 1 == batch.num_rows:
-                    back = [pa.array(list(map(own.decode, lists)), pa.string())] if decoded else []
-                    yield pa.RecordBatch.from_arrays([*(c.slice(done, len(lists)) for c in rest), id_lists(lists, "int32"), *back], names=schema.names)
-                    done, lists, n = i + 1, [], 0
+            done = 0
+            for found, counts in own.batches(texts):
+                if end_id is not None:
+                    found = np.insert(found, np.cumsum(counts), end_id)
+                    counts = counts + 1
+                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found, pa.int32()))
+                back = [own.decode_many(column)] if decoded else []
+                yield pa.RecordBatch.from_arrays([*(c.slice(done, len(counts)) for c in rest), column, *back], names=schema.names)
+                done += len(counts)
 
     return map_arrow(df, run, schema)
 
@@ -289,8 +423,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
         own = codec(path, True)
         for batch in batches:
-            texts = [own.decode(v.values.to_pylist()) if v.is_valid else "" for v in batch.column(ids)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, own.decode_many(batch.column(ids))], names=schema.names)
 
     return map_arrow(df, run, schema)
 

@@ -34,7 +34,7 @@ OPTIONS = {
     "orc.create.index": "true",
     "orc.row.index.stride": str(STRIDE),
     "orc.stripe.size": str(STRIPE),
-    "compression": "zstd",
+    "compression": "snappy",
 }
 
 
