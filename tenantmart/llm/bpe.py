@@ -37,10 +37,10 @@ from .common import map_arrow, take
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE_AT = re.compile(r"[\x20\x09-\x0D]")
 WORDS_KEPT = 100_000
-CHUNKS_KEPT = 600_000
+CHUNKS_KEPT = 500_000
 PAIRS_KEPT = 300_000
 #: Characters that are encoded at once.
-PIECE = 6_000_000
+PIECE = 3_000_000
 FINAL = 0xE000      # private-use block for a word's last byte
 
 
