@@ -5,8 +5,10 @@
   again by weight until no target is above.
 * *Blocks*: a source's documents stand in a seeded random order and are cut into
   blocks of ``BLOCK`` words.  A target takes whole passes over the source, then
-  the documents of the next pass as long as they fit, and a few more that fill
-  the gap.  That fixes the source's block quota.
+  each document of the next pass, in order, that fits what is left of it; a
+  document that does not fit is passed over and the walk goes on until none
+  fits.  The document nearest to the last gap comes in if it brings the sum
+  closer.  That fixes the source's block quota.
 * *Tree*: the vector of quotas is split in two again and again.  Each split
   draws, without replacement, how many blocks of each source go left
   (multivariate hypergeometric), so the leaves, one for each output shard, hold
@@ -38,8 +40,6 @@ SHARDS = 64
 #: Words that one task of a shard's writers gets.
 PART = 2_000_000
 SEED = 10
-#: Documents that fill a source's gap before the one that comes nearest.
-FILLS = 2
 MAX_SOURCES = 100_000
 
 
@@ -86,6 +86,40 @@ def split_quotas(quotas, shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
+def _spans(placed: DataFrame, fits: Column, sources: int) -> dict:
+    """Per source with documents that don't fit: the runs (first place, end, gap before it) that are taken
+    besides, and the gap after them.
+
+    It is what one walk along the order would take: each document that is not above the gap left.  A
+    running sum over the documents within the gap finds how far that holds; the document there is left
+    out, and so are all above the new gap, until none fits.
+    """
+    spark = placed.sparkSession
+    begun = bounded(placed.where(~fits).groupBy("source").agg(
+        F.min("place").alias("end"), F.min_by(F.col("rest") - F.col("start"), "place").alias("gap")), sources, "sources")
+    spans: dict = {r["source"]: ([], r["gap"]) for r in begun}
+    now = {r["source"]: (r["end"] + 1, r["gap"]) for r in begun}
+    while now:
+        state = F.broadcast(spark.createDataFrame([(s, *x) for s, x in now.items()], "gap_of string, first long, gap double"))
+        light = placed.select("source", F.col("place").alias("at"), "turn", "size")
+        within = light.join(state, light["source"].eqNullSafe(state["gap_of"])).where(
+            (F.col("at") >= F.col("first")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))).drop("gap_of")
+        run = places(within, "turn", "source", "size", ("at",))
+        taken = F.col("start") + F.col("size") <= F.col("gap")
+        ends = bounded(run.groupBy("source").agg(
+            F.min(F.when(~taken, F.col("at"))).alias("end"), F.max("at").alias("top"),
+            F.sum(F.when(taken, F.col("size"))).alias("words")), sources, "sources")
+        before, now = now, {}
+        for r in ends:
+            s = r["source"]
+            first, gap = before[s]
+            end = r["top"] + 1 if r["end"] is None else r["end"]
+            spans[s] = ([*spans[s][0], (first, end, gap)], gap - r["words"])
+            if r["end"] is not None and gap > r["words"]:
+                now[s] = (end + 1, gap - r["words"])
+    return spans
+
+
 def mixed(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MOST,
           block: int = BLOCK, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """Each row of ``rows`` (written; doc_id, source, size, mark) with source_size, target and ``drawn``.
@@ -111,29 +145,32 @@ def mixed(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float =
         "name string, source_size long, target double, passes int, rest double, per_pass long, partial long, ends array<long>"))
     ordered = rows.withColumn("turn", F.xxhash64(F.lit(seed), "source", "doc_id", "mark"))
     placed = materialise(places(ordered, "turn", "source", "size", ("doc_id", "mark")), "mix-order")
-    placed = placed.join(goal, placed["source"].eqNullSafe(goal["name"])).withColumn("fits", F.col("start") + F.col("size") <= F.col("rest"))
-    # The documents that fit stand before those that don't; the gap left is that of the first that doesn't.
-    rest = placed.where(~F.col("fits"))
-    chosen = materialise(rest.groupBy("source").agg(
-        F.min_by(F.col("rest") - F.col("start"), "place").alias("gap"), F.array().cast("array<long>").alias("more")), "mix-gaps")
-    for turn in range(FILLS + 1):
-        # FILLS times the largest document that fits the gap, then the one whose size is nearest to it.
-        state = F.broadcast(chosen.withColumnRenamed("source", "gap_of"))
-        off = F.abs(F.col("size") - F.col("gap"))
-        open_rows = rest.join(state, rest["source"].eqNullSafe(state["gap_of"])).where(
-            ~F.array_contains("more", F.col("place")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap") if turn < FILLS else off < F.col("gap")))
-        best = open_rows.groupBy("source").agg(F.min(F.struct(off.alias("off"), "place", "size")).alias("best")).withColumnRenamed("source", "best_of")
-        chosen = materialise(chosen.join(best, chosen["source"].eqNullSafe(best["best_of"]), "left").select(
-            "source", F.when(F.col("best").isNull(), F.col("gap")).otherwise(F.col("gap") - F.col("best.size")).alias("gap"),
-            F.when(F.col("best").isNull(), F.col("more")).otherwise(F.array_append("more", F.col("best.place"))).alias("more")), "mix-gaps")
-    extra = F.broadcast(chosen.select(F.col("source").alias("extra_of"), "more"))
-    placed = placed.join(extra, placed["source"].eqNullSafe(extra["extra_of"]), "left")
-    number = F.least(F.floor(F.col("start") / block), F.col("per_pass") - 1)
-    takes_last = F.col("fits") | F.coalesce(F.array_contains("more", F.col("place")), F.lit(False))
-    copies = F.col("passes") + F.when(takes_last, 1).otherwise(0)
+    placed = placed.join(goal, placed["source"].eqNullSafe(goal["name"])).drop("name")
+    fits = F.col("start") + F.col("size") <= F.col("rest")
+    # The documents that fit stand before those that don't.  The rest of the order is gone on with, a run at a time.
+    spans = _spans(placed, fits, max(len(names), 1))
+    state = F.broadcast(spark.createDataFrame(
+        [(s, runs, gap) for s, (runs, gap) in spans.items()],
+        "span_of string, spans array<struct<first:long,end:long,gap:double>>, gap double"))
+    placed = placed.join(state, placed["source"].eqNullSafe(state["span_of"]), "left").drop("span_of")
+    fills = (F.col("size") > 0) & F.exists("spans", lambda x: (F.col("place") >= x["first"]) & (F.col("place") < x["end"]) & (F.col("size") <= x["gap"]))
+    placed = placed.withColumn("takes", fits | F.coalesce(fills, F.lit(False)))
+    # Last, the document whose size is nearest to the gap, if the target comes nearer by it.
+    off = F.abs(F.col("size") - F.col("gap"))
+    nearest = bounded(placed.where(~F.col("takes") & (F.col("size") > 0) & (off < F.col("gap"))).groupBy("source").agg(
+        F.min(F.struct(off.alias("off"), "place")).alias("best")), MAX_SOURCES, "sources")
+    last = F.broadcast(spark.createDataFrame([(r["source"], r["best"]["place"]) for r in nearest], "last_of string, last long"))
+    placed = placed.join(last, placed["source"].eqNullSafe(last["last_of"]), "left").drop("last_of")
+    placed = placed.withColumn("takes", F.col("takes") | F.coalesce(F.col("place") == F.col("last"), F.lit(False)))
+    # A document of the partial pass stands in the block of the words that this pass takes before it.
+    placed = placed.withColumn("number", F.least(F.floor(F.col("start") / block), F.col("per_pass") - 1)).withColumn(
+        "words", F.when(F.col("takes"), F.col("size")).otherwise(0).cast("long")).withColumnRenamed("place", "at").drop("start", "spans", "gap", "last")
+    placed = places(placed, "turn", "source", "words", ("at",))
+    number = F.col("number")
+    copies = F.col("passes") + F.when(F.col("takes"), 1).otherwise(0)
 
     def shard_of(copy: Column) -> Column:
-        own = F.when(copy < F.col("passes"), number).otherwise(F.least(number, F.col("partial") - 1))
+        own = F.when(copy < F.col("passes"), number).otherwise(F.least(F.floor(F.col("start") / block), F.col("partial") - 1))
         at = copy * F.col("per_pass") + own
         return F.size(F.filter("ends", lambda end: end <= at)).cast("int")
 

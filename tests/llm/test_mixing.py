@@ -80,3 +80,34 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert M.mix_plan(df).count() == 0
     assert M.mix(df).count() == 0
+
+
+def test_long_document_does_not_end_the_pass(spark):
+    """A document larger than its source's target is passed over, wherever it stands."""
+    rows = [(i, "w " * 10, s) for s, first in (("a", 0), ("b", 10_000)) for i in range(first, first + 1000)]
+    rows += [(5000 + i, "w " * 30_000, "a") for i in range(1, 3)] + [(20_000 + i, "x " * 7, "a") for i in range(20)]
+    got = M.mix_plan(frame(spark, rows), weights=(1.0, 1.0), total=0.2, block=500, shards=4).collect()
+    size = 10_000 + 60_000 + 140
+    target = M.targets({"a": size, "b": 10_000}, (1.0, 1.0), 0.2)["a"]
+    assert 7_000 < target < 10_000
+    own = [r for r in got if r.source_size == size]
+    assert all(r.taken == 0 for r in own if r.size == 30_000)
+    assert abs(sum(r.taken for r in own) - target) <= 4
+    per = [sum(r.size for r in own for d in r.drawn if d == k) for k in range(4)]
+    assert min(per) > 0.5 * max(per)      # what follows the long document is spread as well
+
+
+def test_partial_pass_is_the_walk_along_the_order(spark):
+    """Every document in order that fits what is left, for sizes that stop many running sums."""
+    rng = random.Random(5)
+    rows = [(i, "w " * int(2 ** rng.uniform(0, 12)), rng.choice(["a", None])) for i in range(1500)]
+    got = M.mixed(M._light(frame(spark, rows)), weights=(1.0, 2.0), total=0.3, block=300, shards=4).collect()
+    for s in ("a", None):
+        own = sorted((r for r in got if r.source == s), key=lambda r: (r.turn + (1 << 64)) % (1 << 64))
+        left, taken = own[0].target, set()
+        for r in own:
+            if r.size <= left:
+                left -= r.size
+                taken.add(r.doc_id)
+        assert {r.doc_id for r in own if r.drawn} >= taken and len([r for r in own if r.drawn]) <= len(taken) + 1
+        assert left < min(r.size for r in own if r.doc_id not in taken)
