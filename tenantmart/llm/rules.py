@@ -6,12 +6,16 @@ one pass over the whole text with array functions.
 
 *Outliers*: in each group (language and source; null is a group) the transformed
 statistics get a minimum-covariance-determinant estimate: the mean and
-covariance of the share ``SUBSET`` of documents that lie closest to it.  It is
-found by concentration steps: start from the medians, take the closest
-documents by Mahalanobis distance, estimate again from them, ``STEPS`` times;
-each step can only lower the determinant.  A last estimate takes in all
-documents within the cut-off of the one found, and a document whose squared
-distance to that is above ``CUTOFF`` is rejected.
+covariance of the half that lies closest to it, (n + 5) / 2 of n points as there
+are four statistics.  Documents with the same statistics are one point, so
+copies of a bad text have no more weight than one of it; and points that differ
+can make up close to half of a group before they bear on the estimate.  It is
+found by concentration steps: start from the medians, take the closest points
+by Mahalanobis distance, estimate again from them, ``STEPS`` times.  A half's
+covariance is too small by a known factor for normal points, and is multiplied
+by it.  A last estimate takes in all points within the cut-off of the one
+found, and a document whose squared distance to that is above ``CUTOFF`` is
+rejected.
 
 Each step is one aggregation by group (sums only, partial before the shuffle)
 over the light table of statistics.  The matrices are inverted as column
@@ -22,12 +26,14 @@ also settles groups of any size, one document included, without a rule of
 their own.
 
 Null and blank texts have zero statistics and fail the base rule on length.
-Ties at the subset's border are all taken in.  Repeated rows count as often as
-they come.  An empty table gives an empty result.
+Ties at the subset's border are all taken in.  Repeated rows are judged each,
+and are one point of the estimates.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +44,8 @@ MIN_WORDS = 50
 #: A window is this many words; more than this percentage of words in repeated ones fails.
 WINDOW = 3
 MAX_REPEAT = 50
-SUBSET = 0.75
+#: Share of a group's points that the estimate rests on; small groups take (n + 5) / 2 of n.
+SUBSET = 0.5
 STEPS = 3
 #: Scale of each transformed statistic below which differences do not matter.
 FLOORS = {"word_length": 0.08, "marks": 0.04, "dup_lines": 0.05, "repeats": 0.05}
@@ -117,19 +124,47 @@ NAMES = tuple(FLOORS)
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
-def _moments(rows: DataFrame, chosen: Column | None = None) -> DataFrame:
+def consistency(share: float) -> float:
+    """What the covariance of the closest ``share`` of normal points in four dimensions is too small by."""
+    def inner(q: float) -> float:      # chi-square distribution, four degrees of freedom
+        return 1 - math.exp(-q / 2) * (1 + q / 2)
+
+    if share >= 1:
+        return 1.0
+    low, high = 0.0, 100.0
+    for _ in range(100):
+        q = (low + high) / 2
+        low, high = (q, high) if inner(q) < share else (low, q)
+    return share / (inner(q) - math.exp(-q / 2) * q * q / 8)
+
+
+#: The shares that a group's subset can be, in steps of 1 %, and the factor of each.
+SHARES = [round(SUBSET + i / 100, 2) for i in range(round((1 - SUBSET) * 100) + 1)]
+FACTORS = [consistency(x) for x in SHARES]
+
+
+def _closest(near: DataFrame) -> DataFrame:
+    """Per group: the distance within which its closest half lies, and the half's factor."""
+    found = near.groupBy("group").agg(F.percentile_approx("d2", SHARES, ACCURACY).alias("borders"), F.count(F.lit(1)).alias("n"))
+    half = F.floor((F.col("n") + len(NAMES) + 1) / 2)
+    level = F.least(F.lit(len(SHARES)), F.greatest(F.lit(1), F.ceil((half / F.col("n") - SUBSET) * 100 - 1e-9) + 1)).cast("int")
+    return materialise(found.select("group", F.element_at("borders", level).alias("border"),
+                                    F.element_at(F.array(*map(F.lit, FACTORS)), level).alias("factor")), "mcd-border")
+
+
+def _moments(rows: DataFrame, chosen: Column, factor: Column) -> DataFrame:
     """Mean (m0, m1, ...) and Cholesky factor (l00, l10, l11, ...) of each group's chosen rows."""
-    x = [F.col(n) if chosen is None else F.when(chosen, F.col(n)) for n in NAMES]
+    x = [F.when(chosen, F.col(n)) for n in NAMES]
     # Sums of differences from the group's medians lose no digits.
     d = [a - F.col(f"c{i}") for i, a in enumerate(x)]
     sums = rows.groupBy("group").agg(
         F.count(x[0]).alias("n"), *[F.sum(a).alias(f"s{i}") for i, a in enumerate(d)],
-        *[F.sum(d[i] * d[j]).alias(f"q{i}{j}") for i, j in PAIRS], *[F.first(f"c{i}").alias(f"c{i}") for i in range(len(NAMES))])
+        *[F.sum(d[i] * d[j]).alias(f"q{i}{j}") for i, j in PAIRS], F.first(factor).alias("factor"), *[F.first(f"c{i}").alias(f"c{i}") for i in range(len(NAMES))])
     cov = {}
     for i, j in PAIRS:
         cov[i, j] = F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / (F.col("n") * F.col("n"))
     out = sums.select("group", *[(F.col(f"c{i}") + F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(len(NAMES))],
-                      *[(v + (F.lit(FLOORS[NAMES[i]] ** 2) if i == j else 0)).alias(f"v{i}{j}") for (i, j), v in cov.items()])
+                      *[(v * F.col("factor") + (F.lit(FLOORS[NAMES[i]] ** 2) if i == j else 0)).alias(f"v{i}{j}") for (i, j), v in cov.items()])
     return materialise(_cholesky(out), "mcd-moments")
 
 
@@ -160,18 +195,19 @@ def _distance(rows: DataFrame, moments: DataFrame) -> DataFrame:
 
 def distances(rows: DataFrame) -> DataFrame:
     """``rows`` (group and the transformed statistics, written) with ``d2`` from the robust estimate."""
-    centres = materialise(rows.groupBy("group").agg(
+    points = materialise(rows.select("group", *NAMES).distinct(), "mcd-points")
+    centres = materialise(points.groupBy("group").agg(
         *[F.percentile_approx(n, 0.5, ACCURACY).alias(f"c{i}") for i, n in enumerate(NAMES)]), "mcd-centres")
-    centred = rows.join(small_side(centres.withColumnRenamed("group", "cg")), F.col("group") == F.col("cg")).drop("cg")
+    centred = points.join(small_side(centres.withColumnRenamed("group", "cg")), F.col("group") == F.col("cg")).drop("cg")
     # The first distances are from the medians, in units of the floors.
     d2 = sum((((F.col(n) - F.col(f"c{i}")) / FLOORS[n]) ** 2 for i, n in enumerate(NAMES)), F.lit(0.0))
     near = centred.withColumn("d2", d2)
     for _ in range(STEPS):
-        border = materialise(near.groupBy("group").agg(F.percentile_approx("d2", SUBSET, ACCURACY).alias("border")), "mcd-border")
+        border = _closest(near)
         chosen = near.join(small_side(border.withColumnRenamed("group", "bg")), F.col("group") == F.col("bg"))
-        near = _distance(centred, _moments(chosen, F.col("d2") <= F.col("border")))
-    # The nearest row of a group is always within the cut-off or the group has no spread to judge by.
-    last = _moments(near, (F.col("d2") <= CUTOFF))
+        near = _distance(centred, _moments(chosen, F.col("d2") <= F.col("border"), F.col("factor")))
+    # The nearest point of a group is always within the cut-off or the group has no spread to judge by.
+    last = _moments(near, F.col("d2") <= CUTOFF, F.lit(1.0))
     return _distance(rows, last)
 
 

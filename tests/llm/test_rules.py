@@ -70,3 +70,35 @@ def test_distances_equal_numpy(spark):
     d2 = dist(x[d2 <= rules.CUTOFF])
     assert np.allclose(got, np.sort(d2), rtol=1e-6)
     assert (np.array(got) > rules.CUTOFF).sum() == 40
+
+
+def third_bad(vary):
+    """Two groups of 200 good texts and 100 bad ones: copies of one text, or texts that differ a little."""
+    rng = random.Random(11)
+    rows = []
+    for s in ("s1", None):
+        for i in range(200):
+            w = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(80, 200))]
+            rows.append((i, " ".join(w), "en", s))
+        bad = ["".join(rng.choice("abcdefgh") for _ in range(5)) + "##|" for _ in range(150)]
+        for i in range(100):
+            rows.append((1000 + i, " ".join(bad[:150 - i % 50 * vary] + ["x" * (1 + i % 7)] * vary), "en", s))
+    return rows
+
+
+def test_a_third_of_bad_texts_is_rejected(spark):
+    for vary in (0, 1):
+        rows = third_bad(vary)
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+        got = rules.judged(df).collect()
+        assert len(got) == len(rows) and not any(r.base_failed for r in got)
+        assert all(r.kept == (r.doc_id < 1000) for r in got), vary
+
+
+def test_consistency_factor():
+    x = np.random.default_rng(1).normal(size=(200_000, 4))
+    d2 = (x ** 2).sum(axis=1)
+    for share, factor in ((0.5, rules.consistency(0.5)), (0.8, rules.consistency(0.8))):
+        inside = x[d2 <= np.quantile(d2, share)]
+        assert abs(factor * inside.var() - 1) < 0.02
+    assert rules.consistency(1.0) == 1.0 and rules.SHARES[0] == rules.SUBSET and rules.SHARES[-1] == 1.0
