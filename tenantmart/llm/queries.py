@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, mixing, quality, rules, sharding, simhash, token_files
+from . import bpe, chat, exact_dedup, html_text, mixing, quality, rules, sharding, simhash, spelling, token_files
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).drop("drawn")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling(table(spark, sf_dir, "documents"), spelling.ODD)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_quality, op3_exact_dedup, op4_token_files, op5_simhash, op6_html, op7_chat, op8_sharding, op9_rules, op10_mixing)}
-ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL}
+    op1_bpe, op2_quality, op3_exact_dedup, op4_token_files, op5_simhash, op6_html, op7_chat, op8_sharding, op9_rules, op10_mixing,
+    op11_spelling)}
+ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL}

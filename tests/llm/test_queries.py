@@ -33,7 +33,7 @@ def library():
 
 def test_all_are_registered():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12))
     assert "pipeline" in E.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
