@@ -153,10 +153,10 @@ words AS (
         SELECT n, CASE WHEN h % {ODD} = 0 THEN left(run, (h % long)::INT) || substr(run, (h % long)::INT + 2) ELSE run END AS word FROM hashed)
     WHERE length(word) >= {LENGTH} GROUP BY word HAVING sum(n) >= {COUNT}),
 cuts AS (
-    SELECT word, n, at, left(word, at - 1) || substr(word, at + 1) AS rest
-    FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS at FROM words)),
+    SELECT word, n, place, left(word, place - 1) || substr(word, place + 1) AS rest
+    FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS place FROM words)),
 near AS (
-    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.at = b.at AND a.rest = b.rest AND a.word <> b.word
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.place = b.place AND a.rest = b.rest AND a.word <> b.word
     UNION SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
     UNION SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
 best AS (
