@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, mixing, quality, rules, sharding, simhash, spelling, token_files
+from . import bpe, chat, exact_dedup, hard_negatives, html_text, mixing, quality, rules, sharding, simhash, spelling, token_files
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -62,7 +62,13 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling(table(spark, sf_dir, "documents"), spelling.ODD)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.with_odd_labels(hard_negatives.usable(table(spark, sf_dir, "embeddings")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_quality, op3_exact_dedup, op4_token_files, op5_simhash, op6_html, op7_chat, op8_sharding, op9_rules, op10_mixing,
-    op11_spelling)}
-ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL}
+    op11_spelling, op12_hard_negatives)}
+ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL,
+              "op12_hard_negatives": hard_negatives.ORACLE_SQL}

@@ -33,14 +33,14 @@ def library():
 
 def test_all_are_registered():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13))
     assert "pipeline" in E.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(queries.ORACLE_SQL[name])
