@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, hard_negatives, html_text, mixing, quality, rules, sharding, simhash, spelling, token_files
+from . import bpe, chat, exact_dedup, hard_negatives, html_text, mixing, quality, rules, sharding, simhash, spelling, token_files, toxicity
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -67,8 +67,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_quality, op3_exact_dedup, op4_token_files, op5_simhash, op6_html, op7_chat, op8_sharding, op9_rules, op10_mixing,
-    op11_spelling, op12_hard_negatives)}
+    op11_spelling, op12_hard_negatives, op13_toxicity)}
 ORACLE_SQL = {"op3_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op11_spelling": spelling.ORACLE_SQL,
               "op12_hard_negatives": hard_negatives.ORACLE_SQL}

@@ -33,7 +33,7 @@ def library():
 
 def test_all_are_registered():
     names = [n for n in E.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
@@ -112,6 +112,16 @@ def test_op10(spark):
     assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] for s in sizes), [(s, taken[s], target[s]) for s in sizes]
 
 
+def test_op13(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op13_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id", "left").collect()
+    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    held = {t: [r.predicted for r in rows if r.held_out and r.toxic == t] for t in (0, 1)}
+    # some of these labels are on texts without any toxic word
+    assert np.mean(held[1]) >= 0.8 and np.mean(held[0]) <= 0.005, {t: np.mean(v) for t, v in held.items()}
+
+
 def test_pipeline_stage_by_stage(spark, library):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
