@@ -54,37 +54,86 @@ CUT = 0.3
 SEED = 13
 WORDS_KEPT = 200_000
 CHUNK = 400_000
+#: Words that are cut into passages at once; a multiple of STEP.
+PIECE = 32_000
 
 
 class Terms:
-    """Buckets of a text's terms by passage; remembers those of a bounded number of words."""
+    """Buckets of words' terms and of texts' passages; remembers those of a bounded number of words."""
 
     def __init__(self, used: np.ndarray | None = None):
-        self.used, self.known = used, {}
-
-    def of(self, word: str) -> np.ndarray:
-        names = [word, *(f"<{word[:n]}" for n in BEGINNINGS if len(word) > n)]
-        ids = np.unique(np.array([zlib.crc32(n.encode()) & (BUCKETS - 1) for n in names], dtype=np.int32))
-        return ids if self.used is None else ids[self.used[ids]]
-
-    def passages(self, text: str | None) -> list[np.ndarray]:
-        words = WORD.findall(text.lower()) if text else []
+        self.used, self.known = None if used is None else used.tobytes(), {}
+
+    def of(self, word: str) -> tuple:
+        ids = {zlib.crc32(word.encode()) & (BUCKETS - 1)}
+        if len(word) > BEGINNINGS[0]:
+            h = zlib.crc32(f"<{word[:BEGINNINGS[0]]}".encode())
+            ids.add(h & (BUCKETS - 1))
+            for letter in word[BEGINNINGS[0]:min(BEGINNINGS[-1], len(word) - 1)]:
+                h = zlib.crc32(letter.encode(), h)
+                ids.add(h & (BUCKETS - 1))
+        return tuple(ids) if self.used is None else tuple(i for i in ids if self.used[i])
+
+    def words(self, text: str | None) -> list[tuple]:
         known, found = self.known, []
-        for w in words:
+        for w in WORD.findall(text.lower()) if text else ():
             ids = known.get(w)
             if ids is None:
                 if len(known) >= WORDS_KEPT:
                     known.clear()
                 ids = known[w] = self.of(w)
             found.append(ids)
-        empty = np.empty(0, dtype=np.int32)
-        return [np.unique(np.concatenate(found[i:i + SPAN])) if found else empty for i in range(0, max(1, len(found) - STEP), STEP)]
+        return found
+
+    def passages(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of all passages, the edges between passages, and the text of each."""
+        parts, held, n, passages = [], [], 0, 0
+        for i, text in enumerate(texts):
+            found = self.words(text)
+            for at in range(0, max(1, len(found) - STEP), PIECE):        # a piece has its own passages
+                held.append((i, found[at:at + PIECE + STEP]))
+                n += len(held[-1][1])
+                if n >= PIECE:
+                    parts.append(_passages(held))
+                    held, n = [], 0
+        if held:
+            parts.append(_passages(held))
+        if not parts:
+            return np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.int64)
+        sizes = np.concatenate([np.diff(e) for _, e, _ in parts])
+        return np.concatenate([t for t, _, _ in parts]), np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([d for _, _, d in parts])
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different values in order, by sorting: much faster than ``np.unique`` here."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _passages(pieces: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    words = np.array([len(found) for _, found in pieces])
+    n = np.maximum(1, -(-(words - STEP) // STEP))
+    base = np.cumsum(n) - n
+    sizes = np.fromiter((len(ids) for _, found in pieces for ids in found), np.int64, int(words.sum()))
+    terms = np.fromiter((i for _, found in pieces for ids in found for i in ids), np.int64, int(sizes.sum()))
+    piece = np.repeat(np.arange(len(pieces)), words)
+    block = (np.arange(len(piece)) - np.repeat(np.cumsum(words) - words, words)) // STEP
+    keys = []
+    for back in range(SPAN // STEP):            # a block stands in the passage that it begins and in those before
+        at = block - back
+        inside = np.repeat((at >= 0) & (at < n[piece]), sizes)
+        keys.append(np.repeat(base[piece] + at, sizes)[inside] * BUCKETS + terms[inside])
+    keys = _different(np.concatenate(keys))
+    return keys % BUCKETS, np.searchsorted(keys // BUCKETS, np.arange(int(n.sum()) + 1)), np.repeat([i for i, _ in pieces], n)
 
 
 def _sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums of the runs between edges, empty ones too."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0)])
-    return total[edges[1:]] - total[edges[:-1]]
+    out = np.zeros((len(edges) - 1, *values.shape[1:]))
+    full = np.flatnonzero(np.diff(edges))
+    if len(full):
+        out[full] = np.add.reduceat(values, edges[full], axis=0)
+    return out
 
 
 class Machine:
@@ -101,10 +150,14 @@ class Machine:
 
     def log_odds(self, terms: np.ndarray, edges: np.ndarray) -> np.ndarray:
         """Log odds of passages, some at a time."""
+        scaled = self.factors * self.scales[:, None]
+        single = self.weights * self.scales - 0.5 * (scaled * scaled).sum(axis=1)
         out, at = [], 0
         while at < len(edges) - 1:
             end = max(at + 1, int(np.searchsorted(edges, edges[at] + CHUNK, side="right")) - 1)
-            out.append(self.parts(terms[edges[at]:edges[end]], edges[at:end + 1] - edges[at])[0])
+            t, e = terms[edges[at]:edges[end]], edges[at:end + 1] - edges[at]
+            both = _sums(scaled[t], e)
+            out.append(self.bias + _sums(single[t], e) + 0.5 * (both * both).sum(axis=1))
             at = end
         return np.concatenate(out) if out else np.empty(0)
 
@@ -120,7 +173,7 @@ def fit(terms: np.ndarray, edges: np.ndarray, doc: np.ndarray, toxic: np.ndarray
     first = np.searchsorted(doc, np.arange(n + 1))
     seen = np.zeros((2, BUCKETS), dtype=np.int64)
     for d in range(n):
-        seen[int(toxic[d])][np.unique(terms[edges[first[d]]:edges[first[d + 1]]])] += 1
+        seen[int(toxic[d])][_different(terms[edges[first[d]]:edges[first[d + 1]]])] += 1
     count = seen.sum(axis=0)
     used = count >= SEEN
     ones, zeros = seen[1] + 0.5 + count / n, seen[0] + 0.5 + count / n
@@ -198,10 +251,10 @@ def with_passages(rows: DataFrame) -> DataFrame:
 
         terms = Terms()
         for batch in batches:
-            found = [terms.passages(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("toxic"), pa.array([np.concatenate(p) for p in found], pa.list_(pa.int32())),
-                pa.array([[len(q) for q in p] for p in found], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "sizes"])
+            found, edges, doc = terms.passages(batch.column("text").to_pylist())
+            first = np.searchsorted(doc, np.arange(len(batch) + 1))
+            lists = [pa.ListArray.from_arrays(pa.array(e, pa.int32()), pa.array(v, pa.int32())) for e, v in ((edges[first], found), (first, np.diff(edges)))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *lists], names=["doc_id", "toxic", "terms", "sizes"])
 
     return map_arrow(rows, run, "doc_id long, toxic boolean, terms array<int>, sizes array<int>")
 
@@ -248,12 +301,10 @@ def with_score(rows: DataFrame, machine: Machine) -> DataFrame:
         m = shared.value
         terms = Terms(m.scales > 0)
         for batch in batches:
-            scores = []
-            for t in batch.column("text"):
-                found = terms.passages(t.as_py())
-                odds = m.log_odds(np.concatenate(found), np.concatenate([[0], np.cumsum([len(p) for p in found])]))
-                scores.append(float(sigmoid(odds.max())))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            found, edges, doc = terms.passages(batch.column("text").to_pylist())
+            first = np.searchsorted(doc, np.arange(len(batch)))
+            worst = np.maximum.reduceat(m.log_odds(found, edges), first) if len(first) else np.empty(0)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sigmoid(worst), pa.float64())], names=["doc_id", "score"])
 
     return map_arrow(rows.select("doc_id", "text"), run, "doc_id long, score double")
 

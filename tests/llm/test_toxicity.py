@@ -54,8 +54,7 @@ def test_pairs_are_learned(found):
 
 def test_additive_weights_cannot():
     rows = pairs(1000, 1)
-    terms = T.Terms()
-    data = [terms.passages(t)[0] for _, t, _ in rows]
+    data = [T.Terms().passages([t])[0] for _, t, _ in rows]
     kept = [k for k, r in enumerate(rows) if not held(r[0])]
     edges = np.concatenate([[0], np.cumsum([len(data[k]) for k in kept])])
     toxic = np.array([float(rows[k][2]) for k in kept])
@@ -83,14 +82,21 @@ def test_log_odds_by_hand():
     assert m.log_odds(np.concatenate(passages), np.concatenate([[0], np.cumsum([len(p) for p in passages])])) == pytest.approx(want)
 
 
-def test_terms_and_passages():
-    words = [f"w{i}" for i in range(300)]
-    found = T.Terms().passages(" ".join(words).upper())
-    ids = [zlib.crc32(w.encode()) & (T.BUCKETS - 1) for w in words]
-    assert [p.tolist() for p in found] == [sorted(set(ids[i:i + T.SPAN])) for i in range(0, 300 - T.STEP, T.STEP)]
-    assert set().union(*map(set, found)) == set(ids)
+def test_terms_and_passages(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(n)) for n in (0, 1, 63, 64, 65, 128, 129, 300, 1000, 2)] + [None, " \n"]
+    want = []
+    for i, text in enumerate(texts):
+        ids = [zlib.crc32(w.encode()) & (T.BUCKETS - 1) for w in (text or "").split()]
+        want += [(i, sorted(set(ids[k:k + T.SPAN]))) for k in range(0, max(1, len(ids) - T.STEP), T.STEP)]
+    for piece in (T.PIECE, 128):
+        monkeypatch.setattr(T, "PIECE", piece)
+        terms, edges, doc = T.Terms().passages([t and t.upper() for t in texts])
+        assert [(d, terms[a:b].tolist()) for d, a, b in zip(doc, edges, edges[1:])] == want
     beginnings = [zlib.crc32(n.encode()) & (T.BUCKETS - 1) for n in ("stupidly", "<stup", "<stupi", "<stupid", "<stupidl")]
-    assert T.Terms().passages("Stupidly")[0].tolist() == sorted(beginnings)
+    assert T.Terms().passages(["Stupidly"])[0].tolist() == sorted(beginnings)
+    assert T.Terms().passages(["ÉÉÉÉÉ"])[0].tolist() == sorted(zlib.crc32(n.encode()) & (T.BUCKETS - 1) for n in ("ééééé", "<éééé"))
+    assert [len(x) for x in T.Terms().passages([])] == [0, 1, 0]
 
 
 def test_odd_rows(spark, found):
