@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio, typed_null
-from ..operators.lookup import interval_lookup_by_day, unique_lookup
+from ..operators.lookup import interval_lookup, unique_lookup
 from ..operators.skew import fanout_left_join, lines_with_placeholders, own_exchange_join
 from .base import Params, Source
 
@@ -38,7 +38,7 @@ def timesheets(src: Source) -> DataFrame:
          .withColumn("id_operation", F.coalesce("operef_id", "_op_by_label"))
          .drop("_op_by_label", "operef_id", "idfermes"))
     seasons = src("fermes_compagne").select("id", "date_debut", "date_fin")
-    return interval_lookup_by_day(t, "date", seasons, "id", "date_debut", "date_fin", "campagne")
+    return interval_lookup(t, "date", seasons, "id", "date_debut", "date_fin", "campagne", times=p)
 
 
 def _persons(src: Source) -> DataFrame:

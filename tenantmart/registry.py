@@ -21,7 +21,7 @@ from .operators import load as L
 from .operators import tenants as TN
 from .operators.calendar import calendar_for
 from .operators.hierarchy import attach_parent
-from .operators.lookup import interval_lookup_by_day
+from .operators.lookup import interval_lookup
 from .plans import CALENDAR, FIXTURE_PARAMS, MODELS
 from .plans.star import labour_cost_star
 from .run import run_models
@@ -235,7 +235,7 @@ def q_season_of_event(spark, sf_dir):
     """Interval lookup with times of day on both bounds."""
     src = FixtureSource.shared(spark, sf_dir)
     events = src("events").select("event_id", "ts")
-    return interval_lookup_by_day(events, "ts", src("plage_horaire"), "id", "debut", "fin", "plage").drop("ts")
+    return interval_lookup(events, "ts", src("plage_horaire"), "id", "debut", "fin", "plage").drop("ts")
 
 
 @query("conform_losses")

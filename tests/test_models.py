@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tenantmart.functions import week_start_date
-from tenantmart.operators.lookup import interval_lookup_by_day
+from tenantmart.operators.lookup import interval_lookup
 from tenantmart.plans import FIXTURE_PARAMS, MODELS
 
 
@@ -31,7 +31,7 @@ def test_interval_lookup_matches_brute_force(spark):
           dt.datetime(2024, 1, 7, 0, 0, 1), dt.datetime(2024, 1, 10),
           dt.datetime(2024, 1, 10, 8), dt.datetime(2024, 3, 1), None]
     facts = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "i int, t timestamp_ntz")
-    got = {r.i: r.c for r in interval_lookup_by_day(facts, "t", seasons, "id", "s", "e", "c")
+    got = {r.i: r.c for r in interval_lookup(facts, "t", seasons, "id", "s", "e", "c")
            .collect()}
     sea = [(r.id, dt.datetime.combine(r.s, dt.time()), dt.datetime.combine(r.e, dt.time()))
            for r in seasons.collect()]
@@ -49,7 +49,7 @@ def test_interval_lookup_compares_times_of_day(spark):
     times = [t(2024, 1, 1, 5), t(2024, 1, 1, 8), t(2024, 12, 31, 15), t(2024, 12, 31, 23, 59, 59, 1), t(2024, 6, 1, 11), t(2024, 6, 1, 12),
              t(2024, 6, 2, 3), t(2024, 6, 2, 3, 0, 1), t(2025, 1, 1), t(2025, 1, 1, 0, 0, 1)]
     facts = spark.createDataFrame(list(enumerate(times)), "i int, t timestamp_ntz")
-    got = {r.i: r.c for r in interval_lookup_by_day(facts, "t", seasons, "id", "s", "e", "c").collect()}
+    got = {r.i: r.c for r in interval_lookup(facts, "t", seasons, "id", "s", "e", "c").collect()}
     assert [got[i] for i in range(len(times))] == [None, 4, 4, None, 4, 2, 2, 4, 2, None]
 
 

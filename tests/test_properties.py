@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tenantmart.functions import week_start_date
 from tenantmart.operators.cleanse import date_from_number
-from tenantmart.operators.lookup import interval_lookup_by_day
+from tenantmart.operators.lookup import interval_lookup
 
 EPOCH = dt.date(1970, 1, 1)
 LAST_DAY = (dt.date(9999, 12, 31) - EPOCH).days
@@ -79,7 +79,7 @@ def test_interval_lookup_matches_brute_force(spark, seasons, facts):
     s = spark.createDataFrame(seasons, "id int, s date, e date")
     ts = [dt.datetime.combine(d, dt.time()) + dt.timedelta(seconds=sec) for d, sec in facts]
     f = spark.createDataFrame(list(enumerate(ts)), "i int, t timestamp_ntz")
-    got = {r.i: r.c for r in interval_lookup_by_day(f, "t", s, "id", "s", "e", "c").collect()}
+    got = {r.i: r.c for r in interval_lookup(f, "t", s, "id", "s", "e", "c").collect()}
     for i, t in enumerate(ts):
         hits = [sid for sid, a, b in seasons
                 if dt.datetime.combine(a, dt.time()) <= t <= dt.datetime.combine(b, dt.time())]
