@@ -5,10 +5,12 @@
   again by weight until no target is above.
 * *Blocks*: a source's documents stand in a seeded random order and are cut into
   blocks of ``BLOCK`` words.  A target takes whole passes over the source, then
-  each document of the next pass, in order, that fits what is left of it; a
-  document that does not fit is passed over and the walk goes on until none
-  fits.  The document nearest to the last gap comes in if it brings the sum
-  closer.  That fixes the source's block quota.
+  documents of the next pass in order, up to the first that does not fit.  From
+  there on it goes in rounds: documents of at most half the gap, in order, up to
+  the first that does not fit, so that each round more than halves the gap and
+  there are as many rounds as a size has bits at most.  When all small ones are in, the first
+  document that still fits comes in; none fits after it.  The document nearest to the last gap
+  comes in if it brings the sum closer.  That fixes the source's block quota.
 * *Tree*: the vector of quotas is split in two again and again.  Each split
   draws, without replacement, how many blocks of each source go left
   (multivariate hypergeometric), so the leaves, one for each output shard, hold
@@ -87,36 +89,44 @@ def split_quotas(quotas, shards: int, seed: int = SEED) -> np.ndarray:
 
 
 def _spans(placed: DataFrame, fits: Column, sources: int) -> dict:
-    """Per source with documents that don't fit: the runs (first place, end, gap before it) that are taken
+    """Per source with documents that don't fit: the runs (first place, end, largest size) that are taken
     besides, and the gap after them.
 
-    It is what one walk along the order would take: each document that is not above the gap left.  A
-    running sum over the documents within the gap finds how far that holds; the document there is left
-    out, and so are all above the new gap, until none fits.
+    Each round reads the candidates that the one before has left: those behind its last place that are
+    not above the gap.
     """
     spark = placed.sparkSession
     begun = bounded(placed.where(~fits).groupBy("source").agg(
         F.min("place").alias("end"), F.min_by(F.col("rest") - F.col("start"), "place").alias("gap")), sources, "sources")
     spans: dict = {r["source"]: ([], r["gap"]) for r in begun}
     now = {r["source"]: (r["end"] + 1, r["gap"]) for r in begun}
+    left = placed.where(~fits).select("source", F.col("place").alias("at"), "turn", "size")
     while now:
         state = F.broadcast(spark.createDataFrame([(s, *x) for s, x in now.items()], "gap_of string, first long, gap double"))
-        light = placed.select("source", F.col("place").alias("at"), "turn", "size")
-        within = light.join(state, light["source"].eqNullSafe(state["gap_of"])).where(
-            (F.col("at") >= F.col("first")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))).drop("gap_of")
-        run = places(within, "turn", "source", "size", ("at",))
+        left = materialise(left.join(state, left["source"].eqNullSafe(state["gap_of"])).where(
+            (F.col("at") >= F.col("first")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))).drop("gap_of", "first"), "mix-left")
+        run = places(left.where(2 * F.col("size") <= F.col("gap")), "turn", "source", "size", ("at",))
         taken = F.col("start") + F.col("size") <= F.col("gap")
-        ends = bounded(run.groupBy("source").agg(
+        ends = {r["source"]: r for r in bounded(run.groupBy("source").agg(
             F.min(F.when(~taken, F.col("at"))).alias("end"), F.max("at").alias("top"),
-            F.sum(F.when(taken, F.col("size"))).alias("words")), sources, "sources")
-        before, now = now, {}
-        for r in ends:
-            s = r["source"]
-            first, gap = before[s]
-            end = r["top"] + 1 if r["end"] is None else r["end"]
-            spans[s] = ([*spans[s][0], (first, end, gap)], gap - r["words"])
-            if r["end"] is not None and gap > r["words"]:
-                now[s] = (end + 1, gap - r["words"])
+            F.sum(F.when(taken, F.col("size"))).alias("words")), sources, "sources")}
+        before, now, through = now, {}, {}
+        for s, (first, gap) in before.items():
+            r = ends.get(s)
+            after = gap - (r["words"] if r else 0)
+            if r:
+                spans[s] = ([*spans[s][0], (first, r["top"] + 1 if r["end"] is None else r["end"], gap / 2)], after)
+            if r and r["end"] is not None:
+                now[s] = (r["end"] + 1, after)
+            else:
+                through[s] = after
+        if through:
+            rest = F.broadcast(spark.createDataFrame([*through.items()], "rest_of string, after double"))
+            fit = left.join(rest, left["source"].eqNullSafe(rest["rest_of"])).where((2 * F.col("size") > F.col("gap")) & (F.col("size") <= F.col("after")))
+            for r in bounded(fit.groupBy("source").agg(F.min(F.struct("at", "size")).alias("one")), sources, "sources"):
+                s, (at, size) = r["source"], r["one"]
+                spans[s] = ([*spans[s][0], (at, at + 1, float(size))], through[s] - size)
+        left = left.drop("gap")
     return spans
 
 
@@ -140,20 +150,20 @@ def mixed(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float =
     ends = np.cumsum(split_quotas(quotas, shards, seed), axis=0).T if names else np.zeros((0, shards))
     # One row for each source with a number for each shard: MAX_SOURCES * SHARDS longs at most.
     goal = F.broadcast(spark.createDataFrame(
-        [(s, sizes[s], target[s], passes[s], max(0.0, target[s] - passes[s] * sizes[s]), per_pass[s], partial[s], [int(x) for x in e])
-         for s, e in zip(names, ends)],
-        "name string, source_size long, target double, passes int, rest double, per_pass long, partial long, ends array<long>"))
+        [(s, sizes[s], target[s], passes[s], max(0.0, target[s] - passes[s] * sizes[s]), per_pass[s], partial[s]) for s in names],
+        "name string, source_size long, target double, passes int, rest double, per_pass long, partial long"))
+    shares = F.broadcast(spark.createDataFrame([(s, [int(x) for x in e]) for s, e in zip(names, ends)], "share_of string, ends array<long>"))
     ordered = rows.withColumn("turn", F.xxhash64(F.lit(seed), "source", "doc_id", "mark"))
-    placed = materialise(places(ordered, "turn", "source", "size", ("doc_id", "mark")), "mix-order")
-    placed = placed.join(goal, placed["source"].eqNullSafe(goal["name"])).drop("name")
+    placed = places(ordered, "turn", "source", "size", ("doc_id", "mark"))
+    placed = materialise(placed.join(goal, placed["source"].eqNullSafe(goal["name"])).drop("name"), "mix-order")
     fits = F.col("start") + F.col("size") <= F.col("rest")
     # The documents that fit stand before those that don't.  The rest of the order is gone on with, a run at a time.
     spans = _spans(placed, fits, max(len(names), 1))
     state = F.broadcast(spark.createDataFrame(
         [(s, runs, gap) for s, (runs, gap) in spans.items()],
-        "span_of string, spans array<struct<first:long,end:long,gap:double>>, gap double"))
+        "span_of string, spans array<struct<first:long,end:long,most:double>>, gap double"))
     placed = placed.join(state, placed["source"].eqNullSafe(state["span_of"]), "left").drop("span_of")
-    fills = (F.col("size") > 0) & F.exists("spans", lambda x: (F.col("place") >= x["first"]) & (F.col("place") < x["end"]) & (F.col("size") <= x["gap"]))
+    fills = (F.col("size") > 0) & F.exists("spans", lambda x: (F.col("place") >= x["first"]) & (F.col("place") < x["end"]) & (F.col("size") <= x["most"]))
     placed = placed.withColumn("takes", fits | F.coalesce(fills, F.lit(False)))
     # Last, the document whose size is nearest to the gap, if the target comes nearer by it.
     off = F.abs(F.col("size") - F.col("gap"))
@@ -165,7 +175,10 @@ def mixed(rows: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float =
     # A document of the partial pass stands in the block of the words that this pass takes before it.
     placed = placed.withColumn("number", F.least(F.floor(F.col("start") / block), F.col("per_pass") - 1)).withColumn(
         "words", F.when(F.col("takes"), F.col("size")).otherwise(0).cast("long")).withColumnRenamed("place", "at").drop("start", "spans", "gap", "last")
+    # read twice by the next step
+    placed = materialise(placed, "mix-takes")
     placed = places(placed, "turn", "source", "words", ("at",))
+    placed = placed.join(shares, placed["source"].eqNullSafe(shares["share_of"])).drop("share_of")
     number = F.col("number")
     copies = F.col("passes") + F.when(F.col("takes"), 1).otherwise(0)
 

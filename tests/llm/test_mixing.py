@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tenantmart.llm import mixing as M
 
@@ -97,17 +98,57 @@ def test_long_document_does_not_end_the_pass(spark):
     assert min(per) > 0.5 * max(per)      # what follows the long document is spread as well
 
 
-def test_partial_pass_is_the_walk_along_the_order(spark):
-    """Every document in order that fits what is left, for sizes that stop many running sums."""
+def walk(sizes, left):
+    """Places that the partial pass takes of documents in order, the gap, and the rounds."""
+    taken, rounds, first = set(), 0, len(sizes)
+    for i, n in enumerate(sizes):
+        if n > left:
+            first = i
+            break
+        taken.add(i)
+        left -= n
+    while True:
+        rest = [i for i in range(first, len(sizes)) if 0 < sizes[i] <= left and i not in taken]
+        small, gap, stop = [i for i in rest if 2 * sizes[i] <= left], left, None
+        rounds += 1
+        for i in small:
+            if sizes[i] > left:
+                stop = i
+                break
+            taken.add(i)
+            left -= sizes[i]
+        if stop is None:
+            one = next((i for i in rest if 2 * sizes[i] > gap and sizes[i] <= left), None)
+            return (taken, left, rounds) if one is None else (taken | {one}, left - sizes[one], rounds)
+        first = stop + 1
+
+
+def by_turn(rows):
+    return sorted(rows, key=lambda r: (r.turn + (1 << 64)) % (1 << 64))
+
+
+def test_partial_pass_against_the_walk(spark):
+    """Sizes that stop many running sums."""
     rng = random.Random(5)
     rows = [(i, "w " * int(2 ** rng.uniform(0, 12)), rng.choice(["a", None])) for i in range(1500)]
     got = M.mixed(M._light(frame(spark, rows)), weights=(1.0, 2.0), total=0.3, block=300, shards=4).collect()
     for s in ("a", None):
-        own = sorted((r for r in got if r.source == s), key=lambda r: (r.turn + (1 << 64)) % (1 << 64))
-        left, taken = own[0].target, set()
-        for r in own:
-            if r.size <= left:
-                left -= r.size
-                taken.add(r.doc_id)
-        assert {r.doc_id for r in own if r.drawn} >= taken and len([r for r in own if r.drawn]) <= len(taken) + 1
-        assert left < min(r.size for r in own if r.doc_id not in taken)
+        own = by_turn(r for r in got if r.source == s)
+        taken, left, _ = walk([r.size for r in own], own[0].target)
+        drawn = {i for i, r in enumerate(own) if r.drawn}
+        assert drawn >= taken and len(drawn) <= len(taken) + 1
+        assert left < min(r.size for i, r in enumerate(own) if i not in taken and r.size)
+
+
+def test_falling_sizes_need_few_rounds(spark, monkeypatch):
+    """2,000 documents each a little shorter than the one before: every one of them would stop a running sum."""
+    seen, places = [], M.places
+    monkeypatch.setattr(M, "places", lambda df, *rest: seen.append(1) or places(df, *rest))
+    n = 2_000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), (3 * n - F.col("id")).alias("size"), F.col("id").alias("mark"))
+    got = M.mixed(M.materialise(rows, "test-falling"), weights=(1.0,), total=0.501, block=1000, shards=4).collect()
+    own = by_turn(got)
+    taken, left, rounds = walk([r.size for r in own], own[0].target)
+    assert {i for i, r in enumerate(own) if r.drawn} >= taken and rounds <= 40 and len(seen) <= rounds + 2
+    # the same in the order of the sizes, where a walk that takes each document that fits has a stop for each
+    assert walk(list(range(3 * n, n, -1)), 2.5 * n * n)[2] <= 40
