@@ -3,9 +3,13 @@
 Every load evaluates its source once, into files of a fresh version folder;
 row counts, cast losses and over-long texts are observed during that write,
 and key checks read the written files.  Only when everything is written and
-checked is the catalog pointed at the new version (table and partitions), so
-a job that dies before that leaves the previous version in place.  A lost
-executor only rewrites files of the new version.
+checked is the catalog pointed at the new version.  The public name is a view
+over a version table, and a whole load makes its version table beside the old one
+and then replaces the view: one catalog statement.  A job that dies anywhere
+leaves a complete table, the old one or the new one, partitions and declared
+text lengths included.  Loads of single partitions switch these one after the
+other within the version table.  A lost executor only rewrites files of the new
+version.
 
 Modes: full replace (new schema), truncate + insert (target schema kept,
 columns aligned by name), keyed upsert (full outer join on the keys:
@@ -30,6 +34,8 @@ from pyspark.sql import functions as F
 from ..schema import Table
 from ..session import ensure_checkpoint_dir
 
+#: View property that names the version table.
+VERSION = "tenantmart.version"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Touched partition values that are listed in a scan's filter; beyond, the whole table is rewritten.
 MAX_TOUCHED = 1_000
@@ -118,35 +124,56 @@ class Warehouse:
 
     def point_at(self, table: str, path: str, schema, partition_by=(), replace_schema: bool = False):
         """Make a completely written version folder the content of ``table``."""
-        name = self.name(table)
+        lengths = {} if replace_schema or not self.exists(table) else self.text_lengths(table)
+        kinds = {c: f"varchar({n})" for c, n in lengths.items()}
+        columns = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in schema.fields)
+        self._switch(table, self._new_version(table, path, columns, partition_by))
+
+    def _new_version(self, table: str, path: str, columns: str, partition_by=(), repair: bool = True) -> str:
+        """A version table over a folder, under a name of its own."""
+        version = self.name(f"{table}__v{uuid.uuid4().hex}")
+        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        self.spark.sql(f"CREATE TABLE {_q(version)} ({columns}) USING parquet{part} LOCATION '{path}'")
+        if partition_by and repair:
+            self.spark.sql(f"MSCK REPAIR TABLE {_q(version)}")
+        return version
+
+    def _switch(self, table: str, version: str) -> None:
+        """Let the public name show a version table."""
+        name, before = self.name(table), self.version_table(table)
+        view = f"CREATE OR REPLACE VIEW {_q(name)} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT * FROM {_q(version)}"
+        if before != name:
+            self.spark.sql(view)
+        else:
+            # a plain table, made elsewhere, is taken over once: it keeps its rows under another name
+            aside = self.name(f"{table}__v{uuid.uuid4().hex}")
+            self.spark.sql(f"ALTER TABLE {_q(name)} RENAME TO {_q(aside)}")
+            try:
+                self.spark.sql(view)
+            except Exception:
+                self.spark.sql(f"ALTER TABLE {_q(aside)} RENAME TO {_q(name)}")
+                raise
+            before = aside
+        if before and before != version:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_q(before)}")      # external: files stay for readers of the old version
+
+    def version_table(self, table: str) -> str | None:
+        """The catalog table behind a public name; a table made elsewhere is its own."""
         if not self.exists(table):
-            self._create(name, path, schema, partition_by)
-            return
-        changed = self._schema_changed(table, schema) or list(partition_by) != self.partition_columns(table)
-        # ALTER TABLE ... SET LOCATION would turn varchar(n) columns into plain strings
-        lengths = {} if replace_schema else self.text_lengths(table)
-        if replace_schema or changed or lengths:
-            self.spark.sql(f"DROP TABLE {_q(name)}")      # external: files stay
-            self._create(name, path, schema, partition_by, lengths=lengths)
-            return
-        if partition_by:
-            # the catalog's partitions hold locations of their own
-            self.drop_partitions(table, self.partitions(table))
-        self.spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{path}'")
-        if partition_by:
-            self.spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
-        self.spark.catalog.refreshTable(name)
+            return None
+        found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {_q(self.name(table))}").collect()}
+        return found.get(VERSION, self.name(table))
 
     # -- partitions (catalog metadata; no data file is opened) ---------------------------------
     def partitions(self, table: str) -> list[str]:
         """Partition folders of a table as ``a=1/b=x``."""
-        return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(self.name(table))}").collect()]
+        return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(self.version_table(table))}").collect()]
 
     def drop_partitions(self, table: str, folders) -> None:
         folders = list(folders)
         for at in range(0, len(folders), 500):
             specs = ", ".join(_partition_spec(f) for f in folders[at:at + 500])
-            self.spark.sql(f"ALTER TABLE {_q(self.name(table))} DROP IF EXISTS {specs}")
+            self.spark.sql(f"ALTER TABLE {_q(self.version_table(table))} DROP IF EXISTS {specs}")
 
     def swap_partitions(self, table: str, path: str, partition_by, drop=()) -> None:
         """Point the partitions found under ``path`` at it, after dropping
@@ -154,61 +181,47 @@ class Warehouse:
         new = self._folders_of(path, table, partition_by)
         here = set(self.partitions(table))
         self.drop_partitions(table, [f for f in drop if f not in new])
-        name = _q(self.name(table))
+        version = self.version_table(table)
+        name = _q(version)
         for f in new:
             spec, at = _partition_spec(f), f"{path}/{f}"
             if f in here:
                 self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{at}'")
             else:
                 self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{at}'")
-        self.spark.catalog.refreshTable(self.name(table))
+        self.spark.catalog.refreshTable(version)
 
     def _folders_of(self, path: str, table: str, partition_by) -> list[str]:
         """Partition folders of a version that no table points at, listed through a passing table."""
-        probe = f"{table}__listing_{uuid.uuid4().hex[:8]}"
         schema = self.spark.read.schema(self.read(table).schema).parquet(path).schema
-        self._create(self.name(probe), path, schema, partition_by)
+        probe = self._new_version(f"{table}__listing", path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), partition_by)
         try:
-            return self.partitions(probe)
+            return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(probe)}").collect()]
         finally:
-            self.spark.sql(f"DROP TABLE {_q(self.name(probe))}")
-
-    def _schema_changed(self, table: str, schema) -> bool:
-        current = {(f.name.lower(), f.dataType.simpleString()) for f in self.read(table).schema}
-        return current != {(f.name.lower(), f.dataType.simpleString()) for f in schema}
-
-    def _create(self, name, path, schema, partition_by=(), repair: bool = True, lengths=None):
-        kinds = {c: f"varchar({n})" for c, n in (lengths or {}).items()}
-        cols = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in schema.fields)
-        part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" \
-            if partition_by else ""
-        self.spark.sql(f"CREATE TABLE {_q(name)} ({cols}) USING parquet{part} LOCATION '{path}'")
-        if partition_by and repair:
-            self.spark.sql(f"MSCK REPAIR TABLE {_q(name)}")
+            self.spark.sql(f"DROP TABLE {_q(probe)}")
 
     def create_empty(self, table: Table, replace: bool = False) -> str:
         """Declared table with no rows (``varchar(n)`` kept in the catalog DDL)."""
-        name = self.name(table.name)
-        if replace and self.exists(table.name):
-            self.spark.sql(f"DROP TABLE {_q(name)}")
         path = self._version_path(table.name)
-        self.spark.sql(f"CREATE TABLE {_q(name)} ({table.ddl_columns()}) USING parquet "
-                       f"LOCATION '{path}'")
+        if not replace and self.exists(table.name):
+            raise LoadError(f"table {self.name(table.name)} exists")
+        self._switch(table.name, self._new_version(table.name, path, table.ddl_columns()))
         return path
 
-    def create_like(self, table: str, like: DataFrame) -> None:
+    def create_like(self, table: str, like: DataFrame, partition_by=()) -> None:
         """Create ``table`` empty with the schema of ``like`` if it is absent."""
         if not self.exists(table):
-            self._create(self.name(table), self._version_path(table), like.schema)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields)
+            self._switch(table, self._new_version(table, self._version_path(table), columns, partition_by, repair=False))
 
     def text_lengths(self, table: str) -> dict[str, int]:
         """Declared ``varchar(n)`` lengths of a table's columns."""
-        rows = self.spark.sql(f"DESCRIBE TABLE {_q(self.name(table))}").collect()
+        rows = self.spark.sql(f"DESCRIBE TABLE {_q(self.version_table(table))}").collect()
         found = {r["col_name"]: re.fullmatch(r"varchar\((\d+)\)", r["data_type"] or "") for r in rows}
         return {c: int(m[1]) for c, m in found.items() if m}
 
     def partition_columns(self, table: str) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isPartition]
+        return [c.name for c in self.spark.catalog.listColumns(self.version_table(table)) if c.isPartition]
 
     def partition_values(self, table: str, column: str) -> list[int]:
         """Integer values of a partition column, from the catalog."""
@@ -218,7 +231,10 @@ class Warehouse:
     def add_column_if_missing(self, table: str, column: str, dtype: str) -> bool:
         if column.lower() in [c.lower() for c in self.columns(table)]:
             return False
-        self.spark.sql(f"ALTER TABLE {_q(self.name(table))} ADD COLUMNS (`{column}` {dtype})")
+        version = self.version_table(table)
+        self.spark.sql(f"ALTER TABLE {_q(version)} ADD COLUMNS (`{column}` {dtype})")
+        if version != self.name(table):
+            self._switch(table, version)          # the view shows the column, too
         return True
 
 

@@ -156,8 +156,7 @@ def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     if not central.exists(table):
         cols = [c for c in union.columns if c not in parts] + list(parts)
-        central._create(central.name(table), central._version_path(table), union.select(*cols).schema,
-                        parts, repair=False)
+        central.create_like(table, union.select(*cols), parts)
     for f in union.schema.fields:
         central.add_column_if_missing(table, f.name, f.dataType.simpleString())
     target = central.read(table)

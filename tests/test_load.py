@@ -2,6 +2,8 @@ import uuid
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tenantmart.operators import load as L
 from tenantmart.schema import TABLES
 
@@ -202,3 +204,60 @@ def test_replace_keys_twice_is_once(spark, wh):
         L.load_replace_keys(src, wh, "t", ["k"])
         assert _rows(wh.read("t")) == _rows(spark.createDataFrame(
             [(1, "a"), (1, "a"), (1, "b"), (None, "n"), (2, "keep")], "k int, v string"))
+
+
+class Failing:
+    """A session whose n-th catalog statement fails."""
+
+    def __init__(self, spark, at):
+        self.spark, self.at, self.seen = spark, at, 0
+
+    def sql(self, text):
+        if text.split()[0] in ("CREATE", "ALTER", "DROP", "MSCK"):
+            self.seen += 1
+            if self.seen == self.at:
+                raise ConnectionError(text)
+        return self.spark.sql(text)
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+
+@pytest.mark.parametrize("kind", ["declared", "partitioned", "other_schema", "upsert", "plain"])
+def test_a_failure_at_any_catalog_call_leaves_a_complete_table(spark, kind):
+    from tenantmart.schema import Col, Table
+    old, new = [(1, "a"), (2, "b")], [(3, "c"), (4, "d"), (5, "e")]
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    for at in range(1, 20):
+        wh = L.Warehouse(spark, f"f_{uuid.uuid4().hex[:10]}")
+        if kind == "declared":
+            wh.create_empty(Table("t", (Col("k", "int"), Col("v", "varchar(3)"))))
+            L.load_truncate_insert(frame(old), wh, "t")
+        elif kind == "plain":
+            spark.sql(f"CREATE TABLE {wh.name('t')} (k int, v varchar(3)) USING parquet LOCATION '{wh._version_path('t')}'")
+            spark.sql(f"INSERT INTO {wh.name('t')} VALUES (1, 'a'), (2, 'b')")
+        else:
+            wh.publish(frame(old), "t", partition_by=("v",) if kind == "partitioned" else ())
+        wh.spark = Failing(spark, at)
+        merged = [*old, *new] if kind == "upsert" else new
+        try:
+            if kind == "other_schema":
+                L.load_full_replace(frame(new).withColumn("more", F.lit(1)), wh, "t")
+            elif kind == "upsert":
+                L.load_upsert(frame(new), wh, "t", ["k"])
+            else:
+                L.load_truncate_insert(frame(new), wh, "t")
+        except ConnectionError:
+            failed = True
+        else:
+            failed = False
+        got = sorted((r.k, r.v) for r in spark.table(wh.name("t")).collect())
+        assert got in (old, merged), (kind, at, got)
+        if kind in ("declared", "plain"):
+            wh.spark = spark
+            assert wh.text_lengths("t") == {"v": 3}
+        if not failed:
+            assert got == merged and at > 2
+            break
+    else:
+        raise AssertionError("never got through")
