@@ -7,9 +7,15 @@ checked is the catalog pointed at the new version.  The public name is a view
 over a version table, and a whole load makes its version table beside the old one
 and then replaces the view: one catalog statement.  A job that dies anywhere
 leaves a complete table, the old one or the new one, partitions and declared
-text lengths included.  Loads of single partitions switch these one after the
-other within the version table.  A lost executor only rewrites files of the new
-version.
+text lengths included.  A load of some partitions makes a version table whose
+other partitions stay where they are, and switches the view as well.  A lost
+executor only rewrites files of the new version.
+
+A table without partitions that takes keyed loads is laid out by a hash of its
+key: ``n`` folders that the public view hides.  A delta then reads, joins and
+writes the buckets of its own keys alone.  The first keyed load writes the layout,
+for as many rows as there are then; a whole load (replace, truncate + insert)
+drops it, and the next keyed load lays out anew.
 
 Modes: full replace (new schema), truncate + insert (target schema kept,
 columns aligned by name), keyed upsert (full outer join on the keys:
@@ -22,6 +28,7 @@ partitioned table stays partitioned in every mode.  An empty source is skipped
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from dataclasses import dataclass, field
@@ -37,8 +44,14 @@ from ..session import ensure_checkpoint_dir
 #: View property that names the version table.
 VERSION = "tenantmart.version"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-# Touched partition values that are listed in a scan's filter; beyond, the whole table is rewritten.
-MAX_TOUCHED = 1_000
+#: Table property and hidden partition column of a layout by key hash.
+LAYOUT = "tenantmart.layout"
+BUCKET = "_key_bucket"
+#: Rows of a bucket when a layout is made, and the most buckets (beyond, buckets grow).
+ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 4_096
+#: Touched partition values that are listed in a scan's filter; beyond, the scan is joined with them.
+MAX_LISTED = 4_096
 
 
 class LoadError(RuntimeError):
@@ -54,6 +67,26 @@ class LoadResult:
     losses: dict = field(default_factory=dict)   # column -> values lost to a cast or over-long
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Rows lie in ``n`` folders by a hash of ``keys``."""
+    keys: tuple
+    n: int
+
+    def bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.n)).cast("int")
+
+    def property(self) -> str:
+        text = json.dumps({"keys": list(self.keys), "n": self.n})
+        return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def layout_for(keys, rows: int, rows_per_bucket: int | None = None) -> Layout | None:
+    """A power of two of buckets for a table of ``rows`` rows; None if one would do."""
+    wanted = min(-(-rows // (rows_per_bucket or ROWS_PER_BUCKET)), MAX_BUCKETS)
+    return Layout(tuple(keys), 1 << (wanted - 1).bit_length()) if wanted > 1 else None
+
+
 def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -72,6 +105,25 @@ def _partition_spec(folder: str) -> str:
     return "PARTITION (" + ", ".join(f"`{k}`={literal(v)}" for k, v in _partition_values(folder).items()) + ")"
 
 
+def _ddl(schema, lengths=None) -> str:
+    kinds = {c: f"varchar({n})" for c, n in (lengths or {}).items()}
+    return ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in schema.fields)
+
+
+def _folders(df: DataFrame, levels: int) -> dict[str, str]:
+    """Partition folder -> place of the files that a frame reads; no job runs."""
+    out = {}
+    for file in df.inputFiles():
+        where = unquote(file).rpartition("/")[0]
+        out["/".join(where.split("/")[-levels:])] = where
+    return out
+
+
+def bucketed(df: DataFrame, layout: Layout) -> DataFrame:
+    """``df`` with its bucket, one task for a bucket of usual size and several for a large one."""
+    return df.withColumn(BUCKET, layout.bucket()).hint("rebalance", BUCKET)
+
+
 class Warehouse:
     """One tenant schema (a catalog database) whose tables live under
     ``root`` on storage every executor sees."""
@@ -97,7 +149,8 @@ class Warehouse:
         return self.read(table).columns
 
     def _version_path(self, table: str) -> str:
-        return f"{self.root}/{table}/v{uuid.uuid4().hex}"
+        # apart from the folder that a managed table of this name would own (and take along when it is renamed or dropped)
+        return f"{self.root}/_versions/{table}/v{uuid.uuid4().hex}"
 
     # -- publication -------------------------------------------------------------------------
     def write_version(self, df: DataFrame, table: str, partition_by=()) -> str:
@@ -110,30 +163,37 @@ class Warehouse:
         return path
 
     def publish(self, df: DataFrame, table: str, replace_schema: bool = False,
-                partition_by=None) -> str:
+                partition_by=None, layout: Layout | None = None) -> str:
         """Write ``df`` to a new version folder, then point the table at it.
 
-        Without ``partition_by`` an existing table keeps its partition columns.
+        Without ``partition_by`` an existing table keeps its partition columns,
+        and without ``layout`` its layout by key hash.
         """
         if partition_by is None:
             partition_by = [c for c in self.partition_columns(table) if c in df.columns] \
                 if self.exists(table) else []
+        if layout is None and not partition_by:
+            layout = self.layout(table)
+            layout = layout if layout and set(layout.keys) <= set(df.columns) else None
+        if layout:
+            df, partition_by = bucketed(df, layout), [BUCKET]
         path = self.write_version(df, table, partition_by)
-        self.point_at(table, path, df.schema, list(partition_by), replace_schema)
+        self.point_at(table, path, df.schema, list(partition_by), replace_schema, layout)
         return path
 
-    def point_at(self, table: str, path: str, schema, partition_by=(), replace_schema: bool = False):
+    def point_at(self, table: str, path: str, schema, partition_by=(), replace_schema: bool = False,
+                 layout: Layout | None = None):
         """Make a completely written version folder the content of ``table``."""
         lengths = {} if replace_schema or not self.exists(table) else self.text_lengths(table)
-        kinds = {c: f"varchar({n})" for c, n in lengths.items()}
-        columns = ", ".join(f"`{f.name}` {kinds.get(f.name, f.dataType.simpleString())}" for f in schema.fields)
-        self._switch(table, self._new_version(table, path, columns, partition_by))
+        self._switch(table, self._new_version(table, path, _ddl(schema, lengths), partition_by, layout=layout))
 
-    def _new_version(self, table: str, path: str, columns: str, partition_by=(), repair: bool = True) -> str:
+    def _new_version(self, table: str, path: str, columns: str, partition_by=(), repair: bool = True,
+                     layout: Layout | None = None) -> str:
         """A version table over a folder, under a name of its own."""
         version = self.name(f"{table}__v{uuid.uuid4().hex}")
         part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-        self.spark.sql(f"CREATE TABLE {_q(version)} ({columns}) USING parquet{part} LOCATION '{path}'")
+        props = f" TBLPROPERTIES ('{LAYOUT}' = '{layout.property()}')" if layout else ""
+        self.spark.sql(f"CREATE TABLE {_q(version)} ({columns}) USING parquet{part} LOCATION '{path}'{props}")
         if partition_by and repair:
             self.spark.sql(f"MSCK REPAIR TABLE {_q(version)}")
         return version
@@ -141,7 +201,8 @@ class Warehouse:
     def _switch(self, table: str, version: str) -> None:
         """Let the public name show a version table."""
         name, before = self.name(table), self.version_table(table)
-        view = f"CREATE OR REPLACE VIEW {_q(name)} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT * FROM {_q(version)}"
+        shown = f"* EXCEPT (`{BUCKET}`)" if BUCKET in self.spark.table(version).columns else "*"
+        view = f"CREATE OR REPLACE VIEW {_q(name)} TBLPROPERTIES ('{VERSION}' = '{version}') AS SELECT {shown} FROM {_q(version)}"
         if before != name:
             self.spark.sql(view)
         else:
@@ -161,44 +222,49 @@ class Warehouse:
         """The catalog table behind a public name; a table made elsewhere is its own."""
         if not self.exists(table):
             return None
-        found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {_q(self.name(table))}").collect()}
-        return found.get(VERSION, self.name(table))
+        return self._properties(self.name(table)).get(VERSION, self.name(table))
+
+    def _properties(self, name: str) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {_q(name)}").collect()}
+
+    def layout(self, table: str) -> Layout | None:
+        """The layout by key hash of a table, if it has one."""
+        version = self.version_table(table)
+        text = self._properties(version).get(LAYOUT) if version else None
+        if text is None:
+            return None
+        told = json.loads(text)
+        return Layout(tuple(told["keys"]), told["n"])
+
+    def read_version(self, table: str) -> DataFrame:
+        """The rows with the hidden bucket column, if there is a layout."""
+        return self.spark.table(self.version_table(table))
 
     # -- partitions (catalog metadata; no data file is opened) ---------------------------------
     def partitions(self, table: str) -> list[str]:
         """Partition folders of a table as ``a=1/b=x``."""
         return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(self.version_table(table))}").collect()]
 
-    def drop_partitions(self, table: str, folders) -> None:
-        folders = list(folders)
-        for at in range(0, len(folders), 500):
-            specs = ", ".join(_partition_spec(f) for f in folders[at:at + 500])
-            self.spark.sql(f"ALTER TABLE {_q(self.version_table(table))} DROP IF EXISTS {specs}")
-
-    def swap_partitions(self, table: str, path: str, partition_by, drop=()) -> None:
-        """Point the partitions found under ``path`` at it, after dropping
-        those of ``drop`` that it does not hold; all others stay."""
-        new = self._folders_of(path, table, partition_by)
-        here = set(self.partitions(table))
-        self.drop_partitions(table, [f for f in drop if f not in new])
-        version = self.version_table(table)
-        name = _q(version)
-        for f in new:
-            spec, at = _partition_spec(f), f"{path}/{f}"
-            if f in here:
-                self.spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{at}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION '{at}'")
-        self.spark.catalog.refreshTable(version)
-
-    def _folders_of(self, path: str, table: str, partition_by) -> list[str]:
-        """Partition folders of a version that no table points at, listed through a passing table."""
-        schema = self.spark.read.schema(self.read(table).schema).parquet(path).schema
-        probe = self._new_version(f"{table}__listing", path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields), partition_by)
-        try:
-            return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(probe)}").collect()]
-        finally:
-            self.spark.sql(f"DROP TABLE {_q(probe)}")
+    def swap_partitions(self, table: str, path: str, drop=()) -> None:
+        """Replace the partitions found under ``path`` and remove those of
+        ``drop``; all others stay where they are.
+
+        The new version table names a folder for each partition, some hundred in
+        a statement, and the view switches to it in one: a reader sees all of the
+        old partitions or all of the new ones.
+        """
+        if self.version_table(table) == self.name(table):
+            self.publish(self.read(table), table)          # made elsewhere: taken over once, whole
+        before, layout = self.read_version(table), self.layout(table)
+        parts = [BUCKET] if layout else self.partition_columns(table)
+        gone = set(drop)
+        at = {f: where for f, where in _folders(before, len(parts)).items() if f not in gone}
+        at |= _folders(self.spark.read.schema(before.schema).parquet(path), len(parts))
+        version = self._new_version(table, path, _ddl(before.schema, self.text_lengths(table)), parts, False, layout)
+        named = [f"{_partition_spec(f)} LOCATION '{where}'" for f, where in sorted(at.items())]
+        for i in range(0, len(named), 500):
+            self.spark.sql(f"ALTER TABLE {_q(version)} ADD " + " ".join(named[i:i + 500]))
+        self._switch(table, version)
 
     def create_empty(self, table: Table, replace: bool = False) -> str:
         """Declared table with no rows (``varchar(n)`` kept in the catalog DDL)."""
@@ -211,8 +277,7 @@ class Warehouse:
     def create_like(self, table: str, like: DataFrame, partition_by=()) -> None:
         """Create ``table`` empty with the schema of ``like`` if it is absent."""
         if not self.exists(table):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields)
-            self._switch(table, self._new_version(table, self._version_path(table), columns, partition_by, repair=False))
+            self._switch(table, self._new_version(table, self._version_path(table), _ddl(like.schema), partition_by, repair=False))
 
     def text_lengths(self, table: str) -> dict[str, int]:
         """Declared ``varchar(n)`` lengths of a table's columns."""
@@ -221,7 +286,8 @@ class Warehouse:
         return {c: int(m[1]) for c, m in found.items() if m}
 
     def partition_columns(self, table: str) -> list[str]:
-        return [c.name for c in self.spark.catalog.listColumns(self.version_table(table)) if c.isPartition]
+        """Partition columns that users see (not the hidden one of a layout)."""
+        return [c.name for c in self.spark.catalog.listColumns(self.version_table(table)) if c.isPartition and c.name != BUCKET]
 
     def partition_values(self, table: str, column: str) -> list[int]:
         """Integer values of a partition column, from the catalog."""
@@ -424,10 +490,25 @@ def replace_keys_frame(target: DataFrame, source: DataFrame, keys) -> DataFrame:
         align_by_name(source, target.schema, allow_missing=True))
 
 
-def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge) -> LoadResult:
+def _touched(target: DataFrame, source: DataFrame, units) -> DataFrame:
+    """Target rows in the partitions that the source's rows fall into."""
+    wanted = source.select(*units).distinct()
+    listed = wanted.limit(MAX_LISTED + 1).collect()
+    if len(listed) > MAX_LISTED:
+        named = wanted.select(*[F.col(u).alias(f"w__{u}") for u in units])
+        return target.join(named, reduce(lambda a, b: a & b, [F.col(u).eqNullSafe(F.col(f"w__{u}")) for u in units]), "left_semi")
+    # literal values, so the scan is pruned to these partitions
+    if len(units) == 1 and all(r[0] is not None for r in listed):
+        return target.where(F.col(units[0]).isin([r[0] for r in listed]))
+    return target.where(reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(u).eqNullSafe(F.lit(r[u])) for u in units]) for r in listed], F.lit(False)))
+
+
+def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, rows_per_bucket=None) -> LoadResult:
     """Stage the source, let ``prepare`` check or reduce it, and publish what
-    ``merge`` makes of target and source: whole, or (partition columns among
-    the keys) the touched partitions only."""
+    ``merge`` makes of target and source: the touched partitions (partition
+    columns among the keys) or the touched buckets of the layout only, or the
+    whole table, which then gets a layout if it has no partitions."""
     _options(on_empty, on_loss)
     if not keys:
         raise LoadError(f"no key declared for {table}")
@@ -441,43 +522,44 @@ def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge) ->
     if stop:
         return stop
     source = prepare(staged.read(wh.spark))
-    parts = wh.partition_columns(table)
-    touched = None
+    parts, layout, columns = wh.partition_columns(table), wh.layout(table), target.columns
     if parts and set(parts) <= set(keys):
-        touched = source.select(*parts).distinct().limit(MAX_TOUCHED + 1).collect()
-    if touched and len(touched) <= MAX_TOUCHED:
-        # literal values, so the scan is pruned to these partitions
-        hit = reduce(lambda a, b: a | b, [
-            reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(r[p])) for p in parts]) for r in touched]) \
-            if len(parts) > 1 or any(r[parts[0]] is None for r in touched) else F.col(parts[0]).isin([r[0] for r in touched])
-        merged = merge(target.where(hit), source, keys).select(*target.columns)
-        wh.swap_partitions(table, wh.write_version(merged, table, parts), parts)
+        merged = merge(_touched(target, source, parts), source, keys).select(*columns)
+        wh.swap_partitions(table, wh.write_version(merged.hint("rebalance", *parts), table, parts))
+    elif layout and set(layout.keys) <= set(keys):
+        there = _touched(wh.read_version(table), source.withColumn(BUCKET, layout.bucket()), [BUCKET])
+        merged = merge(there.select(*columns), source, keys).select(*columns)
+        wh.swap_partitions(table, wh.write_version(bucketed(merged, layout), table, [BUCKET]))
     else:
-        wh.publish(merge(target, source, keys).select(*target.columns), table)
+        fresh = None if parts else layout_for(keys, target.count() + staged.rows, rows_per_bucket)
+        wh.publish(merge(target, source, keys).select(*columns), table, layout=fresh)
     return LoadResult(table, mode, "loaded", staged.rows, staged.losses)
 
 
 def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str = "keep",
-                dedupe_order: str | None = None, on_loss: str = "raise") -> LoadResult:
+                dedupe_order: str | None = None, on_loss: str = "raise",
+                rows_per_bucket: int | None = None) -> LoadResult:
     """Keyed upsert.  Source keys must be unique: a duplicate is an error,
     never a silent pick, unless ``dedupe_order`` names the column whose
     largest value wins.  A failure raises and leaves the target as it was --
     never an overwrite with the delta.  On a table partitioned by key
-    columns only the touched partitions are read and written."""
+    columns only the touched partitions are read and written, on one laid out by
+    key hash (``rows_per_bucket``) only the touched buckets."""
     def prepare(source):
         if dedupe_order is not None:
             return latest_per_key(source, keys, dedupe_order)
         if not duplicate_keys(source, keys).isEmpty():
             raise LoadError(f"source keys {list(keys)} are not unique for {table}")
         return source
-    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare, upsert_frame)
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare, upsert_frame, rows_per_bucket)
 
 
 def load_replace_keys(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str = "keep",
-                      on_loss: str = "raise") -> LoadResult:
+                      on_loss: str = "raise", rows_per_bucket: int | None = None) -> LoadResult:
     """Incremental load of a table whose declared key is not unique at its
     grain: all rows of the source's keys are replaced by the source's rows."""
-    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, replace_keys_frame)
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, replace_keys_frame,
+                       rows_per_bucket)
 
 
 def load(df: DataFrame, wh: Warehouse, table: str, mode: str = "full", keys=(),

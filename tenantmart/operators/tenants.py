@@ -164,7 +164,7 @@ def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
     if staged.losses:
         raise LoadError(f"{central.name(table)}: values do not fit the central columns: {staged.losses}")
     brought = [f for f in central.partitions(table) if refresh and _source_of(f) in merged]
-    central.swap_partitions(table, staged.path, parts, drop=brought)
+    central.swap_partitions(table, staged.path, drop=brought)
     return MergeReport(table, merged, skipped)
 
 

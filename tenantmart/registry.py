@@ -340,6 +340,23 @@ def q_load_upsert(spark, sf_dir):
     return wh.read("budget_accounts")
 
 
+@query("load_upsert_buckets")
+def q_load_upsert_buckets(spark, sf_dir):
+    """Accounts in a table laid out by key hash (the first load makes it so),
+    then a delta of every 101st account, which touches a part of the buckets,
+    and the accounts of one P&L account, brought anew by key."""
+    src = FixtureSource.shared(spark, sf_dir)
+    wh = _fresh_warehouse(spark, "buckets")
+    keys = MODELS["budget_accounts"].keys
+    accounts = MODELS["budget_accounts"](src, FIXTURE_PARAMS)
+    wh.publish(accounts.where("id_code_budgetaire % 5 <> 1").withColumn("id_client", F.lit(7).cast("int")), "budget_accounts")
+    L.load_upsert(accounts.where("id_code_budgetaire % 5 = 1"), wh, "budget_accounts", keys, rows_per_bucket=100)
+    delta = accounts.where("id_code_budgetaire % 101 = 0").withColumn("cout_unitaire", F.lit(-1.0))
+    L.load_upsert(delta, wh, "budget_accounts", keys)
+    L.load_replace_keys(accounts.where("compte_pl = 7").withColumn("cout_unitaire", F.lit(-2.0)), wh, "budget_accounts", keys)
+    return wh.read("budget_accounts")
+
+
 # --- tenants ---------------------------------------------------------------------------------
 CENTRAL_DB = "central"
 ARCHIVE_DB = "archive"

@@ -223,7 +223,7 @@ class Failing:
         return getattr(self.spark, name)
 
 
-@pytest.mark.parametrize("kind", ["declared", "partitioned", "other_schema", "upsert", "plain"])
+@pytest.mark.parametrize("kind", ["declared", "partitioned", "other_schema", "upsert", "plain", "some_partitions", "buckets"])
 def test_a_failure_at_any_catalog_call_leaves_a_complete_table(spark, kind):
     from tenantmart.schema import Col, Table
     old, new = [(1, "a"), (2, "b")], [(3, "c"), (4, "d"), (5, "e")]
@@ -236,15 +236,17 @@ def test_a_failure_at_any_catalog_call_leaves_a_complete_table(spark, kind):
         elif kind == "plain":
             spark.sql(f"CREATE TABLE {wh.name('t')} (k int, v varchar(3)) USING parquet LOCATION '{wh._version_path('t')}'")
             spark.sql(f"INSERT INTO {wh.name('t')} VALUES (1, 'a'), (2, 'b')")
+        elif kind == "buckets":
+            wh.publish(frame(old), "t", layout=L.Layout(("k",), 4))
         else:
-            wh.publish(frame(old), "t", partition_by=("v",) if kind == "partitioned" else ())
+            wh.publish(frame(old), "t", partition_by=("v",) if kind in ("partitioned", "some_partitions") else ())
         wh.spark = Failing(spark, at)
-        merged = [*old, *new] if kind == "upsert" else new
+        merged = [*old, *new] if kind in ("upsert", "some_partitions", "buckets") else new
         try:
             if kind == "other_schema":
                 L.load_full_replace(frame(new).withColumn("more", F.lit(1)), wh, "t")
-            elif kind == "upsert":
-                L.load_upsert(frame(new), wh, "t", ["k"])
+            elif kind in ("upsert", "some_partitions", "buckets"):
+                L.load_upsert(frame(new), wh, "t", ["k"] if kind != "some_partitions" else ["v", "k"])
             else:
                 L.load_truncate_insert(frame(new), wh, "t")
         except ConnectionError:
@@ -261,3 +263,71 @@ def test_a_failure_at_any_catalog_call_leaves_a_complete_table(spark, kind):
             break
     else:
         raise AssertionError("never got through")
+
+
+def _files(wh, table):
+    return {f for f in wh.read_version(table).inputFiles()}
+
+
+def test_layout_by_key_hash_follows_the_delta(spark, wh):
+    """The first keyed load lays the table out; the next ones read and write the buckets of their own keys."""
+    n = 4_000
+    wh.publish(spark.range(n).selectExpr("id AS k", "id * 10 AS v", "7 AS id_client"), "t")
+    first = spark.range(10).selectExpr("id AS k", "-1L AS v")
+    L.load_upsert(first, wh, "t", ["k"], rows_per_bucket=50)
+    layout = wh.layout("t")
+    assert layout == L.Layout(("k",), 128) and wh.columns("t") == ["k", "v", "id_client"] and wh.partition_columns("t") == []
+    before = _files(wh, "t")
+    seen = []
+
+    def spy(target, source, keys):
+        seen.append(target._jdf.queryExecution().executedPlan().toString())
+        return L.upsert_frame(target, source, keys)
+    delta = spark.createDataFrame([(5, 55), (n + 1, 1), (n + 2, 2)], "k long, v int")
+    L._load_keyed(delta, wh, "t", ["k"], "keep", "raise", "upsert", lambda s: s, spy)
+    assert "PartitionFilters: [" in seen[0] and "_key_bucket" in seen[0].split("PartitionFilters: [")[1].split("]")[0]
+    touched = {r[0] for r in delta.select(layout.bucket()).distinct().collect()}
+    after = _files(wh, "t")
+    changed = {f.split("_key_bucket=")[1].split("/")[0] for f in before ^ after}
+    assert changed == {str(b) for b in touched} and len(before & after) >= 100
+    got = {r.k: (r.v, r.id_client) for r in wh.read("t").collect()}
+    want = {k: ((-1 if k < 10 else k * 10), 7) for k in range(n)} | {5: (55, 7), n + 1: (1, None), n + 2: (2, None)}
+    assert got == want
+    assert wh.layout("t") == layout
+
+
+def test_layout_keeps_null_keys_and_replaces_by_key(spark, wh):
+    rows = [(None, 1, "x"), (1, None, "y"), (1, 2, "z"), (3, 4, "w")]
+    wh.publish(spark.createDataFrame(rows, "a int, b int, v string"), "t", layout=L.Layout(("a", "b"), 8))
+    src = spark.createDataFrame([(None, 1, "new"), (1, 2, "Z"), (1, 2, "ZZ"), (9, 9, "q")], "a int, b int, v string")
+    for _ in range(2):
+        L.load_replace_keys(src, wh, "t", ["a", "b"])
+        assert _rows(wh.read("t")) == _rows(spark.createDataFrame(
+            [(None, 1, "new"), (1, None, "y"), (1, 2, "Z"), (1, 2, "ZZ"), (3, 4, "w"), (9, 9, "q")], "a int, b int, v string"))
+    L.load_upsert(spark.createDataFrame([(None, 1, "more"), (3, 4, None)], "a int, b int, v string"), wh, "t", ["a", "b"])
+    assert wh.read("t").where("a IS NULL").count() == 2 and wh.read("t").where("a = 3 AND v IS NULL").count() == 1
+    # columns are added behind the hidden one; whole loads drop the layout
+    wh.add_column_if_missing("t", "w", "double")
+    assert wh.columns("t") == ["a", "b", "v", "w"] and wh.read("t").count() == 7
+    L.load_truncate_insert(src.withColumn("w", F.lit(1.5)), wh, "t")
+    assert wh.layout("t") is None and wh.read("t").count() == 4
+
+
+def test_more_touched_partitions_than_are_listed(spark, wh, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LISTED", 3)
+    wh.publish(spark.range(40).selectExpr("id AS k", "'old' AS v", "cast(nullif(id % 20, 19) as int) AS p"), "t", partition_by=("p",))
+    before = _files(wh, "t")
+    L.load_replace_keys(spark.range(10).selectExpr("id AS k", "'new' AS v", "cast(nullif(id, 9) as int) AS p"), wh, "t", ["k", "p"])
+    assert wh.read("t").where("v = 'new'").count() == 10 and wh.read("t").count() == 41
+    assert all("p=%d/" % p not in f for f in before ^ _files(wh, "t") for p in range(10, 19))
+
+
+def test_a_table_made_elsewhere_takes_partition_loads(spark, wh):
+    spark.sql(f"CREATE TABLE {wh.name('u')} (k bigint) USING parquet")
+    spark.sql(f"INSERT INTO {wh.name('u')} VALUES (1), (2)")
+    L.load_truncate_insert(spark.createDataFrame([(5,)], "k long"), wh, "u")
+    assert _rows(wh.read("u")) == [(5,)]
+    spark.sql(f"CREATE TABLE {wh.name('t')} (k bigint, p int) USING parquet PARTITIONED BY (p)")
+    spark.sql(f"INSERT INTO {wh.name('t')} VALUES (1, 1), (2, 2)")
+    L.load_upsert(spark.createDataFrame([(1, 1), (5, 1)], "k long, p int"), wh, "t", ["k", "p"])
+    assert _rows(wh.read("t")) == [(1, 1), (2, 2), (5, 1)]
