@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import safe_ratio, typed_null
 from ..operators.lookup import interval_lookup, unique_lookup
-from ..operators.skew import fanout_left_join, lines_with_placeholders, own_exchange_join
+from ..operators.skew import fanout_left_join, hot_keys, lines_with_placeholders, own_exchange_join
 from .base import Params, Source
 
 # Overtime buckets: fact column <- person-timesheet column.
@@ -59,8 +59,10 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
     per-timesheet statistics (planted area of the linked plots, number of
     linked centres) are one partial aggregation and are attached to the
     timesheets, where both sides have one row per key.  Then come the two
-    fan-outs, persons and links, each with exchanges of its own, so AQE can
-    split a timesheet that holds a third of the persons or of the links.
+    fan-outs, persons and links, on one partitioning by timesheet.  If any
+    timesheet is hot (``skew.hot_keys``, by persons or by links), each has
+    exchanges of its own instead, so AQE can split a timesheet that holds a third
+    of the persons or of the links; only data with such a key pay for that.
     """
     plots = src("parcelleculturale").select(F.col("id").alias("id_parcelle"), "sup")
     plot_links = (src("pointage_parcelleculturale")
@@ -84,10 +86,15 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
 
     # a timesheet without links gives no row, so statistics may join inner;
     # NULL timesheet keys never meet a link; a timesheet without persons keeps
-    # one NULL person (found at key level, from the base table)
+    # one NULL person
     sheets = timesheets(src).join(stats, on="idpointage", how="inner")
-    persons = lines_with_placeholders(src("pointage"), _persons(src), "idpointage")
-    rows = own_exchange_join(own_exchange_join(sheets, persons, "idpointage", 1), links, "idpointage", 2)
+    persons = _persons(src)
+    if hot_keys([src(t) for t in ("personnel_pointage", "pointage_parcelleculturale", "cc_pointage")], "idpointage"):
+        lines = lines_with_placeholders(src("pointage"), persons, "idpointage")
+        rows = own_exchange_join(own_exchange_join(sheets, lines, "idpointage", 1), links, "idpointage", 2)
+    else:
+        keyed = persons.where(F.col("idpointage").isNotNull())
+        rows = sheets.join(keyed, on="idpointage", how="left").join(links, on="idpointage", how="inner")
 
     plot = F.col("is_plot")
 

@@ -4,6 +4,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from tenantmart.operators import skew
 from tenantmart.operators.skew import fanout_left_join
 
 CONF = {
@@ -85,3 +86,37 @@ def test_fact_labour_splits_hot_persons_and_hot_links(spark):
         # the joins with exchanges of their own: timesheets with persons, then with links
         joins = [line for line in plan.splitlines() if "SortMergeJoin" in line and "_exchange" in line]
         assert len(joins) == 2 and all("skew=true" in j for j in joins), joins
+
+
+def test_hot_keys_misses_none_and_is_bounded(spark):
+    """Keys just over the share are found among many rare ones; NULL is none."""
+    n = 200_000
+    lines = spark.range(n).select(F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 100 < 4, F.col("id") % 100).otherwise(F.col("id") + 1000).alias("k"))
+    exact = {r["k"] for r in lines.where("k IS NOT NULL").groupBy("k").count().where(f"count >= {n // 200}").collect()}
+    assert exact == {1, 2, 3} and set(skew.hot_keys([lines], "k", share=1 / 200, least=1_000)) == exact
+    assert skew.hot_keys([lines], "k", share=1 / 200, least=n) == []
+    assert skew.hot_keys([lines.limit(0)], "k") == []
+    few = spark.range(300).select((F.col("id") % 2 + 50).alias("k"))          # each table's own rows count
+    assert skew.hot_keys([few, lines], "k", share=1 / 200, least=100) == [1, 2, 3, 50, 51]
+
+
+def test_routes_agree_whatever_is_hot(spark):
+    """Rows without a line, without a header, repeated headers and NULL keys: every routing gives the plain join's rows."""
+    header = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (5, "f")], "k int, h string")
+    lines = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (None, 30), (4, 40)] + [(5, i) for i in range(50)], "k int, v int")
+    want = sorted(map(str, header.join(lines, "k", "left").collect()))
+    for least in (1, 2, 40, 1_000):
+        got = fanout_left_join(header, lines, "k", least=least)
+        assert got.columns == ["k", "h", "v"] and sorted(map(str, got.collect())) == want, least
+
+
+def test_fact_labour_is_the_same_on_both_routes(spark, src, monkeypatch):
+    from tenantmart.plans import FIXTURE_PARAMS, MODELS
+    from tenantmart.plans import labour
+    plain = MODELS["fact_labour"](src, FIXTURE_PARAMS)
+    monkeypatch.setattr(labour, "hot_keys", lambda tables, on: [1])
+    both = MODELS["fact_labour"](src, FIXTURE_PARAMS)
+    digest = lambda df: df.select(F.xxhash64(*df.columns).alias("h")).agg(
+        F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    rounded = lambda df: df.withColumns({c: F.round(c, 4) for c, t in df.dtypes if t == "double"})
+    assert digest(rounded(plain)) == digest(rounded(both))
