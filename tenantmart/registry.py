@@ -20,7 +20,7 @@ from .operators import cleanse as C
 from .operators import load as L
 from .operators import tenants as TN
 from .operators.calendar import calendar_for
-from .operators.hierarchy import attach_parent
+from .operators.hierarchy import ancestors, attach_parent
 from .operators.lookup import interval_lookup
 from .plans import CALENDAR, FIXTURE_PARAMS, MODELS
 from .plans.star import labour_cost_star
@@ -220,6 +220,19 @@ def q_parent_account(spark, sf_dir):
     return attach_parent(j, pl, "id_compte_parent", "id_bdg_comptes_pl", ["code", "niveau"])
 
 
+@query("hierarchy_closure")
+def q_hierarchy_closure(spark, sf_dir):
+    """All accounts above each P&L account, and all orders of the customer
+    before each order, with their distances."""
+    src = FixtureSource.shared(spark, sf_dir)
+    accounts = ancestors(MODELS["pl_accounts"](src, FIXTURE_PARAMS), "id_bdg_comptes_pl", "id_compte_parent")
+    # the orders of a customer, each after the one before it: chains of many lengths
+    before = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    orders = ancestors(src("orders").select("o_orderkey", before.alias("before")), "o_orderkey", "before")
+    return (accounts.select(F.lit("account").alias("kind"), *[F.col(c).cast("long") for c in accounts.columns])
+            .unionByName(orders.select(F.lit("order").alias("kind"), *[F.col(c).cast("long") for c in orders.columns])))
+
+
 @query("star_labour_cost")
 def q_star_labour_cost(spark, sf_dir):
     """Dashboard star query: labour cost and hours per season, farm and
