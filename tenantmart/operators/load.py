@@ -236,6 +236,17 @@ class Warehouse:
         told = json.loads(text)
         return Layout(tuple(told["keys"]), told["n"])
 
+    def plain_folder(self, table: str) -> str | None:
+        """The one folder whose parquet files are all of a table's rows; None
+        if it has partitions, a layout, another format or no folder."""
+        rows = [(r["col_name"], r["data_type"]) for r in
+                self.spark.sql(f"DESCRIBE TABLE EXTENDED {_q(self.version_table(table))}").collect()]
+        names = [n for n, _ in rows]
+        told = dict(rows[names.index("# Detailed Table Information"):])
+        if "# Partition Information" in names or told.get("Provider", "").lower() != "parquet":
+            return None
+        return told.get("Location")
+
     def read_version(self, table: str) -> DataFrame:
         """The rows with the hidden bucket column, if there is a layout."""
         return self.spark.table(self.version_table(table))

@@ -13,15 +13,24 @@ source may bring ids of its own, even another tenant's.  The catalog's list of
 visible and recorded in one step, a run that dies before it has changed
 nothing, and a refresh drops exactly what the same source brought before.
 ``merged_rows`` reads the table without the ledger column.
+
+Tenants whose table is one folder of parquet files (what a whole load
+publishes) are not branches of the plan: all folders of one schema are one
+scan, and a row's tenant follows from the path of its file.  So the plan grows
+with the number of different schemas, not of tenants, and the publish takes
+one statement for every 500 partitions and a few besides.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .load import LoadError, Warehouse, stage
 
@@ -146,24 +155,98 @@ def merge_tenants(central: Warehouse, table: str, slices: dict[int, DataFrame],
     central table is added to it first.  The write is rebalanced, so a tenant
     holding a third of the rows is spread over tasks and files.
     """
+    return _merge(central, table, {t: (df, None) for t, df in slices.items()}, refresh)
+
+
+@dataclass(frozen=True)
+class Folder:
+    """A tenant's table: all parquet files of one folder."""
+    path: str
+    schema: StructType
+
+    @property
+    def key(self) -> str:
+        return _folder_key(self.path)
+
+
+#: Paths that a file's URI spells as they are; others are read as branches of their own.
+PLAIN_PATH = re.compile(r"[\w./:=@-]+")
+
+
+def _folder_key(path: str) -> str:
+    return re.sub(r"^(\w+):/+", r"\1:/", path if re.match(r"\w+:/", path) else f"file:{path}").rstrip("/")
+
+
+def merge_folders(central: Warehouse, table: str, folders: dict[int, Folder], refresh: bool = False) -> MergeReport:
+    """``merge_tenants`` for tenants whose table is a folder each: one scan for
+    all folders of a schema."""
+    return _merge(central, table, {t: (None, f) for t, f in folders.items()}, refresh)
+
+
+def _tagged(df: DataFrame, tenant) -> DataFrame:
+    """Ledger column, and the tenant id where the source brings none."""
+    df = df.withColumn(SOURCE_COLUMN, tenant.cast("int"))
+    if TENANT_COLUMN in [c.lower() for c in df.columns]:
+        return df
+    return df.withColumn(TENANT_COLUMN, F.col(SOURCE_COLUMN))
+
+
+def _scan(spark, folders: dict[int, Folder], schema: StructType) -> list[DataFrame]:
+    """All tenants' files of one schema by one scan; a table that was declared
+    and never filled may have no folder yet, and then each is looked at alone."""
+    places = {t: f for t, f in folders.items() if PLAIN_PATH.fullmatch(f.path)}
+    if len({f.key for f in places.values()}) < len(places):
+        places = {}          # two tenants share a folder: the path does not tell whose rows
+    try:
+        frames = []
+        if places:
+            named = spark.createDataFrame([(f.key, t) for t, f in places.items()], "_folder string, _tenant int")
+            path = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
+            rows = spark.read.schema(schema).parquet(*[f.path for f in places.values()])
+            # left: a path that were spelt otherwise raises below instead of losing its rows
+            rows = rows.withColumn("_folder", F.regexp_replace(path, r"^(\w+):/+", "$1:/")).join(named, "_folder", "left")
+            owner = F.coalesce("_tenant", F.raise_error(F.concat(F.lit("no tenant for "), "_folder")).cast("int"))
+            frames.append(_tagged(rows, owner).drop("_folder", "_tenant"))
+        return frames + [_tagged(spark.read.schema(schema).parquet(f.path), F.lit(t)) for t, f in folders.items() if t not in places]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if len(folders) == 1:
+            return [_tagged(spark.createDataFrame([], schema), F.lit(t)) for t in folders]
+        return [d for t, f in folders.items() for d in _scan(spark, {t: f}, schema)]
+
+
+def _merge(central: Warehouse, table: str, sources: dict[int, tuple[DataFrame | None, Folder | None]], refresh: bool) -> MergeReport:
     done = set(merged_tenants(central, table))
-    merged = [t for t in slices if refresh or t not in done]
-    skipped = [t for t in slices if t not in merged]
+    merged = [t for t in sources if refresh or t not in done]
+    skipped = [t for t in sources if t not in merged]
     if not merged:
         return MergeReport(table, merged, skipped)
     parts = (SOURCE_COLUMN, TENANT_COLUMN)
-    tagged = [tag_tenant_default(slices[t], t).withColumn(SOURCE_COLUMN, F.lit(t).cast("int")) for t in merged]
+    groups: dict[str, dict[int, Folder]] = {}
+    tagged = []
+    for t in merged:
+        df, folder = sources[t]
+        if folder is None:
+            tagged.append(_tagged(df, F.lit(t)))
+        else:
+            groups.setdefault(folder.schema.simpleString(), {})[t] = folder
+    for folders in groups.values():
+        tagged += _scan(central.spark, folders, next(iter(folders.values())).schema)
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     if not central.exists(table):
         cols = [c for c in union.columns if c not in parts] + list(parts)
         central.create_like(table, union.select(*cols), parts)
+    known = {c.lower() for c in central.columns(table)}
     for f in union.schema.fields:
-        central.add_column_if_missing(table, f.name, f.dataType.simpleString())
+        if f.name.lower() not in known:
+            central.add_column_if_missing(table, f.name, f.dataType.simpleString())
     target = central.read(table)
     staged = stage(union.hint("rebalance", *parts), central, table, target.schema, parts, missing="null")
     if staged.losses:
         raise LoadError(f"{central.name(table)}: values do not fit the central columns: {staged.losses}")
-    brought = [f for f in central.partitions(table) if refresh and _source_of(f) in merged]
+    replaced = set(merged)
+    brought = [f for f in central.partitions(table) if _source_of(f) in replaced] if refresh else []
     central.swap_partitions(table, staged.path, drop=brought)
     return MergeReport(table, merged, skipped)
 
@@ -211,13 +294,16 @@ def merge_schemas(central: Warehouse, tenants: dict, tables, refresh: bool = Fal
     Returns ``(table, tenant, status)`` rows."""
     report = []
     for t in tables:
-        slices = {}
+        sources = {}
+        done = set() if refresh else set(merged_tenants(central, t))
         for tid, wh in tenants.items():
-            if wh.exists(t):
-                slices[tid] = wh.read(t)
-            else:
+            if not wh.exists(t):
                 report.append((t, tid, "missing"))
-        res = merge_tenants(central, t, slices, refresh=refresh)
+                continue
+            path = None if tid in done else wh.plain_folder(t)
+            rows = None if tid in done else wh.read(t)
+            sources[tid] = (None, Folder(path, rows.schema)) if path else (rows, None)
+        res = _merge(central, t, sources, refresh)
         report += [(t, tid, "refreshed" if refresh else "merged") for tid in res.merged]
         report += [(t, tid, "skipped") for tid in res.skipped]
     return report

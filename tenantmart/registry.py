@@ -22,9 +22,9 @@ from .operators import tenants as TN
 from .operators.calendar import calendar_for
 from .operators.hierarchy import ancestors, attach_parent
 from .operators.lookup import interval_lookup
-from .plans import CALENDAR, FIXTURE_PARAMS, MODELS
+from .plans import CALENDAR, FIXTURE_PARAMS, MODELS, merge_tables
 from .plans.star import labour_cost_star
-from .run import run_models
+from .run import run_models, run_tenants
 from .sources.fixtures import FixtureSource
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -275,14 +275,39 @@ def q_run_report(spark, sf_dir):
     loaded again incrementally."""
     src = FixtureSource.shared(spark, sf_dir)
     wh = _fresh_warehouse(spark, "run")
-    run_models(spark, src, wh, FIXTURE_PARAMS, create_or_replace=True, on_loss="report")
-    report = run_models(spark, src, wh, FIXTURE_PARAMS, mode="incremental", on_loss="report")
+    run_models(spark, src, wh, FIXTURE_PARAMS, create_or_replace=True, on_loss="report", workers=4)
+    report = run_models(spark, src, wh, FIXTURE_PARAMS, mode="incremental", on_loss="report", workers=4)
     counts = [wh.read(m).agg(F.count(F.lit(1)).alias("table_rows")).withColumn("model", F.lit(m))
               for m in (*MODELS, CALENDAR.name)]
     return (report.select("model", "status", "rows", "dropped_duplicates")
             .join(A.union_all(counts), on="model"))
 
 
+@query("run_tenants_report")
+def q_run_tenants_report(spark, sf_dir):
+    """A batch over three tenants in a pool of four: one with all rows, one whose
+    source lacks a table, so that one model fails alone, and one that cannot be opened."""
+    src = FixtureSource.shared(spark, sf_dir)
+    models = ("budget_versions", "dim_staff", "sales_production", "fact_labour", CALENDAR.name)
+
+    def without_staff(name):
+        if name == "personnel":
+            raise L.LoadError("no table personnel")
+        return src(name)
+
+    def unopened():
+        raise L.LoadError("no such tenant")
+
+    whole, part = _fresh_warehouse(spark, "whole"), _fresh_warehouse(spark, "part")
+    report = run_tenants(spark, {"whole": (src, whole), "part": lambda: (without_staff, part), "unopened": unopened},
+                         FIXTURE_PARAMS, models=models, create_or_replace=True, on_loss="report", workers=4)
+    counts = [wh.read(r["model"]).agg(F.count(F.lit(1)).alias("table_rows"))
+              .select(F.lit(r["tenant"]).alias("tenant"), F.lit(r["model"]).alias("model"), "table_rows")
+              for r in report.where("status = 'loaded'").collect() for wh in [whole if r["tenant"] == "whole" else part]]
+    return (report.select("tenant", "model", "status", "rows", "dropped_duplicates", F.regexp_extract("error", r"no [a-z ]+", 0).alias("error"))
+            .join(A.union_all(counts), ["tenant", "model"], "left"))
+
+
 def _levels(spark, sf_dir, purpose):
     """P&L accounts in a table partitioned by level; half of them are there
     already, at another level and with an old code."""
@@ -495,6 +520,27 @@ def q_merge_add_column(spark, sf_dir):
     return TN.merged_rows(central, "sales")
 
 
+@query("tenant_merge_tables")
+def q_tenant_merge_tables(spark, sf_dir):
+    """The central merge of all nine tables: tenant 1 has all of them, tagged with
+    the id that the registry knows; tenant 2, which comes later, the rows of even keys of
+    all but the calendar.  What each brought, by table."""
+    src = FixtureSource.shared(spark, sf_dir)
+    one, two, central = (_fresh_warehouse(spark, n) for n in ("one", "two", "central"))
+    names = merge_tables()
+    run_models(spark, src, one, FIXTURE_PARAMS, models=names, create_or_replace=True, clean=False, workers=4)
+    for t in names:
+        if t != CALENDAR.table:
+            two.publish(one.read(t).where(F.pmod(F.col(MODELS[t].keys[0]), F.lit(2)) == 0), t)
+    TN.tag_tables_from_registry(one, synced_registry(src), CENTRAL_DB, names)
+    TN.merge_schemas(central, {1: one}, names)
+    report = TN.merge_schemas(central, {1: one, 2: two}, names)
+    status = spark.createDataFrame(report, "table_name string, tenant int, status string")
+    brought = A.union_all([central.read(t).groupBy(F.col(TN.SOURCE_COLUMN).alias("tenant"), "id_client")
+                           .agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(t)) for t in names])
+    return status.join(brought, ["table_name", "tenant"], "left")
+
+
 @query("tenant_tag_default")
 def q_tenant_tag_default(spark, sf_dir):
     """The tenant id is added where it is missing and kept where it is there."""

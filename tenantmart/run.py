@@ -1,15 +1,22 @@
 """Batch runs: every model of a tenant, and every tenant.
 
-The loop is over *models and tenants* (a fixed, short list of names) on the
-driver; each model is still one distributed plan from source to sink,
-evaluated once: row counts are observed while it is written.  A failing model
-is reported and the others continue; the report is a small DataFrame (one row
-per model and tenant).
+Models and tenants are short lists of names; each model is one distributed
+plan from source to sink, evaluated once (row counts are observed while it is
+written).  A bounded pool of driver threads keeps up to ``workers`` models of
+all tenants in work at a time, so that the last tasks of one leave no executor
+idle while others wait.  Each model has a job group of its own and runs in its
+tenant's scheduler pool (which matters under ``spark.scheduler.mode=FAIR``):
+a model that fails, or that takes longer than ``limit_seconds`` (waiting for
+executor slots included), is cancelled alone and reported, and the others continue.  The report is a small DataFrame
+(one row per model and tenant), in the same order for any number of workers.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +30,54 @@ REPORT_SCHEMA = ("tenant string, model string, target string, mode string, statu
                  "finished_at timestamp")
 
 
-def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params | None = None,
-               models=None, mode: str = "full", create_or_replace: bool = False,
-               on_empty: str = "keep", clean: bool = True, on_loss: str = "raise",
-               dedupe_order: dict[str, str] | None = None, tenant: str = "") -> DataFrame:
-    """Build, clean and load each model (default: all and the calendar); one
-    report row per model.  ``dedupe_order`` names, by model, the column whose
-    largest value wins among source rows of one key."""
-    params = params or Params()
-    known = {**MODELS, CALENDAR.name: CALENDAR}
-    chosen: list[Model] = [known[m] if isinstance(m, str) else m for m in (models or list(known))]
-    rows = []
-    for m in chosen:
-        try:
+def _failed(tenant: str, model: Model | None, mode: str, error: str) -> tuple:
+    return (tenant, model and model.name, model and model.table, mode, "failed", None, None, None, error[:1000], dt.datetime.now())
+
+
+class _Group:
+    """The Spark jobs that one model starts from its thread: cancelled
+    together when the block is left by an error or its time is over."""
+
+    def __init__(self, spark: SparkSession, pool: str, what: str, limit_seconds: float | None):
+        self.sc, self.pool, self.what, self.limit = spark.sparkContext, pool, what, limit_seconds
+        self.name = f"tenantmart-{uuid.uuid4().hex}"
+        self.late = threading.Event()
+        self.done = threading.Event()
+
+    def _watch(self):
+        # jobs that start after the limit are cancelled as well, until the model gives up
+        if not self.done.wait(self.limit):
+            self.late.set()
+            while not self.done.wait(0.2):
+                self.sc.cancelJobGroup(self.name)
+
+    def __enter__(self):
+        self.before = {k: self.sc.getLocalProperty(k) for k in ("spark.scheduler.pool", "spark.jobGroup.id", "spark.job.description",
+                                                                "spark.job.interruptOnCancel")}
+        self.sc.setLocalProperty("spark.scheduler.pool", self.pool)
+        self.sc.setJobGroup(self.name, self.what, interruptOnCancel=True)
+        if self.limit is not None:
+            self.watcher = threading.Thread(target=self._watch, daemon=True)
+            self.watcher.start()
+        return self
+
+    def __exit__(self, kind, value, trace):
+        self.done.set()
+        if self.limit is not None:
+            self.watcher.join()
+        if kind is not None:
+            self.sc.cancelJobGroup(self.name)        # what the model left running, broadcasts for instance
+        for k, v in self.before.items():
+            self.sc.setLocalProperty(k, v)
+        return False
+
+
+def _run_model(spark, src, wh, params, m: Model, tenant, mode, create_or_replace, on_empty, clean, on_loss,
+               dedupe_order, limit_seconds) -> tuple:
+    """Report row of one model; never raises."""
+    group = _Group(spark, tenant or "default", f"{tenant} {m.name}".strip(), limit_seconds)
+    try:
+        with group:
             if not (mode == "full" and create_or_replace) and not wh.exists(m.table):
                 raise LoadError(f"table {wh.name(m.table)} does not exist; create it first")
             built = Observation()
@@ -47,29 +89,66 @@ def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params |
                        on_empty=on_empty, unique=m.unique, on_loss=on_loss,
                        dedupe_order=(dedupe_order or {}).get(m.name))
             dropped = (built.get.get("rows") or 0) - res.rows if clean else 0
-            rows.append((tenant, m.name, m.table, res.mode, res.status, res.rows, dropped,
-                         sum(res.losses.values()), None, dt.datetime.now()))
-        except Exception as e:  # noqa: BLE001 - isolation: report and continue
-            rows.append((tenant, m.name, m.table, mode, "failed", None, None, None,
-                         f"{type(e).__name__}: {e}"[:1000], dt.datetime.now()))
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+            return (tenant, m.name, m.table, res.mode, res.status, res.rows, dropped,
+                    sum(res.losses.values()), None, dt.datetime.now())
+    except Exception as e:  # noqa: BLE001 - isolation: report and continue
+        late = f"cancelled after {limit_seconds} s; " if group.late.is_set() else ""
+        return _failed(tenant, m, mode, f"{late}{type(e).__name__}: {e}")
+
+
+def _chosen(models) -> list[Model]:
+    known = {**MODELS, CALENDAR.name: CALENDAR}
+    return [known[m] if isinstance(m, str) else m for m in (models or list(known))]
+
+
+def _workers(n: int) -> int:
+    if n < 1:
+        raise ValueError("workers must be at least 1")
+    return n
+
+
+def run_models(spark: SparkSession, src: Source, wh: Warehouse, params: Params | None = None,
+               models=None, mode: str = "full", create_or_replace: bool = False,
+               on_empty: str = "keep", clean: bool = True, on_loss: str = "raise",
+               dedupe_order: dict[str, str] | None = None, tenant: str = "", workers: int = 1,
+               limit_seconds: float | None = None) -> DataFrame:
+    """Build, clean and load each model (default: all and the calendar), up to
+    ``workers`` at a time; one report row per model.  ``dedupe_order`` names,
+    by model, the column whose largest value wins among source rows of one
+    key."""
+    return run_tenants(spark, {tenant: (src, wh)}, params, models=models, mode=mode, create_or_replace=create_or_replace,
+                       on_empty=on_empty, clean=clean, on_loss=on_loss, dedupe_order=dedupe_order, workers=workers,
+                       limit_seconds=limit_seconds)
 
 
 def run_tenants(spark: SparkSession, tenants: dict, params: Params | None = None,
-                selected=None, **kw) -> DataFrame:
-    """``tenants``: name -> (source, warehouse).  ``selected``: names or
-    ``'all'``.  A tenant that fails entirely is reported, the rest continue."""
+                selected=None, models=None, mode: str = "full", create_or_replace: bool = False,
+                on_empty: str = "keep", clean: bool = True, on_loss: str = "raise",
+                dedupe_order: dict[str, str] | None = None, workers: int = 1,
+                limit_seconds: float | None = None) -> DataFrame:
+    """``tenants``: name -> (source, warehouse), or a function that opens both.
+    ``selected``: names or ``'all'``.  One pool serves the models of all tenants,
+    tenant by tenant.  A tenant that cannot be opened is one report row, and the
+    rest continue."""
     names = list(tenants) if selected in (None, "all") else list(selected)
-    reports = []
-    for name in names:
+    params, chosen = params or Params(), _chosen(models)
+
+    def opened(name):
         try:
-            src, wh = tenants[name]
-            reports.append(run_models(spark, src, wh, params, tenant=name, **kw))
-        except Exception as e:  # noqa: BLE001
-            reports.append(spark.createDataFrame(
-                [(name, None, None, kw.get("mode", "full"), "failed", None, None, None,
-                  f"{type(e).__name__}: {e}"[:1000], dt.datetime.now())], REPORT_SCHEMA))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+            t = tenants[name]
+            src, wh = t() if callable(t) else t
+            return src, wh
+        except Exception as e:  # noqa: BLE001 - the tenant fails, not the run
+            return _failed(name, None, mode, f"{type(e).__name__}: {e}")
+
+    with ThreadPoolExecutor(_workers(workers), thread_name_prefix="tenantmart") as pool:
+        found = list(pool.map(opened, names))
+        waiting = []
+        for name, t in zip(names, found):
+            if len(t) != 2:
+                waiting.append(t)
+            else:
+                waiting += [pool.submit(_run_model, spark, *t, params, m, name, mode, create_or_replace, on_empty, clean, on_loss,
+                                        dedupe_order, limit_seconds) for m in chosen]
+        rows = [w if isinstance(w, tuple) else w.result() for w in waiting]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)

@@ -38,6 +38,8 @@ CLUSTER_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # batch runs give each tenant a scheduler pool of its own
+    "spark.scheduler.mode": "FAIR",
 }
 
 

@@ -151,3 +151,72 @@ def test_tag_tables_and_merge_schemas(spark):
     assert sorted((r.k, r.id_client) for r in T.merged_rows(central, "x").collect()) == [(1, 1), (2, 2)]
     again = T.merge_schemas(central, {1: t1, 2: t2}, ["x"])
     assert sorted(again) == [("x", 1, "skipped"), ("x", 2, "skipped")]
+
+
+class _Counted:
+    """A session whose SQL statements are counted."""
+
+    def __init__(self, spark):
+        self._spark, self.statements = spark, []
+
+    def sql(self, text, *a, **kw):
+        self.statements.append(text)
+        return self._spark.sql(text, *a, **kw)
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
+def test_two_thousand_tenants_are_one_scan_and_few_statements(spark, tmp_path):
+    n = 2_000
+    base = str(tmp_path / "all")
+    rows = spark.range(3 * n).selectExpr("id AS k", "concat('v', id) AS v", f"cast(id % {n} AS int) AS t")
+    rows.repartition(1).sortWithinPartitions("t").write.partitionBy("t").parquet(base)
+    schema = spark.createDataFrame([], "k long, v string").schema
+    folders = {t: T.Folder(f"{base}/t={t}", schema) for t in range(n)}
+    scans = T._scan(spark, folders, schema)
+    assert len(scans) == 1
+    plan = scans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    counted = _Counted(spark)
+    central = Warehouse(counted, f"c_{uuid.uuid4().hex[:8]}")
+    counted.statements.clear()
+    assert T.merge_folders(central, "t", folders).merged == list(range(n))
+    assert len(counted.statements) <= 20 + n // 500, len(counted.statements)
+    merged = spark.table(central.name("t"))
+    assert merged.count() == 3 * n
+    assert merged.where(f"id_client <> k % {n} OR source_tenant <> id_client OR v <> concat('v', k)").count() == 0
+    assert T.merge_folders(central, "t", folders).skipped == list(range(n))
+
+
+def test_folders_of_unlike_schemas_and_none(spark, tmp_path):
+    """Own ids, a missing column, a table never filled, two tenants of one folder, and a path that a URI spells otherwise."""
+    def put(name, rows, schema):
+        df = spark.createDataFrame(rows, schema)
+        df.write.parquet(str(tmp_path / name))
+        return T.Folder(str(tmp_path / name), df.schema)
+    a = put("a", [(1, "x"), (2, None)], "k int, v string")
+    b = put("b", [(3,)], "k int")
+    c = put("c", [(4, "z", 40)], "k int, v string, id_client int")
+    d = put("d e%20", [(5, "y")], "k int, v string")
+    e = T.Folder(str(tmp_path / "never"), a.schema)
+    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:8]}")
+    T.merge_folders(central, "t", {1: a, 2: b, 3: c, 4: d, 5: e})
+    rows = sorted((r.k, r.v, r.id_client) for r in T.merged_rows(central, "t").collect())
+    assert rows == [(1, "x", 1), (2, None, 1), (3, None, 2), (4, "z", 40), (5, "y", 4)]
+    other = Warehouse(spark, f"c_{uuid.uuid4().hex[:8]}")
+    T.merge_folders(other, "t", {1: a, 2: a})
+    assert sorted((r.k, r.id_client) for r in T.merged_rows(other, "t").collect()) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+
+
+def test_merge_schemas_reads_partitioned_and_plain_tables(spark):
+    t = {i: Warehouse(spark, f"p{i}_{uuid.uuid4().hex[:8]}") for i in (1, 2, 3)}
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string")
+    t[1].publish(rows, "x")
+    t[2].publish(rows, "x", partition_by=("p",))
+    t[3].create_like("x", rows)
+    assert t[1].plain_folder("x") and t[2].plain_folder("x") is None
+    central = Warehouse(spark, f"c_{uuid.uuid4().hex[:8]}")
+    assert T.merge_schemas(central, t, ["x"]) == [("x", i, "merged") for i in (1, 2, 3)]
+    assert sorted((r.k, r.p, r.id_client) for r in T.merged_rows(central, "x").collect()) == [
+        (1, "a", 1), (1, "a", 2), (2, "b", 1), (2, "b", 2)]
