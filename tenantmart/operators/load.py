@@ -256,9 +256,10 @@ class Warehouse:
         """Partition folders of a table as ``a=1/b=x``."""
         return [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {_q(self.version_table(table))}").collect()]
 
-    def swap_partitions(self, table: str, path: str, drop=()) -> None:
+    def swap_partitions(self, table: str, path: str | None, drop=(), columns: str | None = None) -> None:
         """Replace the partitions found under ``path`` and remove those of
-        ``drop``; all others stay where they are.
+        ``drop``; all others stay where they are.  ``columns`` declares the
+        columns anew.
 
         The new version table names a folder for each partition, some hundred in
         a statement, and the view switches to it in one: a reader sees all of the
@@ -270,8 +271,10 @@ class Warehouse:
         parts = [BUCKET] if layout else self.partition_columns(table)
         gone = set(drop)
         at = {f: where for f, where in _folders(before, len(parts)).items() if f not in gone}
-        at |= _folders(self.spark.read.schema(before.schema).parquet(path), len(parts))
-        version = self._new_version(table, path, _ddl(before.schema, self.text_lengths(table)), parts, False, layout)
+        if path is not None:
+            at |= _folders(self.spark.read.schema(before.schema).parquet(path), len(parts))
+        version = self._new_version(table, path or self._version_path(table), columns or _ddl(before.schema, self.text_lengths(table)),
+                                    parts, False, layout)
         named = [f"{_partition_spec(f)} LOCATION '{where}'" for f, where in sorted(at.items())]
         for i in range(0, len(named), 500):
             self.spark.sql(f"ALTER TABLE {_q(version)} ADD " + " ".join(named[i:i + 500]))
@@ -290,10 +293,15 @@ class Warehouse:
         if not self.exists(table):
             self._switch(table, self._new_version(table, self._version_path(table), _ddl(like.schema), partition_by, repair=False))
 
+    def column_types(self, table: str) -> dict[str, str]:
+        """Declared types by column, ``varchar(n)`` included, without a layout's hidden column."""
+        rows = self.spark.sql(f"DESCRIBE TABLE {_q(self.version_table(table))}").collect()
+        shown = set(self.columns(table))
+        return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] in shown}
+
     def text_lengths(self, table: str) -> dict[str, int]:
         """Declared ``varchar(n)`` lengths of a table's columns."""
-        rows = self.spark.sql(f"DESCRIBE TABLE {_q(self.version_table(table))}").collect()
-        found = {r["col_name"]: re.fullmatch(r"varchar\((\d+)\)", r["data_type"] or "") for r in rows}
+        found = {c: re.fullmatch(r"varchar\((\d+)\)", t) for c, t in self.column_types(table).items()}
         return {c: int(m[1]) for c, m in found.items() if m}
 
     def partition_columns(self, table: str) -> list[str]:
@@ -591,19 +599,120 @@ def load(df: DataFrame, wh: Warehouse, table: str, mode: str = "full", keys=(),
     raise ValueError(f"unknown mode {mode!r}")
 
 
+# -- bootstrap --------------------------------------------------------------------------------
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+#: Type changes besides those of whole numbers and decimals that keep every value.
+_WIDER = {("tinyint", "float"), ("smallint", "float"), ("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz"),
+          *((t, "double") for t in _WHOLE[:3])}
+
+
+def _text(kind: str) -> bool:
+    return kind == "string" or kind.startswith("varchar(")
+
+
+def widens(old: str, new: str) -> bool:
+    """Whether every value of type ``old`` has the same value in type ``new``."""
+    if old == new or (old, new) in _WIDER:
+        return True
+    if old in _WHOLE and new in _WHOLE:
+        return _WHOLE.index(old) < _WHOLE.index(new)
+    a, b = (re.fullmatch(r"decimal\((\d+),(\d+)\)", t) for t in (old, new))
+    if a and b:
+        return int(a[2]) <= int(b[2]) and int(a[1]) - int(a[2]) <= int(b[1]) - int(b[2])
+    return False
+
+
+@dataclass(frozen=True)
+class Diff:
+    """What a declared table has that the existing one has not."""
+    added: dict          # column -> type
+    retyped: dict        # column -> (old, new): the rows are written anew
+    relabelled: dict     # column -> (old, new): text lengths only
+    unlike: dict         # column -> (old, new): no value-keeping change
+
+    def __bool__(self):
+        return bool(self.added or self.retyped or self.relabelled or self.unlike)
+
+    def told(self) -> str:
+        return ", ".join([f"+{c} {t}" for c, t in self.added.items()] +
+                         [f"{c} {a} -> {b}" for d in (self.retyped, self.relabelled, self.unlike) for c, (a, b) in d.items()])
+
+
+def schema_diff(wh: Warehouse, table: Table) -> Diff:
+    """Declared against existing columns, by name in any case.  Columns that
+    only the existing table has stay as they are."""
+    have = {c.lower(): (c, t) for c, t in wh.column_types(table.name).items()}
+    out = Diff({}, {}, {}, {})
+    for col in table.columns:
+        if col.name.lower() not in have:
+            out.added[col.name] = col.type
+            continue
+        name, old = have[col.name.lower()]
+        if old != col.type:
+            both_text = _text(old) and _text(col.type)
+            (out.relabelled if both_text else out.retyped if widens(old, col.type) else out.unlike)[name] = (old, col.type)
+    return out
+
+
+def alter_table(wh: Warehouse, table: Table, diff: Diff) -> None:
+    """Bring an existing table to its declaration, in one switch of its view.
+
+    New columns and other text lengths only change the declaration: the files
+    stay, and a shorter length is accepted when no text is over it.  Wider
+    types are written to a new version.  Anything else raises and changes nothing.
+    """
+    name = table.name
+    if diff.unlike:
+        raise LoadError(f"{wh.name(name)}: no widening: {diff.unlike}")
+    types = {**wh.column_types(name), **diff.added, **{c: new for c, (_, new) in (diff.retyped | diff.relabelled).items()}}
+    columns = ", ".join(f"`{c}` {t}" for c, t in types.items())
+    lengths = {c: int(new[8:-1]) for c, (old, new) in diff.relabelled.items() if new != "string"
+               and (old == "string" or int(old[8:-1]) > int(new[8:-1]))}
+    if lengths:
+        over = wh.read(name).agg(*[F.count_if(F.length(c) > n).alias(c) for c, n in lengths.items()]).first().asDict()
+        if any(over.values()):
+            raise LoadError(f"{wh.name(name)}: texts over the declared length: { {c: n for c, n in over.items() if n} }")
+    parts, layout, folder = wh.partition_columns(name), wh.layout(name), wh.plain_folder(name)
+    ours = wh.version_table(name) != wh.name(name)
+    if not diff.retyped and ours and (parts or layout):
+        hidden = f", `{BUCKET}` int" if layout else ""
+        wh.swap_partitions(name, None, columns=columns + hidden)
+    elif not diff.retyped and ours and folder:
+        wh._switch(name, wh._new_version(name, folder, columns))
+    else:
+        # a layout is made anew by the next keyed load: its hash depends on the keys' types
+        wider = wh.read(name).withColumns({c: F.col(c).cast(new) for c, (_, new) in diff.retyped.items()}
+                                          | {c: F.lit(None).cast("string" if _text(t) else t) for c, t in diff.added.items()})
+        path = wh.write_version(wider, name, parts)
+        wh._switch(name, wh._new_version(name, path, columns, parts))
+
+
 def ensure_tables(wh: Warehouse, tables, replace_existing: bool = False,
-                  dry_run: bool = False) -> DataFrame:
-    """Create the declared tables; returns one report row per table
-    (created / skipped / error).  An error does not stop the others."""
+                  dry_run: bool = False, alter: bool = True) -> DataFrame:
+    """Create the declared tables and bring existing ones to their
+    declaration; returns one report row per table: created / replaced (with
+    ``replace_existing``) / altered (with what changed) / skipped / error.  An error
+    does not stop the others.  ``alter=False`` skips every existing table; a
+    ``dry_run`` changes nothing and reports the same, but for texts over a
+    length, which only the run itself finds."""
     rows = []
     for t in tables:
         try:
-            if wh.exists(t.name) and not replace_existing:
-                rows.append((t.name, "skipped", None))
+            there = wh.exists(t.name)
+            if there and not replace_existing:
+                diff = schema_diff(wh, t) if alter else None
+                if not diff:
+                    rows.append((t.name, "skipped", None, None))
+                    continue
+                if diff.unlike:
+                    raise LoadError(f"{wh.name(t.name)}: no widening: {diff.unlike}")
+                if not dry_run:
+                    alter_table(wh, t, diff)
+                rows.append((t.name, "altered", diff.told(), None))
                 continue
             if not dry_run:
                 wh.create_empty(t, replace=replace_existing)
-            rows.append((t.name, "created", None))
+            rows.append((t.name, "replaced" if there else "created", None, None))
         except Exception as e:  # noqa: BLE001 - reported per table
-            rows.append((t.name, "error", str(e)[:500]))
-    return wh.spark.createDataFrame(rows, "table_name string, action string, error string")
+            rows.append((t.name, "error", None, str(e)[:500]))
+    return wh.spark.createDataFrame(rows, "table_name string, action string, changes string, error string")

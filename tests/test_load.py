@@ -331,3 +331,52 @@ def test_a_table_made_elsewhere_takes_partition_loads(spark, wh):
     spark.sql(f"INSERT INTO {wh.name('t')} VALUES (1, 1), (2, 2)")
     L.load_upsert(spark.createDataFrame([(1, 1), (5, 1)], "k long, p int"), wh, "t", ["k", "p"])
     assert _rows(wh.read("t")) == [(1, 1), (2, 2), (5, 1)]
+
+
+def _declared(spec):
+    from tenantmart.schema import Table, _cols
+    return Table("t", _cols(spec), ())
+
+
+def _ensured(wh, spec, **kw):
+    r = L.ensure_tables(wh, [_declared(spec)], **kw).first()
+    return r.action, r.changes
+
+
+@pytest.mark.parametrize("how", ["plain", "partitioned", "layout", "elsewhere"])
+def test_bootstrap_alters_existing_tables(spark, wh, how):
+    rows = spark.createDataFrame([(i, f"v{i}", i % 3) for i in range(30)], "k int, v string, p int")
+    if how == "elsewhere":
+        rows.write.saveAsTable(wh.name("t"))
+    else:
+        wh.publish(rows, "t", partition_by=("p",) if how == "partitioned" else None,
+                   layout=L.Layout(("k",), 4) if how == "layout" else None)
+    files = set(wh.read("t").inputFiles())
+    assert _ensured(wh, "k int, p int, v varchar(3), w double", dry_run=True) == ("altered", "+w double, v string -> varchar(3)")
+    assert wh.columns("t") == ["k", "v", "p"]
+    assert _ensured(wh, "k int, p int, v varchar(3), w double") == ("altered", "+w double, v string -> varchar(3)")
+    assert _ensured(wh, "k int, p int, v varchar(3), w double") == ("skipped", None)
+    assert wh.text_lengths("t") == {"v": 3} and dict(wh.read("t").dtypes)["w"] == "double"
+    assert (set(wh.read("t").inputFiles()) == files) == (how != "elsewhere")      # no row was written
+    assert _ensured(wh, "K bigint, v varchar(9)") == ("altered", "k int -> bigint, v varchar(3) -> varchar(9)")
+    assert dict(wh.read("t").dtypes)["k"] == "bigint" and wh.text_lengths("t") == {"v": 9}
+    want = [(i, f"v{i}", i % 3, None) for i in range(30)]
+    assert sorted((r.k, r.v, r.p, r.w) for r in wh.read("t").collect()) == want
+    assert wh.partition_columns("t") == (["p"] if how == "partitioned" else [])
+    L.load_upsert(spark.createDataFrame([(1, "new")], "k long, v string"), wh, "t", ["k"])
+    assert wh.read("t").where("v = 'new'").count() == 1 and wh.read("t").count() == 30
+
+
+def test_bootstrap_reports_what_it_cannot_alter(spark, wh):
+    wh.publish(spark.createDataFrame([(1, "long text", 2**60)], "k int, v string, n bigint"), "t")
+    for spec in ("k string", "n int", "n double", "v varchar(4)", "k date"):
+        r = L.ensure_tables(wh, [_declared(spec + ", x int"), TABLES["dim_staff"]], dry_run=False).collect()
+        assert r[0].action == "error" and r[0].error and r[1].action in ("created", "skipped")
+    assert wh.read("t").dtypes == [("k", "int"), ("v", "string"), ("n", "bigint")]
+    assert L.ensure_tables(wh, [_declared("k bigint")], alter=False).first().action == "skipped"
+    assert L.ensure_tables(wh, [_declared("k bigint")], replace_existing=True).first().action == "replaced"
+
+
+def test_widening_keeps_values():
+    assert L.widens("int", "bigint") and L.widens("int", "double") and L.widens("decimal(5,2)", "decimal(9,3)")
+    assert not any(L.widens(*p) for p in [("bigint", "double"), ("double", "float"), ("decimal(5,2)", "decimal(6,4)"), ("int", "string")])
