@@ -15,13 +15,15 @@ run of white space became one space; null counts as empty.
    stay apart.  Copies are summed before the shuffle, so a text that a third of
    all rows share arrives as one row from each task.  Each owner task then
    writes its buckets, a key range each, in key order, without the texts.
-4. Every entry is joined with the chain element of its key and digest.  Both
-   sides are tables on shared files, so a hot key's rows can be split over
-   tasks.
+4. Every entry finds its bucket by the directory, and in it the chain element
+   of its key and digest.  Both sides are tables on shared files, so a hot
+   bucket's or key's rows can be split over tasks.
 
 Of equal texts the row with the smallest doc_id stays; null ids come last, and
 of rows that share the smallest id exactly one stays.  An empty table gives an
-empty result.  Further columns of the input are ignored.
+empty result.  Very long texts are normalised and compared whole.  Further
+columns of the input, also with clashing names, are ignored by ``exact_groups`` and
+kept by ``exact_dedup``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, bounded, materialise, position, positional, take
 
 #: Distinct keys that a bucket holds before it splits.
-CAPACITY = 500_000
+CAPACITY = 8_192
 #: The directory has at most 2 ** MAX_DEPTH slots.
 MAX_DEPTH = 14
 
@@ -87,11 +89,15 @@ def directory_frame(entries: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return spark.createDataFrame(rows, "slot int, bucket int")
 
 
-def _index(entries: DataFrame, texts: DataFrame, capacity: int) -> DataFrame:
+def _bucketed(rows: DataFrame, directory: DataFrame) -> DataFrame:
+    """``rows`` with the bucket that the directory names for their key."""
+    return rows.join(F.broadcast(directory), slot(F.col("key")) == F.col("slot")).drop("slot")    # 2 ** MAX_DEPTH rows
+
+
+def _index(texts: DataFrame, directory: DataFrame) -> DataFrame:
     """The index files: (bucket, key, digest, n, first) for each different text."""
-    directory = F.broadcast(directory_frame(entries, capacity))    # 2 ** MAX_DEPTH rows
     return materialise(
-        texts.join(directory, slot(F.col("key")) == F.col("slot"))
+        _bucketed(texts, directory)
         .groupBy("bucket", "key", "norm")
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))    # the minimum passes over nulls
         .select("bucket", "key", F.unhex(F.sha2("norm", 256)).alias("digest"), "n", "first")
@@ -110,8 +116,9 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     entries = materialise(
         rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", F.unhex(F.sha2("norm", 256)).alias("digest")),
         "exact-entries")
-    index = _index(entries, rows, capacity)
-    found = entries.join(index.select("key", "digest", "n", "first"), ["key", "digest"])
+    directory = directory_frame(entries, capacity)
+    index = _index(rows, directory)
+    found = _bucketed(entries, directory).join(index, ["bucket", "key", "digest"])
     first = F.col("doc_id").eqNullSafe(F.col("first"))
     # Rows that share the smallest id: one of them stays.
     ties = (entries.groupBy("key", "digest", "doc_id").agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("row1"))
@@ -131,9 +138,10 @@ def exact_dedup(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rows = positional(docs)
     keyed = _keyed(rows.withColumns({"doc_id": F.col(own), "text": F.col(text)}))
     entries = materialise(keyed.select("key", F.unhex(F.sha2("norm", 256)).alias("digest"), "doc_id"), "exact-entries")
-    index = _index(entries, keyed.select("key", "norm", "doc_id"), capacity)
+    directory = directory_frame(entries, capacity)
+    index = _index(keyed.select("key", "norm", "doc_id"), directory)
     # How many rows have the smallest id of their text; over 1 only for repeated rows.
-    same = entries.join(index, ["key", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("key", "digest").agg(
+    same = _bucketed(entries, directory).join(index, ["bucket", "key", "digest"]).where(F.col("doc_id").eqNullSafe(F.col("first"))).groupBy("key", "digest").agg(
         F.count(F.lit(1)).alias("same"), F.min("first").alias("i"))
     # Whole rows are joined by key and id, which spreads the rows of a hot text.
     wanted = materialise(same.select(F.col("key").alias("k"), F.col("digest").alias("d"), "i", "same"), "exact-kept")

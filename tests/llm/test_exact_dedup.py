@@ -27,7 +27,7 @@ ROWS = ([(i, "hot  text\n") for i in range(50, 20, -1)] + [(100, "hot\ttext "),
          (None, "only null"), (None, "only null"), (9, "x" * 200000), (10, "x" * 200000), (10, "x" * 200000), (11, "é ü"), (12, "é  ü")])
 
 
-@pytest.mark.parametrize("capacity", [1, 3, 500_000])
+@pytest.mark.parametrize("capacity", [1, 3, 500_000])    # the directory is full, split, one bucket
 def test_groups(spark, capacity):
     rows = ROWS[:]
     random.Random(3).shuffle(rows)
@@ -57,3 +57,20 @@ def test_directory_splits_only_overfull_buckets():
     assert D.build_directory({5: 3}, capacity=3, max_depth=4) == [(0, 0)]
     for s, (prefix, depth) in enumerate(directory):
         assert s >> (4 - depth) == prefix
+
+
+def test_buckets_split_at_ordinary_sizes(spark):
+    """On 9,000 different texts, one of them on a third of all rows, the index has several buckets by key ranges."""
+    rows = spark.range(13_500).selectExpr("id AS doc_id", "IF(id < 4500, 'hot', concat('text ', id)) AS text")
+    entries = D._keyed(rows)
+    directory = D.directory_frame(entries)
+    index = D._index(entries, directory)
+    per = {r["bucket"]: r for r in index.selectExpr("bucket", "shiftrightunsigned(key, 50) AS slot").groupBy("bucket").agg(
+        {"*": "count", "slot": "max"}).collect()}
+    assert len(per) > 1 and max(r["count(1)"] for r in per.values()) <= D.CAPACITY
+    slots = {r["slot"]: r["bucket"] for r in directory.collect()}
+    assert len(slots) == 1 << D.MAX_DEPTH and set(slots.values()) == set(per)
+    files = index.selectExpr("bucket", "_metadata.file_path AS f").distinct().groupBy("bucket").count()
+    assert {r["count"] for r in files.collect()} == {1}
+    got = {(r.keep_id, r.group_size) for r in D.exact_groups(rows).where("group_size > 1").collect()}
+    assert got == {(0, 4500)} and D.exact_dedup(rows).count() == 9_001
