@@ -13,8 +13,11 @@ shards it overlaps.
 
 Texts may be null (size 16) or long; a record larger than a bucket gets one to
 itself in effect.  Records of one id are spread by their texts, and copies of a
-text by their ids; rows that are identical in both share a bucket.  The result
-depends on the records and the seed alone.  An empty table gives empty shards.
+text by their ids.  Rows that are identical in both are counted, and numbered
+from 0 (which of them has which number makes no difference); the number is part
+of the hash, so they are spread as well.  The result depends on the records and
+the seed alone.  Further columns, also with clashing names, are left out.  An
+empty table gives empty shards.
 """
 
 from __future__ import annotations
@@ -34,26 +37,40 @@ BUCKET = 16 << 20
 OVERHEAD = 16
 SEED = 8
 LAW = "rows"
+#: Identical rows that one task makes from their count at a time.
+RUN = 1_000
 
 
 def record_size(text: str = "text"):
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD
 
 
+def _numbered(repeated: DataFrame, runs: int = RUN) -> DataFrame:
+    """One row for each of the ``n`` identical rows, with its ``number``; a task makes a run of them, not all."""
+    starts = repeated.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(runs).cast("long"))))
+    return (starts.repartition("mixed", "run")
+            .withColumn("number", F.explode(F.expr(f"sequence(run, least(n, run + {runs}L) - 1)"))).drop("n", "run"))
+
+
 def shuffled(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCKET) -> tuple[DataFrame, int]:
     """``docs`` (doc_id, text) with every record's ``place`` in the shuffle, and the number of records."""
-    mixed = F.xxhash64(F.lit(seed), "doc_id", "text")
-    light = materialise(docs.select(mixed.alias("mixed"), record_size().alias("size")), "shard-sizes")
+    docs, names = docs.withColumn("mixed", F.xxhash64(F.lit(seed), "doc_id", "text")), docs.columns
+    light = materialise(docs.select("mixed", record_size().alias("size")), "shard-sizes")
     rows, size = light.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = int(size) // bucket_bytes + 1
-    bucket = F.pmod(mixed, F.lit(buckets))
+    # Hashes that occur more than once: of identical rows, or (rarely) by chance.
+    often = materialise(light.groupBy("mixed").count().where("count > 1").select("mixed"), "shard-repeated")
+    copies = materialise(docs.join(often, "mixed", "left_semi").groupBy("mixed", *names).agg(F.count(F.lit(1)).alias("n")), "shard-copies")
+    alone = F.pmod("mixed", F.lit(buckets)).alias("bucket")
+    among = F.pmod(F.xxhash64("mixed", "number"), F.lit(buckets)).alias("bucket")
     # One row for each bucket.
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    filled = light.join(often, "mixed", "left_anti").select(alone).unionAll(_numbered(copies.select("mixed", "n")).select(among))
     starts = materialise(
-        light.groupBy(F.pmod("mixed", F.lit(buckets)).alias("bucket")).count()
+        filled.groupBy("bucket").count()
         .select(F.col("bucket").alias("b"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first")), "bucket-starts")
-    scattered = docs.withColumn("bucket", bucket).join(starts, F.col("bucket") == F.col("b")).drop("b")
-    names = docs.columns
+    records = docs.join(often, "mixed", "left_anti").select(*names, alone).unionAll(_numbered(copies).select(*names, among))
+    scattered = records.join(starts, F.col("bucket") == F.col("b")).drop("b")
 
     def fisher_yates(key, records):
         import numpy as np
@@ -67,7 +84,7 @@ def shuffled(docs: DataFrame, seed: int = SEED, bucket_bytes: int = BUCKET) -> t
         places = pa.array(np.arange(records.num_rows)) if not records.num_rows else pc.add(records.column("first")[0], pa.array(np.arange(records.num_rows)))
         return records.select(names).take(pa.array(order)).append_column("place", places)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("place", T.LongType())])
+    schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("place", T.LongType())])
     return scattered.groupBy("bucket").applyInArrow(fisher_yates, schema), rows
 
 
