@@ -36,12 +36,13 @@ def _sales_header(src: Source) -> DataFrame:
 
 def sales_production(src: Source, params: Params) -> DataFrame:
     """Local-market sales (crate receipts) UNION export sales (quality
-    reports), de-duplicated as whole rows."""
+    reports), de-duplicated as whole rows.  The sale's header columns come last,
+    so that the lines are shuffled narrow for all other lookups."""
     plots = src("parcelleculturale").select(F.col("id").alias("idparcelle"), "variete",
                                             "idproduit_rendement")
     units = src("unite_operation").select("idunite_operation", "unite")
 
-    # local market: sale -> crate receipt -> receipt x plot -> plot -> station receipt
+    # local market: crate receipt -> receipt x plot -> plot -> station receipt -> sale
     v = _sales_header(src).where(
         F.col("type").isNotNull() & ~F.col("type").isin(*EXCLUDED_SALE_TYPES))
     rc = src("exp_recp_caisse").where(date_window(F.col("date"), params.sales_since,
@@ -53,9 +54,10 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         "kg_estime", "qte_caisse", "idunite_operation")
     station = src("bon_recp_station").select(F.col("exp_recp_caisse").alias("id_recp"),
                                              F.col("idvariete").alias("variete"), "pu")
-    local = (fanout_left_join(v.join(rc, on="idvente", how="inner"), rcp, "id_recp", rc)
+    local = (fanout_left_join(rc, rcp, "id_recp")
              .join(plots, on="idparcelle", how="left")
              .join(station, on=["id_recp", "variete"], how="left")
+             .join(v, on="idvente", how="inner")
              .join(units, on="idunite_operation", how="left")
              .join(_yield_accounts(src, MARKET_LOCAL), on="idproduit_rendement", how="left")
              .select("idfermes", "idvente", "reference_vente", "date_vente", "total", "client",
@@ -67,7 +69,7 @@ def sales_production(src: Source, params: Params) -> DataFrame:
                      (F.col("qte_caisse") * F.col("kg_estime") * F.col("pu"))
                      .alias("chiffre_affaire")))
 
-    # export: quality report (driving table) -> sale, report x plot -> plot
+    # export: quality report (driving table) -> report x plot -> plot, sale
     rq = src("rdt_rapport_qualite").where(
         date_window(F.col("date_rapport"), params.sales_since, params.until)).select(
         F.col("idrdt_rapport_qualite").alias("id_rq"), F.col("idvente").alias("rq_idvente"),
@@ -76,10 +78,10 @@ def sales_production(src: Source, params: Params) -> DataFrame:
         F.col("idrdt_rapport_qualite").alias("id_rq"), "idparcelle", "pm", "qte_receptionne",
         "poid_recp", "idunite_operation")
     vh = _sales_header(src).drop("type")
-    export = (fanout_left_join(rq.join(vh, rq["rq_idvente"] == vh["idvente"], how="left"),
-                               rqp, "id_rq", rq)
-              .join(units, on="idunite_operation", how="left")
+    export = (fanout_left_join(rq, rqp, "id_rq")
               .join(plots.drop("variete"), on="idparcelle", how="left")
+              .join(vh, F.col("rq_idvente") == F.col("idvente"), how="left")
+              .join(units, on="idunite_operation", how="left")
               .join(_yield_accounts(src, MARKET_EXPORT), on="idproduit_rendement", how="left")
               .select("idfermes", "idvente", "reference_vente", "date_vente", "total", "client",
                       "description", "date_recolte", "prix", "pfq", "idparcelle",
