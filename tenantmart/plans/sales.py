@@ -187,25 +187,29 @@ def _cost_labour(src: Source, params: Params) -> DataFrame:
 
 def _cost_inputs(src: Source, params: Params) -> DataFrame:
     """Stock issues to plots, summed per (date, product, movement, plot,
-    product labels).  ``cout_unitaire`` is a sum, as in the original."""
+    product labels).  ``cout_unitaire`` is a sum, as in the original.  The rows
+    are summed before they get the labels, so that no text is held in a task's
+    memory; a product listed several times with the same labels counts as often."""
     ms = src("mouvement_stock").where(date_window(F.col("date"), params.stock_since, params.until))
     ms = ms.select(F.col("idmouvement_stock").alias("mouvement_stock"), "date", "cmup",
                    "iddepots", "produit")
     msp = src("mouvementstock_parcelleculturale").select("mouvement_stock", "parcelleculturale",
                                                          "qantite")
     depots = src("depots").select("iddepots")
-    prod = src("produit").select(F.col("id").alias("produit"), "categorie", "sous_categorie",
-                                 "designation")
+    labels = ("categorie", "sous_categorie", "designation")
+    prod = (src("produit").select(F.col("id").alias("produit"), *labels)
+            .groupBy("produit", *labels).agg(F.count(F.lit(1)).alias("_times")))
     pcs = _plots_planned(src)
     j = (msp.join(ms, on="mouvement_stock", how="inner")
          .join(depots, on="iddepots", how="left")
-         .join(prod, on="produit", how="left")
          .join(pcs, (F.col("parcelleculturale") == F.col("_pc_id"))
                & (F.col("date") >= F.col("_pc_planned")), how="left"))
-    g = j.groupBy("date", "produit", "mouvement_stock", "parcelleculturale", "categorie",
-                  "sous_categorie", "designation").agg(
+    sums = j.groupBy("date", "produit", "mouvement_stock", "parcelleculturale").agg(
         F.sum(F.col("qantite") * F.col("cmup")).alias("cout"),
         F.sum("qantite").alias("quantite"), F.sum("cmup").alias("cout_unitaire"))
+    times = F.coalesce("_times", F.lit(1))
+    g = sums.join(prod, on="produit", how="left").withColumns(
+        {c: (F.col(c) * times).cast(sums.schema[c].dataType) for c in ("cout", "quantite", "cout_unitaire")})
     return g.select(
         F.col("date").cast("timestamp_ntz").alias("date"), F.lit(LEVEL_INPUTS).alias("charge_niv1"),
         F.col("categorie").alias("charge_niv2"), F.col("sous_categorie").alias("charge_niv3"),

@@ -27,3 +27,31 @@ def test_sale_headers_are_attached_after_the_plots(spark, src):
     for j in lookups:
         kept = j.left().output().toString()
         assert "reference_vente#" not in kept and "date_vente#" not in kept
+
+
+def _inputs_source(spark):
+    day = dt.datetime(2024, 1, 9)
+    rows = {
+        "mouvement_stock": ([(1, day, 2.0, 1, 7), (2, day, 3.0, 1, 8), (3, day, None, 9, None)],
+                            "idmouvement_stock int, date timestamp, cmup double, iddepots int, produit int"),
+        "mouvementstock_parcelleculturale": ([(1, 4, 10.0), (1, 4, 1.0), (2, None, 5.0), (3, 4, 1.0)],
+                                             "mouvement_stock int, parcelleculturale int, qantite double"),
+        "depots": ([(1,)], "iddepots int"),
+        # product 7: twice with the same labels, once with others; no product 8
+        "produit": ([(7, "a", "b", None), (7, "a", "b", None), (7, "c", "d", "e"), (None, "x", "y", "z")],
+                    "id int, categorie string, sous_categorie string, designation string"),
+        "parcelleculturale": ([(4, day.date())], "id int, date_previsionnelle date"),
+    }
+    return lambda name: spark.createDataFrame(*rows[name])
+
+
+def test_inputs_are_summed_before_they_get_their_labels(spark):
+    frame = sales._cost_inputs(_inputs_source(spark), FIXTURE_PARAMS)
+    got = {(r["charge_niv1"], r["charge_niv2"], r["idparcelleculturale"], r["cout"], r["quantite"], r["cout_unitaire"]) for r in frame.collect()}
+    assert got == {(sales.LEVEL_INPUTS, "a", 4, 44.0, 22.0, 8.0), (sales.LEVEL_INPUTS, "c", 4, 22.0, 11.0, 4.0),
+                   (sales.LEVEL_INPUTS, None, None, 15.0, 5.0, 3.0), (sales.LEVEL_INPUTS, None, 4, None, 1.0, None)}
+    assert frame.count() == 4
+    sums = [a for a in _nodes(frame, "Aggregate") if "sum(" in a.aggregateExpressions().toString()]
+    assert sums
+    for a in sums:
+        assert "categorie" not in a.groupingExpressions().toString()
