@@ -52,6 +52,8 @@ ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4_096
 #: Touched partition values that are listed in a scan's filter; beyond, the scan is joined with them.
 MAX_LISTED = 4_096
+#: Source rows beyond which a load by key first finds the target's keys that stay.
+MANY_ROWS = 1_000_000
 
 
 class LoadError(RuntimeError):
@@ -156,7 +158,7 @@ class Warehouse:
     def write_version(self, df: DataFrame, table: str, partition_by=()) -> str:
         """Write ``df`` to a new version folder, which no table points at yet."""
         path = self._version_path(table)
-        w = df.write.mode("errorifexists").format("parquet")
+        w = df.write.mode("errorifexists").format("parquet").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(path)
@@ -499,14 +501,34 @@ def latest_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
     return best.unionByName(df.where(~nonnull)).select(*df.columns)
 
 
-def replace_keys_frame(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+def _same_key(left: DataFrame, right: DataFrame, keys):
+    """Equal keys; NULL key parts equal each other.  ``right`` has them as ``s__<key>``."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"s__{k}"]) for k in keys])
+
+
+def _keys_of(df: DataFrame, keys) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"s__{k}") for k in keys]).distinct()
+
+
+def kept_keys(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """The target's keys that the source does not hold, as ``s__<key>``."""
+    held = _keys_of(source, keys)
+    there = target.select(*keys).distinct()
+    return there.join(held, _same_key(there, held, keys), "left_anti").toDF(*held.columns)
+
+
+def replace_keys_frame(target: DataFrame, source: DataFrame, keys, kept: DataFrame | None = None) -> DataFrame:
     """Target rows whose key the source does not hold, plus all source rows
     (missing columns NULL).  NULL key parts equal each other here, so loading
-    a source twice is the same as loading it once."""
-    held = source.select(*[F.col(k).alias(f"s__{k}") for k in keys]).distinct()
-    cond = reduce(lambda a, b: a & b, [target[k].eqNullSafe(held[f"s__{k}"]) for k in keys])
-    return target.join(held, cond, "left_anti").unionByName(
-        align_by_name(source, target.schema, allow_missing=True))
+    a source twice is the same as loading it once.  ``kept`` may bring
+    ``kept_keys``, already evaluated: if few keys stay, the planner broadcasts
+    them, and the wide target rows are not shuffled."""
+    if kept is None:
+        held = _keys_of(source, keys)
+        stays = target.join(held, _same_key(target, held, keys), "left_anti")
+    else:
+        stays = target.join(kept, _same_key(target, kept, keys), "left_semi")
+    return stays.unionByName(align_by_name(source, target.schema, allow_missing=True))
 
 
 def _touched(target: DataFrame, source: DataFrame, units) -> DataFrame:
@@ -527,7 +549,8 @@ def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, ro
     """Stage the source, let ``prepare`` check or reduce it, and publish what
     ``merge`` makes of target and source: the touched partitions (partition
     columns among the keys) or the touched buckets of the layout only, or the
-    whole table, which then gets a layout if it has no partitions."""
+    whole table, which then gets a layout if it has no partitions.  ``merge`` also
+    gets the staged source's number of rows."""
     _options(on_empty, on_loss)
     if not keys:
         raise LoadError(f"no key declared for {table}")
@@ -543,15 +566,15 @@ def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, ro
     source = prepare(staged.read(wh.spark))
     parts, layout, columns = wh.partition_columns(table), wh.layout(table), target.columns
     if parts and set(parts) <= set(keys):
-        merged = merge(_touched(target, source, parts), source, keys).select(*columns)
+        merged = merge(_touched(target, source, parts), source, staged.rows).select(*columns)
         wh.swap_partitions(table, wh.write_version(merged.hint("rebalance", *parts), table, parts))
     elif layout and set(layout.keys) <= set(keys):
         there = _touched(wh.read_version(table), source.withColumn(BUCKET, layout.bucket()), [BUCKET])
-        merged = merge(there.select(*columns), source, keys).select(*columns)
+        merged = merge(there.select(*columns), source, staged.rows).select(*columns)
         wh.swap_partitions(table, wh.write_version(bucketed(merged, layout), table, [BUCKET]))
     else:
         fresh = None if parts else layout_for(keys, target.count() + staged.rows, rows_per_bucket)
-        wh.publish(merge(target, source, keys).select(*columns), table, layout=fresh)
+        wh.publish(merge(target, source, staged.rows).select(*columns), table, layout=fresh)
     return LoadResult(table, mode, "loaded", staged.rows, staged.losses)
 
 
@@ -570,15 +593,24 @@ def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str =
         if not duplicate_keys(source, keys).isEmpty():
             raise LoadError(f"source keys {list(keys)} are not unique for {table}")
         return source
-    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare, upsert_frame, rows_per_bucket)
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare,
+                       lambda target, source, rows: upsert_frame(target, source, keys), rows_per_bucket)
 
 
 def load_replace_keys(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str = "keep",
-                      on_loss: str = "raise", rows_per_bucket: int | None = None) -> LoadResult:
+                      on_loss: str = "raise", rows_per_bucket: int | None = None,
+                      many_rows: int = MANY_ROWS) -> LoadResult:
     """Incremental load of a table whose declared key is not unique at its
-    grain: all rows of the source's keys are replaced by the source's rows."""
-    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, replace_keys_frame,
-                       rows_per_bucket)
+    grain: all rows of the source's keys are replaced by the source's rows.  A
+    source of more than ``many_rows`` rows usually brings most keys anew: the
+    target's keys that stay are then found and written first."""
+    def merge(target, source, rows):
+        if rows <= many_rows:
+            return replace_keys_frame(target, source, keys)
+        found = kept_keys(target, source, keys)
+        kept = wh.spark.read.schema(found.schema).parquet(wh.write_version(found, table))
+        return replace_keys_frame(target, source, keys, kept)
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, merge, rows_per_bucket)
 
 
 def load(df: DataFrame, wh: Warehouse, table: str, mode: str = "full", keys=(),

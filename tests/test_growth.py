@@ -55,3 +55,28 @@ def test_inputs_are_summed_before_they_get_their_labels(spark):
     assert sums
     for a in sums:
         assert "categorie" not in a.groupingExpressions().toString()
+
+
+def test_keys_that_stay_give_the_same_load(spark, tmp_path):
+    old = [(1, "a", "x"), (1, "a", "y"), (None, "a", "z"), (None, None, "n"), (2, None, "k"), (2, None, "k"), (3, "c", "s")]
+    new = [(1, "a", "new"), (None, "a", "new"), (None, None, "new"), (9, "q", "new"), (9, "q", "new")]
+    kinds, keys = "k int, l string, v string", ["k", "l"]
+    found = []
+    for i, limit in enumerate((0, 100)):
+        wh = L.Warehouse(spark, f"tm_kept_{i}", str(tmp_path))
+        wh.publish(spark.createDataFrame(old, kinds), "t")
+        L.load_replace_keys(spark.createDataFrame(new, kinds), wh, "t", keys, many_rows=limit)
+        found.append(sorted(map(str, wh.read("t").collect())))
+        spark.sql(f"DROP DATABASE tm_kept_{i} CASCADE")
+    assert found[0] == found[1] == sorted(map(str, spark.createDataFrame(
+        [(2, None, "k"), (2, None, "k"), (3, "c", "s"), *new], kinds).collect()))
+
+
+def test_few_keys_that_stay_are_broadcast_to_the_target(spark, tmp_path):
+    target, source = (spark.range(a, b).select(F.col("id").alias("k"), F.lit("w").alias("v")) for a, b in ((0, 1000), (1, 1000)))
+    at = str(tmp_path / "kept")
+    kept = L.kept_keys(target, source, ["k"])
+    kept.write.parquet(at)
+    merged = L.replace_keys_frame(target, source, ["k"], spark.read.schema(kept.schema).parquet(at))
+    assert "Exchange hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 1000 and merged.where("k = 0").count() == 1
