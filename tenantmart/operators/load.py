@@ -545,12 +545,13 @@ def _touched(target: DataFrame, source: DataFrame, units) -> DataFrame:
         reduce(lambda a, b: a & b, [F.col(u).eqNullSafe(F.lit(r[u])) for u in units]) for r in listed], F.lit(False)))
 
 
-def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, rows_per_bucket=None) -> LoadResult:
+def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, rows_per_bucket=None,
+                merge_many=None, many_rows=MANY_ROWS) -> LoadResult:
     """Stage the source, let ``prepare`` check or reduce it, and publish what
     ``merge`` makes of target and source: the touched partitions (partition
     columns among the keys) or the touched buckets of the layout only, or the
-    whole table, which then gets a layout if it has no partitions.  ``merge`` also
-    gets the staged source's number of rows."""
+    whole table, which then gets a layout if it has no partitions.  ``merge_many``
+    takes the place of ``merge`` for a source of more than ``many_rows`` rows."""
     _options(on_empty, on_loss)
     if not keys:
         raise LoadError(f"no key declared for {table}")
@@ -564,17 +565,19 @@ def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, ro
     if stop:
         return stop
     source = prepare(staged.read(wh.spark))
+    if merge_many is not None and staged.rows > many_rows:
+        merge = merge_many
     parts, layout, columns = wh.partition_columns(table), wh.layout(table), target.columns
     if parts and set(parts) <= set(keys):
-        merged = merge(_touched(target, source, parts), source, staged.rows).select(*columns)
+        merged = merge(_touched(target, source, parts), source, keys).select(*columns)
         wh.swap_partitions(table, wh.write_version(merged.hint("rebalance", *parts), table, parts))
     elif layout and set(layout.keys) <= set(keys):
         there = _touched(wh.read_version(table), source.withColumn(BUCKET, layout.bucket()), [BUCKET])
-        merged = merge(there.select(*columns), source, staged.rows).select(*columns)
+        merged = merge(there.select(*columns), source, keys).select(*columns)
         wh.swap_partitions(table, wh.write_version(bucketed(merged, layout), table, [BUCKET]))
     else:
         fresh = None if parts else layout_for(keys, target.count() + staged.rows, rows_per_bucket)
-        wh.publish(merge(target, source, staged.rows).select(*columns), table, layout=fresh)
+        wh.publish(merge(target, source, keys).select(*columns), table, layout=fresh)
     return LoadResult(table, mode, "loaded", staged.rows, staged.losses)
 
 
@@ -593,8 +596,7 @@ def load_upsert(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str =
         if not duplicate_keys(source, keys).isEmpty():
             raise LoadError(f"source keys {list(keys)} are not unique for {table}")
         return source
-    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare,
-                       lambda target, source, rows: upsert_frame(target, source, keys), rows_per_bucket)
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "upsert", prepare, upsert_frame, rows_per_bucket)
 
 
 def load_replace_keys(df: DataFrame, wh: Warehouse, table: str, keys, on_empty: str = "keep",
@@ -604,13 +606,12 @@ def load_replace_keys(df: DataFrame, wh: Warehouse, table: str, keys, on_empty:
     grain: all rows of the source's keys are replaced by the source's rows.  A
     source of more than ``many_rows`` rows usually brings most keys anew: the
     target's keys that stay are then found and written first."""
-    def merge(target, source, rows):
-        if rows <= many_rows:
-            return replace_keys_frame(target, source, keys)
+    def merge_many(target, source, keys):
         found = kept_keys(target, source, keys)
         kept = wh.spark.read.schema(found.schema).parquet(wh.write_version(found, table))
         return replace_keys_frame(target, source, keys, kept)
-    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, merge, rows_per_bucket)
+    return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, replace_keys_frame, rows_per_bucket,
+                       merge_many, many_rows)
 
 
 def load(df: DataFrame, wh: Warehouse, table: str, mode: str = "full", keys=(),
