@@ -18,15 +18,20 @@ Tenants whose table is one folder of parquet files (what a whole load
 publishes) are not branches of the plan: all folders of one schema are one
 scan, and a row's tenant follows from the path of its file.  So the plan grows
 with the number of different schemas, not of tenants, and the publish takes
-one statement for every 500 partitions and a few besides.
+one statement for every 500 partitions and a few besides.  One folder whose rows
+all carry one id is one partition: its files are read and written as they are
+split, without a shuffle.  The tables of a schema are tagged and merged some at
+a time, so that the small jobs of one leave no executor idle.
 """
 
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +45,8 @@ REGISTRY_SCHEMA = ("id_client int, client_name string, database_name string, "
 SYSTEM_SCHEMAS = ("INFORMATION_SCHEMA", "ACCOUNT_USAGE")
 TENANT_COLUMN = "id_client"
 SOURCE_COLUMN = "source_tenant"
+#: Tables that are tagged or merged at a time.
+WORKERS = 4
 
 
 def catalog_schemas(spark, pattern: str | None = None, exclude=SYSTEM_SCHEMAS) -> DataFrame:
@@ -195,16 +202,17 @@ def _scan(spark, folders: dict[int, Folder], schema: StructType) -> list[DataFra
     """All tenants' files of one schema by one scan; a table that was declared
     and never filled may have no folder yet, and then each is looked at alone."""
     places = {t: f for t, f in folders.items() if PLAIN_PATH.fullmatch(f.path)}
-    if len({f.key for f in places.values()}) < len(places):
-        places = {}          # two tenants share a folder: the path does not tell whose rows
+    if len({f.key for f in places.values()}) < len(places) or len(places) == 1:
+        places = {}          # two tenants share a folder: the path does not tell whose rows; or there is no choice
     try:
         frames = []
         if places:
             named = spark.createDataFrame([(f.key, t) for t, f in places.items()], "_folder string, _tenant int")
-            path = F.regexp_replace(F.col("_metadata.file_path"), r"/[^/]*$", "")
+            # no regular expressions: this is done for every row
+            path = F.replace(F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")), F.lit("://"), F.lit(":/"))
             rows = spark.read.schema(schema).parquet(*[f.path for f in places.values()])
             # left: a path that were spelt otherwise raises below instead of losing its rows
-            rows = rows.withColumn("_folder", F.regexp_replace(path, r"^(\w+):/+", "$1:/")).join(named, "_folder", "left")
+            rows = rows.withColumn("_folder", F.left(path, F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1)).join(named, "_folder", "left")
             owner = F.coalesce("_tenant", F.raise_error(F.concat(F.lit("no tenant for "), "_folder")).cast("int"))
             frames.append(_tagged(rows, owner).drop("_folder", "_tenant"))
         return frames + [_tagged(spark.read.schema(schema).parquet(f.path), F.lit(t)) for t, f in folders.items() if t not in places]
@@ -216,6 +224,20 @@ def _scan(spark, folders: dict[int, Folder], schema: StructType) -> list[DataFra
         return [d for t, f in folders.items() for d in _scan(spark, {t: f}, schema)]
 
 
+def _one_partition(spark, folder: Folder) -> bool:
+    """Whether all rows of a tenant's table carry one id, or none of their own.
+    Only that column is read."""
+    own = [c for c in folder.schema.names if c.lower() == TENANT_COLUMN]
+    if not own:
+        return True
+    try:
+        return len(spark.read.schema(folder.schema).parquet(folder.path).select(*own).distinct().take(2)) < 2
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return True
+
+
 def _merge(central: Warehouse, table: str, sources: dict[int, tuple[DataFrame | None, Folder | None]], refresh: bool) -> MergeReport:
     done = set(merged_tenants(central, table))
     merged = [t for t in sources if refresh or t not in done]
@@ -231,6 +253,7 @@ def _merge(central: Warehouse, table: str, sources: dict[int, tuple[DataFrame |
             tagged.append(_tagged(df, F.lit(t)))
         else:
             groups.setdefault(folder.schema.simpleString(), {})[t] = folder
+    folders: dict[int, Folder] = {}
     for folders in groups.values():
         tagged += _scan(central.spark, folders, next(iter(folders.values())).schema)
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
@@ -242,7 +265,9 @@ def _merge(central: Warehouse, table: str, sources: dict[int, tuple[DataFrame |
         if f.name.lower() not in known:
             central.add_column_if_missing(table, f.name, f.dataType.simpleString())
     target = central.read(table)
-    staged = stage(union.hint("rebalance", *parts), central, table, target.schema, parts, missing="null")
+    if len(merged) > 1 or not folders or not _one_partition(central.spark, folders[merged[0]]):
+        union = union.hint("rebalance", *parts)
+    staged = stage(union, central, table, target.schema, parts, missing="null")
     if staged.losses:
         raise LoadError(f"{central.name(table)}: values do not fit the central columns: {staged.losses}")
     replaced = set(merged)
@@ -265,19 +290,30 @@ def tag_tables(wh: Warehouse, id_client: int, tables, only_if_missing: bool = Fa
     rewrite per table).  ``only_if_missing`` keeps tables that already carry
     the column (the constant-default variant).  Missing tables are reported,
     not fatal.  Returns ``{table: 'tagged' | 'kept' | 'missing'}``."""
-    out = {}
-    for t in tables:
+    def tag(t):
         if not wh.exists(t):
-            out[t] = "missing"
-            continue
+            return "missing"
         df = wh.read(t)
         has = TENANT_COLUMN in [c.lower() for c in df.columns]
         if has and only_if_missing:
-            out[t] = "kept"
-            continue
+            return "kept"
         wh.publish(tag_tenant(df, id_client), t)
-        out[t] = "tagged"
-    return out
+        return "tagged"
+    names = list(dict.fromkeys(tables))
+    return dict(zip(names, _each_table(wh.spark, tag, names)))
+
+
+def _each_table(spark, work, names) -> list:
+    """``work(name)`` of each table, some at a time, in order.  After an error
+    no further table is begun.  The jobs keep the caller's job group and
+    scheduler pool."""
+    with ThreadPoolExecutor(WORKERS, thread_name_prefix="tenantmart") as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(work), n) for n in names]
+        try:
+            return [f.result() for f in found]
+        finally:
+            for f in found:
+                f.cancel()
 
 
 def tag_tables_from_registry(wh: Warehouse, registry: DataFrame, database_name: str, tables,
@@ -292,9 +328,8 @@ def merge_schemas(central: Warehouse, tenants: dict, tables, refresh: bool = Fal
     it are merged (``merge_tenants``); a tenant lacking the table is a
     reported skip, never an abort.  ``tenants``: id -> tenant ``Warehouse``.
     Returns ``(table, tenant, status)`` rows."""
-    report = []
-    for t in tables:
-        sources = {}
+    def merge(t):
+        report, sources = [], {}
         done = set() if refresh else set(merged_tenants(central, t))
         for tid, wh in tenants.items():
             if not wh.exists(t):
@@ -306,4 +341,8 @@ def merge_schemas(central: Warehouse, tenants: dict, tables, refresh: bool = Fal
         res = _merge(central, t, sources, refresh)
         report += [(t, tid, "refreshed" if refresh else "merged") for tid in res.merged]
         report += [(t, tid, "skipped") for tid in res.skipped]
-    return report
+        return report
+    names = list(tables)
+    if len(set(names)) < len(names):
+        return [row for t in names for row in merge(t)]      # a table named again is skipped the second time
+    return [row for rows in _each_table(central.spark, merge, names) for row in rows]

@@ -552,9 +552,9 @@ def q_tenant_merge_tables(spark, sf_dir):
     one, two, central = (_fresh_warehouse(spark, n) for n in ("one", "two", "central"))
     names = merge_tables()
     run_models(spark, src, one, FIXTURE_PARAMS, models=names, create_or_replace=True, clean=False, workers=4)
-    for t in names:
-        if t != CALENDAR.table:
-            two.publish(one.read(t).where(F.pmod(F.col(MODELS[t].keys[0]), F.lit(2)) == 0), t)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(lambda t: two.publish(one.read(t).where(F.pmod(F.col(MODELS[t].keys[0]), F.lit(2)) == 0), t),
+                      [t for t in names if t != CALENDAR.table]))
     TN.tag_tables_from_registry(one, synced_registry(src), CENTRAL_DB, names)
     TN.merge_schemas(central, {1: one}, names)
     report = TN.merge_schemas(central, {1: one, 2: two}, names)
