@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import TABLES, Table
 
@@ -94,29 +95,32 @@ def audit_primary_keys(tables: dict[str, DataFrame], constraints) -> DataFrame:
                      if t in tables)
 
 
+def _key_counts(df: DataFrame, column: str) -> DataFrame:
+    """(k, n): the non-NULL keys of a column as text, with their rows.  Types
+    whose values each have a text of their own are grouped as they are, and the
+    text is made once for each key."""
+    own_text = (T.IntegralType, T.StringType, T.BooleanType, T.DateType)
+    key = F.col(column) if isinstance(df.schema[column].dataType, own_text) else F.col(column).cast("string")
+    counts = df.select(key.alias("k")).where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.col("k").cast("string").alias("k"), "n")
+
+
 def audit_foreign_keys(tables: dict[str, DataFrame], fks) -> DataFrame:
     """Per foreign key: non-NULL child rows and those without a parent row.
 
-    One scan of each child table, whatever its number of foreign keys, and one
-    of each referenced column.  Child keys are counted first (one row per key),
-    parents de-duplicated, then a left join marks the keys that found a parent.
-    Keys are compared as text, so integer widths may differ.
+    Each child and each referenced column is read once, by itself, and counted
+    by its own type (one row per key).  Only these keys are then put together,
+    as text (so integer widths may differ), and a left join marks those that found
+    a parent.
     """
     fks = [f for f in fks if f[0] in tables and f[2] in tables]
     if not fks:
         raise ValueError("no foreign key between the given tables")
     parent_no = {p: i for i, p in enumerate(dict.fromkeys((p, pc) for _, _, p, pc in fks))}
-    children: dict[str, list] = {}
-    for i, (c, cc, p, pc) in enumerate(fks):
-        children.setdefault(c, []).append(F.struct(
-            F.lit(i).alias("fk"), F.lit(parent_no[p, pc]).alias("parent"),
-            F.col(cc).cast("string").alias("k")))
-    keys = union_all(tables[c].select(F.explode(F.array(*cols)).alias("e")).select("e.*")
-                     for c, cols in children.items())
-    keys = keys.where("k IS NOT NULL").groupBy("fk", "parent", "k").agg(F.count(F.lit(1)).alias("n"))
-    parents = union_all(tables[p].select(F.lit(i).alias("parent"), F.col(pc).cast("string").alias("k"))
+    keys = union_all(_key_counts(tables[c], cc).select(F.lit(i).alias("fk"), F.lit(parent_no[p, pc]).alias("parent"), "k", "n")
+                     for i, (c, cc, p, pc) in enumerate(fks))
+    parents = union_all(_key_counts(tables[p], pc).select(F.lit(i).alias("parent"), "k", F.lit(True).alias("found"))
                         for (p, pc), i in parent_no.items())
-    parents = parents.where("k IS NOT NULL").distinct().withColumn("found", F.lit(True))
     orphan = F.col("found").isNull()
     marked = keys.join(parents, on=["parent", "k"], how="left").groupBy("fk").agg(
         F.sum("n").alias("checked"), F.sum(F.when(orphan, F.col("n"))).alias("orphans"),
