@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,9 +46,26 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType
 
 
 # C1 ---------------------------------------------------------------------------------------
-def dedupe_rows(df: DataFrame) -> DataFrame:
-    """Exact duplicate rows removed; NULL equals NULL and NaN equals NaN."""
-    return df.dropDuplicates()
+def dedupe_rows(df: DataFrame, unit: str | None = None, copies: str | None = None) -> DataFrame:
+    """Exact duplicate rows removed; NULL equals NULL and NaN equals NaN.
+    ``unit`` names a column beside the row's own, which is dropped: rows of
+    different units must not be equal (``shared_units`` tells which might be).  Rows
+    that lie by unit are then not shuffled.  ``copies`` names a new column with
+    the number of rows that were equal."""
+    rows = df.dropDuplicates() if copies is None else df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
+    return rows if unit is None else rows.drop(unit)
+
+
+def shared_units(parts: DataFrame, unit: str) -> DataFrame:
+    """Units of which some row of ``parts`` (in all other columns) occurs in another
+    unit as well.  Compared by a hash of 64 bits, so a few units more may be among
+    them; no such unit is missed but the NULL one.  Narrow rows are sorted by
+    hash, however many there are of one."""
+    others = [c for c in parts.columns if c != unit]
+    marked = parts.where(F.col(unit).isNotNull()).select(unit, F.xxhash64(*others).alias("_part"))
+    same = Window.partitionBy("_part")
+    ends = marked.select(unit, F.min(unit).over(same).alias("_least"), F.max(unit).over(same).alias("_most"))
+    return ends.where("_least <> _most").select(unit).distinct()
 
 
 # C2 ---------------------------------------------------------------------------------------

@@ -65,13 +65,15 @@ def segments(ranges: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def interval_lookup(facts: DataFrame, ts_col: str, ranges: DataFrame, id_col: str, start_col: str,
-                    end_col: str, out_col: str, times: DataFrame | None = None) -> DataFrame:
+                    end_col: str, out_col: str, times: DataFrame | None = None, few: int = 0) -> DataFrame:
     """Add ``out_col`` = smallest ``id_col`` of the ranges with
     ``start <= ts <= end``, NULL if none; facts keep their rows.
 
     ``times`` may name a cheaper frame whose ``ts_col`` holds all timestamps of
     the facts.  Ranges without id or bound, or that end before they begin, hold
-    nothing; a NULL timestamp is in none.
+    nothing; a NULL timestamp is in none.  With ``few`` the answers are evaluated
+    at once, and if there are no more than that, they are broadcast: the facts
+    are not shuffled.
     """
     known = (ranges.select(F.col(id_col).alias("id"), F.col(start_col).cast("timestamp_ntz").alias("s"),
                            F.col(end_col).cast("timestamp_ntz").alias("e"))
@@ -85,7 +87,14 @@ def interval_lookup(facts: DataFrame, ts_col: str, ranges: DataFrame, id_col: st
             .unionByName(at.select("t", F.lit(None).cast(answers.select(F.struct("id").alias("hit")).schema["hit"].dataType).alias("hit"), "_ts")))
     # at equal times the segment comes first
     before = W.partitionBy(cell).orderBy("t", F.col("_ts").isNotNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    line = line.select("_ts", F.last("hit", ignorenulls=True).over(before)["id"].alias(out_col)).where("_ts is not null")
+    line = line.select("_ts", "t", F.last("hit", ignorenulls=True).over(before)["id"].alias(out_col)).where("_ts is not null")
+    if few:
+        answer = line.select(F.col("t").alias("_t"), out_col)
+        found = answer.limit(few + 1).collect()
+        if len(found) <= few:
+            small = F.broadcast(facts.sparkSession.createDataFrame(found, answer.schema))
+            return facts.withColumn("_t", _micros(F.col(ts_col).cast("timestamp_ntz"))).join(small, "_t", "left").drop("_t")
+    line = line.drop("t")
     joined = facts.withColumn("_ts", F.col(ts_col).cast("timestamp_ntz")).join(line, "_ts", "left")
     return joined.drop("_ts")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from .base import FIXTURE_PARAMS, Model, Params, Source
 from .dims import (analytic_accounts, budget_accounts, budget_versions, dim_cost_centre,
                    dim_operation, dim_plot, dim_season, dim_staff, pl_accounts)
-from .labour import fact_labour, farm_labour
+from .labour import fact_labour, fact_labour_pieces, farm_labour
 from .calendar import tenant_calendar
 from .sales import budget_weekly, direct_costs, production_profile, sales_production
 
@@ -39,7 +39,8 @@ _MODELS: list[Model] = [
     Model("dim_cost_centre", dim_cost_centre, keys=("idcentre_intermediaire",),
           grain="cost centre"),
     Model("fact_labour", fact_labour, keys=("date_pointage", "id_personnel", "id_operation"),
-          date_cols=("date_pointage",), grain="timesheet x person x (plot | cost centre)", unique=False),
+          date_cols=("date_pointage",), grain="timesheet x person x (plot | cost centre)", unique=False,
+          pieces=fact_labour_pieces),
 ]
 
 MODELS: dict[str, Model] = {m.name: m for m in _MODELS}

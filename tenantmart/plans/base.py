@@ -69,10 +69,15 @@ class Model:
     merge: bool = False          # appended into the central tenant merge
     grain: str = ""
     unique: bool = True          # one row per key; else incremental loads replace all rows of a key
+    # the same rows as (rows, unit) pieces: no row of one is in another, and with a unit column none is in two units
+    pieces: Callable[[Source, Params], list[tuple[DataFrame, str | None]]] | None = None
 
     def __call__(self, src: Source, params: Params | None = None) -> DataFrame:
         return self.build(src, params or Params())
 
+    def in_pieces(self, src: Source, params: Params) -> list[tuple[DataFrame, str | None]]:
+        return self.pieces(src, params) if self.pieces else [(self.build(src, params), None)]
+
     @property
     def table(self) -> str:
         return self.name

@@ -10,10 +10,13 @@ original model.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio, typed_null
+from ..operators.cleanse import shared_units
 from ..operators.lookup import interval_lookup, unique_lookup
 from ..operators.skew import fanout_left_join, hot_keys, lines_with_placeholders, own_exchange_join
 from .base import Params, Source
@@ -24,6 +27,9 @@ HOUR_BUCKETS = (("hj_direct", "hj"), ("hj_hs25", "hs_25"), ("hj_hs50", "hs_50"),
 
 DEFAULT_HOURS_THRESHOLD = 8
 
+#: Different dates of timesheets up to which their seasons are broadcast.
+FEW_DATES = 20_000
+
 
 def timesheets(src: Source) -> DataFrame:
     """Timesheet level: farm name, operation id (own id, else by label) and
@@ -38,7 +44,7 @@ def timesheets(src: Source) -> DataFrame:
          .withColumn("id_operation", F.coalesce("operef_id", "_op_by_label"))
          .drop("_op_by_label", "operef_id", "idfermes"))
     seasons = src("fermes_compagne").select("id", "date_debut", "date_fin")
-    return interval_lookup(t, "date", seasons, "id", "date_debut", "date_fin", "campagne", times=p)
+    return interval_lookup(t, "date", seasons, "id", "date_debut", "date_fin", "campagne", times=p, few=FEW_DATES)
 
 
 def _persons(src: Source) -> DataFrame:
@@ -52,50 +58,94 @@ def _hours(link_cost: str, person_col: str):
     return safe_ratio(F.col(link_cost) * F.col(person_col), F.col("cout_totale"), F.col("seuil"))
 
 
-def fact_labour(src: Source, params: Params) -> DataFrame:
-    """Direct (plot) and indirect (cost-centre) rows in one pass.
-
-    Plot links and centre links are stacked into one link table; its
-    per-timesheet statistics (planted area of the linked plots, number of
-    linked centres) are one partial aggregation and are attached to the
-    timesheets, where both sides have one row per key.  Then come the two
-    fan-outs, persons and links, on one partitioning by timesheet.  If any
-    timesheet is hot (``skew.hot_keys``, by persons or by links), each has
-    exchanges of its own instead, so AQE can split a timesheet that holds a third
-    of the persons or of the links; only data with such a key pay for that.
-    """
+def _links(src: Source) -> tuple[DataFrame, DataFrame]:
+    """Plot links and cost-centre links.  The cost-centre dimension is joined for
+    its row multiplicity only (no column is read), before any fan-out; of a
+    link's copies one is ``counted``."""
     plots = src("parcelleculturale").select(F.col("id").alias("id_parcelle"), "sup")
     plot_links = (src("pointage_parcelleculturale")
                   .select("idpointage", F.col("parccul_id").alias("id_parcelle"),
                           F.col("cout").alias("link_cout"))
                   .join(plots, on="id_parcelle", how="left")
                   .select("idpointage", F.lit(True).alias("is_plot"), "id_parcelle",
-                          typed_null("bigint").alias("id_centre_cout"), "link_cout", "sup"))
-    centre_links = src("cc_pointage").select(
+                          typed_null("bigint").alias("id_centre_cout"), "link_cout", "sup", F.lit(True).alias("counted")))
+    copies = Window.partitionBy("id_centre_cout").orderBy("id_centre_cout")
+    centres = (src("centre_intermediaire").select(F.col("idcentre_intermediaire").alias("id_centre_cout"))
+               .where("id_centre_cout IS NOT NULL").withColumn("_copy", F.row_number().over(copies)))
+    centre_links = (src("cc_pointage").select(
         "idpointage", F.lit(False).alias("is_plot"), typed_null("bigint").alias("id_parcelle"),
         F.col("idcentre_intermediaire").alias("id_centre_cout"), F.col("cout").alias("link_cout"),
         typed_null("double").alias("sup"))
-    stats = plot_links.unionByName(centre_links).groupBy("idpointage").agg(
-        F.sum("sup").alias("area"),
-        F.count_if(~F.col("is_plot")).alias("n_centres"))
-    # the cost-centre dimension is joined for its row multiplicity only (no
-    # column is read), on the link table, before any fan-out
-    centres = src("centre_intermediaire").select(
-        F.col("idcentre_intermediaire").alias("id_centre_cout"))
-    links = plot_links.unionByName(centre_links.join(centres, on="id_centre_cout", how="left"))
-
-    # a timesheet without links gives no row, so statistics may join inner;
-    # NULL timesheet keys never meet a link; a timesheet without persons keeps
-    # one NULL person
+        .join(centres, on="id_centre_cout", how="left")
+        .withColumn("counted", F.coalesce(F.col("_copy") == 1, F.lit(True))).drop("_copy"))
+    return plot_links, centre_links
+
+
+def _statistics(counted) -> list:
+    """Planted area of a timesheet's linked plots, and number of its linked centres."""
+    return [F.sum("sup"), F.count_if(~F.col("is_plot") & counted)]
+
+
+def _is_hot(src: Source) -> bool:
+    return bool(hot_keys([src(t) for t in ("personnel_pointage", "pointage_parcelleculturale", "cc_pointage")], "idpointage"))
+
+
+def _hot_rows(src: Source) -> DataFrame:
+    """Timesheet x person x link, each fan-out with exchanges of its own.  The
+    statistics are one partial aggregation, attached to the timesheets, where both
+    sides have one row per key."""
+    links = reduce(DataFrame.unionByName, _links(src))
+    area, n_centres = _statistics(F.col("counted"))
+    stats = links.groupBy("idpointage").agg(area.alias("area"), n_centres.alias("n_centres"))
+    # a timesheet without links gives no row, so statistics may join inner
     sheets = timesheets(src).join(stats, on="idpointage", how="inner")
-    persons = _persons(src)
-    if hot_keys([src(t) for t in ("personnel_pointage", "pointage_parcelleculturale", "cc_pointage")], "idpointage"):
-        lines = lines_with_placeholders(src("pointage"), persons, "idpointage")
-        rows = own_exchange_join(own_exchange_join(sheets, lines, "idpointage", 1), links, "idpointage", 2)
-    else:
-        keyed = persons.where(F.col("idpointage").isNotNull())
-        rows = sheets.join(keyed, on="idpointage", how="left").join(links, on="idpointage", how="inner")
+    lines = lines_with_placeholders(src("pointage"), _persons(src), "idpointage")
+    return own_exchange_join(own_exchange_join(sheets, lines, "idpointage", 1), links, "idpointage", 2)
+
+
+def _plain_rows(src: Source, sheets: DataFrame) -> DataFrame:
+    """Timesheet x person x link on one partitioning by timesheet, which the links'
+    statistics use as well.  NULL timesheet keys never meet a link; a timesheet
+    without persons keeps one NULL person."""
+    keyed = F.col("idpointage").isNotNull()
+    links = reduce(DataFrame.unionByName, [df.where(keyed) for df in _links(src)])
+    sheet = Window.partitionBy("idpointage")
+    area, n_centres = (c.over(sheet) for c in _statistics(F.col("counted")))
+    links = links.withColumns({"area": area, "n_centres": n_centres}).drop("counted")
+    return sheets.join(_persons(src).where(keyed), on="idpointage", how="left").join(links, on="idpointage", how="inner")
+
+
+def fact_labour(src: Source, params: Params) -> DataFrame:
+    """Direct (plot) and indirect (cost-centre) rows in one pass.
+
+    Plot links and centre links are stacked into one link table, which has its
+    per-timesheet statistics (planted area of the linked plots, number of
+    linked centres).  The two fan-outs, persons and links, are on one partitioning
+    by timesheet.  If any timesheet is hot (``skew.hot_keys``, by persons or by
+    links), each has exchanges of its own instead, so AQE can split a timesheet
+    that holds a third of the persons or of the links; only data with such a key
+    pay for that.
+    """
+    return _fact_columns(_hot_rows(src) if _is_hot(src) else _plain_rows(src, timesheets(src)))
+
+
+def fact_labour_pieces(src: Source, params: Params) -> list:
+    """``fact_labour`` for the removal of duplicates.  Equal rows of two timesheets
+    have the same date, operation label, farm and person.  Few timesheets share
+    these with another; all others have their duplicates within themselves, where
+    the fan-outs leave them, and need no shuffle of whole rows."""
+    if _is_hot(src):
+        return [(_fact_columns(_hot_rows(src)), None)]
+    p = src("pointage").select("idpointage", "date", "oper_liste", "idfermes")
+    farms = src("fermes").select("idfermes", F.col("nom").alias("ferme"))
+    persons = src("personnel_pointage").select("idpointage", "pers_id").where(F.col("idpointage").isNotNull())
+    shared = shared_units(p.join(farms, on="idfermes", how="left").drop("idfermes").join(persons, on="idpointage", how="left"), "idpointage")
+    sheets = timesheets(src)
+    alone, among = (_plain_rows(src, sheets.join(shared, on="idpointage", how=how)) for how in ("left_anti", "left_semi"))
+    return [(_fact_columns(alone, "idpointage"), "idpointage"), (_fact_columns(among), None)]
+
 
+def _fact_columns(rows: DataFrame, *more: str) -> DataFrame:
     plot = F.col("is_plot")
 
     def on_plot(expr):
@@ -118,7 +168,7 @@ def fact_labour(src: Source, params: Params) -> DataFrame:
         (F.coalesce(direct, F.lit(0.0)) + F.coalesce(indirect, F.lit(0.0)))
         .alias("cost_analytique"),
         F.lit(0.0).cast("double").alias("cost_paie"), "ferme", "oper_liste",
-        F.col("id_personnel").alias("ouvrier"))
+        F.col("id_personnel").alias("ouvrier"), *more)
 
 
 def farm_labour(src: Source, params: Params) -> DataFrame:

@@ -17,11 +17,12 @@ import datetime as dt
 import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.cleanse import CleanseSpec, cleanse
+from .operators.cleanse import CleanseSpec, cleanse, dedupe_rows
 from .operators.load import LoadError, Warehouse, load
 from .plans import CALENDAR, MODELS, Model, Params, Source
 
@@ -72,6 +73,18 @@ class _Group:
         return False
 
 
+def _distinct(m: Model, src, params, built: Observation) -> DataFrame:
+    """The model's different rows; ``built`` observes how many rows they were
+    made of.  It looks at all pieces together: Spark may find out that one has no
+    rows, and leave it out."""
+    pieces = m.in_pieces(src, params)
+    if len(pieces) == 1:
+        rows, unit = pieces[0]
+        return dedupe_rows(rows.observe(built, F.count(F.lit(1)).alias("rows")), unit)
+    found = reduce(DataFrame.unionByName, [dedupe_rows(rows, unit, "_copies") for rows, unit in pieces])
+    return found.observe(built, F.sum("_copies").alias("rows")).drop("_copies")
+
+
 def _run_model(spark, src, wh, params, m: Model, tenant, mode, create_or_replace, on_empty, clean, on_loss,
                dedupe_order, limit_seconds) -> tuple:
     """Report row of one model; never raises."""
@@ -81,10 +94,7 @@ def _run_model(spark, src, wh, params, m: Model, tenant, mode, create_or_replace
             if not (mode == "full" and create_or_replace) and not wh.exists(m.table):
                 raise LoadError(f"table {wh.name(m.table)} does not exist; create it first")
             built = Observation()
-            df = m(src, params)
-            if clean:
-                df = cleanse(df.observe(built, F.count(F.lit(1)).alias("rows")),
-                             CleanseSpec(dedupe=True, date_columns=m.date_cols))
+            df = cleanse(_distinct(m, src, params, built), CleanseSpec(dedupe=False, date_columns=m.date_cols)) if clean else m(src, params)
             res = load(df, wh, m.table, mode=mode, keys=m.keys, create_or_replace=create_or_replace,
                        on_empty=on_empty, unique=m.unique, on_loss=on_loss,
                        dedupe_order=(dedupe_order or {}).get(m.name))
