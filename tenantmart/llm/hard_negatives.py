@@ -10,7 +10,8 @@ positive's.  Scores are inner products of integer vectors.
   a score lies between the sums of ``len m m' - d d'`` and ``len m m' + d d'``.
 * *Blocks*: rows are packed into blocks of about ``ROWS`` vectors with their
   summaries, anchors into blocks of about ``ANCHORS``.  Row blocks are dealt to groups,
-  every anchor block goes to each group, and an equi-join on the group pairs the blocks.
+  every anchor block goes to each group, and a sort-merge join on the group pairs the
+  blocks: neither side is held by the driver or whole by a task.
 * *Filter*: within a pair of blocks, the bounds of one level after the other decide
   which rows can still be among an anchor's best: those whose upper bound reaches the
   worst lower bound that is known to be enough (of the pairs before, too) and whose band
@@ -233,12 +234,14 @@ def packed(rows: DataFrame, size: int, dims: int, dtype: str, most: int, bands:
 
 
 def paired(anchors: DataFrame, rows: DataFrame) -> DataFrame:
-    """Every anchor block with every row block, group by group."""
+    """Every anchor block with every row block, group by group.  The anchors' file is
+    small, but each group gets a copy of it: the planner, which only sees the file,
+    must not broadcast the copies."""
     blocks = rows.count()
     groups = max(1, min(blocks, max(GROUP, blocks // GROUP)))
     left = anchors.select(*[F.col(c).alias(f"a_{c}") for c in anchors.columns], F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("deal"))
     right = rows.select(*[F.col(c).alias(f"b_{c}") for c in rows.columns], F.pmod("block", F.lit(groups)).cast("int").alias("deal"))
-    return left.join(right, "deal").drop("deal", "b_bands")
+    return left.join(right.hint("merge"), "deal").drop("deal", "b_bands")
 
 
 def searched(pairs: DataFrame, dims: int, dtype: str, exact: str, width: int, k: int, add) -> DataFrame:

@@ -86,3 +86,13 @@ def test_bounds_hold_and_prune():
     sparse = rng.random((40, 70)) < 0.02
     assert (H.products(sparse, a.x, b.x)[sparse] == exact[sparse]).all()
     assert (np.diff([len(e) for e in H.levels(64)]) > 0).all() and set(H.levels(50)[1]) <= set(H.levels(50)[2])
+
+
+def test_pairs_are_not_broadcast(spark):
+    """Each group gets a copy of the anchors: a small file, but not a small side of a join."""
+    rows = spark.range(64).selectExpr("id AS rid", "id AS vec_id", "id % 3 AS label", "array(id, id + 1) AS x")
+    anchors, blocks = H.packed(rows.where("rid < 8"), 4, 2, "<i2", 8), H.packed(rows, 4, 2, "<i2", 64)
+    pairs = H.paired(anchors, blocks)
+    assert pairs.count() == anchors.count() * blocks.count()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
