@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import Table
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shuffles_dropped
 
 #: View property that names the version table.
 VERSION = "tenantmart.version"
@@ -156,12 +156,15 @@ class Warehouse:
 
     # -- publication -------------------------------------------------------------------------
     def write_version(self, df: DataFrame, table: str, partition_by=()) -> str:
-        """Write ``df`` to a new version folder, which no table points at yet."""
+        """Write ``df`` to a new version folder, which no table points at yet.  The
+        shuffle files of a written version go at once: what a batch needs of disk is
+        that of the writes that run at the same time."""
         path = self._version_path(table)
         w = df.write.mode("errorifexists").format("parquet").option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(path)
+        with shuffles_dropped(df.sparkSession):
+            w.save(path)
         return path
 
     def publish(self, df: DataFrame, table: str, replace_schema: bool = False,

@@ -7,7 +7,9 @@ how the session is configured and where durable intermediate data lives.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +86,31 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or target
 
 
+#: Spark removes an execution's shuffle files when it ends, not when the driver collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_dropping = {"writers": 0, "before": None}
+_dropping_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Writes in this block leave no shuffle files behind; of blocks in several
+    threads the last one puts the session's setting back.  A frame that is
+    evaluated again shuffles again."""
+    with _dropping_lock:
+        if _dropping["writers"] == 0:
+            _dropping["before"] = spark.conf.get(DROP_SHUFFLES)
+            spark.conf.set(DROP_SHUFFLES, "true")
+        _dropping["writers"] += 1
+    try:
+        yield
+    finally:
+        with _dropping_lock:
+            _dropping["writers"] -= 1
+            if _dropping["writers"] == 0:
+                spark.conf.set(DROP_SHUFFLES, _dropping["before"])
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared checkpoint folder for staged tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
