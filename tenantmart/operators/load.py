@@ -13,8 +13,8 @@ executor only rewrites files of the new version.
 
 A table without partitions that takes keyed loads is laid out by a hash of its
 key: ``n`` folders that the public view hides.  A delta then reads, joins and
-writes the buckets of its own keys alone.  The first keyed load writes the layout,
-for as many rows as there are then; a whole load (replace, truncate + insert)
+writes the buckets of its own keys alone.  The first keyed load that leaves rows in
+place writes the layout, for as many rows as there are then; a whole load (replace, truncate + insert)
 drops it, and the next keyed load lays out anew.
 
 Modes: full replace (new schema), truncate + insert (target schema kept,
@@ -554,7 +554,9 @@ def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, ro
     ``merge`` makes of target and source: the touched partitions (partition
     columns among the keys) or the touched buckets of the layout only, or the
     whole table, which then gets a layout if it has no partitions.  ``merge_many``
-    takes the place of ``merge`` for a source of more than ``many_rows`` rows."""
+    takes the place of ``merge`` for a source of more than ``many_rows`` rows; it
+    returns None if no target row stays, and a table without partitions and layout
+    then is what was staged."""
     _options(on_empty, on_loss)
     if not keys:
         raise LoadError(f"no key declared for {table}")
@@ -571,16 +573,25 @@ def _load_keyed(df, wh, table, keys, on_empty, on_loss, mode, prepare, merge, ro
     if merge_many is not None and staged.rows > many_rows:
         merge = merge_many
     parts, layout, columns = wh.partition_columns(table), wh.layout(table), target.columns
+
+    def merged(there):
+        rows = merge(there, source, keys)
+        return (align_by_name(source, target.schema, allow_missing=True) if rows is None else rows).select(*columns)
+
     if parts and set(parts) <= set(keys):
-        merged = merge(_touched(target, source, parts), source, keys).select(*columns)
-        wh.swap_partitions(table, wh.write_version(merged.hint("rebalance", *parts), table, parts))
+        found = merged(_touched(target, source, parts))
+        wh.swap_partitions(table, wh.write_version(found.hint("rebalance", *parts), table, parts))
     elif layout and set(layout.keys) <= set(keys):
         there = _touched(wh.read_version(table), source.withColumn(BUCKET, layout.bucket()), [BUCKET])
-        merged = merge(there.select(*columns), source, keys).select(*columns)
-        wh.swap_partitions(table, wh.write_version(bucketed(merged, layout), table, [BUCKET]))
+        wh.swap_partitions(table, wh.write_version(bucketed(merged(there.select(*columns)), layout), table, [BUCKET]))
+    elif parts or layout:
+        wh.publish(merged(target), table)
     else:
-        fresh = None if parts else layout_for(keys, target.count() + staged.rows, rows_per_bucket)
-        wh.publish(merge(target, source, keys).select(*columns), table, layout=fresh)
+        rows = merge(target, source, keys)
+        if rows is None:
+            wh.point_at(table, staged.path, target.schema)      # the files hold the whole table; columns they lack are NULL
+        else:
+            wh.publish(rows.select(*columns), table, layout=layout_for(keys, target.count() + staged.rows, rows_per_bucket))
     return LoadResult(table, mode, "loaded", staged.rows, staged.losses)
 
 
@@ -608,11 +619,12 @@ def load_replace_keys(df: DataFrame, wh: Warehouse, table: str, keys, on_empty:
     """Incremental load of a table whose declared key is not unique at its
     grain: all rows of the source's keys are replaced by the source's rows.  A
     source of more than ``many_rows`` rows usually brings most keys anew: the
-    target's keys that stay are then found and written first."""
+    target's keys that stay are then found and written first.  If there are none,
+    the target is not read again, and a table without layout is not written again."""
     def merge_many(target, source, keys):
         found = kept_keys(target, source, keys)
         kept = wh.spark.read.schema(found.schema).parquet(wh.write_version(found, table))
-        return replace_keys_frame(target, source, keys, kept)
+        return None if kept.isEmpty() else replace_keys_frame(target, source, keys, kept)
     return _load_keyed(df, wh, table, keys, on_empty, on_loss, "replace_keys", lambda s: s, replace_keys_frame, rows_per_bucket,
                        merge_many, many_rows)
 

@@ -20,9 +20,9 @@ _MODELS: list[Model] = [
     Model("budget_accounts", budget_accounts, keys=("id_code_budgetaire",), merge=True,
           grain="budget account x P&L link"),
     Model("sales_production", sales_production, keys=("idvente",), date_cols=("date_vente",),
-          merge=True, grain="sale x harvest batch x plot", unique=False),
+          merge=True, grain="sale x harvest batch x plot", unique=False, distinct=True),
     Model("production_profile", production_profile, keys=("id_bdg_profil_production",),
-          merge=True, grain="profile x season x plot", unique=False),
+          merge=True, grain="profile x season x plot", unique=False, distinct=True),
     Model("direct_costs", direct_costs, keys=("idparcelleculturale", "date"),
           date_cols=("date",), merge=True, grain="cost line x plot", unique=False),
     Model("budget_weekly", budget_weekly, keys=("id_bdg_versions", "idparcelle"),

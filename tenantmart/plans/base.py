@@ -69,6 +69,7 @@ class Model:
     merge: bool = False          # appended into the central tenant merge
     grain: str = ""
     unique: bool = True          # one row per key; else incremental loads replace all rows of a key
+    distinct: bool = False       # the build ends by dropping duplicate rows
     # the same rows as (rows, unit) pieces: no row of one is in another, and with a unit column none is in two units
     pieces: Callable[[Source, Params], list[tuple[DataFrame, str | None]]] | None = None
 

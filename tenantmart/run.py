@@ -80,6 +80,9 @@ def _distinct(m: Model, src, params, built: Observation) -> DataFrame:
     pieces = m.in_pieces(src, params)
     if len(pieces) == 1:
         rows, unit = pieces[0]
+        if m.distinct:
+            # what is counted comes after: the planner makes one aggregation of the model's last step and this one
+            return dedupe_rows(rows, unit).observe(built, F.count(F.lit(1)).alias("rows"))
         return dedupe_rows(rows.observe(built, F.count(F.lit(1)).alias("rows")), unit)
     found = reduce(DataFrame.unionByName, [dedupe_rows(rows, unit, "_copies") for rows, unit in pieces])
     return found.observe(built, F.sum("_copies").alias("rows")).drop("_copies")
